@@ -23,5 +23,5 @@ def parse_date(c: Column, dtype: DataType, formats: list[str] | None = None) ->
     if not isinstance(dtype, StringType):
         c = c.cast("string")
     fmts = formats or [DATE_FORMAT]
-    parsed = [F.try_to_date(c, F.lit(f)) for f in fmts]
+    parsed = [F.try_to_date(c, f) for f in fmts]
     return parsed[0] if len(parsed) == 1 else F.coalesce(*parsed)

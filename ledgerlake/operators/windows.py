@@ -116,7 +116,7 @@ def sequential_ids(df: DataFrame, group_col: str, order_col: str, name: str, bas
     prev = Window.partitionBy("__g").orderBy("__r").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per.select("__g", F.col("__r").alias("__r2"), F.coalesce(F.sum("__cnt").over(prev), F.lit(0)).alias("__off"))
     others = [c for c in df.columns if c not in (order_col, group_col)]
-    tiebreak = [F.xxhash64(*[col(c) for c in df.columns])] + [col(c).asc_nulls_first() for c in others]
+    tiebreak = [col(c).asc_nulls_first() for c in others]
     w = Window.partitionBy(g, F.col("__r")).orderBy(col(order_col).asc_nulls_first(), *tiebreak)
     local = tagged.withColumn("__rn", F.row_number().over(w))
     joined = local.join(offsets, g.eqNullSafe(F.col("__g")) & (F.col("__r") == F.col("__r2")))

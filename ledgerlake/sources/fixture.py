@@ -160,3 +160,45 @@ def returns_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 def salespeople(spark: SparkSession, rows=None) -> DataFrame:
     """Literal sales-rep dimension: Region, Salesperson, Target_Sales."""
     return spark.createDataFrame(list(rows or FIXTURE_SALESPEOPLE), REPS_SCHEMA)
+
+
+# Extra defects of the text-typed source, by Order ID modulo.
+TEXT_DEFECTS = {
+    "bad_sales_text": 211,     # Sales = 'n/a'            -> NULL after try_cast, row removed
+    "bad_order_date": 223,     # Order Date = '13/45/yyyy' -> NULL date (kept, counted)
+    "null_profit": 227,        # Profit NULL              -> row dropped (mandatory)
+    "padded_region": 229,      # '  ' || lower(Region) || ' ' -> trimmed + title-cased
+    "zero_sales": 233,         # Sales = '0'              -> row removed
+    "bad_quantity": 239,       # Quantity = 'x'           -> NULL
+    "empty_discount": 241,     # Discount = ''            -> NULL -> clamped to 0.0
+}
+
+
+def text_sales(df: DataFrame, key: str = "Order ID") -> DataFrame:
+    """Every column as text, as a header CSV delivers it, plus text-level defects.
+
+    Dates are written ``M/d/yyyy``; numbers use Spark's string cast.
+    """
+    k = col(key)
+
+    def every(name):
+        return F.pmod(k, F.lit(TEXT_DEFECTS[name])) == 0
+
+    year = F.year(col("Order Date")).cast("string")
+    out = {}
+    for c in df.columns:
+        dtype = df.schema[c].dataType.simpleString()
+        v = F.date_format(col(c), "M/d/yyyy") if dtype == "date" else col(c).cast("string")
+        out[c] = v
+    out["Sales"] = F.when(every("bad_sales_text"), F.lit("n/a")).when(every("zero_sales"), F.lit("0")).otherwise(out["Sales"])
+    out["Order Date"] = F.when(every("bad_order_date"), F.concat(F.lit("13/45/"), year)).otherwise(out["Order Date"])
+    out["Profit"] = F.when(every("null_profit"), F.lit(None).cast("string")).otherwise(out["Profit"])
+    out["Region"] = F.when(every("padded_region"), F.concat(F.lit("  "), F.lower(col("Region")), F.lit(" "))).otherwise(out["Region"])
+    out["Quantity"] = F.when(every("bad_quantity"), F.lit("x")).otherwise(out["Quantity"])
+    out["Discount"] = F.when(every("empty_discount"), F.lit("")).otherwise(out["Discount"])
+    return df.select(*[out[c].alias(c) for c in df.columns])
+
+
+def raw_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw sales (with seeded defects) as all-text columns plus text defects."""
+    return text_sales(raw_sales(spark, sf_dir))
