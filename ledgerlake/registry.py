@@ -527,7 +527,7 @@ def q_verify_tables(spark, sf):
 
 
 def q_shape_profile(spark, sf):
-    return files.shape(fixture.raw_sales(spark, sf))
+    return files.shape(fixture.raw_sales(spark, sf)).select("rows", "columns")
 
 
 def q_retention_gate(spark, sf):
