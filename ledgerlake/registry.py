@@ -30,7 +30,7 @@ from ledgerlake.plans import dashboard, marts, quality
 from ledgerlake.plans.bronze import build_bronze
 from ledgerlake.plans.flow import FIXED_BATCH_TIME, bronze_from_tables, silver_from_tables
 from ledgerlake.plans.silver import build_silver, retention
-from ledgerlake.session import shared_dir
+from ledgerlake.session import cut_lineage, shared_dir
 from ledgerlake.sinks.writers import Store, export_csv, publish_mart, verify_tables, write_table
 from ledgerlake.sources import files, fixture
 
@@ -82,8 +82,10 @@ def gold_of(silver: DataFrame) -> dict[str, DataFrame]:
 
 
 def suite(spark: SparkSession, sf: str) -> quality.SuiteInputs:
-    b = bronze_from_tables(spark, sf)
-    s = build_silver(b, silver_time=FIXED_BATCH_TIME)
+    """Bronze, silver and marts for the quality checks; bronze and silver are
+    checkpointed so the seven consumers do not each replay the joins."""
+    b = cut_lineage(bronze_from_tables(spark, sf))
+    s = cut_lineage(build_silver(b, silver_time=FIXED_BATCH_TIME))
     return quality.SuiteInputs(b, s, gold_of(s))
 
 

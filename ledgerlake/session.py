@@ -39,11 +39,23 @@ def shared_dir(spark: SparkSession) -> str:
     runs) a fresh scratch folder is created and registered.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
+    current = spark.sparkContext.getCheckpointDir()
     if path:
+        if not current:
+            spark.sparkContext.setCheckpointDir(path)
         return path.rstrip("/")
-    current = spark.sparkContext.getCheckpointDir()
     if current:
         return current.rstrip("/")
     path = tempfile.mkdtemp(prefix="ledgerlake-ckpt-")
     spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+def cut_lineage(df):
+    """Materialize ``df`` in the shared checkpoint folder and return the cut frame.
+
+    A reliable checkpoint survives executor loss (unlike a local checkpoint):
+    later stages read the written files instead of replaying the upstream plan.
+    """
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

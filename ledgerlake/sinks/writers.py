@@ -71,13 +71,33 @@ def path_has_files(spark: SparkSession, path: str) -> bool:
         raise
 
 
+def balanced_for_write(df: DataFrame, partition_by: str, writers: int | None = None) -> DataFrame:
+    """Shuffle rows to (partition value, salt) before a partitioned write.
+
+    Without it every task writes one file per partition value it holds
+    (tasks x values small files) and sorts its rows by the partition column.
+    With it each task holds one slice of one value: files come out few and
+    evenly sized, and a value holding a third of the rows is still spread
+    over ``writers`` tasks (the salt is a hash of the whole row).
+    """
+    spark = df.sparkSession
+    n = writers or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(max(n, 1)))
+    return df.repartition(F.col(f"`{partition_by}`"), salt)
+
+
 def write_table(df: DataFrame, location: str, partition_by: str | None = None, catalog: bool = False,
-                mode: str = "overwrite") -> int:
+                mode: str = "overwrite", balance: bool = False) -> int:
     """Full replace of a parquet table (schema included); returns rows written.
 
     The row count is observed during the write (an ``Observation``), so the
-    table is not read back to count it.
+    table is not read back to count it. ``balance=True`` shuffles a
+    partitioned write first (see ``balanced_for_write``): worth it when the
+    input's tasks each hold every partition value (many small files); it
+    costs one extra shuffle of the table.
     """
+    if partition_by and balance:
+        df = balanced_for_write(df, partition_by)
     obs = Observation("rows")
     observed = df.observe(obs, F.count(F.lit(1)).alias("n"))
     writer = observed.write.format("parquet").mode(mode)
