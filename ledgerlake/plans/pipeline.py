@@ -34,10 +34,17 @@ class RunResult:
     report: DataFrame | None = None
 
 
+def bronze_buckets(store: Store) -> tuple[int, list[str]]:
+    """Bucket bronze by Order ID (catalog tables): the silver dedup, keyed by
+    (Order ID, Product ID, Source_Year), then reads it without a shuffle."""
+    n = int(store.spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    return n, ["Order ID"]
+
+
 def run_bronze(store: Store, orders: DataFrame, returns: DataFrame, reps: DataFrame,
                batch_time: str | None = None, reps_rows: int | None = None) -> int:
     bronze = build_bronze(orders, returns, reps, batch_time=batch_time, reps_rows=reps_rows)
-    return store.write(bronze, "bronze", BRONZE_TABLE, partition_by="Source_Year")
+    return store.write(bronze, "bronze", BRONZE_TABLE, partition_by="Source_Year", bucket_by=bronze_buckets(store))
 
 
 def run_silver(store: Store, silver_time: str | None = None, bronze_rows: int | None = None,

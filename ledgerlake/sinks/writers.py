@@ -46,8 +46,12 @@ class Store:
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database(layer)}")
         return [self.database(layer) for layer in layers]
 
-    def write(self, df: DataFrame, layer: str, table: str, partition_by: str | None = None) -> int:
-        return write_table(df, self.location(layer, table), partition_by=partition_by, catalog=self.use_catalog)
+    def write(self, df: DataFrame, layer: str, table: str, partition_by: str | None = None,
+              bucket_by: tuple[int, list[str]] | None = None) -> int:
+        """Write a layer table; ``bucket_by=(n, cols)`` applies to catalog tables only
+        (path tables keep no bucket metadata)."""
+        return write_table(df, self.location(layer, table), partition_by=partition_by, catalog=self.use_catalog,
+                           bucket_by=bucket_by if self.use_catalog else None)
 
     def read(self, layer: str, table: str) -> DataFrame:
         loc = self.location(layer, table)
@@ -87,11 +91,13 @@ def balanced_for_write(df: DataFrame, partition_by: str, writers: int | None = N
 
 
 def write_table(df: DataFrame, location: str, partition_by: str | None = None, catalog: bool = False,
-                mode: str = "overwrite", balance: bool = False) -> int:
+                mode: str = "overwrite", balance: bool = False, bucket_by: tuple[int, list[str]] | None = None) -> int:
     """Full replace of a parquet table (schema included); returns rows written.
 
     The row count is observed during the write (an ``Observation``), so the
-    table is not read back to count it. ``balance=True`` shuffles a
+    table is not read back to count it. ``bucket_by=(n, cols)`` (catalog tables)
+    stores the rows hash-bucketed: a later aggregate or join whose keys include
+    ``cols`` reads them without a shuffle. ``balance=True`` shuffles a
     partitioned write first (see ``balanced_for_write``): worth it when the
     input's tasks each hold every partition value (many small files); it
     costs one extra shuffle of the table.
@@ -104,7 +110,10 @@ def write_table(df: DataFrame, location: str, partition_by: str | None = None, c
     if partition_by:
         writer = writer.partitionBy(partition_by)
     if catalog:
-        writer.option("overwriteSchema", "true").saveAsTable(location)
+        if bucket_by:
+            n, cols = bucket_by
+            writer = writer.bucketBy(n, *cols)
+        writer.saveAsTable(location)
     else:
         writer.save(location)
     return int(obs.get["n"])

@@ -22,6 +22,7 @@ def spark():
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.ansi.enabled", "true")
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="ledgerlake-test-wh-"))
         .getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")

@@ -52,3 +52,22 @@ def test_write_observes_count_and_publish(spark, tmp_dir):
     assert spark.read.option("header", True).csv(f"{tmp_dir}/csv/m1").count() == 25
     v = {r.table: (r.exists, r.rows) for r in verify_tables(store, "gold", ["m1", "m2"]).collect()}
     assert v == {"m1": (True, 25), "m2": (False, None)}
+
+
+def test_catalog_store_bucketed_bronze_skips_dedup_shuffle(spark):
+    import uuid
+
+    from ledgerlake.plans import pipeline
+    from ledgerlake.plans.silver import build_silver
+    from ledgerlake.sources import fixture
+
+    store = Store(spark, use_catalog=True, prefix="t" + uuid.uuid4().hex[:8])
+    assert len(store.create_databases()) == 3
+    sf = "/root/testdata/sf0.001"
+    nb = pipeline.run_bronze(store, fixture.raw_sales(spark, sf), fixture.returns_source(spark, sf),
+                             fixture.salespeople(spark), batch_time="2024-01-01 00:00:00", reps_rows=5)
+    assert nb == store.read("bronze", "orders_raw").count()
+    plan = build_silver(store.read("bronze", "orders_raw"))._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" in plan and "Exchange" not in plan
+    ns, pct = pipeline.run_silver(store, bronze_rows=nb)
+    assert ns > 0 and pct > 95
