@@ -41,8 +41,19 @@ def main() -> None:
     stamp = "2024-01-01 06:00:00"
     times: dict[str, float] = {}
 
-    # warm-up: JVM class loading and the parquet footers (not timed)
-    fixture.table(spark, sf_dir, "region").count()
+    # warm-up (not timed): the same stages once on the smallest tables, so JIT
+    # compilation and class loading do not land in the first timed stage
+    warm_dir = os.environ.get("BENCH_WARM_DIR", "/root/testdata/sf0.001")
+    if os.path.isdir(warm_dir):
+        warm = Store(spark, base_path=os.path.join(base, "warmup"))
+        wb = run_bronze(warm, fixture.raw_sales(spark, warm_dir), fixture.returns_source(spark, warm_dir),
+                        fixture.salespeople(spark), batch_time="2024-01-01 06:00:00",
+                        reps_rows=len(fixture.FIXTURE_SALESPEOPLE))
+        run_silver(warm, silver_time="2024-01-01 06:00:00", bronze_rows=wb)
+        wsilver = warm.read("silver", "orders_cleaned")
+        for name, fn in marts.MARTS.items():
+            publish_mart(warm, fn(wsilver), name, partition_by=marts.MART_PARTITION[name])
+        run_validation(warm, "2024-01-01 06:00:00", coverage=FIXTURE_COVERAGE).collect()
 
     def timed(name, fn):
         t0 = time.perf_counter()

@@ -108,16 +108,21 @@ def remove_invalid_sales(df: DataFrame, column: str = "Sales") -> DataFrame:
     return df.filter(col(column) > 0)
 
 
-def null_profile(df: DataFrame, skip_prefix: str = "_") -> DataFrame:
-    """NULL count per column in ONE pass (CL10/CL11), as (column, null_count) rows.
+def null_profile(df: DataFrame, skip_prefix: str = "_", max_null_pct: float | None = None) -> DataFrame:
+    """NULL count and share per column in ONE pass (CL10-CL12).
 
-    A single aggregate computes every count; the wide one-row result is then
-    unpivoted with ``stack`` so the report stays a DataFrame.
+    Rows: (column, null_count, null_pct, over_limit). A single aggregate
+    computes every count; the one-row result is unpivoted with ``stack`` so
+    the report stays a DataFrame. ``over_limit`` compares ``null_pct`` with
+    ``max_null_pct`` (the declared ceiling; NULL when no ceiling is given).
     """
     cols = [c for c in df.columns if not c.startswith(skip_prefix)]
-    wide = df.agg(*[F.count_if(col(c).isNull()).alias(f"n{i}") for i, c in enumerate(cols)])
+    wide = df.agg(F.count(F.lit(1)).alias("total"), *[F.count_if(col(c).isNull()).alias(f"n{i}") for i, c in enumerate(cols)])
     pairs = ", ".join(f"'{c.replace(chr(39), chr(39) * 2)}', n{i}" for i, c in enumerate(cols))
-    return wide.selectExpr(f"stack({len(cols)}, {pairs}) AS (`column`, null_count)")
+    long = wide.selectExpr("total", f"stack({len(cols)}, {pairs}) AS (`column`, null_count)")
+    pct = F.round(F.try_divide(F.col("null_count"), F.col("total")) * 100, 2)
+    limit = F.lit(None).cast("boolean") if max_null_pct is None else pct > F.lit(max_null_pct)
+    return long.select("column", "null_count", pct.alias("null_pct"), limit.alias("over_limit"))
 
 
 def distinct_before_after(df: DataFrame, cols=TEXT_COLS) -> DataFrame:

@@ -477,9 +477,12 @@ def _dedup_report(src: str, key: list[str]) -> str:
 FROM (SELECT COUNT(*) AS rows_before, {_count_distinct_keys(key)} AS rows_after FROM {src})""")
 
 
-def _null_profile(src: str, cols: list[str]) -> str:
-    parts = [f"SELECT {lit(c)} AS \"column\", COUNT(*) FILTER (WHERE {q(c)} IS NULL) AS null_count FROM {src}" for c in cols]
-    return build("\nUNION ALL\n".join(parts), text=True)
+def _null_profile(src: str, cols: list[str], max_null_pct: float = 5.0) -> str:
+    parts = [f"SELECT {lit(c)} AS \"column\", COUNT(*) FILTER (WHERE {q(c)} IS NULL) AS null_count, COUNT(*) AS total FROM {src}"
+             for c in cols]
+    pct = sround("null_count / NULLIF(total, 0) * 100", 2)
+    return build(f"SELECT \"column\", null_count, {pct} AS null_pct, {pct} > {max_null_pct} AS over_limit FROM (\n"
+                 + "\nUNION ALL\n".join(parts) + ")", text=True)
 
 
 def _distinct_std(src: str, cols: list[str]) -> str:

@@ -22,6 +22,7 @@ from ledgerlake.config import (
     DUPLICATE_CHECK_KEY,
     TEXT_COLS,
     Coverage,
+    Thresholds,
 )
 from ledgerlake.functions.text import col
 from ledgerlake.operators import aggregates, clean, columns, dedup, filters, joins, prep, setops, windows
@@ -218,7 +219,7 @@ def q_clamp_discount(spark, sf):
 
 
 def q_null_profile(spark, sf):
-    return clean.null_profile(_text(spark, sf))
+    return clean.null_profile(_text(spark, sf), max_null_pct=Thresholds().max_null_pct)
 
 
 def q_remove_invalid_sales(spark, sf):

@@ -58,10 +58,17 @@ class Store:
         return self.spark.table(loc) if self.use_catalog else self.spark.read.parquet(loc)
 
     def exists(self, layer: str, table: str) -> bool:
+        """Table present (no job: catalog lookup, or the parquet footer read at analysis)."""
         loc = self.location(layer, table)
         if self.use_catalog:
             return self.spark.catalog.tableExists(loc)
-        return path_has_files(self.spark, loc)
+        try:
+            self.spark.read.parquet(loc).schema
+            return True
+        except Exception as e:  # AnalysisException
+            if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
+                return False
+            raise
 
 
 def path_has_files(spark: SparkSession, path: str) -> bool:
