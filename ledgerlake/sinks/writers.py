@@ -39,11 +39,16 @@ class Store:
         return f"{self.base_path.rstrip('/')}/{layer}/{table}"
 
     def create_databases(self, layers=("bronze", "silver", "gold")) -> list[str]:
-        """CREATE DATABASE IF NOT EXISTS per layer (SK6); no-op for path stores."""
+        """CREATE DATABASE IF NOT EXISTS per layer (SK6); no-op for path stores.
+
+        With a ``base_path`` the databases are placed there (shared storage),
+        otherwise in the session's warehouse.
+        """
         if not self.use_catalog:
             return []
         for layer in layers:
-            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database(layer)}")
+            where = f" LOCATION '{self.base_path.rstrip('/')}/{self.database(layer)}.db'" if self.base_path else ""
+            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database(layer)}{where}")
         return [self.database(layer) for layer in layers]
 
     def write(self, df: DataFrame, layer: str, table: str, partition_by: str | None = None,
