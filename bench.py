@@ -77,9 +77,11 @@ def main() -> None:
     report = timed("validation", lambda: run_validation(store, stamp, coverage=FIXTURE_COVERAGE).collect())
     pipeline_total = round(sum(times.values()), 3)
 
+    # headline queries end to end from the raw tables; the no-op sink runs the
+    # whole plan without pulling rows into Python
     q = registry()
     for name in HEADLINE:
-        timed(f"q_{name}", lambda n=name: q[n](spark, sf_dir).collect())
+        timed(f"q_{name}", lambda n=name: q[n](spark, sf_dir).write.format("noop").mode("overwrite").save())
 
     m = re.search(r"sf([0-9.]+)", sf_dir)
     out = {

@@ -831,6 +831,8 @@ LIMIT 20""", marts_needed=("loss",)),
         "encoding_read": build("""SELECT n_nationkey, n_name || ' Céleste' AS n_label, 'ISO-8859-1' AS "encoding" FROM nation"""),
         "parquet_roundtrip": build("SELECT * FROM kpis", marts_needed=("kpis",)),
         "table_roundtrip": build("""SELECT "Source_Year", COUNT(*) AS "rows" FROM bronze GROUP BY 1"""),
+        "catalog_roundtrip": build("""SELECT "Source_Year", COUNT(*) AS "rows" FROM bronze GROUP BY 1"""),
+        "csv_text_read": build("""SELECT CAST("Source_Year" AS VARCHAR) AS "Source_Year", COUNT(*) AS "rows" FROM raw GROUP BY 1"""),
         "publish_mart": build(f"""SELECT *, 'executive_kpis' AS "_gold_table", CAST({lit(FIXED_BATCH_TIME)} AS TIMESTAMP) AS "_created_at"
 FROM kpis""", marts_needed=("kpis",)),
         "multi_year_scan": build(f"""SELECT "Source_Year", "Source_File", COUNT(*) AS "rows", {money_sum('"Sales"')} AS "Total_Sales"

@@ -487,6 +487,25 @@ def q_table_roundtrip(spark, sf):
     return store.read("bronze", "orders_raw").groupBy("Source_Year").agg(F.count(F.lit(1)).alias("rows"))
 
 
+def q_csv_text_read(spark, sf):
+    raw = fixture.raw_sales(spark, sf)
+    path = scratch(spark, "csvtext")
+    export_csv(raw, path, single_file=False)
+    text = files.read_csv(spark, path)  # header only: every column is a string
+    return text.groupBy("Source_Year").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def q_catalog_roundtrip(spark, sf):
+    store = Store(spark, base_path=scratch(spark, "catalog"), use_catalog=True, prefix="q" + uuid.uuid4().hex[:10])
+    store.create_databases()
+    from ledgerlake.plans.pipeline import order_buckets
+
+    b = bronze_from_tables(spark, sf)
+    store.write(b, "bronze", "orders_raw", partition_by="Source_Year", bucket_by=order_buckets(store))
+    back = files.read_table(spark, store.location("bronze", "orders_raw"))
+    return back.groupBy("Source_Year").agg(F.count(F.lit(1)).alias("rows"))
+
+
 def q_publish_mart(spark, sf):
     store = Store(spark, base_path=scratch(spark, "gold"))
     k = marts.executive_kpis(silver_from_tables(spark, sf))
@@ -652,6 +671,8 @@ def registry() -> dict[str, Query]:
             "parquet_roundtrip": q_parquet_roundtrip,
             "table_roundtrip": q_table_roundtrip,
             "publish_mart": q_publish_mart,
+            "csv_text_read": q_csv_text_read,
+            "catalog_roundtrip": q_catalog_roundtrip,
             "multi_year_scan": q_multi_year_scan,
             "schema_gate": q_schema_gate,
             "sources_gate": q_sources_gate,
