@@ -6,7 +6,8 @@ different: ``Window.orderBy`` without a partition moves every row into one
 task. ``global_rank`` computes the same numbers without that:
 
 1. reduce to distinct values with their multiplicity (partial aggregate, so a
-   value held by a third of the rows is one row per map task);
+   value held by a third of the rows is one row per map task), checkpointed
+   (reliably, in the shared folder) so the input is computed once;
 2. cut the distinct values into ranges at approximate quantiles (a fixed
    number of cut points reaches the driver, never data);
 3. rank inside each range with a window partitioned by range, and add the
@@ -24,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from ledgerlake.functions.text import col
+from ledgerlake.session import cut_lineage
 
 
 def rank_within(df: DataFrame, partition: list[str], order: list[Column], name: str) -> DataFrame:
@@ -48,7 +50,9 @@ def global_rank(df: DataFrame, order_col: str, name: str, ascending: bool = True
     if not isinstance(df.schema[order_col].dataType, NumericType):
         raise TypeError(f"global_rank needs a numeric column, got {df.schema[order_col].dataType}")
     v = col(order_col)
-    counts = df.groupBy(v.alias("__v")).agg(F.count(F.lit(1)).alias("__n"))
+    # distinct values with multiplicity, checkpointed in the shared folder: the
+    # quantile job and the ranking read it instead of recomputing the input
+    counts = cut_lineage(df.groupBy(v.alias("__v")).agg(F.count(F.lit(1)).alias("__n")))
     cuts = _cut_points(counts.select(F.col("__v").cast("double").alias("__v")), "__v", ranges, rel_err)
     arr = F.array(*[F.lit(float(c)) for c in cuts])
     x = F.col("__v").cast("double")
