@@ -828,6 +828,12 @@ LIMIT 20""", marts_needed=("loss",)),
         "scale_years": _scale_years(),
         "expand_years": _expand_years(),
         "csv_roundtrip": build("SELECT * FROM raw"),
+        "defect_audit": build(f"""SELECT *, total_rows - unique_keys AS duplicate_rows FROM (
+  SELECT COUNT(*) AS total_rows, COUNT(*) FILTER (WHERE "Ship Mode" IS NULL) AS "null_Ship_Mode",
+    COUNT(*) FILTER (WHERE "Customer Name" IS NULL) AS "null_Customer_Name",
+    {_count_distinct_keys(["Order ID", "Product ID"])} AS unique_keys,
+    COUNT(DISTINCT "Region") AS distinct_regions,
+    COUNT(*) FILTER (WHERE try_cast("Discount" AS DOUBLE) > 1.0) AS bad_discounts FROM raw)"""),
         "encoding_read": build("""SELECT n_nationkey, n_name || ' Céleste' AS n_label, 'ISO-8859-1' AS "encoding" FROM nation"""),
         "parquet_roundtrip": build("SELECT * FROM kpis", marts_needed=("kpis",)),
         "table_roundtrip": build("""SELECT "Source_Year", COUNT(*) AS "rows" FROM bronze GROUP BY 1"""),

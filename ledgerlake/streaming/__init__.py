@@ -1,0 +1,5 @@
+"""Streaming: intentionally empty.
+
+The reproduced pipeline is batch only (every read is a batch read, every
+write a full overwrite), so there is no streaming operator to rebuild here.
+"""
