@@ -126,11 +126,25 @@ def null_profile(df: DataFrame, skip_prefix: str = "_", max_null_pct: float | No
 
 
 def distinct_before_after(df: DataFrame, cols=TEXT_COLS) -> DataFrame:
-    """Distinct values per text column before and after title-casing, one pass (CL5)."""
+    """Distinct values per text column before and after title-casing, one job (CL5).
+
+    Each (column, form) is its own narrow branch (one column scanned, a
+    partial distinct, then tagged); a single aggregate counts the tags.
+    Putting all the DISTINCTs in one aggregate instead would make Spark
+    expand every row once per DISTINCT.
+    """
     cols = present(df, cols)
-    aggs = []
-    for i, c in enumerate(cols):
-        aggs += [F.count_distinct(col(c)).alias(f"b{i}"), F.count_distinct(title_case(col(c))).alias(f"a{i}")]
-    wide = df.agg(*aggs)
-    parts = ", ".join(f"'{c}', b{i}, a{i}" for i, c in enumerate(cols))
-    return wide.selectExpr(f"stack({len(cols)}, {parts}) AS (`column`, distinct_before, distinct_after)")
+    parts = []
+    for c in cols:
+        for kind, expr in (("b", col(c)), ("a", title_case(col(c)))):
+            vals = df.select(expr.alias("v")).filter(F.col("v").isNotNull()).distinct()
+            parts.append(vals.select(F.lit(c).alias("column"), F.lit(kind).alias("_k")))
+    # one untagged row per column, so an all-NULL column still reports 0 / 0
+    parts.append(df.sparkSession.createDataFrame([(c, None) for c in cols], "column string, _k string"))
+    u = parts[0]
+    for p in parts[1:]:
+        u = u.unionByName(p)
+    return u.groupBy("column").agg(
+        F.count_if(F.col("_k") == "b").alias("distinct_before"),
+        F.count_if(F.col("_k") == "a").alias("distinct_after"),
+    )
