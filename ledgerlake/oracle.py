@@ -645,7 +645,7 @@ def _dq1() -> str:
     for key, name in [("invalid_sales", "Sales > 0"), ("invalid_qty", "Quantity > 0"), ("bad_case", "Region Title Case"),
                       ("bad_discount", "Discount Range [0, 1]")]:
         rows.append(_check(name, _pf(f"{key} = 0"), key))
-    return build("\nUNION ALL\n".join(rows), *_dq_base())
+    return "\nUNION ALL\n".join(rows)
 
 
 def _dq2() -> str:
@@ -668,7 +668,7 @@ def _dq2() -> str:
     rows.append(f"SELECT 'YoY Growth Calculation' AS check_name, {_pf(f'y.f = 1 AND y.v = {later}', 'WARN')} AS status, "
                 f"CAST(y.v AS DOUBLE) AS measure FROM {yoy}")
     rows.append(_check("All 7 Derived Columns Present", "'PASS'", "0.0"))
-    return build("\nUNION ALL\n".join(rows), *_dq_base(), marts_needed=("kpis",))
+    return "\nUNION ALL\n".join(rows)
 
 
 def _dq3() -> str:
@@ -701,7 +701,22 @@ def _dq3() -> str:
     rows.append(f"SELECT 'Gold vs Silver Sales Match' AS check_name, {_pf(f'{var} <= {th.max_variance_pct}')} AS status, "
                 f"CAST({var} AS DOUBLE) AS measure FROM sm, "
                 f"(SELECT CAST(SUM(CAST(\"Total_Sales\" AS DECIMAL(24,6))) AS DOUBLE) AS gold_sales FROM kpis) g")
-    return build("\nUNION ALL\n".join(rows), *_dq_base(), marts_needed=tuple(rel.values()))
+    return "\nUNION ALL\n".join(rows)
+
+
+ALL_MARTS = ("trend", "category", "regional", "loss", "discount", "kpis")
+
+
+def _ordered_report() -> str:
+    from ledgerlake.plans.quality import check_specs
+    from ledgerlake.registry import FIXTURE_COVERAGE
+
+    specs = ", ".join(f"({lit(cat)}, {lit(name)}, {lit(layer)}, {lit(exp)})"
+                      for cat, name, layer, exp in check_specs(cov=FIXTURE_COVERAGE))
+    body = f"({_dq1()})\nUNION ALL\n({_dq2()})\nUNION ALL\n({_dq3()})"
+    return build(f"""SELECT s.category, d.check_name, d.status, s.expected, s.layer
+FROM ({body}) d JOIN (VALUES {specs}) AS s(category, check_name, layer, expected) ON d.check_name = s.check_name""",
+                 *_dq_base(), marts_needed=ALL_MARTS)
 
 
 def oracle_queries() -> dict[str, str]:
@@ -852,8 +867,9 @@ FROM raw GROUP BY 1, 2"""),
         "retention_gate": build(f"""SELECT bronze_rows, silver_rows,
   CASE WHEN bronze_rows > 0 THEN {sround('silver_rows / bronze_rows * 100', 2)} ELSE 0.0 END AS retention_pct
 FROM (SELECT (SELECT COUNT(*) FROM bronze) AS bronze_rows, (SELECT COUNT(*) FROM silver) AS silver_rows)"""),
-        "dq_category_1": _dq1(),
-        "dq_category_2": _dq2(),
-        "dq_category_3": _dq3(),
+        "dq_category_1": build(_dq1(), *_dq_base()),
+        "dq_category_2": build(_dq2(), *_dq_base(), marts_needed=("kpis",)),
+        "dq_category_3": build(_dq3(), *_dq_base(), marts_needed=ALL_MARTS),
+        "ordered_report": _ordered_report(),
     })
     return out

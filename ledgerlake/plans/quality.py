@@ -83,6 +83,51 @@ def _missing_list(flags: list[tuple[str, Column]]) -> Column:
     return F.array_compact(F.array(*[F.when(~found, F.lit(label)) for label, found in flags]))
 
 
+def check_specs(th: Thresholds = Thresholds(), cov: Coverage = Coverage()) -> list[tuple[str, str, str, str]]:
+    """(category, check_name, layer, expected) of every check, in report order.
+
+    Pure Python (no Spark): the single source of the report's names and
+    expectation texts, also used to write the SQL oracle.
+    """
+    yrs = cov.years
+    span = f"{yrs[0]}-{yrs[-1]}" if yrs else ""
+    first = yrs[0] if yrs else None
+    specs = [
+        (CAT1, "Row Retention Bronze→Silver", LAYER_SILVER, f">= {th.min_retention_pct}% retention"),
+        (CAT1, "Mandatory Columns Present", LAYER_SILVER, f"All {len(MANDATORY_COLS)} mandatory cols"),
+    ]
+    specs += [(CAT1, f"Null Check: {c}", LAYER_SILVER, "0 nulls") for c in MANDATORY_COLS]
+    specs += [
+        (CAT1, "Duplicate Rate After Cleaning", LAYER_SILVER, f"<= {th.max_duplicate_pct}% duplicates"),
+        (CAT1, "Date Validity: Order Date", LAYER_SILVER, "All dates parseable"),
+        (CAT1, "Date Validity: Ship Date", LAYER_SILVER, "All dates parseable"),
+        (CAT1, "Sales > 0", LAYER_SILVER, "All Sales > 0"),
+        (CAT1, "Quantity > 0", LAYER_SILVER, "All Quantity > 0"),
+        (CAT1, "Region Title Case", LAYER_SILVER, "All regions in Title Case"),
+        (CAT1, "Discount Range [0, 1]", LAYER_SILVER, "All Discount in [0, 1]"),
+        (CAT2, "Sales Total Reconciliation", LAYER_SILVER, f"Variance <= {th.max_variance_pct}%"),
+        (CAT2, "Profit Total Reconciliation", LAYER_SILVER, f"Variance <= {th.max_variance_pct}%"),
+        (CAT2, "Profit Margin Calculation", LAYER_SILVER, "Margin = (Profit/Sales)*100"),
+        (CAT2, "Discount Amount Calculation", LAYER_SILVER, "Discount_Amount = Sales × Discount"),
+        (CAT2, "Is_Loss Flag Accuracy", LAYER_SILVER, "Is_Loss = True where Profit < 0"),
+        (CAT2, "Shipping Days >= 0", LAYER_SILVER, "All Shipping_Days >= 0"),
+        (CAT2, "YoY Growth Calculation", LAYER_GOLD,
+         f"{first}=null, {first + 1 if first else ''}-{yrs[-1] if yrs else ''} have YoY%"),
+        (CAT2, "All 7 Derived Columns Present", LAYER_SILVER, f"All {len(DERIVED_COLS)} derived columns"),
+    ]
+    specs += [(CAT3, f"Gold Table: {name}", LAYER_GOLD, "Table exists with rows") for name in MART_NAMES]
+    specs += [
+        (CAT3, "Sales Trend Years Coverage", LAYER_GOLD, f"Years {span} all present"),
+        (CAT3, f"All {len(cov.regions)} Regions Present", LAYER_GOLD, ", ".join(cov.regions)),
+        (CAT3, f"All {len(cov.categories)} Categories Present", LAYER_GOLD, ", ".join(cov.categories)),
+        (CAT3, "Loss Products Have Negative Profit", LAYER_GOLD, "All Total_Loss < 0"),
+        (CAT3, "Discount Buckets Complete", LAYER_GOLD, f"{len(cov.buckets)} buckets"),
+        (CAT3, f"KPIs Cover All {len(yrs)} Years", LAYER_GOLD, f"{len(yrs)} years: {span}"),
+        (CAT3, "Gold vs Silver Sales Match", LAYER_GOLD, f"Variance <= {th.max_variance_pct}%"),
+    ]
+    return specs
+
+
 @dataclass
 class SuiteInputs:
     bronze: DataFrame
@@ -215,34 +260,35 @@ def _build_checks(inp: SuiteInputs, th: Thresholds, cov: Coverage, present: set[
     out: list[Check] = []
     s_have = set(inp.silver.columns)
     gold = {k: v for k, v in inp.gold.items() if v is not None}
+    exp_of = {name: expected for _, name, _, expected in check_specs(th, cov)}
 
     def m(name):
         return c(f"`{name}`")
 
     # --- category 1 ---------------------------------------------------------
     ret = F.when(m("bronze_rows") > 0, m("silver_rows") / m("bronze_rows") * 100).otherwise(F.lit(0.0))
-    out.append(Check(CAT1, "Row Retention Bronze→Silver", LAYER_SILVER, f">= {th.min_retention_pct}% retention",
+    out.append(Check(CAT1, "Row Retention Bronze→Silver", LAYER_SILVER, exp_of["Row Retention Bronze→Silver"],
                      _pf(ret >= th.min_retention_pct),
                      F.format_string("%.2f%% (%s/%s rows)", ret, _n(m("silver_rows")), _n(m("bronze_rows"))), ret))
     missing = [x for x in MANDATORY_COLS if x not in s_have]
-    out.append(Check(CAT1, "Mandatory Columns Present", LAYER_SILVER, f"All {len(MANDATORY_COLS)} mandatory cols",
+    out.append(Check(CAT1, "Mandatory Columns Present", LAYER_SILVER, exp_of["Mandatory Columns Present"],
                      F.lit("PASS" if not missing else "FAIL"),
                      F.lit("All present" if not missing else f"Missing: {missing}"), F.lit(float(len(missing)))))
     for i, name in enumerate(MANDATORY_COLS):
         if f"null_{i}" in present:
             v = m(f"null_{i}")
-            out.append(Check(CAT1, f"Null Check: {name}", LAYER_SILVER, "0 nulls", _pf(v == 0),
+            out.append(Check(CAT1, f"Null Check: {name}", LAYER_SILVER, exp_of[f"Null Check: {name}"], _pf(v == 0),
                              F.concat(_n(v), F.lit(" nulls")), v.cast("double")))
     if "unique_keys" in present:
         dup = m("silver_rows") - m("unique_keys")
         dup_pct = F.when(m("silver_rows") > 0, dup / m("silver_rows") * 100).otherwise(F.lit(0.0))
-        out.append(Check(CAT1, "Duplicate Rate After Cleaning", LAYER_SILVER, f"<= {th.max_duplicate_pct}% duplicates",
+        out.append(Check(CAT1, "Duplicate Rate After Cleaning", LAYER_SILVER, exp_of["Duplicate Rate After Cleaning"],
                          _pf(dup_pct <= th.max_duplicate_pct),
                          F.format_string("%.2f%% (%s rows)", dup_pct, _n(dup)), dup_pct))
     for i, name in enumerate(["Order Date", "Ship Date"]):
         if f"bad_date_{i}" in present:
             v = m(f"bad_date_{i}")
-            out.append(Check(CAT1, f"Date Validity: {name}", LAYER_SILVER, "All dates parseable", _pf(v == 0, "WARN"),
+            out.append(Check(CAT1, f"Date Validity: {name}", LAYER_SILVER, exp_of[f"Date Validity: {name}"], _pf(v == 0, "WARN"),
                              F.concat(_n(v), F.lit(" unparseable dates")), v.cast("double")))
     for key, name, exp, unit in [("invalid_sales", "Sales > 0", "All Sales > 0", " invalid sales"),
                                  ("invalid_qty", "Quantity > 0", "All Quantity > 0", " invalid quantities"),
@@ -250,7 +296,7 @@ def _build_checks(inp: SuiteInputs, th: Thresholds, cov: Coverage, present: set[
                                  ("bad_discount", "Discount Range [0, 1]", "All Discount in [0, 1]", " invalid discounts")]:
         if key in present:
             v = m(key)
-            out.append(Check(CAT1, name, LAYER_SILVER, exp, _pf(v == 0), F.concat(_n(v), F.lit(unit)), v.cast("double")))
+            out.append(Check(CAT1, name, LAYER_SILVER, exp_of[name], _pf(v == 0), F.concat(_n(v), F.lit(unit)), v.cast("double")))
 
     # --- category 2 ---------------------------------------------------------
     for what, bkey, skey in [("Sales", "bronze_sales", "silver_sales"), ("Profit", "bronze_profit", "silver_profit")]:
@@ -258,7 +304,7 @@ def _build_checks(inp: SuiteInputs, th: Thresholds, cov: Coverage, present: set[
             b = F.coalesce(m(bkey), F.lit(0.0))
             s = F.coalesce(m(skey), F.lit(0.0))
             var = F.when(b != 0, F.abs(s - b) / F.abs(b) * 100).otherwise(F.lit(0.0))
-            out.append(Check(CAT2, f"{what} Total Reconciliation", LAYER_SILVER, f"Variance <= {th.max_variance_pct}%",
+            out.append(Check(CAT2, f"{what} Total Reconciliation", LAYER_SILVER, exp_of[f"{what} Total Reconciliation"],
                              _pf(var <= th.max_variance_pct),
                              F.format_string("Bronze=%s | Silver=%s | Variance=%.2f%%", _money(b), _money(s), var), var))
     for key, name, exp, unit in [("margin_errors", "Profit Margin Calculation", "Margin = (Profit/Sales)*100", " calculation errors"),
@@ -267,13 +313,13 @@ def _build_checks(inp: SuiteInputs, th: Thresholds, cov: Coverage, present: set[
                                  ("negative_shipping", "Shipping Days >= 0", "All Shipping_Days >= 0", " negative values")]:
         if key in present:
             v = m(key)
-            out.append(Check(CAT2, name, LAYER_SILVER, exp, _pf(v == 0), F.concat(_n(v), F.lit(unit)), v.cast("double")))
+            out.append(Check(CAT2, name, LAYER_SILVER, exp_of[name], _pf(v == 0), F.concat(_n(v), F.lit(unit)), v.cast("double")))
     first = cov.years[0] if cov.years else None
     later = max(len(cov.years) - 1, 0)
     if "yoy_first_null" in present:
         ok = (m("yoy_first_null") == 1) & (m("yoy_later_valid") == later)
         last = cov.years[-1] if cov.years else None
-        out.append(Check(CAT2, "YoY Growth Calculation", LAYER_GOLD, f"{first}=null, {first + 1 if first else ''}-{last} have YoY%",
+        out.append(Check(CAT2, "YoY Growth Calculation", LAYER_GOLD, exp_of["YoY Growth Calculation"],
                          _pf(ok, "WARN"),
                          F.format_string(f"{first} null=%s | valid=%s/{later}",
                                          F.when(m("yoy_first_null") == 1, F.lit("True")).otherwise(F.lit("False")),
@@ -283,7 +329,7 @@ def _build_checks(inp: SuiteInputs, th: Thresholds, cov: Coverage, present: set[
         out.append(Check(CAT2, "YoY Growth Calculation", LAYER_GOLD, "executive_kpis table exists", F.lit("FAIL"),
                          F.lit("Table not found"), F.lit(None).cast("double")))
     missing_d = [x for x in DERIVED_COLS if x not in s_have]
-    out.append(Check(CAT2, "All 7 Derived Columns Present", LAYER_SILVER, f"All {len(DERIVED_COLS)} derived columns",
+    out.append(Check(CAT2, "All 7 Derived Columns Present", LAYER_SILVER, exp_of["All 7 Derived Columns Present"],
                      F.lit("PASS" if not missing_d else "FAIL"),
                      F.lit("All present" if not missing_d else f"Missing: {missing_d}"), F.lit(float(len(missing_d)))))
 
@@ -291,7 +337,7 @@ def _build_checks(inp: SuiteInputs, th: Thresholds, cov: Coverage, present: set[
     for name in MART_NAMES:
         if name in gold:
             v = m(f"rows:{name}")
-            out.append(Check(CAT3, f"Gold Table: {name}", LAYER_GOLD, "Table exists with rows", _pf(v > 0),
+            out.append(Check(CAT3, f"Gold Table: {name}", LAYER_GOLD, exp_of[f"Gold Table: {name}"], _pf(v > 0),
                              F.concat(_n(v), F.lit(" rows")), v.cast("double")))
         elif name in inp.gold:
             out.append(Check(CAT3, f"Gold Table: {name}", LAYER_GOLD, "Table exists with rows", F.lit("FAIL"),
@@ -303,7 +349,7 @@ def _build_checks(inp: SuiteInputs, th: Thresholds, cov: Coverage, present: set[
             return
         miss = _missing_list([(str(v), m(k)) for v, k in zip(values, keys)])
         n_miss = F.size(miss)
-        out.append(Check(CAT3, name, LAYER_GOLD, exp, _pf(n_miss == 0, bad),
+        out.append(Check(CAT3, name, LAYER_GOLD, exp_of[name], _pf(n_miss == 0, bad),
                          F.format_string("Found %s/%s expected | Missing: %s", F.lit(len(values)) - n_miss,
                                          F.lit(len(values)),
                                          F.when(n_miss == 0, F.lit("None")).otherwise(F.array_join(miss, ", "))),
@@ -316,7 +362,7 @@ def _build_checks(inp: SuiteInputs, th: Thresholds, cov: Coverage, present: set[
     coverage_check("cc", cov.categories, f"All {len(cov.categories)} Categories Present", ", ".join(cov.categories))
     if "loss_not_negative" in present:
         v = m("loss_not_negative")
-        out.append(Check(CAT3, "Loss Products Have Negative Profit", LAYER_GOLD, "All Total_Loss < 0", _pf(v == 0),
+        out.append(Check(CAT3, "Loss Products Have Negative Profit", LAYER_GOLD, exp_of["Loss Products Have Negative Profit"], _pf(v == 0),
                          F.format_string("%s products | %s invalid", _n(m("rows:loss_making_products")), _n(v)),
                          v.cast("double")))
     coverage_check("cb", cov.buckets, "Discount Buckets Complete", f"{len(cov.buckets)} buckets", "WARN")
@@ -325,7 +371,7 @@ def _build_checks(inp: SuiteInputs, th: Thresholds, cov: Coverage, present: set[
         s = F.coalesce(m("silver_sales"), F.lit(0.0))
         gsum = F.coalesce(m("gold_sales"), F.lit(0.0))
         var = F.when(s != 0, F.abs(gsum - s) / F.abs(s) * 100).otherwise(F.lit(0.0))
-        out.append(Check(CAT3, "Gold vs Silver Sales Match", LAYER_GOLD, f"Variance <= {th.max_variance_pct}%",
+        out.append(Check(CAT3, "Gold vs Silver Sales Match", LAYER_GOLD, exp_of["Gold vs Silver Sales Match"],
                          _pf(var <= th.max_variance_pct),
                          F.format_string("Silver=%s | Gold=%s | Variance=%.2f%%", _money(s), _money(gsum), var), var))
     return out
