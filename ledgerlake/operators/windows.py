@@ -41,18 +41,27 @@ def _cut_points(values: DataFrame, column: str, ranges: int, rel_err: float) ->
 
 
 def global_rank(df: DataFrame, order_col: str, name: str, ascending: bool = True,
-                ranges: int = 64, rel_err: float = 0.001) -> DataFrame:
-    """rank() over (order by order_col) without a single-partition window.
+                ranges: int = 64, rel_err: float = 0.001, single_task_max: int = 1_000_000) -> DataFrame:
+    """rank() over (order by order_col) without a single-partition window over the rows.
 
     Ascending puts NULLs first, descending puts them last (Spark's defaults).
-    Needs a numeric ``order_col``.
+    Needs a numeric ``order_col``. When the number of DISTINCT values is at
+    most ``single_task_max`` (counted on the checkpointed value table, a
+    proven bound), the values are ranked by one window over that small table;
+    beyond it, by ranges.
     """
     if not isinstance(df.schema[order_col].dataType, NumericType):
         raise TypeError(f"global_rank needs a numeric column, got {df.schema[order_col].dataType}")
     v = col(order_col)
     # distinct values with multiplicity, checkpointed in the shared folder: the
-    # quantile job and the ranking read it instead of recomputing the input
+    # size check, the quantile job and the ranking read it instead of
+    # recomputing the input
     counts = cut_lineage(df.groupBy(v.alias("__v")).agg(F.count(F.lit(1)).alias("__n")))
+    order = F.col("__v").asc_nulls_first() if ascending else F.col("__v").desc_nulls_last()
+    if counts.count() <= single_task_max:
+        before = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        ranked = counts.select("__v", (F.coalesce(F.sum("__n").over(before), F.lit(0)) + 1).cast("int").alias(name))
+        return df.join(ranked, v.eqNullSafe(F.col("__v")), "left").drop("__v")
     cuts = _cut_points(counts.select(F.col("__v").cast("double").alias("__v")), "__v", ranges, rel_err)
     arr = F.array(*[F.lit(float(c)) for c in cuts])
     x = F.col("__v").cast("double")

@@ -50,6 +50,8 @@ REPORT_SCHEMA = StructType(
 )
 
 DEC = "decimal(24,6)"
+# integer branch tags of the tagged union (cheaper to compare than text)
+TAG = {"B": 0, "S": 1, "K": 2, **{name: 10 + i for i, name in enumerate(MART_NAMES)}}
 
 
 @dataclass
@@ -139,25 +141,25 @@ def _tagged_union(inp: SuiteInputs) -> DataFrame:
     """Narrow projections of every input, tagged, unioned by name."""
     parts = []
     b = inp.bronze
-    parts.append(b.select(F.lit("B").alias("_t"), col("Sales").try_cast("double").alias("b_sales"),
+    parts.append(b.select(F.lit(TAG["B"]).alias("_t"), col("Sales").try_cast("double").alias("b_sales"),
                           col("Profit").try_cast("double").alias("b_profit")))
     s = inp.silver
     have = set(s.columns)
     scols = [c for c in set(MANDATORY_COLS + DUPLICATE_CHECK_KEY + DERIVED_COLS
                             + ["Ship Date", "Quantity", "Region", "Discount", "Sales", "Profit"]) if c in have]
-    parts.append(s.select(F.lit("S").alias("_t"), *[col(c).alias("s:" + c) for c in sorted(scols)]))
+    parts.append(s.select(F.lit(TAG["S"]).alias("_t"), *[col(c).alias("s:" + c) for c in sorted(scols)]))
     if all(k in have for k in DUPLICATE_CHECK_KEY):
         # distinct keys as their own branch: the main aggregate then needs no
         # DISTINCT (several DISTINCTs would make Spark expand every row)
         keys = s.select(*[col(k) for k in DUPLICATE_CHECK_KEY]).distinct()
-        parts.append(keys.select(F.lit("K").alias("_t")))
+        parts.append(keys.select(F.lit(TAG["K"]).alias("_t")))
     for name in MART_NAMES:
         g = inp.gold.get(name)
         if g is None:
             continue
         keep = [c for c in ("Order_Year", "Region", "Category", "Total_Loss", "Discount_Bucket", "Total_Sales",
                             "YoY_Sales_Growth_Pct") if c in g.columns]
-        parts.append(g.select(F.lit(name).alias("_t"), *[col(c).alias(f"{name}:{c}") for c in keep]))
+        parts.append(g.select(F.lit(TAG[name]).alias("_t"), *[col(c).alias(f"{name}:{c}") for c in keep]))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p, allowMissingColumns=True)
@@ -166,7 +168,9 @@ def _tagged_union(inp: SuiteInputs) -> DataFrame:
 
 def _checks(inp: SuiteInputs, th: Thresholds, cov: Coverage) -> tuple[list[tuple[str, Column]], list]:
     """(measures to aggregate, check builders that read the aggregated row)."""
-    t = F.col("_t")
+    def is_(branch: str) -> Column:
+        return F.col("_t") == F.lit(TAG[branch])
+
     s_have = set(inp.silver.columns)
 
     def s(c):
@@ -180,61 +184,61 @@ def _checks(inp: SuiteInputs, th: Thresholds, cov: Coverage) -> tuple[list[tuple
     def add(name, expr):
         m.append((name, expr))
 
-    add("bronze_rows", F.count_if(t == "B"))
-    add("silver_rows", F.count_if(t == "S"))
-    add("bronze_sales", F.sum(F.when(t == "B", F.col("b_sales").cast(DEC))).cast("double"))
-    add("bronze_profit", F.sum(F.when(t == "B", F.col("b_profit").cast(DEC))).cast("double"))
+    add("bronze_rows", F.count_if(is_("B")))
+    add("silver_rows", F.count_if(is_("S")))
+    add("bronze_sales", F.sum(F.when(is_("B"), F.col("b_sales").cast(DEC))).cast("double"))
+    add("bronze_profit", F.sum(F.when(is_("B"), F.col("b_profit").cast(DEC))).cast("double"))
     if "Sales" in s_have:
-        add("silver_sales", F.sum(F.when(t == "S", s("Sales").cast(DEC))).cast("double"))
-        add("invalid_sales", F.count_if((t == "S") & (s("Sales") <= 0)))
+        add("silver_sales", F.sum(F.when(is_("S"), s("Sales").cast(DEC))).cast("double"))
+        add("invalid_sales", F.count_if((is_("S")) & (s("Sales") <= 0)))
     if "Profit" in s_have:
-        add("silver_profit", F.sum(F.when(t == "S", s("Profit").cast(DEC))).cast("double"))
+        add("silver_profit", F.sum(F.when(is_("S"), s("Profit").cast(DEC))).cast("double"))
     for i, c in enumerate(MANDATORY_COLS):
         if c in s_have:
-            add(f"null_{i}", F.count_if((t == "S") & s(c).isNull()))
+            add(f"null_{i}", F.count_if((is_("S")) & s(c).isNull()))
     if all(k in s_have for k in DUPLICATE_CHECK_KEY):
-        add("unique_keys", F.count_if(t == "K"))
+        add("unique_keys", F.count_if(is_("K")))
     for i, c in enumerate(["Order Date", "Ship Date"]):
         if c in s_have:
-            add(f"bad_date_{i}", F.count_if((t == "S") & s(c).isNull()))
+            add(f"bad_date_{i}", F.count_if((is_("S")) & s(c).isNull()))
     if "Quantity" in s_have:
-        add("invalid_qty", F.count_if((t == "S") & (s("Quantity") <= 0)))
+        add("invalid_qty", F.count_if((is_("S")) & (s("Quantity") <= 0)))
     if "Region" in s_have:
-        add("bad_case", F.count_if((t == "S") & (s("Region") != F.initcap(s("Region")))))
+        add("bad_case", F.count_if((is_("S")) & (s("Region") != F.initcap(s("Region")))))
     if "Discount" in s_have:
-        add("bad_discount", F.count_if((t == "S") & ((s("Discount") < 0) | (s("Discount") > 1))))
+        add("bad_discount", F.count_if((is_("S")) & ((s("Discount") < 0) | (s("Discount") > 1))))
     if {"Sales", "Profit", "Profit_Margin_Pct"} <= s_have:
         expected_margin = F.when(s("Sales") != 0, F.round(F.try_divide(s("Profit"), s("Sales")) * 100, 2)).otherwise(F.lit(0.0))
-        add("margin_errors", F.count_if((t == "S") & (F.abs(s("Profit_Margin_Pct") - expected_margin) > 0.01)))
+        add("margin_errors", F.count_if((is_("S")) & (F.abs(s("Profit_Margin_Pct") - expected_margin) > 0.01)))
     if {"Sales", "Discount", "Discount_Amount"} <= s_have:
         expected_amt = F.round(s("Sales") * s("Discount"), 2)
-        add("discount_errors", F.count_if((t == "S") & (F.abs(s("Discount_Amount") - expected_amt) > 0.01)))
+        add("discount_errors", F.count_if((is_("S")) & (F.abs(s("Discount_Amount") - expected_amt) > 0.01)))
     if {"Profit", "Is_Loss"} <= s_have:
         wrong = ((s("Profit") < 0) & (s("Is_Loss") == F.lit(False))) | ((s("Profit") >= 0) & (s("Is_Loss") == F.lit(True)))
-        add("loss_flag_errors", F.count_if((t == "S") & wrong))
+        add("loss_flag_errors", F.count_if((is_("S")) & wrong))
     if "Shipping_Days" in s_have:
-        add("negative_shipping", F.count_if((t == "S") & (s("Shipping_Days") < 0)))
+        add("negative_shipping", F.count_if((is_("S")) & (s("Shipping_Days") < 0)))
 
     gold = {k: v for k, v in inp.gold.items() if v is not None}
     for name in MART_NAMES:
         if name in gold:
-            add(f"rows:{name}", F.count_if(t == name))
+            add(f"rows:{name}", F.count_if(is_(name)))
     first_year = cov.years[0] if cov.years else None
     if "executive_kpis" in gold and {"Order_Year", "YoY_Sales_Growth_Pct"} <= set(gold["executive_kpis"].columns):
         yr, yoy = g("executive_kpis", "Order_Year"), g("executive_kpis", "YoY_Sales_Growth_Pct")
-        k = t == "executive_kpis"
+        k = is_("executive_kpis")
         add("yoy_first_null", F.count_if(k & (yr == F.lit(first_year)) & yoy.isNull()))
         add("yoy_later_valid", F.count_if(k & (yr > F.lit(first_year)) & yoy.isNotNull()))
         add("gold_sales", F.sum(F.when(k, g("executive_kpis", "Total_Sales").cast(DEC))).cast("double"))
     if "loss_making_products" in gold:
-        add("loss_not_negative", F.count_if((t == "loss_making_products") & (g("loss_making_products", "Total_Loss") >= 0)))
+        add("loss_not_negative", F.count_if((is_("loss_making_products")) & (g("loss_making_products", "Total_Loss") >= 0)))
 
     def found_flags(mart, column, values, prefix):
         flags = []
         if mart in gold and column in gold[mart].columns:
             for i, v in enumerate(values):
                 key = f"{prefix}{i}"
-                add(key, F.count_if((t == mart) & (g(mart, column) == F.lit(v))) > 0)
+                add(key, F.count_if((is_(mart)) & (g(mart, column) == F.lit(v))) > 0)
                 flags.append((str(v), key))
         return flags
 
