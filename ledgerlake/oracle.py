@@ -394,13 +394,19 @@ MART_CTES = {
 }
 
 
-def build(select: str, *extra: str, marts_needed: tuple[str, ...] = (), text: bool = False) -> str:
-    """WITH <raw/bronze/silver chain>[, text chain][, marts][, extra] <select>."""
+def build(select: str, *extra: str, marts_needed: tuple[str, ...] = (), text: bool = False, csv: bool = False) -> str:
+    """WITH <raw/bronze/silver chain>[, text chain][, csv chain][, marts][, extra] <select>."""
     ctes = [cte_silver()]
-    if text:
+    if text or csv:
         ctes.append(cte_rawtext())
         ctes.append(bronze_select("rawtext", "ret_dt", "tbronze", text=True))
         ctes.append(silver_chain("tbronze", "t", text=True, silver_time=FIXED_BATCH_TIME))
+    if csv:
+        # a CSV reader turns an empty field into NULL
+        nulled = ", ".join(f"NULLIF({q(c)}, '') AS {q(c)}" for c in RAW_COLS)
+        ctes.append(f"rawcsv AS (SELECT {nulled} FROM rawtext)")
+        ctes.append(bronze_select("rawcsv", "ret_dt", "cbronze", text=True))
+        ctes.append(silver_chain("cbronze", "c", text=True, silver_time=FIXED_BATCH_TIME))
     for m in marts_needed:
         ctes.append(f"{m} AS ({MART_CTES[m]})")
     ctes.extend(extra)
@@ -794,6 +800,7 @@ FROM rawtext""", text=True),
 WHERE try_cast("Sales" AS DOUBLE) > 0""", text=True),
         "distinct_standardization": _distinct_std("rawtext", text_cols),
         "text_pipeline_kpis": build(on_source(KPIS, "tsilver"), text=True),
+        "csv_pipeline_kpis": build(on_source(KPIS, "csilver"), csv=True),
         "filter_null": build(f"""SELECT {KEYS}, "Ship Mode" FROM raw WHERE "Ship Mode" IS NULL"""),
         "filter_flag": build(f"""SELECT {KEYS}, "Profit" FROM silver WHERE "Is_Loss" """),
         "filter_threshold": build(f"""SELECT {KEYS}, "Discount" FROM raw WHERE "Discount" >= 0.5"""),

@@ -506,6 +506,28 @@ def q_catalog_roundtrip(spark, sf):
     return back.groupBy("Source_Year").agg(F.count(F.lit(1)).alias("rows"))
 
 
+def q_csv_pipeline_kpis(spark, sf):
+    """Files in, KPIs out: yearly CSV folders + returns + reps CSV -> gates -> bronze -> silver -> KPIs."""
+    from ledgerlake.config import MANDATORY_COLS
+
+    base = scratch(spark, "csvpipe")
+    raw = fixture.raw_text(spark, sf)
+    # keep the text exactly as produced (the CSV writer trims spaces by default)
+    (raw.drop("Source_Year").write.mode("overwrite").option("header", True)
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+     .partitionBy("Source_File").csv(f"{base}/orders"))
+    export_csv(fixture.returns_source(spark, sf), f"{base}/returns", single_file=False)
+    export_csv(fixture.salespeople(spark), f"{base}/salesperson")
+    files.require_sources(spark, [f"{base}/orders", f"{base}/returns", f"{base}/salesperson"])
+    cols = [c for c in raw.columns if c not in ("Source_Year", "Source_File")]
+    orders = files.read_yearly(spark, [f"{base}/orders/*/"], files.text_schema(cols), required=MANDATORY_COLS)
+    orders = orders.withColumn("Source_File", F.regexp_extract(F.col("Source_File"), r"([^=]+)$", 1))
+    returns = files.read_csv(spark, f"{base}/returns")
+    reps = files.read_csv(spark, f"{base}/salesperson").withColumn("Target_Sales", F.col("Target_Sales").try_cast("int"))
+    bronze = build_bronze(orders, returns, reps, batch_time=FIXED_BATCH_TIME, reps_rows=len(fixture.FIXTURE_SALESPEOPLE))
+    return marts.executive_kpis(build_silver(bronze, silver_time=FIXED_BATCH_TIME))
+
+
 def q_publish_mart(spark, sf):
     store = Store(spark, base_path=scratch(spark, "gold"))
     k = marts.executive_kpis(silver_from_tables(spark, sf))
@@ -672,6 +694,7 @@ def registry() -> dict[str, Query]:
             "table_roundtrip": q_table_roundtrip,
             "publish_mart": q_publish_mart,
             "csv_text_read": q_csv_text_read,
+            "csv_pipeline_kpis": q_csv_pipeline_kpis,
             "catalog_roundtrip": q_catalog_roundtrip,
             "multi_year_scan": q_multi_year_scan,
             "schema_gate": q_schema_gate,

@@ -86,3 +86,13 @@ def test_dedup_report_counts_null_keys(spark):
     df = frames.orders(spark, [{"Product ID": None}, {"Product ID": None}, {"Product ID": "P"}])
     r = dedup.dedup_report(df, ["Order ID", "Product ID", "Source_Year"]).first()
     assert (r.rows_before, r.rows_after, r.rows_removed) == (3, 2, 1)
+
+
+def test_rep_join_exact_vs_normalized(spark):
+    o = frames.orders(spark, [{"Order ID": "1", "Region": "EAST"}, {"Order ID": "2", "Region": " west "},
+                              {"Order ID": "3", "Region": "Central"}])
+    exact = {r["Order ID"]: r["Salesperson"] for r in joins.join_salespeople(o, frames.reps(spark), known_rows=4).collect()}
+    assert exact == {"1": None, "2": None, "3": "Robert Smith"}
+    fixed = {r["Order ID"]: r["Salesperson"]
+             for r in joins.join_salespeople(o, frames.reps(spark), known_rows=4, normalize_keys=True).collect()}
+    assert fixed == {"1": "Alex Johnson", "2": "Maria Chen", "3": "Robert Smith"}
