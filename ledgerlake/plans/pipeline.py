@@ -41,7 +41,7 @@ def order_buckets(store: Store) -> tuple[int, list[str]]:
     of that aggregate, keyed by (group, Order ID), reads it without a shuffle
     too; the dedup output already has this partitioning, so writing the
     buckets costs no exchange either."""
-    n = int(store.spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    n = store.buckets or int(store.spark.conf.get("spark.sql.shuffle.partitions", "200"))
     return n, ["Order ID"]
 
 

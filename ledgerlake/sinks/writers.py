@@ -25,6 +25,9 @@ class Store:
     base_path: str | None = None
     use_catalog: bool = False
     prefix: str = "sales"
+    # buckets for Order-ID-bucketed layers (catalog mode); None = the session's
+    # shuffle partitions. Size it to the data: about 1 GB per bucket file.
+    buckets: int | None = None
 
     def __post_init__(self):
         if not self.use_catalog and not self.base_path:
