@@ -856,7 +856,7 @@ LIMIT 20""", marts_needed=("loss",)),
     {_count_distinct_keys(["Order ID", "Product ID"])} AS unique_keys,
     COUNT(DISTINCT "Region") AS distinct_regions,
     COUNT(*) FILTER (WHERE try_cast("Discount" AS DOUBLE) > 1.0) AS bad_discounts FROM raw)"""),
-        "encoding_read": build("""SELECT n_nationkey, n_name || ' Céleste' AS n_label, 'ISO-8859-1' AS "encoding" FROM nation"""),
+        "encoding_read": build("""SELECT c_custkey, c_name || ' Céleste' AS c_label, 'ISO-8859-1' AS "encoding" FROM customer"""),
         "parquet_roundtrip": build("SELECT * FROM kpis", marts_needed=("kpis",)),
         "table_roundtrip": build("""SELECT "Source_Year", COUNT(*) AS "rows" FROM bronze GROUP BY 1"""),
         "catalog_roundtrip": build("""SELECT "Source_Year", COUNT(*) AS "rows" FROM bronze GROUP BY 1"""),
@@ -865,10 +865,17 @@ LIMIT 20""", marts_needed=("loss",)),
 FROM kpis""", marts_needed=("kpis",)),
         "multi_year_scan": build(f"""SELECT "Source_Year", "Source_File", COUNT(*) AS "rows", {money_sum('"Sales"')} AS "Total_Sales"
 FROM raw GROUP BY 1, 2"""),
-        "schema_gate": build("""SELECT * FROM (VALUES ('Order ID', TRUE), ('Order Date', TRUE), ('Sales', TRUE), ('Profit', TRUE),
-  ('Discount', TRUE), ('Category', TRUE), ('Region', TRUE), ('Postal Code', FALSE), ('Country', FALSE)) AS t("column", present)"""),
-        "sources_gate": build("""SELECT * FROM (VALUES ('lineitem', TRUE), ('orders', TRUE), ('customer', TRUE), ('part', TRUE),
-  ('nation', TRUE), ('region', TRUE), ('missing_table', FALSE)) AS t(source, present)"""),
+        "schema_gate": build("""SELECT * FROM (VALUES
+  ('Order ID', TRUE, (SELECT COUNT("Order ID") FROM raw)), ('Order Date', TRUE, (SELECT COUNT("Order Date") FROM raw)),
+  ('Sales', TRUE, (SELECT COUNT("Sales") FROM raw)), ('Profit', TRUE, (SELECT COUNT("Profit") FROM raw)),
+  ('Discount', TRUE, (SELECT COUNT("Discount") FROM raw)), ('Category', TRUE, (SELECT COUNT("Category") FROM raw)),
+  ('Region', TRUE, (SELECT COUNT("Region") FROM raw)), ('Postal Code', FALSE, CAST(NULL AS BIGINT)),
+  ('Country', FALSE, CAST(NULL AS BIGINT))) AS t("column", present, non_null)"""),
+        "sources_gate": build("""SELECT * FROM (VALUES ('lineitem', TRUE, (SELECT COUNT(*) FROM lineitem)),
+  ('orders', TRUE, (SELECT COUNT(*) FROM orders)), ('customer', TRUE, (SELECT COUNT(*) FROM customer)),
+  ('part', TRUE, (SELECT COUNT(*) FROM part)), ('nation', TRUE, (SELECT COUNT(*) FROM nation)),
+  ('region', TRUE, (SELECT COUNT(*) FROM region)), ('missing_table', FALSE, CAST(NULL AS BIGINT)))
+  AS t(source, present, "rows")"""),
         "verify_tables": _verify_tables(),
         "shape_profile": build(f"SELECT COUNT(*) AS \"rows\", {len(RAW_COLS)} AS \"columns\" FROM raw"),
         "retention_gate": build(f"""SELECT bronze_rows, silver_rows,

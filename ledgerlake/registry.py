@@ -463,13 +463,13 @@ def q_csv_roundtrip(spark, sf):
 
 
 def q_encoding_read(spark, sf):
-    nation = fixture.table(spark, sf, "nation").select(
-        "n_nationkey", F.concat(F.col("n_name"), F.lit(" Céleste")).alias("n_label"))
+    cust = fixture.table(spark, sf, "customer").select(
+        "c_custkey", F.concat(F.col("c_name"), F.lit(" Céleste")).alias("c_label"))
     path = scratch(spark, "latin1")
-    nation.write.mode("overwrite").option("header", True).option("encoding", "ISO-8859-1").csv(path)
-    schema = files.text_schema(["n_nationkey", "n_label"])
+    cust.write.mode("overwrite").option("header", True).option("encoding", "ISO-8859-1").csv(path)
+    schema = files.text_schema(["c_custkey", "c_label"])
     df, enc = files.read_csv_any_encoding(spark, path, schema)
-    return df.select(F.col("n_nationkey").cast("int").alias("n_nationkey"), "n_label", F.lit(enc).alias("encoding"))
+    return df.select(F.col("c_custkey").cast("long").alias("c_custkey"), "c_label", F.lit(enc).alias("encoding"))
 
 
 def q_parquet_roundtrip(spark, sf):
@@ -547,19 +547,33 @@ def q_multi_year_scan(spark, sf):
 
 
 def q_schema_gate(spark, sf):
+    """Required columns: present or not, and non-NULL values of the present ones (one pass)."""
     raw = fixture.raw_sales(spark, sf)
     need = ["Order ID", "Order Date", "Sales", "Profit", "Discount", "Category", "Region", "Postal Code", "Country"]
     miss = set(files.missing_columns(raw, need))
-    return spark.createDataFrame([(c, c not in miss) for c in need], "column string, present boolean")
+    have = [c for c in need if c not in miss]
+    counts = raw.agg(*[F.count(col(c)).alias(f"n{i}") for i, c in enumerate(have)])
+    rows = [F.struct(F.lit(c).alias("column"), F.lit(c not in miss).alias("present"),
+                     (F.col(f"n{have.index(c)}") if c in have else F.lit(None).cast("bigint")).alias("non_null"))
+            for c in need]
+    return counts.select(F.inline(F.array(*rows)))
 
 
 def q_sources_gate(spark, sf):
-    names = ["lineitem", "orders", "customer", "part", "nation", "region"]
+    """Each source: present (visible files) and its row count."""
     from ledgerlake.sinks.writers import path_has_files
 
-    rows = [(n, path_has_files(spark, f"{sf.rstrip('/')}/{n}.parquet")) for n in names]
-    rows.append(("missing_table", path_has_files(spark, f"{sf.rstrip('/')}/missing_table.parquet")))
-    return spark.createDataFrame(rows, "source string, present boolean")
+    names = ["lineitem", "orders", "customer", "part", "nation", "region", "missing_table"]
+    parts = []
+    for n in names:
+        path = f"{sf.rstrip('/')}/{n}.parquet"
+        if path_has_files(spark, path):
+            parts.append(spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows"))
+                         .select(F.lit(n).alias("source"), F.lit(True).alias("present"), "rows"))
+        else:
+            parts.append(spark.range(1).select(F.lit(n).alias("source"), F.lit(False).alias("present"),
+                                               F.lit(None).cast("bigint").alias("rows")))
+    return files.union_by_name(parts)
 
 
 def q_verify_tables(spark, sf):
