@@ -58,7 +58,8 @@ class RetentionError(ValueError):
 def retention_gate(bronze: DataFrame, silver: DataFrame, thresholds: Thresholds = Thresholds()) -> float:
     """Raise when silver keeps less than the minimum share of bronze rows (DQ5)."""
     row = retention(bronze, silver).first()
-    pct = float(row["retention_pct"])
+    # compare the exact share, not the 2-decimal display value
+    pct = row["silver_rows"] / row["bronze_rows"] * 100.0 if row["bronze_rows"] else 0.0
     if pct < thresholds.min_retention_pct:
         raise RetentionError(f"Retention {pct:.2f}% below threshold {thresholds.min_retention_pct}%")
     return pct
