@@ -65,12 +65,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def customer_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """customer + nation + region names; the two tiny sides are broadcast."""
-    nation = bounded_broadcast(table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey"), 1000)
-    region = bounded_broadcast(table(spark, sf_dir, "region").select("r_regionkey", "r_name"), 1000)
+    """customer + nation + region names; the nation/region table is broadcast after a size probe."""
+    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    region = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     geo = nation.join(region, nation.n_regionkey == region.r_regionkey).select("n_nationkey", "n_name", "r_name")
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
-    return cust.join(F.broadcast(geo), cust.c_nationkey == geo.n_nationkey).select(
+    return cust.join(bounded_broadcast(geo, 10000), cust.c_nationkey == geo.n_nationkey).select(
         "c_custkey", "c_name", "c_mktsegment", "n_name", "r_name"
     )
 
