@@ -35,8 +35,9 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8, app: s
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder for lineage cuts and intermediate tables.
 
-    Read from ``spark.checkpoint.dir``; only when it is unset (tests, local
-    runs) a fresh scratch folder is created and registered.
+    Read from ``spark.checkpoint.dir``; only when it is unset AND the master
+    is local (tests, local runs) a fresh scratch folder is created and
+    registered. On a cluster an unset folder is an error.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     current = spark.sparkContext.getCheckpointDir()
@@ -46,6 +47,9 @@ def shared_dir(spark: SparkSession) -> str:
         return path.rstrip("/")
     if current:
         return current.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        # a machine-local folder is not shared between executors
+        raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage")
     path = tempfile.mkdtemp(prefix="ledgerlake-ckpt-")
     spark.sparkContext.setCheckpointDir(path)
     return path
