@@ -117,7 +117,13 @@ def write_table(df: DataFrame, location: str, partition_by: str | None = None, c
     input's tasks each hold every partition value (many small files); it
     costs one extra shuffle of the table.
     """
-    if partition_by and balance:
+    if bucket_by and catalog:
+        # one task per bucket: each task writes one file per partition value.
+        # Spark drops this exchange when the input is already hash-partitioned
+        # on the bucket columns with the same count (e.g. after the dedup).
+        n, cols = bucket_by
+        df = df.repartition(n, *[F.col(f"`{c}`") for c in cols])
+    elif partition_by and balance:
         df = balanced_for_write(df, partition_by)
     obs = Observation("rows")
     observed = df.observe(obs, F.count(F.lit(1)).alias("n"))
