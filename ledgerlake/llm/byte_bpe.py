@@ -10,7 +10,6 @@ later leave it as it is, and after an edit only a stretch beside the edit is com
 from __future__ import annotations
 
 import base64
-import re
 from functools import cached_property, lru_cache
 
 import numpy as np
@@ -19,7 +18,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import Lexicon, binary_column, blocks, documents, map_arrow, offsets, ragged_index, strings
+from ledgerlake.llm.common import LETTERS, SPAN, Words, binary_column, blocks, documents, letter_sign_cuts, map_arrow, merged_cuts, offsets, ragged_index, row_blocks, text_bytes
 
 def _mixed(keys: np.ndarray) -> np.ndarray:
     return keys.astype(np.uint64) * BASE
@@ -28,7 +27,6 @@ def _mixed(keys: np.ndarray) -> np.ndarray:
 BASE = np.uint64(0x9E3779B97F4A7C15)
 NEVER = np.int64(1) << 40
 LONG_PIECE = 128  # bytes from which a piece is encoded by itself instead of in a matrix of pieces
-BLOCK_CHARS = 2_000_000
 
 
 class Slots:
@@ -293,39 +291,59 @@ def _encode_matrix(m: Merges, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarr
     return flat, lens
 
 
+def lone_spaces(data: np.ndarray) -> np.ndarray:
+    """Positions of spaces that surely stand between two characters that are not white space.
+
+    The pattern always starts a piece there, so a text can be cut before them. Characters of two
+    bytes led by C3 to DF and of three bytes led by E4 to EF are never white space.
+    """
+    at = np.flatnonzero(data == 32)
+    at = at[(at > 2) & (at < len(data) - 1)]
+    before, after = data[at - 1], data[at + 1]
+    plain = lambda x: (x > 32) & (x < 127)
+    two, three = data[at - 2], data[at - 3]
+    fine_before = plain(before) | (before >= 128) & (((two >= 0xC3) & (two <= 0xDF)) | ((two >= 128) & (two < 0xC0) & (three >= 0xE4) & (three <= 0xEF)))
+    fine_after = plain(after) | ((after >= 0xC3) & (after <= 0xDF)) | ((after >= 0xE4) & (after <= 0xEF))
+    return at[fine_before & fine_after]
+
+
+def lone_line_ends(data: np.ndarray) -> np.ndarray:
+    """Positions of ASCII letters behind a line end that stands behind a visible ASCII character."""
+    at = np.flatnonzero(data == 10) + 1
+    at = at[(at > 1) & (at < len(data))]
+    return at[LETTERS[data[at]] & (data[at - 2] > 32) & (data[at - 2] < 127)]
+
+
 class Encoder:
     """Whole texts to ids. Chunks between single spaces are split by the pattern and encoded once."""
 
     def __init__(self, path: str, pattern: str):
         self.merges, self.pattern = Merges(path), regex.compile(pattern)
-        self.spaces = re.compile(r"\s\s")
-        self.chunks = Lexicon(self._chunks, 600_000)
-        self.pieces = Lexicon(lambda keys: encode_pieces(self.merges, [k.encode() for k in keys]), 500_000)
-
-    def _chunks(self, keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """A key is a space and the chunk behind it, or what starts a text, or a piece already cut out."""
-        find = self.pattern.findall
-        split = [[k] if k[1:].isalpha() and k[0] == " " else find(k) for k in keys]
+        self.chunks = Words(self._chunks)
+
+    def _chunks(self, keys: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        find, split = self.pattern.findall, []
+        for key in keys:
+            k = key.decode("utf-8", "replace")
+            split.append([k] if k[1:].isalpha() and (k[0] == " " or k[0].isalpha()) else find(k))
         counts = np.fromiter(map(len, split), np.int64, len(split))
-        ids, lens = self.pieces.values(self.pieces.number([p for s in split for p in s]))
-        ends = offsets(lens)[offsets(counts)]
-        return ids, np.diff(ends)
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids one after the other, how many each text has)."""
-        keys, counts = [], []
-        for text in texts:
-            if not text:
-                own = []
-            elif text[0].isspace() or text[-1].isspace() or self.spaces.search(text):  # white space side by side: the pattern looks across it
-                own = self.pattern.findall(text)
-            else:
-                # a lone space always starts a piece, so that chunks can be split each by itself
-                own = text.replace(" ", "\x00 ").split("\x00") if "\x00" not in text else self.pattern.findall(text)
-            keys += own
-            counts.append(len(own))
-        ids, lens = self.chunks.values(self.chunks.number(keys))
-        return ids, np.diff(offsets(lens)[offsets(np.array(counts, np.int64))])
+        pieces = [p for s in split for p in s]
+        known = dict.fromkeys(pieces)
+        ids, lens = encode_pieces(self.merges, [p.encode() for p in known])
+        for i, p in enumerate(known):
+            known[p] = i
+        who = np.fromiter(map(known.__getitem__, pieces), np.int64, len(pieces))
+        starts = np.cumsum(lens) - lens
+        flat = ids[ragged_index(starts[who], lens[who])].astype(np.int32)
+        return flat, np.diff(offsets(lens[who])[offsets(counts)])
+
+    def encode(self, data: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids one after the other, how many each text has) of the texts between the edges."""
+        starts = merged_cuts(lone_spaces(data), lone_line_ends(data), letter_sign_cuts(data), edges[:-1])
+        starts = starts[starts < len(data)]
+        ends = np.append(starts[1:], len(data))
+        ids, lens = self.chunks.values(self.chunks.number(data, starts, ends))
+        return ids, np.diff(offsets(lens)[np.searchsorted(starts, edges)])
 
 
 @lru_cache(maxsize=2)
@@ -351,10 +369,10 @@ def encode(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_
     """
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        enc, texts = encoder(path, pattern), strings(batch.column(1))
+        enc, (data, edges) = encoder(path, pattern), text_bytes(batch.column(1))
         values, lens = [], []
-        for a, b in blocks([len(t) for t in texts], BLOCK_CHARS):
-            ids, n = enc.encode(texts[a:b])
+        for a, b in row_blocks(edges, SPAN):
+            ids, n = enc.encode(data[edges[a] : edges[b]], edges[a : b + 1] - edges[a])
             values.append(ids.astype("<u4"))
             lens.append(n)
         return pa.RecordBatch.from_arrays([batch.column(0), binary_column(np.concatenate(values), offsets(np.concatenate(lens)))], names=["doc_id", "ids"])
@@ -370,7 +388,7 @@ def decode(df: DataFrame, path: str) -> DataFrame:
         start = np.cumsum(size) - size
         column = [x or b"" for x in batch.column(1).to_pylist()]
         parts = []
-        for a, b in blocks([len(x) for x in column], 4 * BLOCK_CHARS):
+        for a, b in blocks([len(x) for x in column], 4 * SPAN):
             ids = np.frombuffer(b"".join(column[a:b]), "<u4").astype(np.int64)
             parts.append((flat[ragged_index(start[ids], size[ids])], np.diff(offsets(size[ids])[offsets(np.array([len(x) // 4 for x in column[a:b]], np.int64))])))
         data = binary_column(np.concatenate([p for p, _ in parts]), offsets(np.concatenate([n for _, n in parts])))

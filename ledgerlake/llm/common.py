@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -64,68 +66,200 @@ def ragged_index(starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
     return np.repeat(starts - (ends - lens), lens) + np.arange(total)
 
 
+def row_blocks(edges: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    return blocks(np.diff(edges).tolist(), most)
+
+
 def offsets(lens: np.ndarray) -> np.ndarray:
     out = np.zeros(len(lens) + 1, np.int64)
     np.cumsum(lens, out=out[1:])
     return out
 
 
-class Lexicon(dict):
-    """Numbers the distinct keys met so far and keeps what ``encode`` makes of each.
-
-    ``encode(keys)`` returns (flat values, lengths). The table starts anew when it holds ``most``
-    keys, so its memory is bounded whatever the vocabulary; results do not depend on it.
+# --- bytes of texts, hashed in ranges --------------------------------------------------------------
+
+SPAN = 1 << 21
+_BASE = 0x9E3779B97F4A7C15
+_MASK = (1 << 64) - 1
+
+
+@lru_cache(maxsize=1)
+def _powers() -> tuple[np.ndarray, np.ndarray]:
+    with np.errstate(over="ignore"):
+        up = np.cumprod(np.concatenate([[np.uint64(1)], np.full(SPAN, _BASE, np.uint64)]))
+        down = np.cumprod(np.concatenate([[np.uint64(1)], np.full(SPAN, pow(_BASE, -1, 1 << 64), np.uint64)]))
+    return up, down
+
+
+def mixed(h: np.ndarray) -> np.ndarray:
+    """Spreads 64-bit values (a bijection)."""
+    with np.errstate(over="ignore"):
+        h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(31))
+
+
+def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of a string or binary column one after the other and where each row starts (and the last ends); null is empty."""
+    column = column.cast(pa.large_binary()) if not pa.types.is_large_binary(column.type) else column
+    column = column.fill_null(b"") if column.null_count else column
+    edges = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+    data = column.buffers()[2]
+    return (np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8))[edges[0] : edges[-1]], edges - edges[0]
+
+
+def hash_ranges(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the byte ranges, whose starts ascend."""
+    out = np.zeros(len(starts), np.uint64)
+    up, down = _powers()
+    i = 0
+    with np.errstate(over="ignore"):
+        while i < len(starts):
+            base = int(starts[i])
+            k = int(np.searchsorted(starts, base + SPAN, side="left"))
+            far = np.flatnonzero(ends[i:k] > base + SPAN)
+            k = i + int(far[0]) if len(far) else k
+            if k == i:  # a single range longer than the table of powers
+                digest = hashlib.blake2b(data[base : int(ends[i])].tobytes(), digest_size=8).digest()
+                out[i] = int.from_bytes(digest, "little")
+                i += 1
+                continue
+            stop = int(ends[i:k].max())
+            sums = np.zeros(stop - base + 1, np.uint64)
+            np.cumsum((data[base:stop].astype(np.uint64) + np.uint64(1)) * up[: stop - base], out=sums[1:])
+            first, last = starts[i:k] - base, ends[i:k] - base
+            out[i:k] = (sums[last] - sums[first]) * down[first] + (last - first).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+            i = k
+    return mixed(out)
+
+
+class Words:
+    """Numbers the distinct byte ranges met so far and keeps what ``encode`` makes of each.
+
+    Ranges are known by their 64-bit hash. ``encode(list of bytes)`` returns (values one after the
+    other, how many each has). The table starts anew when it holds ``most`` ranges, so that its
+    memory is bounded whatever the vocabulary; results do not depend on that.
     """
 
-    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], most: int = 400_000):
-        super().__init__()
-        self.encode, self.most, self.pending = encode, most, []
-        self._reset()
-
-    def _reset(self) -> None:
-        self.clear()
-        self.flat, self.used = None, 0
-        self.starts, self.lens = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
-
-    def __missing__(self, key: str) -> int:
-        n = self[key] = len(self)
-        self.pending.append(key)
-        return n
-
-    def number(self, keys: list[str]) -> np.ndarray:
-        """The numbers of the keys; new ones are encoded at once."""
-        if len(self) > self.most:
-            self._reset()
-        done = len(self)
-        out = np.fromiter(map(self.__getitem__, keys), np.int64, len(keys))
-        if self.pending:
-            values, lens = self.encode(self.pending)
-            self._append(done, values, lens)
-            self.pending = []
-        return out
-
-    def _append(self, done: int, values: np.ndarray, lens: np.ndarray) -> None:
-        n, total = done + len(lens), self.used + len(values)
+    def __init__(self, encode: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]], most: int = 1_000_000):
+        self.encode, self.most = encode, most
+        self.bits = max(10, int(most * 3).bit_length())
+        self.reset()
+
+    def reset(self) -> None:
+        self.keys, self.at = np.zeros(1 << self.bits, np.uint64), np.zeros(1 << self.bits, np.int32)
+        self.count, self.used, self.flat = 0, 0, None
+        self.starts, self.lens = np.zeros(4096, np.int64), np.zeros(4096, np.int64)
+
+    def _find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each hash its slot (its own or the first free one) and whether it is there."""
+        slot = (h >> np.uint64(64 - self.bits)).astype(np.int64)
+        there = self.keys[slot]
+        known = there == h
+        walk = np.flatnonzero(~known & (there != 0))
+        while len(walk):
+            slot[walk] = (slot[walk] + 1) & ((1 << self.bits) - 1)
+            there = self.keys[slot[walk]]
+            known[walk] = there == h[walk]
+            walk = walk[(there != h[walk]) & (there != 0)]
+        return slot, known
+
+    def number(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The number of each range; ranges not known are encoded at once. Starts ascend."""
+        h = hash_ranges(data, starts, ends)
+        h[h == 0] = np.uint64(1)
+        if self.count > self.most:
+            self.reset()
+        slot, known = self._find(h)
+        if not known.all():
+            miss = np.flatnonzero(~known)
+            new, first = np.unique(h[miss], return_index=True)
+            first = miss[first]
+            if self.count + len(new) > 2 * self.most:  # more new ranges at once than the table is made for
+                self.reset()
+                if len(new) > 2 * self.most:
+                    self.bits = int(len(new) * 2).bit_length()
+                    self.reset()
+                return self._number_anew(data, starts, ends, h)
+            self._insert(new, data, starts[first], ends[first])
+            slot[miss], _ = self._find(h[miss])
+        return self.at[slot].astype(np.int64)
+
+    def _number_anew(self, data, starts, ends, h):
+        new, first = np.unique(h, return_index=True)
+        self._insert(new, data, starts[first], ends[first])
+        return self.at[self._find(h)[0]].astype(np.int64)
+
+    def _insert(self, new: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
+        values, lens = self.encode([data[a:b].tobytes() for a, b in zip(starts.tolist(), ends.tolist(), strict=True)])
+        numbers = np.arange(self.count, self.count + len(new))
+        left = np.arange(len(new))
+        while len(left):
+            slot, _ = self._find(new[left])
+            self.keys[slot] = new[left]
+            won = self.keys[slot] == new[left]
+            self.at[slot[won]] = numbers[left[won]]
+            left = left[~won]
+        n, total = self.count + len(new), self.used + len(values)
         if n > len(self.lens):
-            self.starts = np.concatenate([self.starts, np.zeros(max(n, 1024), np.int64)])
-            self.lens = np.concatenate([self.lens, np.zeros(max(n, 1024), np.int64)])
+            self.starts = np.concatenate([self.starts, np.zeros(n, np.int64)])
+            self.lens = np.concatenate([self.lens, np.zeros(n, np.int64)])
         if self.flat is None:
             self.flat = np.zeros((max(4096, 2 * total), *values.shape[1:]), values.dtype)
         elif total > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros((total, *values.shape[1:]), values.dtype)])
         self.flat[self.used : total] = values
-        self.lens[done:n] = lens
-        self.starts[done:n] = self.used + np.cumsum(lens) - lens
-        self.used = total
+        self.lens[self.count : n] = lens
+        self.starts[self.count : n] = self.used + np.cumsum(lens) - lens
+        self.count, self.used = n, total
 
     def values(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The values of the numbered keys one after the other, and how many each has."""
+        """The values of the numbered ranges one after the other, and how many each has."""
         lens = self.lens[numbers]
         if self.flat is None:
             return np.zeros(0, np.int64), lens
         return self.flat[ragged_index(self.starts[numbers], lens)], lens
 
 
+NONE = np.zeros(0, np.int64)
+SPACES = np.zeros(256, bool)
+SPACES[[9, 10, 11, 12, 13, 32]] = True
+
+
+LETTERS, SIGNS = np.zeros(256, bool), np.zeros(256, bool)
+LETTERS[[*range(65, 91), *range(97, 123)]] = True
+SIGNS[[c for c in range(33, 127) if not chr(c).isalnum()]] = True
+
+
+def letter_sign_cuts(data: np.ndarray) -> np.ndarray:
+    """Positions where an ASCII letter meets an ASCII sign, or a sign other than the apostrophe a letter.
+
+    Split patterns that know letters, signs and contractions such as 's always cut there.
+    """
+    letter, sign = LETTERS[data], SIGNS[data]
+    return np.flatnonzero((letter[:-1] & sign[1:]) | (sign[:-1] & letter[1:] & (data[:-1] != 39))) + 1
+
+
+def merged_cuts(*cuts: np.ndarray) -> np.ndarray:
+    """Ascending distinct positions."""
+    out = np.sort(np.concatenate(cuts))
+    return out[np.append(True, out[1:] != out[:-1])] if len(out) else out
+
+
+def word_ranges(data: np.ndarray, edges: np.ndarray, space: np.ndarray = SPACES, more: np.ndarray = NONE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the runs without white space in each row, cut at ``more`` too, and how many each row has."""
+    inside = np.zeros(len(data) + 2, bool)
+    inside[1:-1] = ~space[data]
+    starts = np.flatnonzero(inside[1:] & ~inside[:-1])
+    ends = np.flatnonzero(inside[:-1] & ~inside[1:])
+    cuts = edges[1:-1]  # a run that goes over the end of a row is two
+    cuts = merged_cuts(cuts[(cuts > 0) & (cuts < len(data))], more)
+    cuts = cuts[inside[cuts] & inside[cuts + 1]]
+    if len(cuts):
+        starts, ends = np.sort(np.concatenate([starts, cuts])), np.sort(np.concatenate([ends, cuts]))
+    return starts, ends, np.diff(np.searchsorted(starts, edges))
+
+
 def binary_column(values: np.ndarray, ends: np.ndarray) -> pa.Array:
     """A binary column of the byte ranges that ``ends`` (with a leading 0, in items) cuts out of ``values``."""
     data = np.ascontiguousarray(values)

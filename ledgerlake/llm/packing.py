@@ -13,8 +13,8 @@ what each queue was due by then less what it was served. Only per-(bucket, sourc
 
 from __future__ import annotations
 
-import re
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -24,14 +24,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import Lexicon, binary_column, blocks, documents, map_arrow, offsets, running_start, stored, strings
+from ledgerlake.llm.common import SPAN, Words, binary_column, documents, letter_sign_cuts, map_arrow, offsets, row_blocks, running_start, stored, text_bytes, word_ranges
 
 WINDOW = 4096
 CHUNK = 512
+LATIN_END = "ɐ"  # below it lie the Latin letters with one form each
 BUCKET_TOKENS = 1 << 20
 PIECES = "doc_id long, source string, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 
 
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
+
+
 class WordTokenizer:
     """Ids of whole texts by a word-ended BPE file of the ``tokenizers`` library, words encoded once.
 
@@ -51,55 +56,31 @@ class WordTokenizer:
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         other = [b for b in range(256) if b not in plain]
         self.letters = {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(other)}
-        self.odd = re.compile("[\x1c-\x1f]").search
-        self.words = Lexicon(self._words, 600_000)
-        self.pieces = Lexicon(self._pieces, 400_000)
-
-    def _pieces(self, keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        model, letters, out = self.whole.model.tokenize, self.letters, []
-        for key in keys:
-            if key.isascii():
-                out.append([t.id for t in model(key)])
-            elif max(key) < "ɐ":
-                out.append([t.id for t in model(key.encode().decode("latin-1").translate(letters))])
-            else:
-                out.append(self.whole.encode(key, add_special_tokens=False).ids)
+        self.words = Words(self._words)
+
+    def _words(self, keys: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        out = []
+        model, letters = self.whole.model.tokenize, self.letters
+        for word in [k.decode("utf-8", "replace") for k in keys]:
+            if word.isascii() and word.isalpha():
+                out.append([t.id for t in model(word)])
+                continue
+            if max(word) < LATIN_END:
+                word = word.lower()
+                if max(word) < LATIN_END:
+                    parts = [word] if word.isalpha() else self.split(word)
+                    out.append([t.id for p in parts for t in model(p.encode().decode("latin-1").translate(letters))])
+                    continue
+            out.append(self.whole.encode(word, add_special_tokens=False).ids)
         lens = np.fromiter(map(len, out), np.int64, len(out))
-        return np.fromiter((k for ids in out for k in ids), np.int32, int(lens.sum())), lens
-
-    def _words(self, keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        split = []
-        for key in keys:
-            if key.isascii() or max(key) < "ɐ":
-                key = key.lower()
-                if key.isalpha() and max(key) < "ɐ":
-                    split.append([key])
-                elif max(key) < "ɐ":
-                    split.append(self.split(key))
-                else:
-                    split.append([key])
-            else:
-                split.append([key])
-        counts = np.fromiter(map(len, split), np.int64, len(split))
-        ids, lens = self.pieces.values(self.pieces.number([p for s in split for p in s]))
-        return ids, np.diff(offsets(lens)[offsets(counts)])
+        return np.fromiter(chain.from_iterable(out), np.int32, int(lens.sum())), lens
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids one after the other, how many each text has)."""
-        odd = [i for i, t in enumerate(texts) if self.odd(t)]  # str.split() would cut at these
-        keys, counts = [], []
-        for i, text in enumerate(texts):
-            own = [] if odd and i in odd else text.split()
-            keys += own
-            counts.append(len(own))
-        ids, lens = self.words.values(self.words.number(keys))
-        lens = np.diff(offsets(lens)[offsets(np.array(counts, np.int64))])
-        if odd:
-            own = np.split(ids, np.cumsum(lens)[:-1])
-            for i in odd:
-                own[i] = np.array(self.whole.encode(texts[i], add_special_tokens=False).ids, np.int32)
-            ids, lens = np.concatenate(own), np.fromiter(map(len, own), np.int64, len(own))
-        return ids, lens
+    def encode(self, data: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids one after the other, how many each text has) of the texts between the edges."""
+        data = LOWER[data]
+        starts, ends, counts = word_ranges(data, edges, more=letter_sign_cuts(data))
+        ids, lens = self.words.values(self.words.number(data, starts, ends))
+        return ids, np.diff(offsets(lens)[offsets(counts)])
 
 
 @lru_cache(maxsize=2)
@@ -111,11 +92,11 @@ def tokenize(docs: DataFrame, path: str, end_id: int, id_col: str = "doc_id", te
     """(doc_id, source, n, tokens): every text's ids and ``end_id``, as little-endian 16-bit or, for ids beyond, 32-bit integers."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        tok, texts = tokenizer(path), strings(batch.column(2))
+        tok, (data, edges) = tokenizer(path), text_bytes(batch.column(2))
         wide = "<u2" if max(tok.whole.get_vocab_size(), end_id) < 1 << 16 else "<u4"
         values, sizes = [], []
-        for a, b in blocks([len(t) for t in texts], 2_000_000):
-            ids, lens = tok.encode(texts[a:b])
+        for a, b in row_blocks(edges, SPAN):
+            ids, lens = tok.encode(data[edges[a] : edges[b]], edges[a : b + 1] - edges[a])
             ends = np.cumsum(lens)
             values.append(np.insert(ids, ends, end_id).astype(wide))
             sizes.append(lens + 1)
