@@ -348,3 +348,21 @@ def components(edges: DataFrame, name: str, most_rounds: int = 60) -> DataFrame:
 def spread(column: Column | str, n: int) -> Column:
     """A bucket 0..n-1 by hash."""
     return F.pmod(F.xxhash64(column), F.lit(n))
+
+
+def with_key(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(key, doc_id, text): ``key`` is a distinct long for each distinct (id, text), in the order of the ids.
+
+    It is the id itself where ids are distinct and not null. Otherwise the distinct (id, hash of the
+    text) are numbered in order, null first, so that rows with one id and different texts are
+    different documents and rows that repeat both are the same one.
+    """
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    odd = rows.groupBy("doc_id").count().filter("doc_id is null or count > 1")
+    if odd.isEmpty():
+        return rows.select(F.col("doc_id").alias("key"), "doc_id", "text")
+    rows = rows.withColumn("th", F.xxhash64(F.coalesce("text", F.lit(""))))
+    order = rows.select("doc_id", "th").distinct().sort("doc_id", "th")
+    numbered = order.rdd.zipWithIndex().map(lambda x: (x[1], x[0][0], x[0][1])).toDF("key long, id2 long, th2 long")
+    numbered = stored(numbered, "keys")
+    return rows.join(numbered, rows["doc_id"].eqNullSafe(numbered["id2"]) & (rows["th"] == numbered["th2"])).select("key", "doc_id", "text")
