@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from ledgerlake.llm.byte_bpe import op2_byte_bpe
+from ledgerlake.llm.jaccard_join import op4_jaccard_join
 from ledgerlake.llm.packing import op1_packing
 from ledgerlake.llm.suffix_dedup import op7_suffix_dedup
 
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_byte_bpe": op2_byte_bpe,
+    "op4_jaccard_join": op4_jaccard_join,
     "op7_suffix_dedup": op7_suffix_dedup,
 }
 
