@@ -366,3 +366,35 @@ def with_key(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     numbered = order.rdd.zipWithIndex().map(lambda x: (x[1], x[0][0], x[0][1])).toDF("key long, id2 long, th2 long")
     numbered = stored(numbered, "keys")
     return rows.join(numbered, rows["doc_id"].eqNullSafe(numbered["id2"]) & (rows["th"] == numbered["th2"])).select("key", "doc_id", "text")
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str], most: int = 20_000) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Tables of whole groups from batches sorted by the key columns, and where each group starts (and the last ends).
+
+    A group must be bounded; about ``most`` rows come at a time.
+    """
+    held: list[pa.RecordBatch] = []
+    rows = 0
+
+    def starts(table: pa.Table) -> np.ndarray:
+        cols = [table.column(k).to_numpy() for k in keys]
+        new = np.zeros(max(0, len(table) - 1), bool)
+        for c in cols:
+            new |= c[1:] != c[:-1]
+        return np.concatenate([[0], np.flatnonzero(new) + 1, [len(table)]])
+
+    for batch in batches:
+        held.append(batch)
+        rows += batch.num_rows
+        if rows < most:
+            continue
+        table = pa.Table.from_batches(held)
+        at = starts(table)
+        if len(at) > 2:
+            yield table.slice(0, at[-2]), at[:-1]
+            table = table.slice(at[-2])
+        held, rows = table.combine_chunks().to_batches(), len(table)
+        rows = 0 if len(at) == 2 else rows
+    if held and sum(b.num_rows for b in held):
+        table = pa.Table.from_batches(held)
+        yield table, starts(table)
