@@ -350,22 +350,31 @@ def spread(column: Column | str, n: int) -> Column:
     return F.pmod(F.xxhash64(column), F.lit(n))
 
 
-def with_key(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(key, doc_id, text): ``key`` is a distinct long for each distinct (id, text), in the order of the ids.
+KEY = "ledger_key__"
+
+
+def keyed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, bool]:
+    """The rows with a column KEY, a distinct long for each distinct (id, text) in the order of the ids, and whether it is the id.
 
     It is the id itself where ids are distinct and not null. Otherwise the distinct (id, hash of the
     text) are numbered in order, null first, so that rows with one id and different texts are
     different documents and rows that repeat both are the same one.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    odd = rows.groupBy("doc_id").count().filter("doc_id is null or count > 1")
-    if odd.isEmpty():
-        return rows.select(F.col("doc_id").alias("key"), "doc_id", "text")
-    rows = rows.withColumn("th", F.xxhash64(F.coalesce("text", F.lit(""))))
-    order = rows.select("doc_id", "th").distinct().sort("doc_id", "th")
-    numbered = order.rdd.zipWithIndex().map(lambda x: (x[1], x[0][0], x[0][1])).toDF("key long, id2 long, th2 long")
+    own = F.col(id_col).cast("long")
+    if docs.groupBy(own.alias("i")).count().filter("i is null or count > 1").isEmpty():
+        return docs.withColumn(KEY, own), True
+    rows = docs.withColumn("ledger_id__", own).withColumn("ledger_hash__", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
+    order = rows.select("ledger_id__", "ledger_hash__").distinct().sort("ledger_id__", "ledger_hash__")
+    numbered = order.rdd.zipWithIndex().map(lambda x: (x[1], x[0][0], x[0][1])).toDF(f"{KEY} long, id2 long, th2 long")
     numbered = stored(numbered, "keys")
-    return rows.join(numbered, rows["doc_id"].eqNullSafe(numbered["id2"]) & (rows["th"] == numbered["th2"])).select("key", "doc_id", "text")
+    same = rows["ledger_id__"].eqNullSafe(numbered["id2"]) & (rows["ledger_hash__"] == numbered["th2"])
+    return rows.join(numbered, same).drop("ledger_id__", "ledger_hash__", "id2", "th2"), False
+
+
+def with_key(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(key, doc_id, text) of keyed_rows()."""
+    rows, _ = keyed_rows(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")))
+    return rows.select(F.col(KEY).alias("key"), "doc_id", "text")
 
 
 def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str], most: int = 20_000) -> Iterator[tuple[pa.Table, np.ndarray]]:

@@ -1,0 +1,300 @@
+"""Personal data: exact base patterns and a linear-chain conditional random field over word shapes.
+
+The field labels the words of a text (runs without white space) from shape features of a word and of
+its neighbours. Words whose best label is "other" by more than any transition can make up for are
+surely "other" in the best path, so Viterbi only runs over the short stretches between them, all
+stretches of a batch at once; what a word's features weigh is computed once per distinct word.
+"""
+
+from __future__ import annotations
+
+import random
+import re
+from functools import lru_cache
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ledgerlake.llm.common import SPAN, Words, documents, map_arrow, offsets, row_blocks, text_bytes, word_ranges
+from ledgerlake.llm.crf import Crf
+
+# fixed values: the base patterns
+KINDS = ("email", "ip", "card", "phone")
+PATTERNS = {
+    "email": re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
+    "ip": re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
+    "card": re.compile(r"[0-9]([\x20-]?[0-9])+"),
+    "phone": re.compile(r"\+[0-9][\x20().0-9-]+[0-9]"),
+}
+ADDED = ("secret",)
+ORDER = {k: i for i, k in enumerate((*KINDS, *ADDED))}
+DIGITS = re.compile(r"[^0-9]")
+
+
+def luhn(digits: str) -> bool:
+    total = 0
+    for i, c in enumerate(reversed(digits)):
+        d = int(c) * (1 + i % 2)
+        total += d - 9 * (d > 9)
+    return total % 10 == 0
+
+
+def base_spans(text: str) -> list[tuple[int, int, str]]:
+    """(start, end, kind) of the base patterns, each kind by itself from the left; matches that fail their rule are dropped."""
+    out = []
+    if "@" in text:
+        out += [(m.start(), m.end(), "email") for m in PATTERNS["email"].finditer(text)]
+    out += [(m.start(), m.end(), "ip") for m in PATTERNS["ip"].finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split("."))]
+    for m in PATTERNS["card"].finditer(text):
+        if m.end() - m.start() >= 14:
+            digits = DIGITS.sub("", m[0])
+            if 14 <= len(digits) <= 19 and luhn(digits):
+                out.append((m.start(), m.end(), "card"))
+    if "+" in text:
+        out += [(m.start(), m.end(), "phone") for m in PATTERNS["phone"].finditer(text) if 10 <= len(DIGITS.sub("", m[0])) <= 15]
+    return sorted(out, key=lambda s: (s[0], ORDER[s[2]]))
+
+
+CUES = {
+    "secret": ("token", "secret", "password", "passwd", "pwd", "apikey", "api_key", "api-key", "key", "access_key", "auth", "bearer", "credential"),
+}
+EDGE = re.compile(r"^[\W_]+|[\W_]+$")
+
+
+def word_features(word: str) -> list[str]:
+    core = EDGE.sub("", word)
+    shape = re.sub(r"(.)\1+", r"\1", "".join("9" if c.isdigit() else "a" if c.islower() else "A" if c.isupper() else c for c in core[:64]))
+    kinds = {("9" if c.isdigit() else "a" if c.isalpha() else "-") for c in core}
+    out = [f"shape:{shape[:12]}", "mix:" + "".join(sorted(kinds)), f"size:{min(7, len(core).bit_length())}", f"end:{word[-1] if not word[-1:].isalnum() else 'x'}", "bias"]
+    low = core.lower()
+    out += [f"cue:{k}" for k, cues in CUES.items() if low in cues or low.split("=")[0].rstrip(' "') in cues]
+    if len(core) >= 16 and "9" in kinds and "a" in kinds and re.fullmatch(r"[A-Za-z0-9_\-/+=]+", core):
+        out.append("key-like")
+    if len(core) >= 16 and re.fullmatch(r"[0-9a-f]+", core) and not core.isdigit():
+        out.append("hex")
+    if "=" in word or word == ":":
+        out.append("sets")
+    return out
+
+
+def _plain(word: str) -> tuple | None:
+    """What the features of a word of letters depend on, if it is one and no cue."""
+    core = EDGE.sub("", word)
+    if not core.isalpha() or len(core) > 64 or core.lower() in CUES["secret"] or "=" in word or word == ":":
+        return None
+    case = "a" if core.islower() else "A" if core.isupper() else "Aa" if core[1:].islower() and core[0].isupper() else core
+    return case, len(core).bit_length(), len(core) >= 16, word[-1] if not word[-1:].isalnum() else "x"
+
+
+def labelled_table(n: int = 400, seed: int = 3) -> list[list[tuple[str, str]]]:
+    """The small labelled table: lines of (word, label), filled in from templates by rule."""
+    r = random.Random(seed)
+    syllables = ["an", "er", "th", "on", "ti", "es", "la", "de", "ou", "be", "sch", "ción", "ung", "ment"]
+    plain = lambda: "".join(r.choices(syllables, k=r.randint(1, 4)))
+    noise = lambda: r.choice(["", "", "", ",", ".", "$$$", "%%%", "!!", "&&&"])
+    key = lambda: r.choice([lambda: "".join(r.choices("0123456789abcdef", k=r.choice([32, 40, 64]))), lambda: "".join(r.choices("ABCDEFGHJKLMNPabcdefghijk0123456789", k=r.randint(20, 44))), lambda: "sk-" + "".join(r.choices("abcdefgh0123456789", k=32))])()
+    table = []
+    for _ in range(n):
+        line: list[tuple[str, str]] = []
+        for _ in range(r.randint(1, 4)):
+            for _ in range(r.randint(0, 9)):
+                w = plain()
+                w = r.choice([w, w, w, w.capitalize(), w.upper()])
+                line.append((w + noise(), "other"))
+            kind = r.randrange(9)
+            if kind == 0:
+                line += [(r.choice(["token", "secret", "api_key", "password", "key"]), "other"), (r.choice(["=", ":"]), "other"), (f'"{key()}"' + noise(), "secret")]
+            elif kind == 1:
+                line.append((r.choice(["token=", "api_key=", "secret:"]) + f'"{key()}"', "secret"))
+            elif kind == 2:  # long words and figures in a row
+                line += [("".join(plain() for _ in range(3)) + noise(), "other") for _ in range(r.randint(1, 3))]
+            elif kind == 3:  # numbers that are none of it
+                line.append((r.choice([str(r.randint(1, 10**r.randint(1, 18))), f"{r.randint(1, 28)}.{r.randint(1, 12)}.{r.randint(1900, 2030)}", f"{r.randint(1, 99)}%", f"{r.random():.6f}"]) + noise(), "other"))
+            elif kind == 4:
+                line.append((f"{plain()}{r.randint(1, 99)}@{plain()}.example.com" + noise(), "other"))
+            elif kind == 5:
+                line.append((f"{r.randint(0, 255)}.{r.randint(0, 255)}.{r.randint(0, 255)}.{r.randint(0, 255)}" + noise(), "other"))
+            elif kind == 6:
+                line += [("+1", "other"), (f"({r.randint(100, 999)})", "other"), (f"555-{r.randint(1000, 9999)}" + noise(), "other")]
+            elif kind == 7:  # cue words alone
+                line += [(r.choice(["token", "key", "secret", "password"]) + noise(), "other"), (plain(), "other")]
+            else:
+                line.append((r.choice(["http://" + plain() + ".example.com/" + plain() + "/" + str(r.randint(1, 10**6)), "".join(plain() for _ in range(6)), plain() + "-" + plain() + "-" + plain()]), "other"))
+        table.append(line)
+    return table
+
+
+def _contexts(words: list[str]) -> list[list[str]]:
+    own = [word_features(w) for w in words]
+    out = []
+    for i, f in enumerate(own):
+        before = [f"-1:{x}" for x in own[i - 1]] if i else ["-1:none"]
+        after = [f"+1:{x}" for x in own[i + 1]] if i + 1 < len(own) else ["+1:none"]
+        out.append([*f, *before, *after])
+    return out
+
+
+@lru_cache(maxsize=1)
+def trained() -> Crf:
+    table = labelled_table()
+    return Crf(["other", *ADDED]).fit([list(zip(_contexts([w for w, _ in line]), [y for _, y in line], strict=True)) for line in table], rounds=150)
+
+
+class Tagger:
+    """The field over whole texts; holds what distinct words weigh by themselves, before and after another."""
+
+    def __init__(self, crf: Crf):
+        self.crf, k = crf, len(crf.labels)
+        self.k, self.sure = k, 2 * (crf.moves.max() - crf.moves.min()) + crf.first.max() - crf.first.min()
+        zero = lambda name: crf.weights[crf.names[name]] if name in crf.names else np.zeros(k)
+        self.no_before, self.no_after = zero("-1:none"), zero("+1:none")
+        self.words = Words(self._weigh, 600_000)
+
+    def _weigh(self, keys: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        names, weights = self.crf.names, self.crf.weights
+        out = np.zeros((len(keys), 3 * self.k), np.float32)
+        known: dict = {}
+        for i, key in enumerate(keys):
+            word = key.decode("utf-8", "replace")
+            like = _plain(word)
+            if like in known:
+                out[i] = out[known[like]]
+                continue
+            if like is not None and len(like[0]) <= 2:
+                known[like] = i
+            own = word_features(word)
+            for j, prefix in enumerate(("", "+1:", "-1:")):  # as itself; as the word after; as the word before
+                rows = [names[prefix + f] for f in own if prefix + f in names]
+                if rows:
+                    out[i, j * self.k : (j + 1) * self.k] = weights[rows].sum(axis=0)
+        return out, np.ones(len(keys), np.int64)
+
+    def spans(self, data: np.ndarray, edges: np.ndarray) -> list[tuple[int, int, int, str]]:
+        """(row, first byte, end byte, kind) of runs of words with one label other than "other"."""
+        starts, ends, counts = word_ranges(data, edges)
+        if not len(starts):
+            return []
+        values, _ = self.words.values(self.words.number(data, starts, ends))
+        k = self.k
+        e = values[:, :k].astype(np.float64)
+        row = np.repeat(np.arange(len(counts)), counts)
+        same = row[1:] == row[:-1]
+        e[:-1] += np.where(same[:, None], values[1:, k : 2 * k], self.no_after)
+        e[1:] += np.where(same[:, None], values[:-1, 2 * k :], self.no_before)
+        e[0] += self.no_before
+        e[-1] += self.no_after
+        open_ = e[:, 1:].max(axis=1) + self.sure >= e[:, 0]
+        # stretches of words in question, with the sure words around them
+        wide = open_.copy()
+        wide[1:] |= open_[:-1] & same
+        wide[:-1] |= open_[1:] & same
+        at = np.flatnonzero(wide)
+        if not len(at):
+            return []
+        cut = np.flatnonzero(np.concatenate([[True], (at[1:] != at[:-1] + 1) | (row[at[1:]] != row[at[:-1]])]))
+        labels = np.zeros(len(e), np.int64)
+        labels[at] = self.crf.decode(e[at], np.diff(np.append(cut, len(at))))
+        out = []
+        hits = np.flatnonzero(labels)
+        i = 0
+        while i < len(hits):
+            j = i
+            while j + 1 < len(hits) and hits[j + 1] == hits[j] + 1 and labels[hits[j + 1]] == labels[hits[i]] and row[hits[j + 1]] == row[hits[i]]:
+                j += 1
+            out.append((int(row[hits[i]]), int(starts[hits[i]]), int(ends[hits[j]]), self.crf.labels[labels[hits[i]]]))
+            i = j + 1
+        return out
+
+
+SET_OFF = re.compile(r"^.*?[=:]\s*(?=[\"'A-Za-z0-9])", re.S)
+
+
+def _trim(text: str, a: int, b: int, kind: str) -> tuple[int, int]:
+    """Without the signs around it and, for a secret, without the name it is set to."""
+    part = text[a:b]
+    if kind == "secret" and (m := SET_OFF.match(part)):
+        a += m.end()
+        part = text[a:b]
+    core = EDGE.sub("", part)
+    a += part.find(core)
+    return a, a + len(core)
+
+
+def find_in(tagger: Tagger, data: np.ndarray, edges: np.ndarray) -> list[tuple[list, list]]:
+    """(base spans, all spans) of each text, in code points; a span of the field that touches a base span is left out."""
+    out: list[tuple[list, list]] = [([], []) for _ in range(len(edges) - 1)]
+    digit = (data >= 48) & (data <= 57) | (data == 64)
+    seen = np.concatenate([[0], np.cumsum(digit)])
+    added: dict[int, list] = {}
+    for row, a, b, kind in tagger.spans(data, edges):
+        added.setdefault(row, []).append((a, b, kind))
+    for i in np.flatnonzero(seen[edges[1:]] > seen[edges[:-1]]).tolist() + [k for k in added if seen[edges[k + 1]] == seen[edges[k]]]:
+        text = data[edges[i] : edges[i + 1]].tobytes().decode("utf-8", "replace")
+        base = base_spans(text)
+        more = []
+        if i in added:
+            point = np.cumsum((data[edges[i] : edges[i + 1]] & 0xC0) != 0x80)
+            for a, b, kind in added[i]:
+                a, b = int(point[a - edges[i]]) - 1, int(point[b - edges[i] - 1])
+                a, b = _trim(text, a, b, kind)
+                if a < b and not any(a < q and p < b for p, q, _ in base):
+                    more.append((a, b, kind))
+        out[i] = (base, sorted(base + more, key=lambda s: (s[0], ORDER[s[2]])))
+    return out
+
+
+def _joined(spans: list) -> str:
+    return ",".join(f"{k}:{a}:{b}" for a, b, k in spans)
+
+
+_TAGGER: dict = {}
+
+
+def _tagger(crf: Crf) -> Tagger:
+    if id(crf) not in _TAGGER:
+        _TAGGER.clear()
+        _TAGGER[id(crf)] = (Tagger(crf), crf)
+    return _TAGGER[id(crf)][0]
+
+
+def find(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", crf: Crf | None = None) -> DataFrame:
+    """(doc_id, base, spans): the base spans and all spans as kind:start:end, comma-joined, in code points.
+
+    Null and empty texts have none. Rows are independent; other columns are ignored.
+    """
+    crf = crf or trained()
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        tagger, (data, edges) = _tagger(crf), text_bytes(batch.column(1))
+        found = []
+        for a, b in row_blocks(edges, SPAN):
+            found += find_in(tagger, data[edges[a] : edges[b]], edges[a : b + 1] - edges[a])
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array([_joined(x) for x, _ in found], pa.string()), pa.array([_joined(y) for _, y in found], pa.string())], names=["doc_id", "base", "spans"])
+
+    return map_arrow(df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("t")), run, "doc_id long, base string, spans string")
+
+
+def masked(texts: pa.Array, crf: Crf) -> list[str | None]:
+    """The texts with every span replaced by its kind in angle brackets; spans that overlap become one, named by the first."""
+    tagger, (data, edges) = _tagger(crf), text_bytes(texts)
+    out: list[str | None] = texts.to_pylist()
+    for a, b in row_blocks(edges, SPAN):
+        for i, (_, spans) in enumerate(find_in(tagger, data[edges[a] : edges[b]], edges[a : b + 1] - edges[a]), a):
+            if not spans:
+                continue
+            text, parts, end = out[i], [], 0
+            for p, q, kind in spans:
+                if p >= end:
+                    parts += [text[end:p], f"<{kind}>"]
+                end = max(end, q)
+            out[i] = "".join([*parts, text[end:]])
+    return out
+
+
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = find(documents(spark, sf_dir))
+    kinds = F.transform(F.split("base", ","), lambda s: F.split(s, ":")[0])
+    count = lambda k: F.size(F.filter(kinds, lambda x: x == k)).cast("long").alias(f"n_{k}")
+    return out.select("doc_id", *[count(k) for k in KINDS], F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"), "spans")
