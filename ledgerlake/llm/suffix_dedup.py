@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.llm.common import SPAN, _powers, documents, mixed, ragged_index, row_blocks, stored, text_bytes, with_key
 
-WINDOW, GRAIN = 100, 32
+WINDOW, GRAIN = 100, 48
 HOT = 64  # stretches of one string in one batch, from which the string is spread over tasks
 MANY = np.int64(-(1 << 62))  # stands for the stretches of a spread string at its home
 

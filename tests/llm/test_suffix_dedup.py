@@ -53,7 +53,7 @@ def texts(seed, n):
 def test_against_all_windows(spark, hot, window):
     rows = texts(hot + window, 300)
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
-    got = {r.doc_id: (r.n_removed, len(r.spans), bytes(r.kept)) for r in remove_repeats(df, window, 16 if window == 40 else 32, hot).collect()}
+    got = {r.doc_id: (r.n_removed, len(r.spans), bytes(r.kept)) for r in remove_repeats(df, window, 16 if window == 40 else 48, hot).collect()}
     assert got == brute([(i, (t or "").encode()) for i, t in rows], window)
 
 
