@@ -25,10 +25,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import components, documents, hash_ranges, mixed, offsets, ragged_index, row_blocks, stored, text_bytes, with_key, word_ranges
+from ledgerlake.llm.common import binary_column, components, documents, hash_ranges, mixed, offsets, ragged_index, row_blocks, stored, text_bytes, with_key, word_ranges
 
 WORDS, SHARE = 5, 80  # shingle length, hundredths of the union
-SMALL = 64  # sets in a bucket, up to which the bucket is kept as one row
+SMALL = 16  # sets in a bucket, up to which the bucket is kept as one row
 BLOCK = 2000  # sets of one block of a bucket beyond that
 COMMON = 0.05  # taken share of shingles that unrelated sets have in common, for the cost estimate
 LOWER = np.arange(256, dtype=np.uint8)
@@ -128,10 +128,10 @@ def signatures(row: np.ndarray, h: np.ndarray, n: np.ndarray, schemes: list[Sche
                 need[mine] = (scheme.high - 1 + n[mine]) * (100 - share) // (100 + share) + 1
             else:
                 need[mine] = (n[mine] + n[mine] * 100 // share) * (100 - share) // (100 + share) + 1
-            salt = FACTORS[42] * np.uint64(low)
+            salt = mixed(np.array([low], np.uint64) ^ FACTORS[42])[0]
             y = mixed(x ^ salt)
             seg = (y % np.uint64(scheme.segments)).astype(np.int64)
-            order = np.lexsort((seg, r))
+            order = np.argsort(r * scheme.segments + seg)
             r, y, seg = r[order], mixed(y[order]), seg[order]
             heads = np.flatnonzero(np.concatenate([[True], (r[1:] != r[:-1]) | (seg[1:] != seg[:-1])]))
             count = np.diff(np.append(heads, len(r)))
@@ -170,22 +170,67 @@ def _sets_of(data, edges, words):
         yield a, row, h, n, name
 
 
+def _counts(row: np.ndarray, h: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles by their hash's first bits, four to eight in a bin on average (at most 255 count), and the bins of each row."""
+    bits = np.maximum(np.frexp(np.maximum(n, 1).astype(float))[1] - 3, 0)
+    bins = np.where(n > 0, 1 << bits, 0)
+    at = offsets(bins)
+    cell = at[row] + (h >> np.uint64(1) >> (63 - bits[row]).astype(np.uint64)).astype(np.int64)
+    return np.minimum(np.bincount(cell, minlength=int(at[-1])), 255).astype(np.uint8), bins
+
+
+def _apart(x: bytes, y: bytes) -> int:
+    """A number of places in which two sets differ at least, from their counts by bin."""
+    x, y = np.frombuffer(x, np.uint8).astype(np.int64), np.frombuffer(y, np.uint8).astype(np.int64)
+    if len(x) != len(y):
+        if max(x.max(initial=0), y.max(initial=0)) == 255:
+            return 0
+        few = min(len(x), len(y))
+        x, y = x.reshape(few, -1).sum(axis=1), y.reshape(few, -1).sum(axis=1)
+    return int(np.abs(x - y).sum())
+
+
+def _likely(share: int):
+    """Pairs that sizes and counts by bin do not rule out."""
+
+    def run(batches):
+        for batch in batches:
+            na, nb = (batch.column(i).to_numpy(zero_copy_only=False) for i in (2, 3))
+            fine = 100 * np.minimum(na, nb) >= share * np.maximum(na, nb)
+            ha, hb = batch.column(4), batch.column(5)
+            for i in np.flatnonzero(fine).tolist():
+                fine[i] = _apart(ha[i].as_py(), hb[i].as_py()) * (100 + share) <= (int(na[i]) + int(nb[i])) * (100 - share)
+            keep = pa.array(fine)
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["a", "b"])
+
+    return run
+
+
 def _sizes(words):
     def run(batches):
         for batch in batches:
             data, edges = text_bytes(batch.column(2))
             parts = []
             for _, row, h, n, name in _sets_of(data, edges, words):
-                counts = np.zeros((len(n), 32), np.uint16)
-                np.add.at(counts, (row, (h >> np.uint64(59)).astype(np.int64)), 1) if len(row) and n.max() < 65536 else None
-                parts.append((n, name, counts))
-            n, name, counts = (np.concatenate(x) for x in zip(*parts, strict=True))
-            hist = pa.array([c.tobytes() for c in counts], pa.binary())
+                parts.append((n, name, *_counts(row, h, n)))
+            n, name, counts, bins = (np.concatenate(x) for x in zip(*parts, strict=True))
+            hist = binary_column(counts, offsets(bins))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n), pa.array(name.view(np.int64)), hist], names=["key", "doc_id", "n", "name", "hist"])
 
     return run
 
 
+def _grouped(sig: np.ndarray, name: np.ndarray, alone: np.ndarray | None = None) -> np.ndarray:
+    """An order by signature and then name. With ``alone``, signatures that occur once are left out unless it is set."""
+    order = np.argsort(sig)
+    s = sig[order]
+    same = s[1:] == s[:-1]
+    many = np.concatenate([same, [False]]) | np.concatenate([[False], same])
+    at = np.flatnonzero(many)
+    order[at] = order[at][np.lexsort((name[order[at]], s[at]))]
+    return order if alone is None else order[many | (alone[order] > 0)]
+
+
 def _blocks(words: int, schemes: list[Scheme], share: int, places: int, hot: int):
     """Signatures dealt to ``places``: one row for each place and batch. Those that more than ``hot`` sets of the batch have are spread."""
 
@@ -196,20 +241,22 @@ def _blocks(words: int, schemes: list[Scheme], share: int, places: int, hot: int
             for _, row, h, n, name in _sets_of(data, edges, words):
                 own.append((name[(s := signatures(row, h, n, schemes, share))[0]].view(np.int64), *s[1:]))
             name, below, spare, sig = (np.concatenate(x) for x in zip(*own, strict=True))
-            order = np.lexsort((name, sig))
-            name, below, spare, sig = name[order], below[order], spare[order], sig[order]
-            new = np.concatenate([[True], (sig[1:] != sig[:-1]) | (name[1:] != name[:-1])]) if len(sig) else np.zeros(0, bool)
-            name, below, spare, sig = name[new], below[new], spare[new], sig[new]
             if not len(sig):
                 continue
+            order = _grouped(sig, name)
+            name, below, spare, sig = name[order], below[order], spare[order], sig[order]
+            new = np.concatenate([[True], (sig[1:] != sig[:-1]) | (name[1:] != name[:-1])])
+            name, below, spare, sig = name[new], below[new], spare[new], sig[new]
             heads = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
             count = np.diff(np.append(heads, len(sig)))
             many = np.repeat(count > hot, count)
             place = (np.where(many, mixed(sig ^ name.view(np.uint64)), sig) % np.uint64(places)).astype(np.int64)
             mark = sig[heads[count > hot]]
             # owners of the batch are numbered; a mark has the owner 0
-            names, owner = np.unique(np.stack([name, spare * 2 + below], axis=1), axis=0, return_inverse=True)
-            owner = owner.ravel() + 1
+            info = spare * 2 + below
+            with np.errstate(over="ignore"):
+                _, first, owner = np.unique(mixed(name.view(np.uint64)) + info.astype(np.uint64) * FACTORS[45], return_index=True, return_inverse=True)
+            names, owner = np.stack([name[first], info[first]], axis=1), owner + 1
             kind = np.where(many, 1, 0).astype(np.uint8)
             place = np.concatenate([place, (mark % np.uint64(places)).astype(np.int64)])
             sig, owner = np.concatenate([sig, mark]), np.concatenate([owner, np.zeros(len(mark), np.int64)])
@@ -246,11 +293,13 @@ def _buckets(hot: int):
         if not sigs:
             return
         sig, name, info, kind = (np.concatenate(x) for x in (sigs, names, meta, kinds))
-        order = np.lexsort((name, sig))
+        order = _grouped(sig, name, alone=kind)
         sig, name, info, kind = sig[order], name[order], info[order], kind[order]
         # the same set from several batches is one member; marks stay
-        new = np.concatenate([[True], (sig[1:] != sig[:-1]) | (name[1:] != name[:-1]) | (kind[1:] != kind[:-1])])
+        new = np.concatenate([[True], (sig[1:] != sig[:-1]) | (name[1:] != name[:-1]) | (kind[1:] != kind[:-1])])[: len(sig)]
         sig, name, info, kind = sig[new], name[new], info[new], kind[new]
+        if not len(sig):
+            return
         heads = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
         count = np.diff(np.append(heads, len(sig)))
         large = (count > hot) | (np.maximum.reduceat(kind, heads) > 0)
@@ -299,16 +348,17 @@ def _open_pairs(share: int):
     def run(table: pa.Table) -> pa.Table:
         name, root, n = (table.column(c).to_numpy() for c in ("name", "root", "n"))
         side, other = table.column("side").to_numpy(), table.column("other").to_numpy()
-        hist = np.frombuffer(b"".join(table.column("hist").to_pylist()), np.uint16).reshape(len(name), -1).astype(np.int32)
+        hist = table.column("hist").to_pylist()
         own = np.flatnonzero(side == 0)
         far = np.flatnonzero(side == 1) if (other[own[:1]] > 0).any() else own
         pairs = []
         for i in own.tolist():
-            d = np.abs(hist[far] - hist[i]).sum(axis=1)
-            fine = (root[far] != root[i]) & (100 * np.minimum(n[far], n[i]) >= share * np.maximum(n[far], n[i])) & (d * (100 + share) <= (n[far] + n[i]) * (100 - share))
+            fine = (root[far] != root[i]) & (100 * np.minimum(n[far], n[i]) >= share * np.maximum(n[far], n[i]))
             if far is own:
                 fine &= far > i
-            pairs += [(min(name[i], name[j]), max(name[i], name[j])) for j in far[fine].tolist()]
+            for j in far[fine].tolist():
+                if _apart(hist[i], hist[j]) * (100 + share) <= int(n[i] + n[j]) * (100 - share):
+                    pairs.append((min(name[i], name[j]), max(name[i], name[j])))
         a, b = (np.array(pairs, np.int64).reshape(-1, 2)).T
         return pa.table({"a": a, "b": b})
 
@@ -329,20 +379,25 @@ def link(docs: DataFrame, words: int = WORDS, share: int = SHARE, small: int = S
     by_band = sets.groupBy(F.floor(F.log2(F.col("n") + 0.5) + 1).cast("int").alias("b")).count().collect()  # as many rows as sizes have bits
     schemes = bands({r["b"]: r["count"] for r in by_band}, share)
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    dealt = texts.select("text").mapInArrow(_blocks(words, schemes, share, 8 * parts, small), "place long, sig binary, owner binary, names binary, kind binary")
-    found = dealt.repartition(parts, "place").mapInArrow(_buckets(small), "members array<long>, sig long, name long, info long")
+    dealt = texts.select("text").mapInArrow(_blocks(words, schemes, share, parts, small), "place long, sig binary, owner binary, names binary, kind binary")
+    found = dealt.repartitionById(parts, F.col("place").cast("int")).mapInArrow(_buckets(small), "members array<long>, sig long, name long, info long")
     found = stored(found, "jaccard-buckets")
     groups = stored(found.filter("members is not null").select("members").distinct(), "jaccard-groups")
     large = found.filter("members is null").select("sig", "name", F.floor(F.col("info") / 2).alias("spare"), (F.col("info") % 2 != 0).alias("below"))
-    star = groups.select(F.col("members")[0].alias("a"), F.explode(F.slice("members", 2, small)).alias("b"))
+    # first each set with the smallest one that it meets
     heads = large.groupBy("sig").agg(F.min("name").alias("a"))
-    star = star.union(large.join(heads, "sig").select("a", F.col("name").alias("b"))).filter("a <> b").distinct()
-    star = stored(star, "jaccard-star")
+    star = groups.select(F.col("members")[0].alias("a"), F.explode("members").alias("b"))
+    star = star.union(large.join(heads, "sig").select("a", F.col("name").alias("b")))
+    star = stored(star.groupBy("b").agg(F.min("a").alias("a")).filter("a <> b").select("a", "b"), "jaccard-star")
     # the texts of the sets that met another one
-    met = star.select(F.explode(F.array("a", "b")).alias("name")).distinct().join(sets, "name").select("name", F.col("rep").alias("key"))
-    some = stored(texts.select("key", "text").join(met, "key").dropDuplicates(["name"]).select("name", "text"), "jaccard-texts")
+    met = groups.select(F.explode("members").alias("name")).union(large.select("name")).distinct().join(sets, "name")
+    met = stored(met.select("name", F.col("rep").alias("key"), "n", "hist"), "jaccard-met")
+    some = stored(texts.select("key", "text").join(met.select("name", "key"), "key").dropDuplicates(["name"]).select("name", "text"), "jaccard-texts")
 
     def verified(pairs: DataFrame, step: str) -> DataFrame:
+        side = lambda x: met.select(F.col("name").alias(x), F.col("n").alias(f"n{x}"), F.col("hist").alias(f"h{x}"))
+        pairs = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "ha", "hb")
+        pairs = stored(pairs.mapInArrow(_likely(share), "a long, b long"), f"{step}-likely")
         left, right = some.select(F.col("name").alias("a"), F.col("text").alias("ta")), some.select(F.col("name").alias("b"), F.col("text").alias("tb"))
         pairs = pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb")
         return stored(pairs.mapInArrow(_verify(words, share), "a long, b long"), step)
@@ -358,7 +413,7 @@ def link(docs: DataFrame, words: int = WORDS, share: int = SHARE, small: int = S
     named = some.select("name").join(reps, "name").join(comp.withColumnRenamed("node", "rep"), "rep", "left").select("name", F.coalesce("root", "rep").alias("root"))
     named = stored(named, "jaccard-roots")
     # buckets that are still in more than one component: every pair across them
-    each = groups.filter(F.size("members") > 2).withColumn("g", F.xxhash64("members")).select("g", "members", F.posexplode("members").alias("i", "name"))
+    each = groups.withColumn("g", F.xxhash64("members")).select("g", "members", F.posexplode("members").alias("i", "name"))
     torn = each.join(named, "name").groupBy("g", "members").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.map_from_entries(F.collect_list(F.struct("name", "root"))).alias("of")).filter("x < y")
     rest = torn.select("of", "members", F.posexplode("members").alias("i", "a")).select("of", "a", F.explode(F.expr("slice(members, i + 2, size(members))")).alias("b")).filter("of[a] <> of[b]").select("a", "b")
     more = rest.distinct()
