@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import binary_column, components, documents, hash_ranges, mixed, offsets, ragged_index, row_blocks, stored, text_bytes, with_key, word_ranges
+from ledgerlake.llm.common import binary_column, components, documents, hash_ranges, local_forest, mixed, offsets, ragged_index, row_blocks, stored, text_bytes, with_key, word_ranges
 
 WORDS, SHARE = 5, 80  # shingle length, hundredths of the union
 SMALL = 16  # sets in a bucket, up to which the bucket is kept as one row
@@ -342,25 +342,62 @@ def _verify(words: int, share: int):
     return run
 
 
-def _open_pairs(share: int):
-    """Pairs of different components between (or, if they are one, within) two blocks of a large bucket, less those that sizes or counts rule out."""
+def _set_bytes(words: int):
+    def run(batches):
+        for batch in batches:
+            data, edges = text_bytes(batch.column(1))
+            parts = [(h, n) for _, _, h, n, _ in _sets_of(data, edges, words)]
+            column = binary_column(np.concatenate([h for h, _ in parts]), offsets(np.concatenate([n for _, n in parts])))
+            yield pa.RecordBatch.from_arrays([batch.column(0), column], names=["name", "shingles"])
+
+    return run
+
+
+def _between_blocks(share: int):
+    """Verified links between two blocks of a family (or within one) across components, as a forest."""
 
     def run(table: pa.Table) -> pa.Table:
-        name, root, n = (table.column(c).to_numpy() for c in ("name", "root", "n"))
-        side, other = table.column("side").to_numpy(), table.column("other").to_numpy()
-        hist = table.column("hist").to_pylist()
+        name, root, side = (table.column(c).to_numpy() for c in ("name", "root", "side"))
+        none = pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+        if len(np.unique(root)) < 2:
+            return none
+        order = np.lexsort((name, root))
+        sets = [np.frombuffer(x, np.uint64) for x in table.column("shingles").take(pa.array(order)).to_pylist()]
+        name, root, side = name[order], root[order], side[order]
+        n = np.array([len(x) for x in sets])
         own = np.flatnonzero(side == 0)
-        far = np.flatnonzero(side == 1) if (other[own[:1]] > 0).any() else own
-        pairs = []
-        for i in own.tolist():
-            fine = (root[far] != root[i]) & (100 * np.minimum(n[far], n[i]) >= share * np.maximum(n[far], n[i]))
-            if far is own:
-                fine &= far > i
-            for j in far[fine].tolist():
-                if _apart(hist[i], hist[j]) * (100 + share) <= int(n[i] + n[j]) * (100 - share):
-                    pairs.append((min(name[i], name[j]), max(name[i], name[j])))
-        a, b = (np.array(pairs, np.int64).reshape(-1, 2)).T
-        return pa.table({"a": a, "b": b})
+        far = np.flatnonzero(side == 1) if int(table.column("other")[0].as_py()) else own
+        # shingles that one set alone has can't be shared
+        values, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        row = np.repeat(np.arange(len(sets)), n)
+        common = count[column] > 1
+        place = np.cumsum(count > 1) - 1
+        row, column, width = row[common], place[column[common]], int((count > 1).sum())
+        found = [pa.RecordBatch.from_arrays([pa.array([], pa.int64())] * 2, names=["a", "b"])]
+        for x in range(0, len(own), 256):
+            part = own[x : x + 256]
+            other = far[root[far] != root[part[0]]] if (root[part] == root[part[0]]).all() else far
+            if not len(other):
+                continue
+            both = np.zeros((len(part), len(other)), np.float32)
+            at_part, at_other = np.full(len(sets), -1), np.full(len(sets), -1)
+            at_part[part], at_other[other] = np.arange(len(part)), np.arange(len(other))
+            for c in range(0, width, 8192):  # counts of shared shingles, exact in single precision
+                here = (column >= c) & (column < c + 8192)
+                r, q = row[here], column[here] - c
+                left, right = np.zeros((len(part), min(8192, width - c)), np.float32), np.zeros((len(other), min(8192, width - c)), np.float32)
+                mine, theirs = at_part[r] >= 0, at_other[r] >= 0
+                left[at_part[r[mine]], q[mine]] = 1
+                right[at_other[r[theirs]], q[theirs]] = 1
+                both += left @ right.T
+            both = both.astype(np.int64)
+            fine = (100 * both >= share * (n[part][:, None] + n[other] - both)) & (root[part][:, None] != root[other])
+            i, j = np.nonzero(fine)
+            a = np.concatenate([found[0].column(0).to_numpy(), name[part[i]]])
+            b = np.concatenate([found[0].column(1).to_numpy(), name[other[j]]])
+            if len(a):
+                found = list(local_forest([pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])]))
+        return pa.Table.from_batches(found) if len(found[0]) else none
 
     return run
 
@@ -420,18 +457,27 @@ def link(docs: DataFrame, words: int = WORDS, share: int = SHARE, small: int = S
     # large buckets: only sets whose units in smaller ones do not suffice need them
     needy = large.groupBy("name", "below").agg(F.count("*").alias("lost"), F.min("spare").alias("spare")).filter("lost > spare").select("name").distinct()
     left = large.select("sig", "name").distinct().join(needy, "name").join(named, "name")
-    torn2 = left.groupBy("sig").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("k")).filter("x < y").select("sig", F.ceil(F.col("k") / block).alias("nb"))
+    torn2 = left.groupBy("sig").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x < y").select("sig")
     left = stored(left.join(torn2, "sig"), "jaccard-torn")
-    if not left.isEmpty():
-        left = left.join(sets.select("name", "n", "hist"), "name").withColumn("at", F.pmod(F.xxhash64("name"), F.col("nb")))
-        # block i meets blocks i .. nb - 1: side 0 of its own pairs, side 1 of those of smaller blocks
-        left = left.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
-        lo, hi = F.least("at", "with"), F.greatest("at", "with")
-        left = left.select("sig", lo.alias("lo"), hi.alias("hi"), "name", "root", "n", "hist", F.when(F.col("at") == lo, 0).otherwise(1).alias("side"), (hi - lo).alias("other"))
-        more = more.union(left.groupBy("sig", "lo", "hi").applyInArrow(_open_pairs(share), "a long, b long")).distinct()
     more = stored(more.join(star, ["a", "b"], "left_anti"), "jaccard-more")
-    if not more.isEmpty():
+    again = not more.isEmpty()
+    if again:
         links = links.union(verified(more, "jaccard-links2"))
+    if not left.isEmpty():
+        # sets that share large buckets directly or through others are a family; each pair of it is met once, in blocks
+        again = True
+        heads = left.groupBy("sig").agg(F.min("name").alias("b"))
+        family = components(left.join(heads, "sig").select(F.col("name").alias("a"), "b"), "jaccard-family").toDF("name", "family")
+        member = left.select("name", "root").distinct().join(family, "name").select("name", "family", "root")
+        blocks = member.groupBy("family").agg(F.ceil(F.count("*") / block).alias("nb"))
+        shingles = some.join(member.select("name"), "name").select("name", "text").mapInArrow(_set_bytes(words), "name long, shingles binary")
+        member = stored(member.join(blocks, "family").join(shingles, "name"), "jaccard-members")
+        member = member.withColumn("at", F.pmod(F.xxhash64("name"), F.col("nb"))).withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("nb") - 1)))
+        lo, hi = F.least("at", "with"), F.greatest("at", "with")
+        member = member.select("family", lo.alias("lo"), hi.alias("hi"), "name", "root", "shingles", F.when(F.col("at") == lo, 0).otherwise(1).alias("side"), (hi - lo).alias("other"))
+        far = member.groupBy("family", "lo", "hi").applyInArrow(_between_blocks(share), "a long, b long")
+        links = links.union(stored(far, "jaccard-links3"))
+    if again:
         comp = roots(links)
     out = rows.select("key", "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("name")).alias("name"))
     place = reps.join(comp.withColumnRenamed("node", "rep"), "rep", "left").select("name", F.coalesce("root", "rep").alias("root"))

@@ -68,7 +68,7 @@ def made(seed, n):
     return rows
 
 
-@pytest.mark.parametrize(("seed", "small", "block"), [(1, 64, 2000), (2, 3, 4), (3, 8, 50)])
+@pytest.mark.parametrize(("seed", "small", "block"), [(1, 64, 2000), (2, 3, 4), (3, 8, 50), (4, 16, 300)])
 def test_against_all_pairs(spark, seed, small, block):
     rows = made(seed, 500)
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
