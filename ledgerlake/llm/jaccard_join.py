@@ -29,6 +29,7 @@ from ledgerlake.llm.common import binary_column, components, documents, hash_ran
 
 WORDS, SHARE = 5, 80  # shingle length, hundredths of the union
 SMALL = 16  # sets in a bucket, up to which the bucket is kept as one row
+PART = 8 << 20  # bytes of texts whose signatures are held at once
 BLOCK = 2000  # sets of one block of a bucket beyond that
 COMMON = 0.05  # taken share of shingles that unrelated sets have in common, for the cost estimate
 LOWER = np.arange(256, dtype=np.uint8)
@@ -236,42 +237,46 @@ def _blocks(words: int, schemes: list[Scheme], share: int, places: int, hot: int
 
     def run(batches):
         for batch in batches:
-            data, edges = text_bytes(batch.column(0))
-            own: list = []
-            for _, row, h, n, name in _sets_of(data, edges, words):
-                own.append((name[(s := signatures(row, h, n, schemes, share))[0]].view(np.int64), *s[1:]))
-            name, below, spare, sig = (np.concatenate(x) for x in zip(*own, strict=True))
-            if not len(sig):
-                continue
-            order = _grouped(sig, name)
-            name, below, spare, sig = name[order], below[order], spare[order], sig[order]
-            new = np.concatenate([[True], (sig[1:] != sig[:-1]) | (name[1:] != name[:-1])])
-            name, below, spare, sig = name[new], below[new], spare[new], sig[new]
-            heads = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
-            count = np.diff(np.append(heads, len(sig)))
-            many = np.repeat(count > hot, count)
-            place = (np.where(many, mixed(sig ^ name.view(np.uint64)), sig) % np.uint64(places)).astype(np.int64)
-            mark = sig[heads[count > hot]]
-            # owners of the batch are numbered; a mark has the owner 0
-            info = spare * 2 + below
-            with np.errstate(over="ignore"):
-                _, first, owner = np.unique(mixed(name.view(np.uint64)) + info.astype(np.uint64) * FACTORS[45], return_index=True, return_inverse=True)
-            names, owner = np.stack([name[first], info[first]], axis=1), owner + 1
-            kind = np.where(many, 1, 0).astype(np.uint8)
-            place = np.concatenate([place, (mark % np.uint64(places)).astype(np.int64)])
-            sig, owner = np.concatenate([sig, mark]), np.concatenate([owner, np.zeros(len(mark), np.int64)])
-            kind = np.concatenate([kind, np.full(len(mark), 2, np.uint8)])
-            order = np.argsort(place, kind="stable")
-            place, sig, owner, kind = place[order], sig[order], owner[order], kind[order]
-            cut = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1], [True]]))
-            rows = []
-            for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
-                used, local = np.unique(owner[a:b], return_inverse=True)
-                table = np.zeros((len(used), 2), np.int64)
-                table[used > 0] = names[used[used > 0] - 1]
-                wide = "<u2" if len(used) < 65536 else "<u4"
-                rows.append((int(place[a]), sig[a:b].tobytes(), local.astype(wide).tobytes(), table.tobytes(), kind[a:b].tobytes() if kind[a:b].any() else b""))
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.int64(), *[pa.binary()] * 4), strict=True)], names=["place", "sig", "owner", "names", "kind"])
+            whole, cuts = text_bytes(batch.column(0))
+            for first, last in row_blocks(cuts, PART):  # bounds what is held at once
+                yield from dealt(whole[cuts[first] : cuts[last]], cuts[first : last + 1] - cuts[first])
+
+    def dealt(data, edges):
+        own: list = []
+        for _, row, h, n, name in _sets_of(data, edges, words):
+            own.append((name[(s := signatures(row, h, n, schemes, share))[0]].view(np.int64), *s[1:]))
+        name, below, spare, sig = (np.concatenate(x) for x in zip(*own, strict=True))
+        if not len(sig):
+            return
+        order = _grouped(sig, name)
+        name, below, spare, sig = name[order], below[order], spare[order], sig[order]
+        new = np.concatenate([[True], (sig[1:] != sig[:-1]) | (name[1:] != name[:-1])])
+        name, below, spare, sig = name[new], below[new], spare[new], sig[new]
+        heads = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
+        count = np.diff(np.append(heads, len(sig)))
+        many = np.repeat(count > hot, count)
+        place = (np.where(many, mixed(sig ^ name.view(np.uint64)), sig) % np.uint64(places)).astype(np.int64)
+        mark = sig[heads[count > hot]]
+        # owners of the batch are numbered; a mark has the owner 0
+        info = spare * 2 + below
+        with np.errstate(over="ignore"):
+            _, first, owner = np.unique(mixed(name.view(np.uint64)) + info.astype(np.uint64) * FACTORS[45], return_index=True, return_inverse=True)
+        names, owner = np.stack([name[first], info[first]], axis=1), owner + 1
+        kind = np.where(many, 1, 0).astype(np.uint8)
+        place = np.concatenate([place, (mark % np.uint64(places)).astype(np.int64)])
+        sig, owner = np.concatenate([sig, mark]), np.concatenate([owner, np.zeros(len(mark), np.int64)])
+        kind = np.concatenate([kind, np.full(len(mark), 2, np.uint8)])
+        order = np.argsort(place, kind="stable")
+        place, sig, owner, kind = place[order], sig[order], owner[order], kind[order]
+        cut = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1], [True]]))
+        rows = []
+        for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
+            used, local = np.unique(owner[a:b], return_inverse=True)
+            table = np.zeros((len(used), 2), np.int64)
+            table[used > 0] = names[used[used > 0] - 1]
+            wide = "<u2" if len(used) < 65536 else "<u4"
+            rows.append((int(place[a]), sig[a:b].tobytes(), local.astype(wide).tobytes(), table.tobytes(), kind[a:b].tobytes() if kind[a:b].any() else b""))
+        yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.int64(), *[pa.binary()] * 4), strict=True)], names=["place", "sig", "owner", "names", "kind"])
 
     return run
 

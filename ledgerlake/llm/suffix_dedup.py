@@ -60,15 +60,18 @@ def _rows_of(data: np.ndarray, edges: np.ndarray, window: int, grain: int):
     return doc[first], first - edges[:-1][doc[first]], last - first + 1, grams[at], stretch
 
 
+PIECE = SPAN // 4  # bytes whose windows are held at once
+
+
 def _slices(data: np.ndarray, edges: np.ndarray, window: int):
-    """(row, offset in the row, bytes, edges) in pieces of at most SPAN bytes; longer rows overlap by window - 1."""
-    for a, b in row_blocks(edges, SPAN):
+    """(row, offset in the row, bytes, edges) in pieces of at most PIECE bytes; longer rows overlap by window - 1."""
+    for a, b in row_blocks(edges, PIECE):
         size = int(edges[b] - edges[a])
-        if size <= SPAN:
+        if size <= PIECE:
             yield a, 0, data[edges[a] : edges[b]], edges[a : b + 1] - edges[a]
             continue
-        for x in range(0, max(1, size - window + 1), SPAN - window + 1):
-            part = data[edges[a] + x : min(edges[b], edges[a] + x + SPAN)]
+        for x in range(0, max(1, size - window + 1), PIECE - window + 1):
+            part = data[edges[a] + x : min(edges[b], edges[a] + x + PIECE)]
             yield a, x, part, np.array([0, len(part)])
 
 
