@@ -27,7 +27,8 @@ from ledgerlake.sources.files import read_csv, read_yearly, require_sources, tex
 def run(args) -> int:
     spark = SparkSession.builder.appName("ledgerlake").getOrCreate()
     require_sources(spark, list(args.orders) + [args.returns, args.salesperson])
-    columns = read_csv(spark, args.orders[0]).columns  # header only: names, all text
+    # headers only: the names of all folders, all text
+    columns = list(dict.fromkeys(c for path in args.orders for c in read_csv(spark, path).columns))
     columns = [c for c in columns if c not in ("Source_Year", "Source_File")]
     orders = read_yearly(spark, list(args.orders), text_schema(columns), required=MANDATORY_COLS)
     returns = read_csv(spark, args.returns)

@@ -69,8 +69,9 @@ def parse_dates(df: DataFrame, cols=DATE_COLS, formats: list[str] | None = None)
 def coerce_types(df: DataFrame, doubles=DOUBLE_COLS, ints=INT_COLS) -> DataFrame:
     """Cast by map with ``try_cast`` (CL8); NaN becomes NULL on doubles.
 
-    Text such as 'abc' in a number column becomes NULL; a fractional text in
-    an integer column becomes NULL too.
+    Text such as 'abc' in a number column becomes NULL. Integer columns take
+    any finite number in range ('3.0', ' 3 ', '3.7') and drop its fraction;
+    other text, and numbers out of range ('1e20'), become NULL.
     """
     types = dict((f.name, f.dataType) for f in df.schema.fields)
     changes = {}
@@ -89,8 +90,9 @@ def coerce_types(df: DataFrame, doubles=DOUBLE_COLS, ints=INT_COLS) -> DataFrame
         src = types[c]
         if isinstance(src, IntegerType):
             changes[c] = col(c)
-        elif isinstance(src, (DoubleType, FloatType)):
-            changes[c] = F.when(F.isnan(col(c)), F.lit(None)).otherwise(col(c)).try_cast(IntegerType())
+        elif isinstance(src, (DoubleType, FloatType, StringType)):
+            v = col(c).try_cast(DoubleType())
+            changes[c] = F.when(F.abs(v) < 2147483648.0, v).try_cast(IntegerType())
         else:
             changes[c] = col(c).try_cast(IntegerType())
     return df.withColumns(changes) if changes else df

@@ -1,7 +1,8 @@
 """Deduplication (DD1-DD5).
 
 ``keep_first`` keeps, per key, the row that sorts first over all data columns
-(ascending, NULLs first). It is a grouped ``min`` over a struct, i.e. a
+(rows whose ``complete`` columns are all filled before others, then ascending
+with NULLs last), so a good copy is never lost to one with a gap. It is a grouped ``min`` over a struct, i.e. a
 partial aggregate: every map task reduces a hot key to one row before the
 shuffle, so a key holding a third of all rows never lands whole in one task.
 The result is the same on every run and every partitioning.
@@ -9,31 +10,34 @@ The result is the same on every run and every partitioning.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.text import col
 
 
-def keep_first(df: DataFrame, key: list[str], order_cols: list[str] | None = None) -> DataFrame:
+def keep_first(df: DataFrame, key: list[str], order_cols: list[str] | None = None,
+               complete: list[str] | None = None) -> DataFrame:
     """One row per ``key``: the smallest by ``order_cols`` (default all non-'_' columns).
 
     Columns not in ``order_cols`` (metadata) are carried along from the chosen row.
     """
     order_cols = order_cols or [c for c in df.columns if not c.startswith("_")]
     rest = [c for c in df.columns if c not in order_cols]
-    fields = [col(c).alias(c) for c in order_cols + rest]
+    gap = reduce(or_, [col(c).isNull() for c in complete or [] if c in df.columns], F.lit(False))
+    fields = [gap.alias("__gap")]
+    for c in order_cols:
+        fields += [col(c).isNull().alias(f"__null_{c}"), col(c).alias(c)]
+    fields += [col(c).alias(c) for c in rest]
     best = df.groupBy(*[col(k).alias(f"__k{i}") for i, k in enumerate(key)]).agg(
         F.min(F.struct(*fields)).alias("__row")
     )
     return best.select(*[F.col("__row").getField(c).alias(c) for c in df.columns])
 
 
-def drop_duplicates_any(df: DataFrame, key: list[str]) -> DataFrame:
-    """Order-insensitive dedup (any row per key) for when every copy is equal."""
-    return df.dropDuplicates(key)
-
-
 def dedup_report(df: DataFrame, key: list[str]) -> DataFrame:
     """before / after / removed / removed_pct in one pass (DD2, DD4).
 

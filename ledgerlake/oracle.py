@@ -204,7 +204,8 @@ TEXT_PRESENT = ["Region", "Category", "Sub-Category", "Segment", "Ship Mode", "S
 
 def silver_chain(src: str, p: str, text: bool = False, silver_time: str = FIXED_SILVER_TIME) -> str:
     """CTEs {p}dedup ... {p}silver from bronze-shaped ``src``."""
-    order = ", ".join(f"{q(c)} ASC NULLS FIRST" for c in BRONZE_DATA_COLS)
+    gap = " OR ".join(f"{q(c)} IS NULL" for c in MANDATORY_COLS)
+    order = ", ".join([f"CASE WHEN {gap} THEN 1 ELSE 0 END"] + [f"{q(c)} ASC NULLS LAST" for c in BRONZE_DATA_COLS])
     not_null = " AND ".join(f"{q(c)} IS NOT NULL" for c in MANDATORY_COLS)
     fills = ", ".join(
         f"coalesce({q(c)}, {lit(v)}) AS {q(c)}" for c, v in FILL_DEFAULTS.items() if c in BRONZE_DATA_COLS

@@ -53,15 +53,21 @@ def run_bronze(store: Store, orders: DataFrame, returns: DataFrame, reps: DataFr
 
 def run_silver(store: Store, silver_time: str | None = None, bronze_rows: int | None = None,
                thresholds: Thresholds = Thresholds()) -> tuple[int, float]:
-    """Build silver from the bronze table, write it, then apply the retention gate (DQ5)."""
+    """Build silver from the bronze table, stage it, apply the retention gate (DQ5), then publish.
+
+    A failed gate leaves the silver table of the run before as it was; the staged table stays for
+    inspection until the next run writes over it.
+    """
     bronze = store.read("bronze", BRONZE_TABLE)
     silver = build_silver(bronze, silver_time=silver_time)
-    n = store.write(silver, "silver", SILVER_TABLE, partition_by="Order_Year", bucket_by=order_buckets(store))
+    staged = f"{SILVER_TABLE}_staged"
+    n = store.write(silver, "silver", staged, partition_by="Order_Year", bucket_by=order_buckets(store))
     if bronze_rows is None:
         bronze_rows = bronze.count()
     pct = (n / bronze_rows * 100.0) if bronze_rows else 0.0
     if pct < thresholds.min_retention_pct:
         raise RetentionError(f"Retention {pct:.2f}% below threshold {thresholds.min_retention_pct}%")
+    store.write(store.read("silver", staged), "silver", SILVER_TABLE, partition_by="Order_Year", bucket_by=order_buckets(store))
     return n, pct
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.config import DEDUP_KEY, LAYER_SILVER, Thresholds
+from ledgerlake.config import DEDUP_KEY, LAYER_SILVER, MANDATORY_COLS, Thresholds
 from ledgerlake.operators.clean import (
     clamp_discount,
     coerce_types,
@@ -21,7 +21,7 @@ from ledgerlake.operators.derive import derive_measures
 
 def clean_rows(bronze: DataFrame, dedup_key=DEDUP_KEY, date_formats: list[str] | None = None) -> DataFrame:
     """Bronze -> typed, cleaned rows (no derived columns yet)."""
-    df = keep_first(bronze, list(dedup_key))
+    df = keep_first(bronze, list(dedup_key), complete=MANDATORY_COLS)
     df = drop_mandatory_nulls(df)
     df = fill_defaults(df)
     df = standardize_text(df)

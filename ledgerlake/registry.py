@@ -20,6 +20,7 @@ from ledgerlake.config import (
     CAT3,
     DEDUP_KEY,
     DUPLICATE_CHECK_KEY,
+    MANDATORY_COLS,
     TEXT_COLS,
     Coverage,
     Thresholds,
@@ -154,7 +155,7 @@ def q_year_multiplier_lookup(spark, sf):
 
 def q_dedup_deterministic(spark, sf):
     b = bronze_from_tables(spark, sf)
-    return dedup.keep_first(b, DEDUP_KEY).drop("_ingestion_timestamp", "_batch_id", "_source_layer")
+    return dedup.keep_first(b, DEDUP_KEY, complete=MANDATORY_COLS).drop("_ingestion_timestamp", "_batch_id", "_source_layer")
 
 
 def q_dedup_report(spark, sf):

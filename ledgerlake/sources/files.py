@@ -98,19 +98,48 @@ def require_sources(spark: SparkSession, paths: list[str]) -> None:
         raise MissingSourceError(f"Some source files missing: {missing}")
 
 
-def read_yearly(spark: SparkSession, paths: list[str], schema: StructType, year_pattern: str = r"_(\d{4})(?:/|$)",
-                required: list[str] | None = None) -> DataFrame:
-    """All yearly folders in ONE scan, tagged with Source_Year / Source_File from the path (SC5, Q13).
-
-    The year comes from the file's folder name (``sales_2019/part-...``): the
-    path wins over any year column inside the file.
+def yearly_folders(spark: SparkSession, paths: list[str]) -> list[str]:
+    """The folders (or files) that the paths, which may hold wildcards, stand for."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    out = []
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        found = p.getFileSystem(conf).globStatus(p) or []
+        out += [f.getPath().toString() for f in found if not f.getPath().getName().startswith(("_", "."))]
+    return sorted(set(out))
+
+
+def read_yearly(spark: SparkSession, paths: list[str], schema: StructType, required: list[str] | None = None) -> DataFrame:
+    """All yearly folders by column NAME, tagged with Source_Year / Source_File from the path (SC5, Q13).
+
+    Each folder's header is read: a folder that lacks a ``required`` column raises and is named, other
+    columns of ``schema`` that it lacks become NULL, columns unknown to the schema are left out. Folders
+    with one header are one scan; a file whose header differs from its folder's raises
+    (``enforceSchema`` is off). The year comes from the folder name (``sales_2019/part-...``): the path
+    wins over any year column inside the file.
     """
-    df = spark.read.option("header", True).schema(schema).csv(paths)
-    if required:
-        require_columns(df, required, "yearly files")
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for folder in yearly_folders(spark, paths):
+        header = tuple(spark.read.option("header", True).csv(folder).columns)
+        miss = [c for c in required or [] if c not in {h.strip() for h in header}]
+        if miss:
+            raise MissingColumnsError(f"{folder} missing mandatory columns: {miss}")
+        by_header.setdefault(header, []).append(folder)
+    if not by_header:
+        raise MissingSourceError(f"Some source files missing: {paths}")
+    kinds = {f.name: f.dataType for f in schema.fields}
     folder = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/[^/]+$", 1)
     year = F.regexp_extract(folder, r"(\d{4})$", 1)
-    return df.withColumns({"Source_Year": F.when(year != "", year.cast("int")), "Source_File": folder})
+    frames = []
+    for header, folders in by_header.items():
+        own = StructType([StructField(h, kinds.get(h.strip(), StringType())) for h in header])
+        df = spark.read.option("header", True).option("enforceSchema", False).schema(own).csv(folders)
+        df = df.withColumns({"__year": F.when(year != "", year.cast("int")), "__file": folder})
+        here = {h.strip(): h for h in header}
+        columns = [F.col(f"`{here[c]}`").alias(c) if c in here else F.lit(None).cast(t).alias(c) for c, t in kinds.items()]
+        columns = [c for c, name in zip(columns, kinds) if name not in ("Source_Year", "Source_File")]
+        frames.append(df.select(*columns, F.col("__year").alias("Source_Year"), F.col("__file").alias("Source_File")))
+    return union_by_name(frames)
 
 
 def union_by_name(frames: list[DataFrame]) -> DataFrame:

@@ -9,7 +9,7 @@ from tests import frames
 def test_text_in_number_column_and_nan(spark):
     df = frames.orders(spark, [{"Sales": "abc", "Quantity": "2.5"}, {"Sales": "NaN"}, {"Sales": "12.5"}])
     out = clean.coerce_types(df).select("Sales", "Quantity").collect()
-    assert out[0].Sales is None and out[0].Quantity is None
+    assert out[0].Sales is None and out[0].Quantity == 2  # the fraction is dropped
     assert out[1].Sales is None
     assert out[2].Sales == 12.5 and out[2].Quantity == 2
 
@@ -31,6 +31,19 @@ def test_keep_first_is_deterministic(spark):
     assert picks == {("EAST", "0.1")}  # smallest over all columns (uppercase sorts first)
 
 
+def test_keep_first_prefers_the_complete_copy(spark):
+    df = frames.orders(spark, [{"Region": None, "City": "A"}, {"Region": "West", "City": "B"}, {"Region": "West", "City": None}])
+    (r,) = dedup.keep_first(df, ["Order ID", "Product ID", "Source_Year"], complete=["Region"]).collect()
+    assert (r["Region"], r["City"]) == ("West", "B")
+
+
+def test_integer_columns_take_numeric_text(spark):
+    texts = ["3.0", "3.7", " 3 ", "x", "1e20", "-2.9", "2147483647", "2147483648", "NaN", None]
+    df = frames.orders(spark, [{"Order ID": str(i), "Quantity": t} for i, t in enumerate(texts)])
+    got = {int(r["Order ID"]): r["Quantity"] for r in clean.coerce_types(df).collect()}
+    assert [got[i] for i in range(len(texts))] == [3, 3, 3, None, None, -2, 2147483647, None, None, None]
+
+
 def test_duplicate_returns_do_not_fan_out(spark):
     o = frames.orders(spark, [{"Order ID": "A"}, {"Order ID": "B"}])
     r = frames.returns(spark, [("A", "Wrong Item"), ("A", "Changed Mind")])

@@ -20,6 +20,18 @@ def test_csv_roundtrip_and_yearly_scan(spark, tmp_dir):
         files.read_yearly(spark, [f"{tmp_dir}/sales_2019"], schema, required=["Nope"])
 
 
+def test_yearly_files_are_read_by_name(spark, tmp_dir):
+    for year, text in (("2020", "Region,Order ID,Sales,Extra\nWest,B,2.5,x\n"), ("2021", " Sales ,Order ID\n7,C\n"), ("2022", "Region,Order ID\nSouth,D\n")):
+        os.makedirs(f"{tmp_dir}/sales_{year}")
+        with open(f"{tmp_dir}/sales_{year}/part.csv", "w") as fh:
+            fh.write(text)
+    schema = files.text_schema(["Order ID", "Sales", "Region"])
+    got = files.read_yearly(spark, [f"{tmp_dir}/sales_2020", f"{tmp_dir}/sales_2021"], schema, required=["Sales"])
+    assert sorted(tuple(r) for r in got.collect()) == [("B", "2.5", "West", 2020, "sales_2020"), ("C", "7", None, 2021, "sales_2021")]
+    with pytest.raises(files.MissingColumnsError, match="sales_2022.*Sales"):
+        files.read_yearly(spark, [f"{tmp_dir}/*"], schema, required=["Sales"])
+
+
 def test_source_gate(spark, tmp_dir):
     os.makedirs(f"{tmp_dir}/empty")
     assert not path_has_files(spark, f"{tmp_dir}/empty")

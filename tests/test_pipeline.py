@@ -31,3 +31,26 @@ def test_run_all_writes_every_layer(spark, tmp_dir, catalog):
     bad = {r.check_name for r in report if r.status != "PASS"}
     assert bad <= {"Sales Trend Years Coverage", "KPIs Cover All 7 Years", "YoY Growth Calculation",
                    "Discount Buckets Complete"}
+
+
+def test_failed_gate_leaves_the_silver_table(spark, tmp_dir):
+    import pytest
+
+    from ledgerlake.config import Thresholds
+    from ledgerlake.plans import pipeline
+    from ledgerlake.plans.silver import RetentionError
+    from ledgerlake.sinks.writers import Store
+    from tests import frames
+
+    store = Store(spark, base_path=tmp_dir, use_catalog=False)
+    orders = frames.orders(spark, [{"Order ID": str(i)} for i in range(5)])
+    args = (frames.returns(spark, [("1", "Wrong Item")]), frames.reps(spark))
+    n = pipeline.run_bronze(store, orders, *args, batch_time="2024-01-01 06:00:00")
+    pipeline.run_silver(store, silver_time="2024-01-01 06:00:00", bronze_rows=n)
+    assert store.read("silver", pipeline.SILVER_TABLE).count() == 5
+    bad = frames.orders(spark, [{"Order ID": str(i), "Sales": "-1"} for i in range(5)])
+    n = pipeline.run_bronze(store, bad, *args, batch_time="2024-01-02 06:00:00")
+    with pytest.raises(RetentionError):
+        pipeline.run_silver(store, silver_time="2024-01-02 06:00:00", bronze_rows=n, thresholds=Thresholds())
+    spark.catalog.clearCache()
+    assert store.read("silver", pipeline.SILVER_TABLE).count() == 5
