@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.llm import jaccard_join, packing, pii, quality, suffix_dedup
-from ledgerlake.llm.common import KEY, documents, keyed_rows, stored, text_bytes
+from ledgerlake.llm.common import KEY, documents, keyed_rows, stored, text_bytes, trimmed
 
 THRESHOLD = 0.3
 END_ID = 2
@@ -25,7 +25,7 @@ def _same_columns(docs: DataFrame, fn) -> DataFrame:
             if batch.num_rows:
                 yield fn(batch)
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(trimmed(run), docs.schema)
 
 
 def _with_text(batch: pa.RecordBatch, texts: list) -> pa.RecordBatch:
@@ -68,7 +68,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
             texts = [k.decode("utf-8", "ignore") for k in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=[KEY, "new_text__"])
 
-    cut = cut.mapInArrow(run, f"{KEY} long, new_text__ string")
+    cut = cut.mapInArrow(trimmed(run), f"{KEY} long, new_text__ string")
     rest = rows.withColumn("null__", F.col("text").isNull()).drop("text").join(cut, KEY)
     text = F.when(~F.col("null__"), F.col("new_text__"))
     new = {"text": text.alias("text"), "n_chars": F.char_length(text).cast("long").alias("n_chars")}

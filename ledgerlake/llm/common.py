@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+import ctypes.util
+import gc
 import hashlib
 import uuid
 from collections.abc import Callable, Iterator
@@ -31,15 +34,47 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
-    """``fn`` over each Arrow batch (bounded in rows and bytes by Spark's Arrow settings)."""
+HELD: dict = {}  # what an operator keeps in a worker from one task to the next
+
+
+def held(name: str, make: Callable[[], object]):
+    """The worker's object of this name, made when first asked for."""
+    if name not in HELD:
+        HELD[name] = make()
+    return HELD[name]
+
+
+def hand_back(keep: str = "") -> None:
+    """Drop what is held but ``keep`` and give freed memory back to the system: workers outlive the tasks they serve."""
+    for name in [x for x in HELD if x != keep]:
+        del HELD[name]
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(ctypes.util.find_library("c")), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def trimmed(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], keep: str = ""):
+    """``run`` over the batches of a partition, with no memory left over from other operators before it or from itself after it."""
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hand_back(keep)
+        yield from run(batches)
+        hand_back(keep)
+
+    return whole
+
+
+def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, keep: str = "") -> DataFrame:
+    """``fn`` over each Arrow batch (bounded in rows and bytes by Spark's Arrow settings); ``keep`` as in trimmed()."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 yield fn(batch)
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(trimmed(run, keep), schema)
 
 
 def strings(column: pa.Array) -> list[str]:
@@ -316,7 +351,7 @@ def components(edges: DataFrame, name: str, most_rounds: int = 60) -> DataFrame:
     each round are written to the shared folder; only one count reaches the driver.
     """
     spark = edges.sparkSession
-    live = edges.filter("a <> b").select(F.col("a").cast("long"), F.col("b").cast("long")).mapInArrow(local_forest, "a long, b long")
+    live = edges.filter("a <> b").select(F.col("a").cast("long"), F.col("b").cast("long")).mapInArrow(trimmed(local_forest), "a long, b long")
     live = stored(live.distinct(), f"{name}-edges")
     parent: DataFrame | None = None
     for k in range(most_rounds):
@@ -337,7 +372,7 @@ def components(edges: DataFrame, name: str, most_rounds: int = 60) -> DataFrame:
             parent = stored(parent, f"{name}-parent{k}")
         to = lambda c: hook.select(F.col("node").alias(c), F.col("up").alias(f"{c}2"))
         live = live.join(to("a"), "a").join(to("b"), "b").filter("a2 <> b2").select(F.col("a2").alias("a"), F.col("b2").alias("b"))
-        live = stored(live.mapInArrow(local_forest, "a long, b long").distinct(), f"{name}-live{k}")
+        live = stored(live.mapInArrow(trimmed(local_forest), "a long, b long").distinct(), f"{name}-live{k}")
     else:
         raise RuntimeError("components did not settle")
     if parent is None:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import binary_column, components, documents, hash_ranges, local_forest, mixed, offsets, ragged_index, row_blocks, stored, text_bytes, with_key, word_ranges
+from ledgerlake.llm.common import binary_column, components, documents, hash_ranges, local_forest, mixed, offsets, ragged_index, row_blocks, stored, text_bytes, trimmed, with_key, word_ranges
 
 WORDS, SHARE = 5, 80  # shingle length, hundredths of the union
 SMALL = 16  # sets in a bucket, up to which the bucket is kept as one row
@@ -416,13 +416,13 @@ def link(docs: DataFrame, words: int = WORDS, share: int = SHARE, small: int = S
     """
     spark = docs.sparkSession
     texts = with_key(docs, id_col, text_col)
-    rows = stored(texts.select("key", "doc_id", "text").mapInArrow(_sizes(words), "key long, doc_id long, n long, name long, hist binary"), "jaccard-sets")
+    rows = stored(texts.select("key", "doc_id", "text").mapInArrow(trimmed(_sizes(words)), "key long, doc_id long, n long, name long, hist binary"), "jaccard-sets")
     sets = rows.filter("n > 0").groupBy("name").agg(F.min("key").alias("rep"), F.first("n").alias("n"), F.first("hist").alias("hist"))
     by_band = sets.groupBy(F.floor(F.log2(F.col("n") + 0.5) + 1).cast("int").alias("b")).count().collect()  # as many rows as sizes have bits
     schemes = bands({r["b"]: r["count"] for r in by_band}, share)
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    dealt = texts.select("text").mapInArrow(_blocks(words, schemes, share, parts, small), "place long, sig binary, owner binary, names binary, kind binary")
-    found = dealt.repartitionById(parts, F.col("place").cast("int")).mapInArrow(_buckets(small), "members array<long>, sig long, name long, info long")
+    dealt = texts.select("text").mapInArrow(trimmed(_blocks(words, schemes, share, parts, small)), "place long, sig binary, owner binary, names binary, kind binary")
+    found = dealt.repartitionById(parts, F.col("place").cast("int")).mapInArrow(trimmed(_buckets(small)), "members array<long>, sig long, name long, info long")
     found = stored(found, "jaccard-buckets")
     groups = stored(found.filter("members is not null").select("members").distinct(), "jaccard-groups")
     large = found.filter("members is null").select("sig", "name", F.floor(F.col("info") / 2).alias("spare"), (F.col("info") % 2 != 0).alias("below"))
@@ -439,10 +439,10 @@ def link(docs: DataFrame, words: int = WORDS, share: int = SHARE, small: int = S
     def verified(pairs: DataFrame, step: str) -> DataFrame:
         side = lambda x: met.select(F.col("name").alias(x), F.col("n").alias(f"n{x}"), F.col("hist").alias(f"h{x}"))
         pairs = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "ha", "hb")
-        pairs = stored(pairs.mapInArrow(_likely(share), "a long, b long"), f"{step}-likely")
+        pairs = stored(pairs.mapInArrow(trimmed(_likely(share)), "a long, b long"), f"{step}-likely")
         left, right = some.select(F.col("name").alias("a"), F.col("text").alias("ta")), some.select(F.col("name").alias("b"), F.col("text").alias("tb"))
         pairs = pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb")
-        return stored(pairs.mapInArrow(_verify(words, share), "a long, b long"), step)
+        return stored(pairs.mapInArrow(trimmed(_verify(words, share)), "a long, b long"), step)
 
     links = verified(star, "jaccard-links")
     reps = sets.select("name", "rep")
@@ -475,7 +475,7 @@ def link(docs: DataFrame, words: int = WORDS, share: int = SHARE, small: int = S
         family = components(left.join(heads, "sig").select(F.col("name").alias("a"), "b"), "jaccard-family").toDF("name", "family")
         member = left.select("name", "root").distinct().join(family, "name").select("name", "family", "root")
         blocks = member.groupBy("family").agg(F.ceil(F.count("*") / block).alias("nb"))
-        shingles = some.join(member.select("name"), "name").select("name", "text").mapInArrow(_set_bytes(words), "name long, shingles binary")
+        shingles = some.join(member.select("name"), "name").select("name", "text").mapInArrow(trimmed(_set_bytes(words)), "name long, shingles binary")
         member = stored(member.join(blocks, "family").join(shingles, "name"), "jaccard-members")
         member = member.withColumn("at", F.pmod(F.xxhash64("name"), F.col("nb"))).withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("nb") - 1)))
         lo, hi = F.least("at", "with"), F.greatest("at", "with")

@@ -13,7 +13,6 @@ what each queue was due by then less what it was served. Only per-(bucket, sourc
 
 from __future__ import annotations
 
-from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -24,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import SPAN, Words, binary_column, documents, letter_sign_cuts, map_arrow, offsets, row_blocks, running_start, stored, text_bytes, word_ranges
+from ledgerlake.llm.common import SPAN, Words, binary_column, documents, held, letter_sign_cuts, map_arrow, offsets, row_blocks, running_start, stored, text_bytes, word_ranges
 
 WINDOW = 4096
 CHUNK = 512
@@ -83,9 +82,8 @@ class WordTokenizer:
         return ids, np.diff(offsets(lens)[offsets(counts)])
 
 
-@lru_cache(maxsize=2)
 def tokenizer(path: str) -> WordTokenizer:
-    return WordTokenizer(path)
+    return held(f"words of {path}", lambda: WordTokenizer(path))
 
 
 def tokenize(docs: DataFrame, path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
@@ -104,7 +102,7 @@ def tokenize(docs: DataFrame, path: str, end_id: int, id_col: str = "doc_id", te
         return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n), binary_column(np.concatenate(values), offsets(n))], names=["doc_id", "source", "n", "tokens"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), F.col(text_col).alias("t"))
-    return map_arrow(rows, run, "doc_id long, source string, n long, tokens binary")
+    return map_arrow(rows, run, "doc_id long, source string, n long, tokens binary", keep=f"words of {path}")
 
 
 class Fluid:

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import SPAN, Words, documents, map_arrow, offsets, row_blocks, text_bytes, word_ranges
+from ledgerlake.llm.common import SPAN, Words, documents, held, map_arrow, offsets, row_blocks, text_bytes, word_ranges
 from ledgerlake.llm.crf import Crf
 
 # fixed values: the base patterns
@@ -249,14 +249,8 @@ def _joined(spans: list) -> str:
     return ",".join(f"{k}:{a}:{b}" for a, b, k in spans)
 
 
-_TAGGER: dict = {}
-
-
 def _tagger(crf: Crf) -> Tagger:
-    if id(crf) not in _TAGGER:
-        _TAGGER.clear()
-        _TAGGER[id(crf)] = (Tagger(crf), crf)
-    return _TAGGER[id(crf)][0]
+    return held(f"tagger {id(crf)}", lambda: (Tagger(crf), crf))[0]
 
 
 def find(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", crf: Crf | None = None) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import SPAN, _powers, documents, mixed, ragged_index, row_blocks, stored, text_bytes, with_key
+from ledgerlake.llm.common import SPAN, _powers, documents, mixed, ragged_index, row_blocks, stored, text_bytes, trimmed, with_key
 
 WINDOW, GRAIN = 100, 48
 HOT = 64  # stretches of one string in one batch, from which the string is spread over tasks
@@ -221,7 +221,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, grain: int = GRAIN, ho
     """
     texts = with_key(docs, id_col, text_col).filter("key is not null").select("key", "doc_id", F.col("text").cast("binary").alias("text"))
     n = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
-    rows = texts.filter(F.octet_length("text") >= window).select("key", "text").mapInArrow(_first_digits(window, grain, hot), ROWS)
+    rows = texts.filter(F.octet_length("text") >= window).select("key", "text").mapInArrow(trimmed(_first_digits(window, grain, hot)), ROWS)
     whole = W.partitionBy("p", "k", "sure")
     by_stretch = whole.orderBy("c", "key", "a")
     # rows of a spread string sit at p = c ^ k and are known (an odd c) to have company
@@ -236,13 +236,13 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, grain: int = GRAIN, ho
     listed = lambda df: df.groupBy("key").agg(F.collect_list(F.struct("a", "n")).alias("rows"))
     # both joins with the texts read one shuffle of them
     asked = texts.join(listed(judged.filter("not sure")), "key")
-    windows = asked.select("key", "doc_id", "text", "rows").mapInArrow(_windows(window), "w long, key long, s long, m long")
+    windows = asked.select("key", "doc_id", "text", "rows").mapInArrow(trimmed(_windows(window)), "w long, key long, s long, m long")
     own = F.col("w").isNull()
     nth = F.row_number().over(W.partitionBy(F.coalesce("w", "key"), own).orderBy("key", "s"))
     later = windows.withColumn("nth", nth).filter(own | (F.col("nth") > 1))
     repeats = judged.filter("sure").select("key", "a", "n").union(later.select("key", "s", "m"))
     out = texts.join(listed(repeats), "key", "left")
-    return out.select("key", "doc_id", "text", "rows").mapInArrow(_cut, "key long, doc_id long, n_bytes long, n_removed long, spans array<struct<a:long,n:long>>, kept binary")
+    return out.select("key", "doc_id", "text", "rows").mapInArrow(trimmed(_cut), "key long, doc_id long, n_bytes long, n_removed long, spans array<struct<a:long,n:long>>, kept binary")
 
 
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
