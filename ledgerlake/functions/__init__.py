@@ -6,11 +6,8 @@ from ledgerlake.functions.hashing import hash_bucket, pick_label, record_hash, s
 from ledgerlake.functions.numeric import (
     clamp,
     exact_avg,
-    exact_sum,
     pct,
     round_money_sum,
-    safe_div,
-    to_double,
 )
 from ledgerlake.functions.text import col, title_case
 
@@ -19,15 +16,12 @@ __all__ = [
     "col",
     "discount_bucket",
     "exact_avg",
-    "exact_sum",
     "hash_bucket",
     "parse_date",
     "pct",
     "pick_label",
     "record_hash",
     "round_money_sum",
-    "safe_div",
     "seeded_fraction",
     "title_case",
-    "to_double",
 ]

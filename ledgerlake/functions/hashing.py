@@ -16,8 +16,9 @@ def record_hash(*cols: Column) -> Column:
 
 
 def hash_bucket(seed: int, *cols: Column, buckets: int = 10000) -> Column:
-    """Stable bucket in [0, buckets) from the values of ``cols`` and a seed."""
-    return F.pmod(F.xxhash64(F.lit(seed), *cols), F.lit(buckets))
+    """Stable bucket in [0, buckets) from the text of ``cols`` and a seed: md5's first 32 bits, which any SQL engine can follow."""
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *[c.cast("string") for c in cols]))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % F.lit(buckets)
 
 
 def seeded_fraction(fraction: float, seed: int, *cols: Column) -> Column:

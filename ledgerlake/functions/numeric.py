@@ -12,33 +12,27 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-# Scale used for exact sums; wider than the data's two decimals so the cast
-# never moves a value across a rounding boundary.
+# Type of exact sums: values below MONEY_LIMIT in size with up to six decimals.
+# Wider than the data's two decimals, so the cast never moves a value across a
+# rounding boundary. A value beyond the limit or not finite counts as missing
+# in totals and averages alike; coerce_types() turns such values into NULL.
 SUM_TYPE = DecimalType(24, 6)
+MONEY_LIMIT = 1e18
 
 
-def to_double(c: Column) -> Column:
-    return c.cast("double")
-
-
-def safe_div(num: Column, den: Column) -> Column:
-    """num / den; NULL when den is 0 or NULL (never raises)."""
-    return F.try_divide(num, den)
-
-
-def exact_sum(c: Column) -> Column:
-    """Order-independent sum of a double column, as DOUBLE."""
-    return F.sum(c.cast(SUM_TYPE)).cast("double")
+def money(c: Column) -> Column:
+    """The value as it enters exact sums; NULL where no exact sum can hold it."""
+    return c.try_cast(SUM_TYPE)
 
 
 def round_money_sum(c: Column, scale: int = 2) -> Column:
     """round(sum(c), scale), computed exactly."""
-    return F.round(F.sum(c.cast(SUM_TYPE)), scale).cast("double")
+    return F.round(F.sum(money(c)), scale).cast("double")
 
 
 def exact_avg(c: Column) -> Column:
-    """avg(c) over non-NULL values from an exact sum; NULL for no values."""
-    return F.try_divide(F.sum(c.cast(SUM_TYPE)).cast("double"), F.count(c).cast("double"))
+    """avg(c) over the values that enter exact sums; NULL for no values."""
+    return F.try_divide(F.sum(money(c)).cast("double"), F.count(money(c)).cast("double"))
 
 
 def pct(num: Column, den: Column, scale: int = 2) -> Column:

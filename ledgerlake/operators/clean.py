@@ -20,7 +20,7 @@ from ledgerlake.config import (
     TEXT_COLS,
 )
 from ledgerlake.functions.dates import parse_date
-from ledgerlake.functions.numeric import clamp
+from ledgerlake.functions.numeric import MONEY_LIMIT, clamp
 from ledgerlake.functions.text import col, title_case
 
 
@@ -67,7 +67,7 @@ def parse_dates(df: DataFrame, cols=DATE_COLS, formats: list[str] | None = None)
 
 
 def coerce_types(df: DataFrame, doubles=DOUBLE_COLS, ints=INT_COLS) -> DataFrame:
-    """Cast by map with ``try_cast`` (CL8); NaN becomes NULL on doubles.
+    """Cast by map with ``try_cast`` (CL8); NaN, infinities and sizes from MONEY_LIMIT on become NULL on doubles.
 
     Text such as 'abc' in a number column becomes NULL. Integer columns take
     any finite number in range ('3.0', ' 3 ', '3.7') and drop its fraction;
@@ -85,7 +85,7 @@ def coerce_types(df: DataFrame, doubles=DOUBLE_COLS, ints=INT_COLS) -> DataFrame
             v = col(c).cast(DoubleType())
         else:
             v = col(c).try_cast(DoubleType())
-        changes[c] = F.nanvl(v, F.lit(None).cast(DoubleType()))
+        changes[c] = F.when(F.abs(v) < F.lit(MONEY_LIMIT), v)
     for c in present(df, ints):
         src = types[c]
         if isinstance(src, IntegerType):

@@ -97,10 +97,13 @@ def scale_by_year(df: DataFrame, year_col: str = "Source_Year", table: dict | No
 
 def row_ids_by_year(df: DataFrame, year_col: str = "Source_Year", order_col: str = "Order ID",
                     base_year: int = 2018, block: int = 10000, name: str = "Row ID") -> DataFrame:
-    """Row ID = (year - base_year) * block + 1..n within the year (GE2/WI6), distributed."""
-    base = (col(year_col) - F.lit(base_year)) * F.lit(block)
+    """Row ID = (year - base_year) * block + 1..n within the year (GE2/WI6), distributed.
+
+    A year with more rows than ``block`` raises, as its ids would run into the next year's.
+    """
+    base = (col(year_col) - F.lit(base_year)).cast("long") * F.lit(block)
     df = df.drop(name) if name in df.columns else df
-    return sequential_ids(df, year_col, order_col, name, base=base.cast("long"))
+    return sequential_ids(df, year_col, order_col, name, base=base, most=block)
 
 
 def seeded_sample(df: DataFrame, fraction: float, seed: int = RANDOM_SEED, key: list[str] | None = None) -> DataFrame:

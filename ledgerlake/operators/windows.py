@@ -5,28 +5,29 @@ aggregation the partitions are small. A rank over the WHOLE frame is
 different: ``Window.orderBy`` without a partition moves every row into one
 task. ``global_rank`` computes the same numbers without that:
 
-1. reduce to distinct values with their multiplicity (partial aggregate, so a
-   value held by a third of the rows is one row per map task), checkpointed
-   (reliably, in the shared folder) so the input is computed once;
-2. cut the distinct values into ranges at approximate quantiles (a fixed
-   number of cut points reaches the driver, never data);
+1. store the input, reduce it to distinct values with their multiplicity
+   (partial aggregate, so a value held by a third of the rows is one row per
+   map task) and store those (reliably, in the shared folder);
+2. range-partition the distinct values (``repartitionByRange``, as many ranges
+   as their count asks for) and store them with the number of their range;
 3. rank inside each range with a window partitioned by range, and add the
-   number of rows in all earlier ranges (a table with one row per range,
-   broadcast: its size is bounded by the number of ranges);
+   number of rows in all earlier ranges (a table with one row per range);
 4. join the rank back on the value (AQE splits a skewed value on the big side).
 
-Ties share a rank and leave a gap after, exactly like ``rank()``.
+Ties share a rank and leave a gap after, as with ``rank()``; the rank is a
+bigint, as it may exceed what an int holds.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
 
 from ledgerlake.functions.text import col
 from ledgerlake.session import cut_lineage
 
+RANGE_ROWS = 2_000_000  # rows that one task numbers
+
 
 def rank_within(df: DataFrame, partition: list[str], order: list[Column], name: str) -> DataFrame:
     """rank() over (partition by ... order by ...) (WI1, WI2)."""
@@ -34,59 +35,33 @@ def rank_within(df: DataFrame, partition: list[str], order: list[Column], name:
     return df.withColumn(name, F.rank().over(w))
 
 
-def _cut_points(values: DataFrame, column: str, ranges: int, rel_err: float) -> list:
-    probs = [i / ranges for i in range(1, ranges)]
-    cuts = values.approxQuantile(column, probs, rel_err)
-    return sorted(set(c for c in cuts if c is not None))
+def _in_ranges(df: DataFrame, rows: int, per_range: int, order: list[Column]) -> DataFrame:
+    """``df`` stored in ranges of about ``per_range`` rows, numbered in order as ``__r``.
+
+    Stored, because another run of the plan could draw the ranges elsewhere.
+    """
+    ranges = max(1, -(-rows // per_range))
+    return cut_lineage(df.repartitionByRange(ranges, *order).withColumn("__r", F.spark_partition_id()))
 
 
-def global_rank(df: DataFrame, order_col: str, name: str, ascending: bool = True,
-                ranges: int = 64, rel_err: float = 0.001, single_task_max: int = 1_000_000) -> DataFrame:
-    """rank() over (order by order_col) without a single-partition window over the rows.
+def global_rank(df: DataFrame, order_col: str, name: str, ascending: bool = True, per_range: int = RANGE_ROWS) -> DataFrame:
+    """rank() over (order by order_col) as bigint, without a single-partition window over the rows.
 
     Ascending puts NULLs first, descending puts them last (Spark's defaults).
-    Needs a numeric ``order_col``. When the number of DISTINCT values is at
-    most ``single_task_max`` (counted on the checkpointed value table, a
-    proven bound), the values are ranked by one window over that small table;
-    beyond it, by ranges.
+    ``per_range`` is the number of distinct values that one task ranks.
     """
-    if not isinstance(df.schema[order_col].dataType, NumericType):
-        raise TypeError(f"global_rank needs a numeric column, got {df.schema[order_col].dataType}")
     v = col(order_col)
-    # distinct values with multiplicity, checkpointed in the shared folder: the
-    # size check, the quantile job and the ranking read it instead of
-    # recomputing the input
+    df = cut_lineage(df)
     counts = cut_lineage(df.groupBy(v.alias("__v")).agg(F.count(F.lit(1)).alias("__n")))
     order = F.col("__v").asc_nulls_first() if ascending else F.col("__v").desc_nulls_last()
-    if counts.count() <= single_task_max:
-        before = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-        ranked = counts.select("__v", (F.coalesce(F.sum("__n").over(before), F.lit(0)) + 1).cast("int").alias(name))
-        return df.join(ranked, v.eqNullSafe(F.col("__v")), "left").drop("__v")
-    cuts = _cut_points(counts.select(F.col("__v").cast("double").alias("__v")), "__v", ranges, rel_err)
-    arr = F.array(*[F.lit(float(c)) for c in cuts])
-    x = F.col("__v").cast("double")
-    if ascending:
-        rng = F.when(F.col("__v").isNull(), F.lit(-1)).otherwise(F.size(F.filter(arr, lambda c: c < x)))
-        order = F.col("__v").asc_nulls_first()
-    else:
-        rng = F.when(F.col("__v").isNull(), F.lit(len(cuts) + 1)).otherwise(F.size(F.filter(arr, lambda c: c > x)))
-        order = F.col("__v").desc_nulls_last()
-    counts = counts.withColumn("__r", rng)
-    per_range = counts.groupBy("__r").agg(F.sum("__n").alias("__rn"))
-    before_range = Window.orderBy("__r").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_range.select("__r", F.coalesce(F.sum("__rn").over(before_range), F.lit(0)).alias("__off"))
-    before_value = Window.partitionBy("__r").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    local = counts.select("__r", "__v", F.coalesce(F.sum("__n").over(before_value), F.lit(0)).alias("__before"))
-    ranked = local.join(F.broadcast(offsets), "__r").select(
-        "__v", (F.col("__off") + F.col("__before") + 1).cast("int").alias(name)
-    )
-    out = df.join(ranked, v.eqNullSafe(F.col("__v")), "left")
-    return out.drop("__v")
-
-
-def single_partition_rank(df: DataFrame, order: list[Column], name: str) -> DataFrame:
-    """rank() over (order by ...) as a plain window: for inputs of bounded size only."""
-    return df.withColumn(name, F.rank().over(Window.orderBy(*order)))
+    counts = _in_ranges(counts, counts.count(), per_range, [order])
+    per = counts.groupBy("__r").agg(F.sum("__n").alias("__rn"))
+    earlier = Window.orderBy("__r").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    offsets = per.select("__r", F.coalesce(F.sum("__rn").over(earlier), F.lit(0)).alias("__off"))
+    before = Window.partitionBy("__r").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    local = counts.select("__r", "__v", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    ranked = local.join(offsets, "__r").select("__v", (F.col("__off") + F.col("__before") + 1).cast("long").alias(name))
+    return df.join(ranked, v.eqNullSafe(F.col("__v")), "left").drop("__v")
 
 
 def lag_previous_row(df: DataFrame, order_col: str, value_col: str, name: str) -> DataFrame:
@@ -111,87 +86,29 @@ def growth_pct(current: Column, previous: Column) -> Column:
     ).otherwise(F.lit(None).cast("double"))
 
 
-def _tuple_cuts(df: DataFrame, key_cols: list[str], ranges: int, sample_rows: int, seed: int = 17) -> list:
-    """Up to ``ranges - 1`` cut tuples over the full sort key, from a bounded sample.
-
-    The sample (about ``sample_rows`` rows of the key columns) is sorted by
-    Spark, so the cuts follow Spark's own ordering; only the cut tuples reach
-    the driver.
-    """
-    n = df.count()
-    if n == 0 or ranges <= 1:
-        return []
-    frac = min(1.0, sample_rows / n)
-    order = [col(c).asc_nulls_first() for c in key_cols]
-    sample = df.select(*[col(c) for c in key_cols]).sample(False, frac, seed).orderBy(*order).collect()
-    if not sample:
-        return []
-    step = len(sample) / ranges
-    picks = sorted(set(int(step * i) for i in range(1, ranges)))
-    return [tuple(sample[i]) for i in picks if 0 < i < len(sample)]
-
-
-def _sql_literal(v, dtype) -> str:
-    """A typed SQL literal for value ``v`` of Spark type ``dtype``."""
-    import datetime as _dt
-    import decimal as _dec
-    import math as _math
-
-    t = dtype.simpleString()
-    if v is None:
-        return f"CAST(NULL AS {t})"
-    if isinstance(v, bool):
-        return "TRUE" if v else "FALSE"
-    if isinstance(v, str):
-        return "CAST('" + v.replace("\\", "\\\\").replace("'", "\\'") + f"' AS {t})"
-    if isinstance(v, float):
-        text = repr(v) if _math.isfinite(v) else ("NaN" if _math.isnan(v) else ("Infinity" if v > 0 else "-Infinity"))
-        return f"CAST('{text}' AS {t})"
-    if isinstance(v, (int, _dec.Decimal)):
-        return f"CAST('{v}' AS {t})"
-    if isinstance(v, _dt.datetime):
-        return f"CAST('{v.isoformat(sep=' ')}' AS {t})"
-    if isinstance(v, _dt.date):
-        return f"CAST('{v.isoformat()}' AS {t})"
-    raise TypeError(f"no SQL literal for {type(v)}")
-
-
 def sequential_ids(df: DataFrame, group_col: str, order_col: str, name: str, base: Column | None = None,
-                   ranges: int = 64, sample_rows: int | None = None) -> DataFrame:
+                   per_range: int = RANGE_ROWS, most: int | None = None) -> DataFrame:
     """1..n per group in (order_col, other columns) order, plus ``base`` (WI6).
 
-    Same idea as ``global_rank`` but for row numbers: rows are cut into
-    ranges of the FULL sort key (cut tuples from a bounded sample), numbered
+    The rows are stored once, range-partitioned by group and full sort key, numbered
     inside (group, range), and shifted by the row count of the earlier ranges
     of the same group. A big group and a hot ``order_col`` value are both
     spread over many ranges (rows equal in every column are interchangeable
-    and can only stay together).
+    and can only stay together). A group with over ``most`` rows raises.
     """
-    others = [c for c in df.columns if c not in (order_col, group_col)]
-    key_cols = [order_col] + others
-    types = dict((f.name, f.dataType) for f in df.schema.fields)
-    cuts = _tuple_cuts(df, key_cols, ranges, sample_rows or 40 * ranges)
-    key = "named_struct(" + ", ".join(f"'k{i}', `{c}`" for i, c in enumerate(key_cols)) + ")"
-    lits = ["named_struct(" + ", ".join(f"'k{i}', {_sql_literal(v, types[c])}" for i, (c, v) in enumerate(zip(key_cols, cut)))
-            + ")" for cut in cuts]
-
-    def search(lo: int, hi: int) -> str:
-        # range index = number of cuts below the key; a balanced CASE tree
-        # (binary search, compiled) costs log2(ranges) comparisons per row.
-        # Built as one SQL expression: one parse instead of thousands of calls.
-        if lo >= hi:
-            return str(lo)
-        mid = (lo + hi) // 2
-        return f"CASE WHEN {key} <= {lits[mid]} THEN {search(lo, mid)} ELSE {search(mid + 1, hi)} END"
-
-    rng = F.expr(search(0, len(cuts)))
-    tagged = df.withColumn("__r", rng)
+    key_cols = [order_col] + [c for c in df.columns if c not in (order_col, group_col)]
+    order = [col(c).asc_nulls_first() for c in key_cols]
     g = col(group_col)
+    df = cut_lineage(df)
+    tagged = _in_ranges(df, df.count(), per_range, [g.asc_nulls_first(), *order])
     per = tagged.groupBy(g.alias("__g"), F.col("__r")).agg(F.count(F.lit(1)).alias("__cnt"))
+    if most is not None:
+        largest = per.groupBy("__g").agg(F.sum("__cnt").alias("n")).agg(F.max("n")).first()[0] or 0
+        if largest > most:
+            raise ValueError(f"a group of {largest} rows does not fit into ids for {most}")
     prev = Window.partitionBy("__g").orderBy("__r").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per.select("__g", F.col("__r").alias("__r2"), F.coalesce(F.sum("__cnt").over(prev), F.lit(0)).alias("__off"))
-    w = Window.partitionBy(g, F.col("__r")).orderBy(*[col(c).asc_nulls_first() for c in key_cols])
-    local = tagged.withColumn("__rn", F.row_number().over(w))
+    local = tagged.withColumn("__rn", F.row_number().over(Window.partitionBy(g, F.col("__r")).orderBy(*order)))
     joined = local.join(offsets, g.eqNullSafe(F.col("__g")) & (F.col("__r") == F.col("__r2")))
     seq = (F.col("__off") + F.col("__rn")).cast("long")
     if base is not None:

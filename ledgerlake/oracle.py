@@ -17,9 +17,15 @@ from ledgerlake.config import (
     DISCOUNT_BUCKET_OVERFLOW,
     DISCOUNT_BUCKETS,
     FILL_DEFAULTS,
+    INJECT_CASE_PCT,
+    INJECT_DISCOUNT_PCT,
+    INJECT_DUPLICATE_PCT,
+    INJECT_NULL_PCT,
     MANDATORY_COLS,
     NOT_RETURNED,
+    RANDOM_SEED,
     RETURN_REASONS,
+    RETURN_SAMPLE_PCT,
 )
 from ledgerlake.plans.bronze import ENRICH_COLUMNS
 from ledgerlake.plans.flow import FIXED_BATCH_TIME, FIXED_SILVER_TIME
@@ -299,7 +305,7 @@ FROM (
 )"""
 
 LOSS_PRODUCTS = f"""
-SELECT *, CAST(rank() OVER (ORDER BY "Total_Loss" ASC NULLS FIRST) AS INTEGER) AS "Loss_Rank"
+SELECT *, CAST(rank() OVER (ORDER BY "Total_Loss" ASC NULLS FIRST) AS BIGINT) AS "Loss_Rank"
 FROM (
   SELECT *, {sround('"Total_Loss" / NULLIF("Loss_Transactions", 0)', 2)} AS "Loss_Per_Transaction"
   FROM (
@@ -527,10 +533,35 @@ def _conditional_counts(flags: list[str]) -> str:
 def _row_ids() -> str:
     others = [c for c in RAW_COLS if c not in ("Order ID", "Source_Year")]
     order = ", ".join(['"Order ID" ASC NULLS FIRST'] + [f"{q(c)} ASC NULLS FIRST" for c in others])
-    return build(f"""SELECT *, CAST(("Source_Year" - 1994) * 100000 AS BIGINT)
+    return build(f"""SELECT *, CAST("Source_Year" - 1994 AS BIGINT) * 1000000000000
   + row_number() OVER (PARTITION BY "Source_Year" ORDER BY {order}) AS "Row ID" FROM clean_sales""")
 
 
+def _seeded(seed: int, buckets: int, *more: str) -> str:
+    """The bucket of a row (mirrors functions.hashing.hash_bucket over the default key)."""
+    parts = ", ".join([lit(str(seed))] + [f"CAST({c} AS VARCHAR)" for c in ('"Order ID"', '"Product ID"', *more)])
+    return f"(CAST('0x' || substr(md5(concat_ws('|', {parts})), 1, 8) AS BIGINT) % {buckets})"
+
+
+def _inject_defects(seed: int = 2019) -> str:
+    share = lambda fraction: int(round(fraction * 10000))
+    changes = [
+        f'CASE WHEN {_seeded(seed, 10000)} < {share(INJECT_NULL_PCT)} THEN NULL ELSE {q(c)} END AS {q(c)}' for c in ("Ship Mode", "Customer Name")
+    ] + [
+        f'CASE WHEN {_seeded(seed + 1, 10000, "_copy")} < {share(INJECT_CASE_PCT)} THEN upper("Region") ELSE "Region" END AS "Region"',
+        f'CASE WHEN {_seeded(seed + 2, 10000, "_copy")} < {share(INJECT_DISCOUNT_PCT)} THEN "Discount" * 10 ELSE "Discount" END AS "Discount"',
+    ]
+    return build(f"""SELECT * EXCLUDE (_copy) REPLACE ({", ".join(changes)}) FROM (
+  SELECT *, 0 AS _copy FROM clean_sales
+  UNION ALL SELECT *, 1 AS _copy FROM clean_sales WHERE {_seeded(seed, 10000)} < {share(INJECT_DUPLICATE_PCT)})""")
+
+
+def _returns_sample() -> str:
+    label = f'{_reasons_array()}[{_seeded(RANDOM_SEED + 1, len(RETURN_REASONS))} + 1]'
+    return build(f"""SELECT "Order ID", {label} AS "Return Reason" FROM clean_sales
+WHERE {_seeded(RANDOM_SEED, 10000)} < {int(round(RETURN_SAMPLE_PCT * 10000))}""")
+
+
 def _shift_years() -> str:
     m = _mode_year("clean_sales")
     return build(f"""SELECT {KEYS},
@@ -794,6 +825,9 @@ FROM (SELECT "Order_Year", {money_sum('"Sales"')} AS "Total_Sales", "Order_Year"
   COUNT(*) FILTER (WHERE try_strptime("Ship Date", '%m/%d/%Y') IS NULL) AS bad_ship_dates FROM rawtext""", text=True),
         "coerce_types": build(f"""SELECT {KEYS}, try_cast("Sales" AS DOUBLE) AS "Sales", try_cast("Profit" AS DOUBLE) AS "Profit",
   try_cast("Discount" AS DOUBLE) AS "Discount", try_cast("Quantity" AS INTEGER) AS "Quantity" FROM rawtext""", text=True),
+        "non_finite_sales": build(f"""SELECT "Source_Year", COUNT(*) AS "rows", COUNT(*) - COUNT(v) AS lost_sales,
+  {money_sum('v')} AS "Total_Sales", {sround(exact_avg('v'), 2)} AS "Avg_Sales"
+FROM (SELECT "Source_Year", CASE WHEN "Order ID" % 11 >= 4 THEN "Sales" END AS v FROM raw) GROUP BY 1"""),
         "clamp_discount": build(f"""SELECT {KEYS}, least(greatest(try_cast("Discount" AS DOUBLE), 0.0), 1.0) AS "Discount"
 FROM rawtext""", text=True),
         "null_profile": _null_profile("rawtext", RAW_COLS),
@@ -821,9 +855,9 @@ WHERE NOT EXISTS (SELECT 1 FROM regional r WHERE r."Region" = e."Region")""", ma
   AS "Sales_Rank" FROM (SELECT "Category", "Product Name", {money_sum('"Sales"')} AS "Total_Sales" FROM silver GROUP BY 1, 2)"""),
         "rank_in_region": build(f"""SELECT *, CAST(rank() OVER (PARTITION BY "Region" ORDER BY "Total_Sales" DESC NULLS LAST) AS INTEGER)
   AS "State_Rank" FROM (SELECT "Region", "State", {money_sum('"Sales"')} AS "Total_Sales" FROM silver GROUP BY 1, 2)"""),
-        "global_rank": build(f"""SELECT {KEYS}, "Profit", CAST(rank() OVER (ORDER BY "Profit" ASC NULLS FIRST) AS INTEGER) AS "Profit_Rank"
+        "global_rank": build(f"""SELECT {KEYS}, "Profit", CAST(rank() OVER (ORDER BY "Profit" ASC NULLS FIRST) AS BIGINT) AS "Profit_Rank"
 FROM silver"""),
-        "global_rank_desc": build(f"""SELECT {KEYS}, "Sales", CAST(rank() OVER (ORDER BY "Sales" DESC NULLS LAST) AS INTEGER) AS "Sales_Rank"
+        "global_rank_desc": build(f"""SELECT {KEYS}, "Sales", CAST(rank() OVER (ORDER BY "Sales" DESC NULLS LAST) AS BIGINT) AS "Sales_Rank"
 FROM silver"""),
         "yoy_lag": build(f"""SELECT *, {_growth('"Total_Sales"', '"Prev_Sales"')} AS "Growth_Pct" FROM (
   SELECT *, lag("Total_Sales") OVER (PARTITION BY "Region" ORDER BY "Order_Year" ASC NULLS FIRST) AS "Prev_Sales"
@@ -850,6 +884,12 @@ LIMIT 20""", marts_needed=("loss",)),
         "shift_years": _shift_years(),
         "scale_years": _scale_years(),
         "expand_years": _expand_years(),
+        "seeded_sample": build(f"SELECT * FROM clean_sales WHERE {_seeded(RANDOM_SEED, 10000)} < 1000"),
+        "random_label": build(f"""SELECT {KEYS}, {_reasons_array()}[{_seeded(RANDOM_SEED, len(RETURN_REASONS))} + 1] AS "Return Reason"
+FROM clean_sales"""),
+        "inject_defects": _inject_defects(),
+        "split_sources": _returns_sample(),
+        "split_orders": build("SELECT " + ", ".join(q(c) for c in RAW_COLS if c not in ("Source_Year", "Source_File")) + " FROM clean_sales"),
         "csv_roundtrip": build("SELECT * FROM raw"),
         "defect_audit": build(f"""SELECT *, total_rows - unique_keys AS duplicate_rows FROM (
   SELECT COUNT(*) AS total_rows, COUNT(*) FILTER (WHERE "Ship Mode" IS NULL) AS "null_Ship_Mode",

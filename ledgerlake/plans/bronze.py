@@ -23,7 +23,7 @@ def batch_stamp(batch_time: str | None) -> tuple[Column, Column]:
 def hash_text(c: Column, dtype) -> Column:
     """Text used in the record hash; doubles go through DECIMAL so '1.0E7' never appears."""
     if isinstance(dtype, (DoubleType, FloatType)):
-        return c.cast("decimal(24,6)").cast("string")
+        return F.coalesce(c.try_cast("decimal(24,6)").cast("string"), c.cast("string"))
     return c.cast("string")
 
 

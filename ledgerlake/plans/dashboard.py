@@ -93,7 +93,7 @@ def top_loss_severity(loss: DataFrame, n: int = 20) -> DataFrame:
     )
     total = loss.agg(round_money_sum(F.col("Total_Loss")).alias("Total_Loss")).select(
         F.lit(None).cast("string").alias("Category"), F.lit(None).cast("string").alias("Sub-Category"),
-        F.lit(None).cast("string").alias("Product Name"), "Total_Loss", F.lit(None).cast("int").alias("Loss_Rank"),
+        F.lit(None).cast("string").alias("Product Name"), "Total_Loss", F.lit(None).cast("long").alias("Loss_Rank"),
         F.lit(True).alias("_is_total"))
     both = top.unionByName(total)
     grand = F.max(F.when(F.col("_is_total"), F.col("Total_Loss"))).over(Window.partitionBy())

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from ledgerlake.functions.numeric import exact_avg, pct, round_money_sum
 from ledgerlake.functions.text import col
 from ledgerlake.operators.derive import with_discount_bucket
-from ledgerlake.operators.windows import global_rank, growth_pct, lag_previous_row, rank_within, single_partition_rank
+from ledgerlake.operators.windows import global_rank, growth_pct, lag_previous_row, rank_within
 
 
 def _r(c, n):
@@ -91,7 +91,7 @@ def regional_performance(silver: DataFrame) -> DataFrame:
     return rank_within(agg, ["Region"], [F.col("Total_Sales").desc()], "Region_Sales_Rank")
 
 
-def loss_making_products(silver: DataFrame, distributed_rank: bool = True) -> DataFrame:
+def loss_making_products(silver: DataFrame) -> DataFrame:
     """GO4: loss rows by Category, Sub-Category, Product Name; ranked worst first.
 
     The overall rank uses ``global_rank`` (no single-partition window), since
@@ -106,9 +106,7 @@ def loss_making_products(silver: DataFrame, distributed_rank: bool = True) -> Da
         _r(exact_avg(col("Shipping_Days")), 1).alias("Avg_Shipping_Days"),
     )
     agg = agg.withColumn("Loss_Per_Transaction", _r(F.try_divide(F.col("Total_Loss"), F.col("Loss_Transactions")), 2))
-    if distributed_rank:
-        return global_rank(agg, "Total_Loss", "Loss_Rank", ascending=True)
-    return single_partition_rank(agg, [F.col("Total_Loss").asc()], "Loss_Rank")
+    return global_rank(agg, "Total_Loss", "Loss_Rank", ascending=True)
 
 
 def total_loss(silver: DataFrame) -> DataFrame:

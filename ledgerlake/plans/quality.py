@@ -189,13 +189,13 @@ def _checks(inp: SuiteInputs, th: Thresholds, cov: Coverage) -> tuple[list[tuple
 
     add("bronze_rows", F.count_if(is_("B")))
     add("silver_rows", F.count_if(is_("S")))
-    add("bronze_sales", F.sum(F.when(is_("B"), F.col("b_sales").cast(DEC))).cast("double"))
-    add("bronze_profit", F.sum(F.when(is_("B"), F.col("b_profit").cast(DEC))).cast("double"))
+    add("bronze_sales", F.sum(F.when(is_("B"), F.col("b_sales").try_cast(DEC))).cast("double"))
+    add("bronze_profit", F.sum(F.when(is_("B"), F.col("b_profit").try_cast(DEC))).cast("double"))
     if "Sales" in s_have:
-        add("silver_sales", F.sum(F.when(is_("S"), s("Sales").cast(DEC))).cast("double"))
+        add("silver_sales", F.sum(F.when(is_("S"), s("Sales").try_cast(DEC))).cast("double"))
         add("invalid_sales", F.count_if((is_("S")) & (s("Sales") <= 0)))
     if "Profit" in s_have:
-        add("silver_profit", F.sum(F.when(is_("S"), s("Profit").cast(DEC))).cast("double"))
+        add("silver_profit", F.sum(F.when(is_("S"), s("Profit").try_cast(DEC))).cast("double"))
     for i, c in enumerate(MANDATORY_COLS):
         if c in s_have:
             add(f"null_{i}", F.count_if((is_("S")) & s(c).isNull()))
@@ -232,7 +232,7 @@ def _checks(inp: SuiteInputs, th: Thresholds, cov: Coverage) -> tuple[list[tuple
         k = is_("executive_kpis")
         add("yoy_first_null", F.count_if(k & (yr == F.lit(first_year)) & yoy.isNull()))
         add("yoy_later_valid", F.count_if(k & (yr > F.lit(first_year)) & yoy.isNotNull()))
-        add("gold_sales", F.sum(F.when(k, g("executive_kpis", "Total_Sales").cast(DEC))).cast("double"))
+        add("gold_sales", F.sum(F.when(k, g("executive_kpis", "Total_Sales").try_cast(DEC))).cast("double"))
     if "loss_making_products" in gold:
         add("loss_not_negative", F.count_if((is_("loss_making_products")) & (g("loss_making_products", "Total_Loss") >= 0)))
 

@@ -214,6 +214,19 @@ def q_coerce_types(spark, sf):
     return out.select(*[col(c) for c in KEY3], col("Sales"), col("Profit"), col("Discount"), col("Quantity"))
 
 
+def q_non_finite_sales(spark, sf):
+    """Sales that no total can hold (infinite, not a number, out of range) are NULL after coercion, and counted."""
+    raw = fixture.raw_sales(spark, sf)
+    slot = F.pmod(col("Order ID"), F.lit(11))
+    text = col("Sales").cast("string")
+    for i, bad in enumerate(["Infinity", "-Infinity", "NaN", "1e20"]):
+        text = F.when(slot == i, F.lit(bad)).otherwise(text)
+    out = clean.coerce_types(raw.withColumn("Sales", text))
+    return out.groupBy("Source_Year").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(col("Sales").isNull()).alias("lost_sales"),
+        marts.round_money_sum(col("Sales")).alias("Total_Sales"), F.round(marts.exact_avg(col("Sales")), 2).alias("Avg_Sales"))
+
+
 def q_clamp_discount(spark, sf):
     out = clean.clamp_discount(clean.coerce_types(_text(spark, sf)))
     return out.select(*[col(c) for c in KEY3], col("Discount"))
@@ -340,7 +353,7 @@ def q_yoy_strict(spark, sf):
 
 def q_year_row_ids(spark, sf):
     raw = fixture.raw_sales(spark, sf, defects=False)
-    return prep.row_ids_by_year(raw, "Source_Year", "Order ID", base_year=1994, block=100000)
+    return prep.row_ids_by_year(raw, "Source_Year", "Order ID", base_year=1994, block=10**12)
 
 
 def q_record_hash(spark, sf):
@@ -456,10 +469,14 @@ def q_split_sources(spark, sf):
     return prep.split_sources(fixture.raw_sales(spark, sf, defects=False))["returns"]
 
 
+def q_split_orders(spark, sf):
+    return prep.split_sources(fixture.raw_sales(spark, sf, defects=False))["orders"]
+
+
 def q_csv_roundtrip(spark, sf):
     raw = fixture.raw_sales(spark, sf)
     path = scratch(spark, "csv")
-    export_csv(raw, path, single_file=False)
+    export_csv(raw, path)
     return files.read_csv(spark, path, schema=raw.schema)
 
 
@@ -491,7 +508,7 @@ def q_table_roundtrip(spark, sf):
 def q_csv_text_read(spark, sf):
     raw = fixture.raw_sales(spark, sf)
     path = scratch(spark, "csvtext")
-    export_csv(raw, path, single_file=False)
+    export_csv(raw, path)
     text = files.read_csv(spark, path)  # header only: every column is a string
     return text.groupBy("Source_Year").agg(F.count(F.lit(1)).alias("rows"))
 
@@ -517,8 +534,8 @@ def q_csv_pipeline_kpis(spark, sf):
     (raw.drop("Source_Year").write.mode("overwrite").option("header", True)
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
      .partitionBy("Source_File").csv(f"{base}/orders"))
-    export_csv(fixture.returns_source(spark, sf), f"{base}/returns", single_file=False)
-    export_csv(fixture.salespeople(spark), f"{base}/salesperson")
+    export_csv(fixture.returns_source(spark, sf), f"{base}/returns")
+    export_csv(fixture.salespeople(spark), f"{base}/salesperson", single_file=True)
     files.require_sources(spark, [f"{base}/orders", f"{base}/returns", f"{base}/salesperson"])
     cols = [c for c in raw.columns if c not in ("Source_Year", "Source_File")]
     orders = files.read_yearly(spark, [f"{base}/orders/*/"], files.text_schema(cols), required=MANDATORY_COLS)
@@ -654,6 +671,7 @@ def registry() -> dict[str, Query]:
             "parse_dates": q_parse_dates,
             "unparseable_dates": q_unparseable_dates,
             "coerce_types": q_coerce_types,
+            "non_finite_sales": q_non_finite_sales,
             "clamp_discount": q_clamp_discount,
             "null_profile": q_null_profile,
             "remove_invalid_sales": q_remove_invalid_sales,
@@ -702,6 +720,7 @@ def registry() -> dict[str, Query]:
             "inject_defects": q_inject_defects,
             "defect_audit": q_defect_audit,
             "split_sources": q_split_sources,
+            "split_orders": q_split_orders,
             # sources and sinks
             "csv_roundtrip": q_csv_roundtrip,
             "encoding_read": q_encoding_read,

@@ -140,14 +140,14 @@ def write_table(df: DataFrame, location: str, partition_by: str | None = None, c
     return int(obs.get["n"])
 
 
-def export_csv(df: DataFrame, path: str, single_file: bool = True, max_single_rows: int = 5_000_000) -> str:
+def export_csv(df: DataFrame, path: str, single_file: bool = False) -> str:
     """CSV with header, overwrite (SK1).
 
-    One file only when the frame provably has at most ``max_single_rows`` rows
-    (bounded probe); ``repartition(1)`` keeps the upstream stage parallel,
-    unlike ``coalesce(1)``. Larger frames are written as several part files.
+    ``single_file`` is the caller's choice, for results known to be small:
+    ``repartition(1)`` sends all rows through one task (the stages before it
+    stay parallel, unlike with ``coalesce(1)``).
     """
-    if single_file and df.limit(max_single_rows + 1).count() <= max_single_rows:
+    if single_file:
         df = df.repartition(1)
     df.write.mode("overwrite").option("header", True).csv(path)
     return path

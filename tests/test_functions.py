@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.functions import clamp, discount_bucket, parse_date, record_hash, title_case
 from ledgerlake.functions.numeric import exact_avg, round_money_sum
+from ledgerlake.operators import clean
 
 
 def one(spark, expr, schema, values):
@@ -55,3 +56,12 @@ def test_exact_sum_and_avg(spark):
     assert r.s == 0.6 and math.isclose(r.a, 0.2)
     empty = df.filter("x > 10").agg(exact_avg(F.col("x")).alias("a")).first()
     assert empty.a is None
+
+
+def test_values_no_sum_can_hold(spark):
+    rows = [("Infinity",), ("-Infinity",), ("NaN",), ("1e20",), ("2.5",), ("1.5",), (None,)]
+    text = spark.createDataFrame(rows, "Sales string")
+    for df in (clean.coerce_types(text), text.selectExpr("cast(Sales as double) as Sales")):
+        r = df.agg(round_money_sum(F.col("Sales")).alias("s"), exact_avg(F.col("Sales")).alias("a")).first()
+        assert (r.s, r.a) == (4.0, 2.0)
+    assert clean.coerce_types(text).filter("Sales is null").count() == 5

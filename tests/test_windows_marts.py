@@ -1,9 +1,10 @@
 import random
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ledgerlake.operators import windows
+from ledgerlake.operators import prep, windows
 from ledgerlake.plans import marts
 
 
@@ -14,16 +15,15 @@ def test_global_rank_matches_rank_with_ties_and_nulls(spark):
     for asc in (True, False):
         order = F.col("v").asc_nulls_first() if asc else F.col("v").desc_nulls_last()
         want = {r.id: r.rk for r in df.withColumn("rk", F.rank().over(Window.orderBy(order))).collect()}
-        for small in (0, 1_000_000):  # range path, then one window over the distinct values
-            got = {r.id: r.rk for r in windows.global_rank(df, "v", "rk", ascending=asc, ranges=8,
-                                                           single_task_max=small).collect()}
+        for size in (7, 1_000_000):  # many ranges, then one
+            got = {r.id: r.rk for r in windows.global_rank(df, "v", "rk", ascending=asc, per_range=size).collect()}
             assert got == want
 
 
 def test_sequential_ids_per_group(spark):
     rows = [(y, k, f"x{k % 3}") for y in (2019, 2020) for k in range(500)] + [(2019, 7, "x1")]
     df = spark.createDataFrame(rows, "y int, k long, t string").repartition(4)
-    out = windows.sequential_ids(df, "y", "k", "rid", ranges=6).collect()
+    out = windows.sequential_ids(df, "y", "k", "rid", per_range=90).collect()
     by_year = {}
     for r in out:
         by_year.setdefault(r.y, []).append((r.k, r.t, r.rid))
@@ -32,6 +32,13 @@ def test_sequential_ids_per_group(spark):
         assert [i[2] for i in sorted(items)] == list(range(1, len(items) + 1))
 
 
+def test_row_ids_need_room(spark):
+    df = spark.createDataFrame([(2019, k) for k in range(20)], "Source_Year int, `Order ID` long")
+    assert sorted(r["Row ID"] for r in prep.row_ids_by_year(df, block=20).collect()) == [20 + i for i in range(1, 21)]
+    with pytest.raises(ValueError, match="20 rows"):
+        prep.row_ids_by_year(df, block=19)
+
+
 def _silver_like(spark, rows):
     schema = ("`Order ID` string, Order_Year int, Order_Month int, Order_Quarter int, Sales double, Profit double, "
               "Quantity int, Discount double, Profit_Margin_Pct double, Is_Loss boolean, Category string, "
