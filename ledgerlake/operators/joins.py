@@ -9,16 +9,30 @@ from ledgerlake.config import NOT_RETURNED
 from ledgerlake.functions.text import col
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int, known_rows: int | None = None) -> DataFrame:
+class DuplicateKeyError(ValueError):
+    """A lookup table holds a key more than once, so a join with it would multiply rows."""
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     """Broadcast ``df`` only when it provably has at most ``max_rows`` rows.
 
-    ``known_rows`` is for sides built from literal rows (size known on the
-    driver). Otherwise a bounded probe ``limit(max_rows + 1).count()`` reads at
-    most ``max_rows + 1`` rows. Above the bound the side is returned as-is and
+    A bounded probe ``limit(max_rows + 1).count()`` reads at most
+    ``max_rows + 1`` rows. Above the bound the side is returned as-is and
     the planner picks a shuffle join (AQE can still demote it at runtime).
     """
-    n = known_rows if known_rows is not None else df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
+def unique_lookup(df: DataFrame, key: str, max_rows: int) -> DataFrame:
+    """A lookup side, broadcast if its counted rows are at most ``max_rows``; a repeated key raises.
+
+    One job over the lookup counts its rows and its keys. NULL keys match nothing and may repeat.
+    """
+    each = df.groupBy(col(key).alias("k")).agg(F.count(F.lit(1)).alias("n"))
+    got = each.agg(F.max(F.when(F.col("k").isNotNull(), F.col("n"))).alias("most"), F.coalesce(F.sum("n"), F.lit(0)).alias("rows")).first()
+    if (got["most"] or 0) > 1:
+        raise DuplicateKeyError(f"{key!r} repeats up to {got['most']} times in the lookup table")
+    return F.broadcast(df) if got["rows"] <= max_rows else df
 
 
 def dedup_returns(returns: DataFrame, key: str = "Order ID", reason: str = "Return Reason") -> DataFrame:
@@ -43,18 +57,19 @@ def join_returns(orders: DataFrame, returns: DataFrame, key: str = "Order ID") -
 
 
 def join_salespeople(orders: DataFrame, reps: DataFrame, key: str = "Region", max_rows: int = 10000,
-                     known_rows: int | None = None, normalize_keys: bool = False) -> DataFrame:
+                     normalize_keys: bool = False) -> DataFrame:
     """orders LEFT JOIN sales reps on Region (JO2).
 
     The join is exact (case-sensitive), as in the raw stage: a region spelled
     'EAST' finds no rep. ``normalize_keys=True`` trims and title-cases both
-    sides' key before matching. The rep table is broadcast after a size check.
+    sides' key before matching. The rep table is broadcast after a size check; a
+    region with two reps raises, as its orders would be multiplied.
     """
     slim = reps.select(col(key), col("Salesperson"), col("Target_Sales"))
     if normalize_keys:
         slim = slim.withColumn(key, F.initcap(F.trim(col(key))))
         orders = orders.withColumn(key, F.initcap(F.trim(col(key))))
-    return orders.join(bounded_broadcast(slim, max_rows, known_rows), on=key, how="left")
+    return orders.join(unique_lookup(slim, key, max_rows), on=key, how="left")
 
 
 def unmatched_count(joined: DataFrame, probe_col: str = "Salesperson") -> DataFrame:
@@ -76,7 +91,7 @@ def row_inflation(before: DataFrame, after: DataFrame) -> DataFrame:
 
 
 def lookup_with_default(df: DataFrame, lookup: DataFrame, key: str, value: str, default,
-                        max_rows: int = 10000, known_rows: int | None = None) -> DataFrame:
+                        max_rows: int = 10000) -> DataFrame:
     """Left join a small key->value table; missing keys get ``default`` (JO5)."""
-    small = bounded_broadcast(lookup.select(col(key), col(value)), max_rows, known_rows)
+    small = unique_lookup(lookup.select(col(key), col(value)), key, max_rows)
     return df.join(small, on=key, how="left").withColumn(value, F.coalesce(col(value), F.lit(default)))

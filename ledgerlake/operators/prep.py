@@ -27,6 +27,7 @@ from ledgerlake.functions.hashing import hash_bucket, pick_label, seeded_fractio
 from ledgerlake.functions.text import col
 from ledgerlake.operators.aggregates import mode_value
 from ledgerlake.operators.columns import keep_existing
+from ledgerlake.operators.joins import unique_lookup
 from ledgerlake.operators.windows import sequential_ids
 
 DEFAULT_KEY = ["Order ID", "Product ID"]
@@ -79,11 +80,11 @@ def scale_by_year(df: DataFrame, year_col: str = "Source_Year", table: dict | No
     """Multiply Sales / Profit / Quantity by the row year's factors; unknown years x1.0 (GE2, JO5).
 
     Rounds half-to-even (2, 2, 0 decimals), Quantity back to int. The factor
-    table has one row per configured year and is broadcast.
+    table has one row per configured year and is broadcast after a check.
     """
     spark = df.sparkSession
     m = multipliers_frame(spark, table)
-    j = df.join(F.broadcast(m), col(year_col) == F.col("mult_year"), "left")
+    j = df.join(unique_lookup(m, "mult_year", 10000), col(year_col) == F.col("mult_year"), "left")
     one = F.lit(1.0)
     out = j.withColumns(
         {

@@ -840,9 +840,11 @@ WHERE try_cast("Sales" AS DOUBLE) > 0""", text=True),
         "filter_flag": build(f"""SELECT {KEYS}, "Profit" FROM silver WHERE "Is_Loss" """),
         "filter_threshold": build(f"""SELECT {KEYS}, "Discount" FROM raw WHERE "Discount" >= 0.5"""),
         "filter_range_or": build(f"""SELECT {KEYS}, "Discount" FROM raw WHERE "Discount" < 0.0 OR "Discount" > 0.5"""),
-        "filter_consistency": build(f"""SELECT {KEYS} FROM silver
+        "filter_consistency": build(f"""SELECT {KEYS} FROM (SELECT * REPLACE ("Is_Loss" != ("Order ID" % 37 = 0) AS "Is_Loss") FROM silver)
 WHERE ("Profit" < 0 AND "Is_Loss" = FALSE) OR ("Profit" >= 0 AND "Is_Loss" = TRUE)"""),
-        "filter_year_null_state": build("""SELECT "Order_Year" FROM kpis WHERE ("Order_Year" = 1995 AND "YoY_Sales_Growth_Pct" IS NOT NULL)
+        "filter_year_null_state": build("""SELECT "Order_Year" FROM (
+  SELECT * REPLACE (CASE WHEN "Order_Year" % 2 = 1 THEN "YoY_Sales_Growth_Pct" END AS "YoY_Sales_Growth_Pct") FROM kpis)
+WHERE ("Order_Year" = 1995 AND "YoY_Sales_Growth_Pct" IS NOT NULL)
   OR ("Order_Year" > 1995 AND "YoY_Sales_Growth_Pct" IS NULL)""", marts_needed=("kpis",)),
         "filter_casing": build(f"""SELECT {KEYS}, "Region" FROM bronze WHERE "Region" != {initcap('"Region"')}"""),
         "filter_tolerance": build(f"""SELECT {KEYS}, "Profit_Margin_Pct" FROM silver

@@ -41,8 +41,7 @@ def add_bronze_metadata(df: DataFrame, batch_time: str | None = None) -> DataFra
     )
 
 
-def build_bronze(orders: DataFrame, returns: DataFrame, reps: DataFrame, batch_time: str | None = None,
-                 reps_rows: int | None = None, normalize_region: bool = False) -> DataFrame:
+def build_bronze(orders: DataFrame, returns: DataFrame, reps: DataFrame, batch_time: str | None = None, normalize_region: bool = False) -> DataFrame:
     """orders LEFT JOIN returns (deduplicated) LEFT JOIN reps, plus metadata.
 
     Column order: the raw columns, then the enrichment columns, then metadata.
@@ -50,6 +49,6 @@ def build_bronze(orders: DataFrame, returns: DataFrame, reps: DataFrame, batch_t
     by default the lookup is exact, as a raw-stage join is.
     """
     joined = join_returns(orders, returns)
-    joined = join_salespeople(joined, reps, known_rows=reps_rows, normalize_keys=normalize_region)
+    joined = join_salespeople(joined, reps, normalize_keys=normalize_region)
     ordered = joined.select(*[col(c) for c in orders.columns], *[col(c) for c in ENRICH_COLUMNS])
     return add_bronze_metadata(ordered, batch_time)

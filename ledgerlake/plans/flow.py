@@ -21,7 +21,7 @@ def bronze_from_tables(spark: SparkSession, sf_dir: str, batch_time: str | None
     orders = fixture.raw_sales(spark, sf_dir)
     returns = fixture.returns_source(spark, sf_dir)
     reps = fixture.salespeople(spark)
-    return build_bronze(orders, returns, reps, batch_time=batch_time, reps_rows=len(fixture.FIXTURE_SALESPEOPLE))
+    return build_bronze(orders, returns, reps, batch_time=batch_time)
 
 
 def silver_from_tables(spark: SparkSession, sf_dir: str, batch_time: str | None = FIXED_BATCH_TIME,

@@ -46,8 +46,8 @@ def order_buckets(store: Store) -> tuple[int, list[str]]:
 
 
 def run_bronze(store: Store, orders: DataFrame, returns: DataFrame, reps: DataFrame,
-               batch_time: str | None = None, reps_rows: int | None = None) -> int:
-    bronze = build_bronze(orders, returns, reps, batch_time=batch_time, reps_rows=reps_rows)
+               batch_time: str | None = None) -> int:
+    bronze = build_bronze(orders, returns, reps, batch_time=batch_time)
     return store.write(bronze, "bronze", BRONZE_TABLE, partition_by="Source_Year", bucket_by=order_buckets(store))
 
 
@@ -90,10 +90,9 @@ def run_validation(store: Store, validation_time: str, thresholds: Thresholds =
 
 
 def run_all(store: Store, orders: DataFrame, returns: DataFrame, reps: DataFrame, batch_time: str,
-            coverage: Coverage = Coverage(), thresholds: Thresholds = Thresholds(),
-            reps_rows: int | None = None, csv_base: str | None = None) -> RunResult:
+            coverage: Coverage = Coverage(), thresholds: Thresholds = Thresholds(), csv_base: str | None = None) -> RunResult:
     store.create_databases()
-    nb = run_bronze(store, orders, returns, reps, batch_time=batch_time, reps_rows=reps_rows)
+    nb = run_bronze(store, orders, returns, reps, batch_time=batch_time)
     ns, pct = run_silver(store, silver_time=batch_time, bronze_rows=nb, thresholds=thresholds)
     mart_rows = run_gold(store, created_at=batch_time, csv_base=csv_base)
     report = run_validation(store, batch_time, thresholds, coverage)

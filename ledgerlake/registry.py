@@ -75,8 +75,7 @@ def _mart(mart: str, fn) -> Query:
 def text_bronze(spark: SparkSession, sf: str) -> DataFrame:
     raw = fixture.raw_text(spark, sf)
     ret = fixture.returns_source(spark, sf).withColumn("Order ID", col("Order ID").cast("string"))
-    return build_bronze(raw, ret, fixture.salespeople(spark), batch_time=FIXED_BATCH_TIME,
-                        reps_rows=len(fixture.FIXTURE_SALESPEOPLE))
+    return build_bronze(raw, ret, fixture.salespeople(spark), batch_time=FIXED_BATCH_TIME)
 
 
 def gold_of(silver: DataFrame) -> dict[str, DataFrame]:
@@ -126,7 +125,7 @@ def q_join_returns_left(spark, sf):
 
 def q_join_rep_broadcast(spark, sf):
     raw = fixture.raw_sales(spark, sf)
-    j = joins.join_salespeople(raw, fixture.salespeople(spark), known_rows=len(fixture.FIXTURE_SALESPEOPLE))
+    j = joins.join_salespeople(raw, fixture.salespeople(spark))
     return j.groupBy("Region", "Salesperson", "Target_Sales").agg(F.count(F.lit(1)).alias("rows"))
 
 
@@ -148,8 +147,7 @@ def _year_table(spark, sf):
 def q_year_multiplier_lookup(spark, sf):
     years = _year_table(spark, sf)
     mult = prep.multipliers_frame(spark)
-    out = joins.lookup_with_default(years, mult.select("mult_year", "m_sales"), "mult_year", "m_sales", 1.0,
-                                    known_rows=len(prep.YEAR_MULTIPLIERS))
+    out = joins.lookup_with_default(years, mult.select("mult_year", "m_sales"), "mult_year", "m_sales", 1.0)
     return out.select("Order_Year", "Total_Sales", "m_sales")
 
 
@@ -268,11 +266,14 @@ def q_filter_range_or(spark, sf):
 
 
 def q_filter_consistency(spark, sf):
-    return filters.inconsistent_flag_rows(silver_from_tables(spark, sf)).select(*[col(c) for c in KEY3])
+    s = silver_from_tables(spark, sf)  # every 37th order gets the wrong flag
+    s = s.withColumn("Is_Loss", col("Is_Loss") != (F.pmod(col("Order ID"), F.lit(37)) == 0))
+    return filters.inconsistent_flag_rows(s).select(*[col(c) for c in KEY3])
 
 
 def q_filter_year_null_state(spark, sf):
-    k = marts.executive_kpis(silver_from_tables(spark, sf))
+    k = marts.executive_kpis(silver_from_tables(spark, sf))  # even years lose their value
+    k = k.withColumn("YoY_Sales_Growth_Pct", F.when(F.col("Order_Year") % 2 == 1, F.col("YoY_Sales_Growth_Pct")))
     return filters.null_state_rows(k, "Order_Year", FIXTURE_COVERAGE.years[0], "YoY_Sales_Growth_Pct").select("Order_Year")
 
 
@@ -542,7 +543,7 @@ def q_csv_pipeline_kpis(spark, sf):
     orders = orders.withColumn("Source_File", F.regexp_extract(F.col("Source_File"), r"([^=]+)$", 1))
     returns = files.read_csv(spark, f"{base}/returns")
     reps = files.read_csv(spark, f"{base}/salesperson").withColumn("Target_Sales", F.col("Target_Sales").try_cast("int"))
-    bronze = build_bronze(orders, returns, reps, batch_time=FIXED_BATCH_TIME, reps_rows=len(fixture.FIXTURE_SALESPEOPLE))
+    bronze = build_bronze(orders, returns, reps, batch_time=FIXED_BATCH_TIME)
     return marts.executive_kpis(build_silver(bronze, silver_time=FIXED_BATCH_TIME))
 
 
@@ -621,8 +622,7 @@ def q_pipeline_end_to_end(spark, sf):
 
     store = Store(spark, base_path=scratch(spark, "pipeline"))
     res = run_all(store, fixture.raw_sales(spark, sf), fixture.returns_source(spark, sf), fixture.salespeople(spark),
-                  batch_time=FIXED_BATCH_TIME, coverage=FIXTURE_COVERAGE,
-                  reps_rows=len(fixture.FIXTURE_SALESPEOPLE))
+                  batch_time=FIXED_BATCH_TIME, coverage=FIXTURE_COVERAGE)
     return res.report
 
 

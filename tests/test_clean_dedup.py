@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerlake.operators import clean, dedup, joins
@@ -68,7 +69,7 @@ def test_silver_edges(spark):
         {"Order ID": "11", "Profit": "-5"},                                    # loss
     ]
     bronze = build_bronze(frames.orders(spark, rows), frames.returns(spark, [("11", "Defective Product")]),
-                          frames.reps(spark), batch_time="2024-01-01 00:00:00", reps_rows=4)
+                          frames.reps(spark), batch_time="2024-01-01 00:00:00")
     silver = {r["Order ID"]: r for r in build_silver(bronze, silver_time="2024-01-01 00:00:00").collect()}
     assert set(silver) == {"1", "2", "3", "4", "8", "9", "10", "11"}
     assert silver["1"]["Region"] == "East" and silver["1"]["Salesperson"] == "Unassigned" and silver["1"]["Target_Sales"] == 0
@@ -80,7 +81,7 @@ def test_silver_edges(spark):
     assert silver["11"]["Is_Loss"] is True and silver["11"]["Is_Returned"] is True
     assert silver["11"]["Profit_Margin_Pct"] == -5.0
     good = build_bronze(frames.orders(spark, [{"Order ID": str(i)} for i in range(40)]), frames.returns(spark, []),
-                        frames.reps(spark), reps_rows=4)
+                        frames.reps(spark))
     assert retention_gate(good, build_silver(good)) == 100.0
     try:
         retention_gate(bronze, build_silver(bronze))
@@ -104,8 +105,14 @@ def test_dedup_report_counts_null_keys(spark):
 def test_rep_join_exact_vs_normalized(spark):
     o = frames.orders(spark, [{"Order ID": "1", "Region": "EAST"}, {"Order ID": "2", "Region": " west "},
                               {"Order ID": "3", "Region": "Central"}])
-    exact = {r["Order ID"]: r["Salesperson"] for r in joins.join_salespeople(o, frames.reps(spark), known_rows=4).collect()}
+    exact = {r["Order ID"]: r["Salesperson"] for r in joins.join_salespeople(o, frames.reps(spark)).collect()}
     assert exact == {"1": None, "2": None, "3": "Robert Smith"}
     fixed = {r["Order ID"]: r["Salesperson"]
-             for r in joins.join_salespeople(o, frames.reps(spark), known_rows=4, normalize_keys=True).collect()}
+             for r in joins.join_salespeople(o, frames.reps(spark), normalize_keys=True).collect()}
     assert fixed == {"1": "Alex Johnson", "2": "Maria Chen", "3": "Robert Smith"}
+
+
+def test_a_region_with_two_reps_raises(spark):
+    reps = frames.reps(spark)
+    with pytest.raises(joins.DuplicateKeyError, match="Region"):
+        joins.join_salespeople(frames.orders(spark, [{"Order ID": "1"}]), reps.union(reps.limit(1)))

@@ -77,7 +77,7 @@ def test_catalog_store_bucketed_bronze_skips_dedup_shuffle(spark):
     assert len(store.create_databases()) == 3
     sf = "/root/testdata/sf0.001"
     nb = pipeline.run_bronze(store, fixture.raw_sales(spark, sf), fixture.returns_source(spark, sf),
-                             fixture.salespeople(spark), batch_time="2024-01-01 00:00:00", reps_rows=5)
+                             fixture.salespeople(spark), batch_time="2024-01-01 00:00:00")
     assert nb == store.read("bronze", "orders_raw").count()
     plan = build_silver(store.read("bronze", "orders_raw"))._jdf.queryExecution().executedPlan().toString()
     assert "SortAggregate" in plan and "Exchange" not in plan

@@ -14,8 +14,7 @@ from tests.conftest import SF_SMALL
 def test_run_all_writes_every_layer(spark, tmp_dir, catalog):
     store = Store(spark, base_path=f"{tmp_dir}/store", use_catalog=catalog, prefix="e" + uuid.uuid4().hex[:8])
     res = run_all(store, fixture.raw_sales(spark, SF_SMALL), fixture.returns_source(spark, SF_SMALL),
-                  fixture.salespeople(spark), batch_time="2024-01-01 06:00:00", coverage=FIXTURE_COVERAGE,
-                  reps_rows=len(fixture.FIXTURE_SALESPEOPLE), csv_base=f"{tmp_dir}/csv")
+                  fixture.salespeople(spark), batch_time="2024-01-01 06:00:00", coverage=FIXTURE_COVERAGE, csv_base=f"{tmp_dir}/csv")
     assert res.bronze_rows == store.read("bronze", "orders_raw").count()
     assert res.silver_rows == store.read("silver", "orders_cleaned").count()
     assert 95.0 <= res.retention_pct <= 100.0

@@ -15,7 +15,7 @@ def _inputs(spark, silver_tweak=None):
              "Profit": str(-3.0 if i % 5 == 0 else 4.0), "Source_Year": 2019 + i % 5}
             for i in range(200)]
     b = build_bronze(frames.orders(spark, rows), frames.returns(spark, [("3", "Wrong Item")]), frames.reps(spark),
-                     batch_time="2024-01-01 00:00:00", reps_rows=4)
+                     batch_time="2024-01-01 00:00:00")
     s = build_silver(b, silver_time="2024-01-01 00:00:00")
     if silver_tweak is not None:
         s = silver_tweak(s)

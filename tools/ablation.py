@@ -79,8 +79,7 @@ def main() -> None:
         st = Store(spark, base_path=f"{base}/{mode}", use_catalog=mode == "catalog", prefix=f"a{mode[0]}{rid}")
         st.create_databases()
         nb = pipeline.run_bronze(st, fixture.raw_sales(spark, sf), fixture.returns_source(spark, sf),
-                                 fixture.salespeople(spark), batch_time="2024-01-01 06:00:00",
-                                 reps_rows=len(fixture.FIXTURE_SALESPEOPLE))
+                                 fixture.salespeople(spark), batch_time="2024-01-01 06:00:00")
         pipeline.run_silver(st, silver_time="2024-01-01 06:00:00", bronze_rows=nb)
         stores[mode] = st
     st = stores["catalog"]
@@ -97,7 +96,7 @@ def main() -> None:
     # 2. rep join: broadcast (bounded) vs forced sort-merge join
     raw = fixture.raw_sales(spark, sf)
     reps = fixture.salespeople(spark)
-    bcast = joins.join_salespeople(raw, reps, known_rows=len(fixture.FIXTURE_SALESPEOPLE))
+    bcast = joins.join_salespeople(raw, reps)
     smj = raw.join(reps.select("Region", "Salesperson", "Target_Sales").hint("merge"), "Region", "left")
     out["rep_join_broadcast_sec"] = timed(lambda: bcast.write.format("noop").mode("overwrite").save())
     out["rep_join_shuffle_sec"] = timed(lambda: smj.write.format("noop").mode("overwrite").save())
