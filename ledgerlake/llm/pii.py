@@ -375,7 +375,7 @@ def _found(text: str, a: int, b: int, kind: str) -> list[tuple[int, int]]:
 
 
 def find_in(tagger: Tagger, data: np.ndarray, edges: np.ndarray) -> list[tuple[list, list]]:
-    """(base spans, all spans) of each text, in code points; a span of the field that touches a base span is left out."""
+    """(base spans, all spans) of each text, in code points; a span of the field that lies within base spans, but for signs, is left out."""
     out: list[tuple[list, list]] = [([], []) for _ in range(len(edges) - 1)]
     digit = (data >= 48) & (data <= 57) | (data == 64)
     seen = np.concatenate([[0], np.cumsum(digit)])
@@ -393,7 +393,7 @@ def find_in(tagger: Tagger, data: np.ndarray, edges: np.ndarray) -> list[tuple[l
                 covered[p:q] = b"\1" * (q - p)
             for a, b, kind in added[i]:
                 a, b = int(point[a - edges[i]]) - 1, int(point[b - edges[i] - 1])
-                more += [(p, q, kind) for p, q in _found(text, a, b, kind) if 1 not in covered[p:q]]
+                more += [(p, q, kind) for p, q in _found(text, a, b, kind) if any(not c and x.isalnum() for c, x in zip(covered[p:q], text[p:q], strict=True))]
         out[i] = (base, sorted(base + more, key=lambda s: (s[0], ORDER[s[2]])))
     return out
 

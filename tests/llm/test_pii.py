@@ -39,3 +39,17 @@ def test_others_stay():
 
 def test_bare_cards_in_a_row():
     assert pii.masked(pa.array(["x 4111111111111111 5500005555555559 y"]), pii.trained()) == ["x <card> <card> y"]
+
+
+def test_a_key_with_a_card_in_it_is_masked_whole():
+    for key in ["0a1b2c3d4111111111111111e5f60718293a4b5c", "4111111111111111e5f60718293a4b5c0a1b2c3d", "e5f60718293a4b5c0a1b2c3d4111111111111111"]:
+        text = f'onthe token = "{key}" ereran'
+        base, found = spans(text)
+        assert [k for _, _, k in base] == ["card"] and found == [(key, "secret")]
+        (masked,) = pii.masked(pa.array([text]), pii.trained())
+        assert masked in ('onthe token = "<secret>" ereran', 'onthe token = "<card>" ereran')
+
+
+def test_a_span_within_a_base_span_is_not_given_twice():
+    base, found = spans("mail a.b@c.example.com or +1 (743) 555-3824, 10.0.0.1 and 4111 1111 1111 1111.")
+    assert [k for _, _, k in base] == ["email", "phone", "ip", "card"] and not found
