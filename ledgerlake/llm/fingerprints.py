@@ -4,13 +4,16 @@ A hash of the last seven bytes rolls over the text and triggers the end of a chu
 less than a multiple of the block size. Every chunk gives one character (six bits of its hash), so an
 edit changes the characters beside it only. Block sizes are 3, 6, 12, ...; a text takes the largest
 (from that which would give 64 chunks) which still gives 32, and has a second signature at twice
-that size, so that texts of different sizes can be compared. Likeness is one less the share of
+that size, so that texts of different sizes can be compared. Every chunk has its character, however
+many there are: texts that repeat themselves have longer signatures, not cut ones. The largest size
+goes by the length of the text alone, so that a text and its edit have a size in common. Likeness is one less the share of
 insertions and deletions that turn one signature into the other.
 """
 
 from __future__ import annotations
 
 import hashlib
+from os.path import commonprefix
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +22,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.llm.common import blocks, documents, hash_ranges, map_arrow, mixed, offsets, row_blocks, text_bytes
 
-ROLL, LEAST, LONGEST = 7, 32, 64
+ROLL, LEAST, WORD = 7, 32, 64
 # fixed value: the characters of base 64 in their order
 LETTERS = np.frombuffer(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", np.uint8)
 CODES = np.full(256, -1, np.int64)
@@ -50,7 +53,7 @@ def fingerprints(data: np.ndarray, edges: np.ndarray) -> list[str]:
         level = level[ends]
         at = np.searchsorted(ends, cut)
         sizes = np.diff(cut)
-        top = np.maximum(0, np.ceil(np.log2(np.maximum(sizes, 1) / (3 * LONGEST)))).astype(np.int64)
+        top = np.maximum(0, np.ceil(np.log2(np.maximum(sizes, 1) / (3 * WORD)))).astype(np.int64)
         # chunk ends by text and level, as sums from the highest level down
         doc = np.repeat(np.arange(len(sizes)), np.diff(at))
         most = int(top.max(initial=0)) + 2
@@ -59,18 +62,16 @@ def fingerprints(data: np.ndarray, edges: np.ndarray) -> list[str]:
         counts = counts[:, ::-1].cumsum(axis=1)[:, ::-1]
         fits = (counts >= LEAST) & (np.arange(most) <= top[:, None])
         j = np.where(fits.any(axis=1), most - 1 - fits[:, ::-1].argmax(axis=1), 0)
-        signs = [_signatures(piece, cut, ends, level, doc, j + up, LONGEST >> up) for up in (0, 1)]
+        signs = [_signatures(piece, cut, ends, level, doc, j + up) for up in (0, 1)]
         out += [f"{3 << k}:{s}:{t}" for k, s, t in zip(j.tolist(), *signs, strict=True)]
     return out
 
 
-def _signatures(data, cut, ends, level, doc, j, longest) -> list[str]:
-    """One character for each chunk of block size 3 * 2**j; what would follow the last one belongs to it."""
+def _signatures(data, cut, ends, level, doc, j) -> list[str]:
+    """One character for each chunk of block size 3 * 2**j; the last one ends with the text."""
     pick = level >= j[doc]
     stop, row = ends[pick] + 1, doc[pick]
-    at = np.searchsorted(row, np.arange(len(cut)))
-    rank = np.arange(len(row)) - at[row]
-    keep = (rank < longest - 1) & (stop < cut[1:][row])
+    keep = stop < cut[1:][row]
     stop, row = stop[keep], row[keep]
     full = np.flatnonzero(np.diff(cut) > 0)  # the last chunk ends with the text
     stop, row = np.concatenate([stop, cut[1:][full]]), np.concatenate([row, full])
@@ -84,10 +85,37 @@ def _signatures(data, cut, ends, level, doc, j, longest) -> list[str]:
 
 
 def _common(a: list[str], b: list[str]) -> np.ndarray:
-    """Lengths of the longest common subsequences, all pairs at once, a bit for each character of ``a``."""
+    """Lengths of the longest common subsequences; pairs of at most 64 characters all at once."""
+    out = np.zeros(len(a), np.int64)
+    long = np.array([max(len(x), len(y)) > WORD for x, y in zip(a, b, strict=True)], bool)
+    rows = np.flatnonzero(~long)
+    if len(rows):
+        out[rows] = _common_short([a[r] for r in rows], [b[r] for r in rows])
+    for r in np.flatnonzero(long):
+        out[r] = _common_long(a[r], b[r])
+    return out
+
+
+def _common_long(x: str, y: str) -> int:
+    """The same for one pair of any length: what begins and ends both is common, the rest goes by one long word."""
+    head = len(commonprefix([x, y]))
+    x, y = x[head:], y[head:]
+    tail = len(commonprefix([x[::-1], y[::-1]]))
+    x, y = sorted((x[: len(x) - tail], y[: len(y) - tail]), key=len)
+    signs = np.frombuffer(x.encode(), np.uint8)
+    masks = {c: int.from_bytes(np.packbits(signs == ord(c), bitorder="little").tobytes(), "little") for c in set(x)}
+    whole = v = (1 << len(x)) - 1
+    for c in y:
+        u = v & masks.get(c, 0)
+        v = (v + u | v - u) & whole
+    return head + tail + len(x) - v.bit_count()
+
+
+def _common_short(a: list[str], b: list[str]) -> np.ndarray:
+    """Pairs of at most 64 characters, a bit for each character of ``a``."""
     n = len(a)
     la, lb = (np.array([len(x) for x in s]) for s in (a, b))
-    pad = lambda s: CODES[np.frombuffer("".join(x.ljust(LONGEST, "=") for x in s).encode(), np.uint8)].reshape(n, LONGEST)
+    pad = lambda s: CODES[np.frombuffer("".join(x.ljust(WORD, "=") for x in s).encode(), np.uint8)].reshape(n, WORD)
     x, y = pad(a), pad(b)
     masks = np.zeros((n, 65), np.uint64)
     rows = np.arange(n)

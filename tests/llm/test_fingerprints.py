@@ -54,3 +54,27 @@ def test_edges(spark):
     df = spark.createDataFrame([(1, big), (2, big[:1000] + "X" + big[1000:]), (3, None)], "doc_id long, text string")
     got = {x.doc_id: x for x in compare_edits(df).collect()}
     assert got[2].near_next > 0.9 and got[3].near_next < 0.5
+
+
+def test_common_subsequences_of_long_signatures():
+    r = random.Random(4)
+    a = ["".join(r.choices("AB+9", k=r.randint(0, 300))) for _ in range(60)]
+    b = [r.choice([x[: len(x) // 2], x[:70] + "A" + x[70:], "".join(r.choices("AB+9", k=r.randint(0, 300)))]) for x in a]
+    assert _common(a, b).tolist() == [lcs(x, y) for x, y in zip(a, b)]
+
+
+def test_repetitive_texts_are_judged_whole(spark):
+    r = random.Random(5)
+    prose = lambda n: "".join(r.choices("abcdefgh ", k=n))
+    heads = [prose(25) * 80 for _ in range(60)]  # the later half differs altogether
+    rows = [(2 * i + j, h + prose(2000)) for i, h in enumerate(heads) for j in (0, 1)]
+    got = {x.doc_id: x for x in compare_edits(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    marks = [[got[2 * i + j].fingerprint for i in range(60)] for j in (0, 1)]
+    long = lambda m: m.split(":")[0] if len(m.split(":")[1]) > 64 else None
+    capped = [i for i in range(60) if long(marks[0][i]) and long(marks[0][i]) == long(marks[1][i])]
+    assert len(capped) >= 5
+    score = likeness(*marks)
+    for i in capped:
+        (_, x, _), (_, y, _) = marks[0][i].split(":"), marks[1][i].split(":")
+        assert x[:60] == y[:60] and x[-10:] != y[-10:] and score[i] < 0.95
+        assert 0.3 <= got[2 * i + 1].near_edited < 0.9  # its successor is its twin
