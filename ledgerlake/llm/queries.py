@@ -12,6 +12,7 @@ from ledgerlake.llm.packing import op1_packing
 from ledgerlake.llm.pii import op9_pii
 from ledgerlake.llm.quality import op6_quality
 from ledgerlake.llm.suffix_dedup import op7_suffix_dedup
+from ledgerlake.llm.whitening import op11_whitening
 
 QUERIES = {
     "op1_packing": op1_packing,
@@ -24,7 +25,8 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_pii": op9_pii,
     "op10_embedding_dedup": op10_embedding_dedup,
+    "op11_whitening": op11_whitening,
 }
 
-#: None of the ten can be written as SQL that DuckDB runs over whole tables; tests/llm hold them against brute force.
+#: tests/llm hold the operators against brute force; these models and searches have no SQL that DuckDB runs over whole tables.
 ORACLES: dict[str, str] = {}
