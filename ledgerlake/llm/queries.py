@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from ledgerlake.llm.alignment import op12_token_alignment
 from ledgerlake.llm.byte_bpe import op2_byte_bpe
 from ledgerlake.llm.embedding_dedup import op10_embedding_dedup
 from ledgerlake.llm.fingerprints import op5_fingerprints
@@ -26,6 +27,7 @@ QUERIES = {
     "op9_pii": op9_pii,
     "op10_embedding_dedup": op10_embedding_dedup,
     "op11_whitening": op11_whitening,
+    "op12_token_alignment": op12_token_alignment,
 }
 
 #: tests/llm hold the operators against brute force; these models and searches have no SQL that DuckDB runs over whole tables.
