@@ -13,6 +13,7 @@ from ledgerlake.llm.packing import op1_packing
 from ledgerlake.llm.pii import op9_pii
 from ledgerlake.llm.quality import op6_quality
 from ledgerlake.llm.suffix_dedup import op7_suffix_dedup
+from ledgerlake.llm.toxicity import op13_toxicity
 from ledgerlake.llm.whitening import op11_whitening
 
 QUERIES = {
@@ -28,6 +29,7 @@ QUERIES = {
     "op10_embedding_dedup": op10_embedding_dedup,
     "op11_whitening": op11_whitening,
     "op12_token_alignment": op12_token_alignment,
+    "op13_toxicity": op13_toxicity,
 }
 
 #: tests/llm hold the operators against brute force; these models and searches have no SQL that DuckDB runs over whole tables.
