@@ -51,7 +51,7 @@ def main() -> None:
         warm = Store(spark, base_path=os.path.join(base, "warmup"), use_catalog=catalog, prefix=f"w{run_id}")
         warm.create_databases()
         wb = run_bronze(warm, fixture.raw_sales(spark, warm_dir), fixture.returns_source(spark, warm_dir),
-                        fixture.salespeople(spark), batch_time="2024-01-01 06:00:00")
+                        fixture.salespeople(spark), batch_time="2024-01-01 06:00:00", order_ids=fixture.order_ids(spark, warm_dir))
         run_silver(warm, silver_time="2024-01-01 06:00:00", bronze_rows=wb)
         wsilver = warm.read("silver", "orders_cleaned")
         for name, fn in marts.MARTS.items():
@@ -67,7 +67,7 @@ def main() -> None:
     reps = fixture.salespeople(spark)
     store.create_databases()
     nb = timed("bronze", lambda: run_bronze(store, fixture.raw_sales(spark, sf_dir), fixture.returns_source(spark, sf_dir),
-                                            reps, batch_time=stamp))
+                                            reps, batch_time=stamp, order_ids=fixture.order_ids(spark, sf_dir)))
     ns, _pct = timed("silver", lambda: run_silver(store, silver_time=stamp, bronze_rows=nb))
     silver = store.read("silver", "orders_cleaned")
     for name, fn in marts.MARTS.items():

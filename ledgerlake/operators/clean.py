@@ -128,25 +128,19 @@ def null_profile(df: DataFrame, skip_prefix: str = "_", max_null_pct: float | No
 
 
 def distinct_before_after(df: DataFrame, cols=TEXT_COLS) -> DataFrame:
-    """Distinct values per text column before and after title-casing, one job (CL5).
+    """Distinct values per text column before and after title-casing, one scan and one job (CL5).
 
-    Each (column, form) is its own narrow branch (one column scanned, a
-    partial distinct, then tagged); a single aggregate counts the tags.
-    Putting all the DISTINCTs in one aggregate instead would make Spark
-    expand every row once per DISTINCT.
+    Each row becomes one (column, value) pair per column; map tasks reduce the
+    pairs to their distinct ones before the shuffle, and only distinct values
+    are title-cased and counted. An all-NULL column reports 0 / 0.
     """
     cols = present(df, cols)
-    parts = []
-    for c in cols:
-        for kind, expr in (("b", col(c)), ("a", title_case(col(c)))):
-            vals = df.select(expr.alias("v")).filter(F.col("v").isNotNull()).distinct()
-            parts.append(vals.select(F.lit(c).alias("column"), F.lit(kind).alias("_k")))
-    # one untagged row per column, so an all-NULL column still reports 0 / 0
-    parts.append(df.sparkSession.createDataFrame([(c, None) for c in cols], "column string, _k string"))
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
-    return u.groupBy("column").agg(
-        F.count_if(F.col("_k") == "b").alias("distinct_before"),
-        F.count_if(F.col("_k") == "a").alias("distinct_after"),
+    if not cols:
+        return df.sparkSession.createDataFrame([], "column string, distinct_before bigint, distinct_after bigint")
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), col(c).cast("string").alias("value")) for c in cols]))
+    values = df.select(pairs.alias("p")).select("p.column", "p.value").distinct()
+    titles = values.groupBy("column", title_case(F.col("value")).alias("title")).agg(F.count("value").alias("n"))
+    return titles.groupBy("column").agg(
+        F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("distinct_before"),
+        F.count("title").alias("distinct_after"),
     )

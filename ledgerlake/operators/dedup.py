@@ -2,10 +2,11 @@
 
 ``keep_first`` keeps, per key, the row that sorts first over all data columns
 (rows whose ``complete`` columns are all filled before others, then ascending
-with NULLs last), so a good copy is never lost to one with a gap. It is a grouped ``min`` over a struct, i.e. a
-partial aggregate: every map task reduces a hot key to one row before the
-shuffle, so a key holding a third of all rows never lands whole in one task.
-The result is the same on every run and every partitioning.
+with NULLs last), so a good copy is never lost to one with a gap. It asks for
+the first row number of a window, which Spark also limits before a shuffle:
+every map task reduces a hot key to one row, so a key holding a third of all
+rows never lands whole in one task. Rows are sorted once and never copied into
+aggregation buffers. The result is the same on every run and every partitioning.
 """
 
 from __future__ import annotations
@@ -13,10 +14,11 @@ from __future__ import annotations
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.text import col
+from ledgerlake.operators.skew import SLICE
 
 
 def keep_first(df: DataFrame, key: list[str], order_cols: list[str] | None = None,
@@ -26,16 +28,22 @@ def keep_first(df: DataFrame, key: list[str], order_cols: list[str] | None = Non
     Columns not in ``order_cols`` (metadata) are carried along from the chosen row.
     """
     order_cols = order_cols or [c for c in df.columns if not c.startswith("_")]
-    rest = [c for c in df.columns if c not in order_cols]
     gap = reduce(or_, [col(c).isNull() for c in complete or [] if c in df.columns], F.lit(False))
-    fields = [gap.alias("__gap")]
-    for c in order_cols:
-        fields += [col(c).isNull().alias(f"__null_{c}"), col(c).alias(c)]
-    fields += [col(c).alias(c) for c in rest]
-    best = df.groupBy(*[col(k).alias(f"__k{i}") for i, k in enumerate(key)]).agg(
-        F.min(F.struct(*fields)).alias("__row")
-    )
-    return best.select(*[F.col("__row").getField(c).alias(c) for c in df.columns])
+    order = [gap.asc(), *[col(c).asc_nulls_last() for c in order_cols if c not in key]]
+    first = F.row_number().over(Window.partitionBy(*[col(k) for k in key]).orderBy(*order))
+    return df.withColumn("__first", first).filter(F.col("__first") == 1).drop("__first")
+
+
+def keep_first_sliced(df: DataFrame, key: list[str], **options) -> DataFrame:
+    """``keep_first`` of a table stored by key and slice (skew.with_slices).
+
+    Ordinary rows (slice 0) are reduced within their buckets, where a table stored so needs no
+    shuffle. The rows of a heavy key are reduced in each slice's task before they meet.
+    """
+    if SLICE not in df.columns:
+        return keep_first(df, key, **options)
+    plain = keep_first(df.filter(F.col(SLICE) == 0), [key[0], SLICE, *key[1:]], **options)
+    return plain.unionByName(keep_first(df.filter(F.col(SLICE) > 0), key, **options))
 
 
 def dedup_report(df: DataFrame, key: list[str]) -> DataFrame:

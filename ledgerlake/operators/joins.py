@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.config import NOT_RETURNED
 from ledgerlake.functions.text import col
+from ledgerlake.operators.skew import HeavyKeys, left_lookup
 
 
 class DuplicateKeyError(ValueError):
@@ -44,10 +47,14 @@ def dedup_returns(returns: DataFrame, key: str = "Order ID", reason: str = "Retu
     return returns.groupBy(col(key)).agg(F.min(col(reason)).alias(reason)).withColumn("Is_Returned", F.lit(True))
 
 
-def join_returns(orders: DataFrame, returns: DataFrame, key: str = "Order ID") -> DataFrame:
-    """orders LEFT JOIN deduplicated returns; non-returned rows get defaults (JO1, CL3, DE9)."""
-    r = dedup_returns(returns, key)
-    out = orders.join(r, on=key, how="left")
+def join_returns(orders: DataFrame, returns: DataFrame, key: str = "Order ID", heavy: HeavyKeys | None = None,
+                 watch: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
+    """orders LEFT JOIN deduplicated returns; non-returned rows get defaults (JO1, CL3, DE9).
+
+    With ``heavy`` (skew.heavy_keys of the orders) the rows of hot orders are not shuffled.
+    ``watch`` is applied to the order rows before they are joined (to observe their number).
+    """
+    out = left_lookup(orders, dedup_returns(returns, key), heavy or HeavyKeys(key, 2), watch)
     return out.withColumns(
         {
             "Is_Returned": F.coalesce(col("Is_Returned"), F.lit(False)),

@@ -188,29 +188,23 @@ def defect_audit(df: DataFrame, key: list[str] | None = None,
                  null_columns=("Ship Mode", "Postal Code", "Customer Name")) -> DataFrame:
     """Total, NULLs per column, duplicate rows on the key, distinct regions, discounts > 1 (GE11).
 
-    One job: the row measures, the distinct keys and the distinct regions are
-    three tagged branches of one union under a single plain aggregate (no
-    DISTINCT aggregate, so Spark does not expand every row once per DISTINCT).
+    One scan: the row measures are first summed per (key, region), partly on
+    the map side, and ride along while the keys and the regions are counted.
     """
-    keys = _keys(df, key)
-    nulls = [c for c in null_columns if c in df.columns]
-    rows = df.select(F.lit("R").alias("_t"),
-                     *[col(c).isNull().alias(f"null_{c.replace(' ', '_')}") for c in nulls],
-                     (col("Discount").try_cast("double") > 1.0).alias("_bad") if "Discount" in df.columns
-                     else F.lit(False).alias("_bad"))
-    parts = [rows, df.select(*keys).distinct().select(F.lit("K").alias("_t"))]
-    if "Region" in df.columns:
-        parts.append(df.select(col("Region")).distinct().filter(col("Region").isNotNull()).select(F.lit("G").alias("_t")))
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p, allowMissingColumns=True)
-    t = F.col("_t")
-    aggs = [F.count_if(t == "R").alias("total_rows")]
-    aggs += [F.count_if(F.col(f"null_{c.replace(' ', '_')}")).alias(f"null_{c.replace(' ', '_')}") for c in nulls]
-    aggs.append(F.count_if(t == "K").alias("unique_keys"))
-    if "Region" in df.columns:
-        aggs.append(F.count_if(t == "G").alias("distinct_regions"))
-    if "Discount" in df.columns:
-        aggs.append(F.count_if(F.col("_bad")).alias("bad_discounts"))
-    out = u.agg(*aggs)
+    keys = [k.alias(f"__k{i}") for i, k in enumerate(_keys(df, key))]
+    nulls = {f"null_{c.replace(' ', '_')}": c for c in null_columns if c in df.columns}
+    has_region, has_discount = "Region" in df.columns, "Discount" in df.columns
+    rows = df.select(
+        *keys, (col("Region") if has_region else F.lit(None).cast("string")).alias("__region"),
+        *[col(c).isNull().cast("int").alias(n) for n, c in nulls.items()],
+        (F.coalesce(col("Discount").try_cast("double") > 1.0, F.lit(False)).cast("int") if has_discount else F.lit(0)).alias("bad_discounts"))
+    names = [f"__k{i}" for i in range(len(keys))]
+    sums = ["total_rows", *nulls, "bad_discounts"]
+    per = rows.groupBy(*names, "__region").agg(
+        F.count(F.lit(1)).alias("total_rows"), *[F.sum(n).alias(n) for n in sums[1:]])
+    out = per.agg(
+        *[F.coalesce(F.sum(n), F.lit(0)).cast("long").alias(n) for n in sums],
+        F.count_distinct(F.struct(*names)).alias("unique_keys"),
+        *([F.count_distinct("__region").alias("distinct_regions")] if has_region else []))
+    out = out if has_discount else out.drop("bad_discounts")
     return out.withColumn("duplicate_rows", F.col("total_rows") - F.col("unique_keys"))

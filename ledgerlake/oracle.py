@@ -472,6 +472,13 @@ def _filtered_kpis() -> str:
     return build(on_source(KPIS, "fsilver"), f)
 
 
+HOT_RAW = """hotraw AS (SELECT * REPLACE (CASE WHEN "Order ID" % 3 = 0 THEN 1 ELSE "Order ID" END AS "Order ID") FROM raw)"""
+
+
+def _hot_order_kpis() -> str:
+    return build(on_source(KPIS, "hsilver"), HOT_RAW, bronze_select("hotraw", "ret_d", "hbronze"), silver_chain("hbronze", "h"))
+
+
 def _multipliers_values() -> str:
     from ledgerlake.config import YEAR_MULTIPLIERS
 
@@ -798,6 +805,11 @@ def oracle_queries() -> dict[str, str]:
         "join_returns_left": build(f"""SELECT coalesce(d."Is_Returned", FALSE) AS "Is_Returned",
   coalesce(d."Return Reason", {lit(NOT_RETURNED)}) AS "Return Reason", COUNT(*) AS "rows"
 FROM raw r LEFT JOIN ret_d d ON r."Order ID" = d."Order ID" GROUP BY 1, 2"""),
+        "join_returns_hot": build(f"""SELECT r."Order ID" = 1 AS "hot", coalesce(d."Is_Returned", FALSE) AS "Is_Returned",
+  coalesce(d."Return Reason", {lit(NOT_RETURNED)}) AS "Return Reason", COUNT(*) AS "rows",
+  COUNT(*) FILTER (WHERE r."Order ID" = 1) AS "kept_in_place"
+FROM hotraw r LEFT JOIN ret_d d ON r."Order ID" = d."Order ID" GROUP BY 1, 2, 3""", HOT_RAW),
+        "hot_order_kpis": _hot_order_kpis(),
         "join_rep_broadcast": build("""SELECT r."Region", p."Salesperson", p."Target_Sales", COUNT(*) AS "rows"
 FROM raw r LEFT JOIN reps p ON r."Region" = p."Region" GROUP BY 1, 2, 3"""),
         "unmatched_regions": build("""SELECT COUNT(*) FILTER (WHERE "Salesperson" IS NULL) AS unmatched_rows FROM bronze"""),

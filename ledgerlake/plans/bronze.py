@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
@@ -10,6 +12,7 @@ from ledgerlake.config import LAYER_BRONZE
 from ledgerlake.functions.hashing import record_hash
 from ledgerlake.functions.text import col
 from ledgerlake.operators.joins import join_returns, join_salespeople
+from ledgerlake.operators.skew import HeavyKeys, with_slices
 
 ENRICH_COLUMNS = ["Return Reason", "Is_Returned", "Salesperson", "Target_Sales"]
 
@@ -41,14 +44,17 @@ def add_bronze_metadata(df: DataFrame, batch_time: str | None = None) -> DataFra
     )
 
 
-def build_bronze(orders: DataFrame, returns: DataFrame, reps: DataFrame, batch_time: str | None = None, normalize_region: bool = False) -> DataFrame:
+def build_bronze(orders: DataFrame, returns: DataFrame, reps: DataFrame, batch_time: str | None = None, normalize_region: bool = False,
+                 heavy: HeavyKeys | None = None, watch: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """orders LEFT JOIN returns (deduplicated) LEFT JOIN reps, plus metadata.
 
     Column order: the raw columns, then the enrichment columns, then metadata.
     ``normalize_region`` fixes the region spelling before the rep lookup;
-    by default the lookup is exact, as a raw-stage join is.
+    by default the lookup is exact, as a raw-stage join is. ``heavy`` and
+    ``watch`` as in ``join_returns``; with heavy orders the rows get a slice.
     """
-    joined = join_returns(orders, returns)
+    joined = join_returns(orders, returns, heavy=heavy, watch=watch)
     joined = join_salespeople(joined, reps, normalize_keys=normalize_region)
     ordered = joined.select(*[col(c) for c in orders.columns], *[col(c) for c in ENRICH_COLUMNS])
-    return add_bronze_metadata(ordered, batch_time)
+    out = add_bronze_metadata(ordered, batch_time)
+    return with_slices(out, heavy) if heavy else out

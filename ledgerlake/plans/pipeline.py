@@ -11,9 +11,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 from ledgerlake.config import Coverage, Thresholds
+from ledgerlake.operators.skew import SLICE, heavy_keys
 from ledgerlake.plans import marts
 from ledgerlake.plans.bronze import build_bronze
 from ledgerlake.plans.quality import SuiteInputs, ordered_report, validation_report
@@ -34,40 +36,66 @@ class RunResult:
     report: DataFrame | None = None
 
 
-def order_buckets(store: Store) -> tuple[int, list[str]]:
+class RowInflationError(ValueError):
+    """A join of the bronze job changed the number of order rows."""
+
+
+def bucket_count(store: Store) -> int:
+    return store.buckets or int(store.spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def order_buckets(store: Store, df: DataFrame | None = None) -> tuple[int, list[str]]:
     """Bucket a layer by Order ID (catalog tables). Bronze: the silver dedup,
     keyed by (Order ID, Product ID, Source_Year), reads it without a shuffle.
     Silver: every mart counts distinct Order IDs per group, and the first phase
     of that aggregate, keyed by (group, Order ID), reads it without a shuffle
     too; the dedup output already has this partitioning, so writing the
-    buckets costs no exchange either."""
-    n = store.buckets or int(store.spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    return n, ["Order ID"]
+    buckets costs no exchange either. Rows with slices (orders that hold more
+    than a task's share were found) are bucketed by Order ID and slice."""
+    sliced = [SLICE] if df is not None and SLICE in df.columns else []
+    return bucket_count(store), ["Order ID", *sliced]
+
+
+def run_bronze(store: Store, orders: DataFrame, returns: DataFrame, reps: DataFrame, batch_time: str | None = None,
+               order_ids: DataFrame | None = None) -> int:
+    """Write bronze; rows written.
+
+    Hot orders are looked for in ``order_ids`` (a frame with the order ids of the input, where that is
+    cheaper to read than the input itself). The order rows that go into the joins are observed by the write
+    itself and compared with the rows written (JO4): a difference raises.
+    """
+    heavy = heavy_keys(orders if order_ids is None else order_ids, "Order ID", bucket_count(store))
+    seen: list[Observation] = []
 
+    def watch(df: DataFrame) -> DataFrame:
+        seen.append(Observation())
+        return df.observe(seen[-1], F.count(F.lit(1)).alias("n"))
 
-def run_bronze(store: Store, orders: DataFrame, returns: DataFrame, reps: DataFrame,
-               batch_time: str | None = None) -> int:
-    bronze = build_bronze(orders, returns, reps, batch_time=batch_time)
-    return store.write(bronze, "bronze", BRONZE_TABLE, partition_by="Source_Year", bucket_by=order_buckets(store))
+    bronze = build_bronze(orders, returns, reps, batch_time=batch_time, heavy=heavy, watch=watch)
+    written = store.write(bronze, "bronze", BRONZE_TABLE, partition_by="Source_Year", bucket_by=order_buckets(store, bronze))
+    before = sum(int(o.get["n"]) for o in seen)
+    if before != written:
+        raise RowInflationError(f"{before} order rows became {written} in the bronze joins")
+    return written
 
 
 def run_silver(store: Store, silver_time: str | None = None, bronze_rows: int | None = None,
                thresholds: Thresholds = Thresholds()) -> tuple[int, float]:
     """Build silver from the bronze table, stage it, apply the retention gate (DQ5), then publish.
 
-    A failed gate leaves the silver table of the run before as it was; the staged table stays for
-    inspection until the next run writes over it.
+    Silver is written once; publishing makes the staged version the table in one atomic step. A
+    failed gate or a crash leaves the silver table of the run before as it was; the staged version stays for
+    inspection until the next publish removes it.
     """
     bronze = store.read("bronze", BRONZE_TABLE)
     silver = build_silver(bronze, silver_time=silver_time)
-    staged = f"{SILVER_TABLE}_staged"
-    n = store.write(silver, "silver", staged, partition_by="Order_Year", bucket_by=order_buckets(store))
+    staged, n = store.stage(silver, "silver", SILVER_TABLE, partition_by="Order_Year", bucket_by=order_buckets(store, silver))
     if bronze_rows is None:
         bronze_rows = bronze.count()
     pct = (n / bronze_rows * 100.0) if bronze_rows else 0.0
     if pct < thresholds.min_retention_pct:
         raise RetentionError(f"Retention {pct:.2f}% below threshold {thresholds.min_retention_pct}%")
-    store.write(store.read("silver", staged), "silver", SILVER_TABLE, partition_by="Order_Year", bucket_by=order_buckets(store))
+    store.publish("silver", SILVER_TABLE, staged)
     return n, pct
 
 
@@ -90,9 +118,10 @@ def run_validation(store: Store, validation_time: str, thresholds: Thresholds =
 
 
 def run_all(store: Store, orders: DataFrame, returns: DataFrame, reps: DataFrame, batch_time: str,
-            coverage: Coverage = Coverage(), thresholds: Thresholds = Thresholds(), csv_base: str | None = None) -> RunResult:
+            coverage: Coverage = Coverage(), thresholds: Thresholds = Thresholds(), csv_base: str | None = None,
+            order_ids: DataFrame | None = None) -> RunResult:
     store.create_databases()
-    nb = run_bronze(store, orders, returns, reps, batch_time=batch_time)
+    nb = run_bronze(store, orders, returns, reps, batch_time=batch_time, order_ids=order_ids)
     ns, pct = run_silver(store, silver_time=batch_time, bronze_rows=nb, thresholds=thresholds)
     mart_rows = run_gold(store, created_at=batch_time, csv_base=csv_base)
     report = run_validation(store, batch_time, thresholds, coverage)

@@ -15,13 +15,13 @@ from ledgerlake.operators.clean import (
     remove_invalid_sales,
     standardize_text,
 )
-from ledgerlake.operators.dedup import keep_first
+from ledgerlake.operators.dedup import keep_first_sliced
 from ledgerlake.operators.derive import derive_measures
 
 
 def clean_rows(bronze: DataFrame, dedup_key=DEDUP_KEY, date_formats: list[str] | None = None) -> DataFrame:
     """Bronze -> typed, cleaned rows (no derived columns yet)."""
-    df = keep_first(bronze, list(dedup_key), complete=MANDATORY_COLS)
+    df = keep_first_sliced(bronze, list(dedup_key), complete=MANDATORY_COLS)
     df = drop_mandatory_nulls(df)
     df = fill_defaults(df)
     df = standardize_text(df)

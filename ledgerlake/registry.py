@@ -28,6 +28,7 @@ from ledgerlake.config import (
 from ledgerlake.functions.text import col
 from ledgerlake.operators import aggregates, clean, columns, dedup, filters, joins, prep, setops, windows
 from ledgerlake.operators.derive import with_discount_bucket
+from ledgerlake.operators.skew import heavy_keys
 from ledgerlake.plans import dashboard, marts, quality
 from ledgerlake.plans.bronze import build_bronze
 from ledgerlake.plans.flow import FIXED_BATCH_TIME, bronze_from_tables, silver_from_tables
@@ -123,6 +124,27 @@ def q_join_returns_left(spark, sf):
     return j.groupBy("Is_Returned", col("Return Reason")).agg(F.count(F.lit(1)).alias("rows"))
 
 
+def q_join_returns_hot(spark, sf):
+    """The returns join where one order holds a third of all rows."""
+    raw = fixture.hot_sales(fixture.raw_sales(spark, sf))
+    heavy = heavy_keys(fixture.hot_sales(fixture.order_ids(spark, sf)), "Order ID", 64)
+    j = joins.join_returns(raw, fixture.returns_source(spark, sf), heavy=heavy)
+    return j.groupBy((col("Order ID") == 1).alias("hot"), "Is_Returned", col("Return Reason")).agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(col("Order ID").isin(list(heavy.keys))).alias("kept_in_place"))
+
+
+def q_hot_order_kpis(spark, sf):
+    """Bronze and silver tables, stored in slices, and the KPIs where one order holds a third of all rows."""
+    from ledgerlake.plans import pipeline
+
+    store = Store(spark, base_path=scratch(spark, "hot"), use_catalog=True, prefix="h" + uuid.uuid4().hex[:10])
+    store.create_databases()
+    pipeline.run_bronze(store, fixture.hot_sales(fixture.raw_sales(spark, sf)), fixture.returns_source(spark, sf), fixture.salespeople(spark),
+                        batch_time=FIXED_BATCH_TIME, order_ids=fixture.hot_sales(fixture.order_ids(spark, sf)))
+    pipeline.run_silver(store, silver_time=FIXED_BATCH_TIME, thresholds=Thresholds(min_retention_pct=50.0))
+    return marts.executive_kpis(store.read("silver", pipeline.SILVER_TABLE))
+
+
 def q_join_rep_broadcast(spark, sf):
     raw = fixture.raw_sales(spark, sf)
     j = joins.join_salespeople(raw, fixture.salespeople(spark))
@@ -622,7 +644,7 @@ def q_pipeline_end_to_end(spark, sf):
 
     store = Store(spark, base_path=scratch(spark, "pipeline"))
     res = run_all(store, fixture.raw_sales(spark, sf), fixture.returns_source(spark, sf), fixture.salespeople(spark),
-                  batch_time=FIXED_BATCH_TIME, coverage=FIXTURE_COVERAGE)
+                  batch_time=FIXED_BATCH_TIME, coverage=FIXTURE_COVERAGE, order_ids=fixture.order_ids(spark, sf))
     return res.report
 
 
@@ -653,6 +675,8 @@ def registry() -> dict[str, Query]:
             "returned_enrichment": q_returned_enrichment,
             # joins
             "join_returns_left": q_join_returns_left,
+            "join_returns_hot": q_join_returns_hot,
+            "hot_order_kpis": q_hot_order_kpis,
             "join_rep_broadcast": q_join_rep_broadcast,
             "unmatched_regions": q_unmatched_regions,
             "row_inflation_guard": q_row_inflation_guard,

@@ -11,12 +11,17 @@ stages.
 from __future__ import annotations
 
 import os
+import time
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.session import shared_dir
+from ledgerlake.sinks import files
+
+VERSION = "__v"  # between a table's name and the stamp of a version
 
 
 @dataclass
@@ -61,17 +66,76 @@ class Store:
         return write_table(df, self.location(layer, table), partition_by=partition_by, catalog=self.use_catalog,
                            bucket_by=bucket_by if self.use_catalog else None)
 
+    def stage(self, df: DataFrame, layer: str, table: str, partition_by: str | None = None,
+              bucket_by: tuple[int, list[str]] | None = None) -> tuple[str, int]:
+        """Write a new version of a table beside the published one; (version, rows). Nobody reads it before ``publish``."""
+        version = f"{table}{VERSION}{time.time_ns() // 1_000_000:013d}_{uuid.uuid4().hex[:6]}"
+        return version, self.write(df, layer, version, partition_by, bucket_by)
+
+    def publish(self, layer: str, table: str, version: str, keep: int = 1) -> None:
+        """Make a staged version the table, by one atomic step, without writing rows again.
+
+        Catalog: the table's name is a view of a version, and the view is replaced. Paths: a
+        small file names the version, and a new one is renamed over it. A crash before that
+        step leaves the old version readable, one after it the new version. Readers that started
+        before it still find their files: the ``keep`` versions before it stay, older and abandoned ones go.
+        """
+        before = self.published(layer, table)
+        if self.use_catalog:
+            name = self.location(layer, table)
+            if self.spark.catalog.tableExists(name) and self.spark.catalog.getTable(name).tableType != "VIEW":
+                old = f"{table}{VERSION}{0:013d}_000000"  # a table from before versions: it becomes one
+                self.spark.sql(f"ALTER TABLE {name} RENAME TO {self.location(layer, old)}")
+                before = old
+            self.spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {self.location(layer, version)}")
+        else:
+            files.replace_text(self.spark, self._pointer(layer, table), version)
+        others = [v for v in self.versions(layer, table) if v < version and v != before]
+        for v in others if keep else [*others, *[b for b in [before] if b]]:
+            self.drop(layer, v)
+
+    def _pointer(self, layer: str, table: str) -> str:
+        return f"{self.location(layer, table)}.current"
+
+    def published(self, layer: str, table: str) -> str | None:
+        """The published version, None if the table has none."""
+        if not self.use_catalog:
+            return files.read_text(self.spark, self._pointer(layer, table))
+        name = self.location(layer, table)
+        if not self.spark.catalog.tableExists(name) or self.spark.catalog.getTable(name).tableType != "VIEW":
+            return None
+        rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'View Text'").collect()
+        return rows[0]["data_type"].rsplit(".", 1)[-1].strip("`") if rows else None
+
+    def versions(self, layer: str, table: str) -> list[str]:
+        """All versions, staged ones included, oldest first."""
+        head = f"{table}{VERSION}"
+        if self.use_catalog:
+            found = [t.name for t in self.spark.catalog.listTables(self.database(layer))]
+        else:
+            found = files.names(self.spark, f"{self.base_path.rstrip('/')}/{layer}")
+        return sorted(v for v in found if v.startswith(head))
+
+    def drop(self, layer: str, table: str) -> None:
+        if self.use_catalog:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.location(layer, table)}")
+        else:
+            files.remove(self.spark, self.location(layer, table))
+
     def read(self, layer: str, table: str) -> DataFrame:
-        loc = self.location(layer, table)
-        return self.spark.table(loc) if self.use_catalog else self.spark.read.parquet(loc)
+        if self.use_catalog:
+            return self.spark.table(self.location(layer, table))
+        return self.spark.read.parquet(self._folder(layer, table))
+
+    def _folder(self, layer: str, table: str) -> str:
+        return self.location(layer, self.published(layer, table) or table)
 
     def exists(self, layer: str, table: str) -> bool:
         """Table present (no job: catalog lookup, or the parquet footer read at analysis)."""
-        loc = self.location(layer, table)
         if self.use_catalog:
-            return self.spark.catalog.tableExists(loc)
+            return self.spark.catalog.tableExists(self.location(layer, table))
         try:
-            self.spark.read.parquet(loc).schema
+            self.spark.read.parquet(self._folder(layer, table)).schema
             return True
         except Exception as e:  # AnalysisException
             if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):

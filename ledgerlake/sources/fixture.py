@@ -148,6 +148,16 @@ def raw_sales(spark: SparkSession, sf_dir: str, defects: bool = True) -> DataFra
     return inject_modulo_defects(df) if defects else df
 
 
+def order_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order ids of the sales rows, from one column of one table (for the search of hot orders)."""
+    return table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("Order ID"))
+
+
+def hot_sales(df: DataFrame, order: int = 1, every: int = 3, key: str = "Order ID") -> DataFrame:
+    """Every ``every``-th order becomes one order: it then holds that share of all rows."""
+    return df.withColumn(key, F.when(F.pmod(col(key), F.lit(every)) == 0, F.lit(order).cast(df.schema[key].dataType)).otherwise(col(key)))
+
+
 def returns_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per returned line item: Order ID (may repeat) + Return Reason."""
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag")
