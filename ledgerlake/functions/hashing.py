@@ -30,3 +30,9 @@ def pick_label(labels: list[str], index: Column) -> Column:
     """Label at ``index`` (0-based, taken modulo the list length)."""
     arr = F.array(*[F.lit(x) for x in labels])
     return F.element_at(arr, (F.pmod(index, F.lit(len(labels))) + 1).cast("int"))
+
+
+def hash60(*cols: Column) -> Column:
+    """The first 60 bits of md5 of the '|'-joined text as a long (any SQL engine can follow); NULL parts are marked, not skipped."""
+    parts = [F.coalesce(c.cast("string"), F.lit("\\N")) for c in cols]
+    return F.conv(F.substring(F.md5(F.concat_ws("|", *parts)), 1, 15), 16, 10).cast("long")

@@ -596,6 +596,50 @@ def _expand_years() -> str:
 FROM clean_sales r, (VALUES (2019), (2020), (2021), (2022), (2023)) AS y(y)""")
 
 
+def _hash60(*parts: str) -> str:
+    text = ", ".join(f"coalesce(CAST({p} AS VARCHAR), '\\N')" for p in parts)
+    return f"CAST('0x' || substr(md5(concat_ws('|', {text})), 1, 15) AS BIGINT)"
+
+
+def _exact_sample(fraction: float = 0.10) -> str:
+    every = [f'CAST({q(c)} AS VARCHAR)' for c in RAW_COLS]
+    order = f"{_hash60(lit('42'), *KEYS.split(', '))}, {_hash60(lit('43'), *every)}"
+    return build(f"""SELECT * EXCLUDE (_rn) FROM (SELECT *, row_number() OVER (ORDER BY {order}) AS _rn FROM clean_sales)
+WHERE _rn <= (SELECT round_even({fraction} * COUNT(*), 0) FROM clean_sales)""")
+
+
+def _generate_years() -> str:
+    base_cols = [c for c in RAW_COLS if c not in ("Source_Year", "Source_File")]
+    order = ", ".join(f"{q(c)} ASC NULLS FIRST" for c in ["Order ID", *[c for c in base_cols if c != "Order ID"]])
+    m = _mode_year("clean_sales")
+    hit = lambda kind, *more: f"row_number() OVER (PARTITION BY y ORDER BY {_hash60(lit(kind), 'y', '_seq', *more)})"
+    shifted = lambda c: f"CAST({q(c)} + to_months(CAST((y - {m}) * 12 AS INTEGER)) AS DATE)"
+    upper = 'CASE WHEN _case <= round_even(0.03 * (n + _twice), 0) THEN upper("Region") ELSE "Region" END'
+    discount = 'CASE WHEN _disc <= round_even(0.01 * (n + _twice), 0) THEN "Discount" * 10 ELSE "Discount" END'
+    return build(f"""SELECT y AS "Source_Year", COUNT(*) AS "rows", COUNT(DISTINCT id) AS "ids", MIN(id) AS first_id, MAX(id) AS last_id,
+  MIN("Order Date") AS first_date, MAX("Ship Date") AS last_ship_date,
+  COUNT(*) FILTER (WHERE _null <= round_even(0.02 * n, 0)) AS null_ship_modes,
+  COUNT(*) FILTER (WHERE _null <= round_even(0.02 * n, 0)) AS null_customers,
+  COUNT(*) FILTER (WHERE "Region" = upper("Region")) AS upper_regions, COUNT(*) FILTER (WHERE "Discount" > 0.1) AS large_discounts,
+  {money_sum('"Sales"')} AS sales, {money_sum('"Profit"')} AS profit, {money_sum('"Discount"')} AS discounts,
+  CAST(SUM("Quantity") AS BIGINT) AS quantity, CAST(SUM(id) FILTER (WHERE "Region" = upper("Region")) AS BIGINT) AS upper_region_ids
+FROM (
+  SELECT y, n, _null, (y - 2018)::BIGINT * greatest(10000, CAST(pow(10, length(CAST(n AS VARCHAR))) AS BIGINT)) + _seq AS id,
+    {shifted("Order Date")} AS "Order Date", {shifted("Ship Date")} AS "Ship Date", {upper} AS "Region", {discount} AS "Discount",
+    {_bround('"Sales" * m_sales', 2)} AS "Sales", {_bround('"Profit" * m_profit', 2)} AS "Profit",
+    CAST({_bround('CAST("Quantity" AS DOUBLE) * m_qty', 0)} AS INTEGER) AS "Quantity"
+  FROM (
+    SELECT *, {hit("case", "_copy")} AS _case, {hit("discount", "_copy")} AS _disc FROM (
+      SELECT *, unnest(CASE WHEN _double <= _twice THEN [0, 1] ELSE [0] END) AS _copy FROM (
+        SELECT *, {hit("null")} AS _null, {hit("copy")} AS _double, greatest(1, CAST(floor(n * 0.01) AS BIGINT)) AS _twice
+        FROM (SELECT *, row_number() OVER (ORDER BY {order}) AS _seq, COUNT(*) OVER () AS n FROM clean_sales),
+          (SELECT mult_year AS y, m_sales, m_profit, m_qty FROM mult)
+      )
+    )
+  )
+) GROUP BY y""", _multipliers_values())
+
+
 def _scalar_text() -> str:
     return build(f"""SELECT {KEYS}, upper("Region") AS region_upper, lower("Category") AS category_lower,
   {initcap('"Product Name"')} AS product_title, concat_ws('|', "Region", "State", "Segment") AS geo_key,
@@ -898,6 +942,8 @@ LIMIT 20""", marts_needed=("loss",)),
         "shift_years": _shift_years(),
         "scale_years": _scale_years(),
         "expand_years": _expand_years(),
+        "exact_sample": _exact_sample(),
+        "generate_years": _generate_years(),
         "seeded_sample": build(f"SELECT * FROM clean_sales WHERE {_seeded(RANDOM_SEED, 10000)} < 1000"),
         "random_label": build(f"""SELECT {KEYS}, {_reasons_array()}[{_seeded(RANDOM_SEED, len(RETURN_REASONS))} + 1] AS "Return Reason"
 FROM clean_sales"""),

@@ -28,10 +28,12 @@ from ledgerlake.config import (
 from ledgerlake.functions.text import col
 from ledgerlake.operators import aggregates, clean, columns, dedup, filters, joins, prep, setops, windows
 from ledgerlake.operators.derive import with_discount_bucket
+from ledgerlake.operators.sampling import exact_sample
 from ledgerlake.operators.skew import heavy_keys
 from ledgerlake.plans import dashboard, marts, quality
 from ledgerlake.plans.bronze import build_bronze
 from ledgerlake.plans.flow import FIXED_BATCH_TIME, bronze_from_tables, silver_from_tables
+from ledgerlake.plans.generate import generate_years
 from ledgerlake.plans.silver import build_silver, retention
 from ledgerlake.session import cut_lineage, shared_dir
 from ledgerlake.sinks.writers import Store, export_csv, publish_mart, verify_tables, write_table
@@ -475,6 +477,29 @@ def q_seeded_sample(spark, sf):
     return prep.seeded_sample(fixture.raw_sales(spark, sf, defects=False), 0.10)
 
 
+def q_exact_sample(spark, sf):
+    """Exactly a tenth of the rows."""
+    return exact_sample(fixture.raw_sales(spark, sf, defects=False), 0.10, key=KEY3)
+
+
+def q_generate_years(spark, sf):
+    """The yearly files, written as one job and read back by name."""
+    path = scratch(spark, "generated")
+    generate_years(fixture.raw_sales(spark, sf, defects=False), [2019, 2020, 2021, 2022, 2023], path)
+    schema = files.text_schema(["Row ID", *[c for c in fixture.RAW_COLUMNS if c not in ("Source_Year", "Source_File")]])
+    back = files.read_yearly(spark, [f"{path}/*/"], schema, required=MANDATORY_COLS)
+    number = lambda c: col(c).try_cast("double")
+    return back.groupBy("Source_Year").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct(col("Row ID")).alias("ids"),
+        F.min(col("Row ID").cast("long")).alias("first_id"), F.max(col("Row ID").cast("long")).alias("last_id"),
+        F.min(col("Order Date").cast("date")).alias("first_date"), F.max(col("Ship Date").cast("date")).alias("last_ship_date"),
+        F.count_if(col("Ship Mode").isNull()).alias("null_ship_modes"), F.count_if(col("Customer Name").isNull()).alias("null_customers"),
+        F.count_if(col("Region") == F.upper(col("Region"))).alias("upper_regions"), F.count_if(number("Discount") > 0.1).alias("large_discounts"),
+        marts.round_money_sum(number("Sales")).alias("sales"), marts.round_money_sum(number("Profit")).alias("profit"),
+        marts.round_money_sum(number("Discount")).alias("discounts"), F.sum(col("Quantity").cast("long")).alias("quantity"),
+        F.sum(F.when(col("Region") == F.upper(col("Region")), col("Row ID").cast("long"))).alias("upper_region_ids"))
+
+
 def q_random_label(spark, sf):
     raw = fixture.raw_sales(spark, sf, defects=False).select(*[col(c) for c in KEY3])
     return prep.random_label(raw, "Return Reason", prep.RETURN_REASONS)
@@ -740,6 +765,8 @@ def registry() -> dict[str, Query]:
             "scale_years": q_scale_years,
             "expand_years": q_expand_years,
             "seeded_sample": q_seeded_sample,
+            "exact_sample": q_exact_sample,
+            "generate_years": q_generate_years,
             "random_label": q_random_label,
             "inject_defects": q_inject_defects,
             "defect_audit": q_defect_audit,
