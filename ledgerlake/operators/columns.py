@@ -15,6 +15,11 @@ def keep_existing(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.select(*[col(c) for c in columns if c in have])
 
 
+def preview(df: DataFrame, rows: int = 5, columns: list[str] | None = None) -> DataFrame:
+    """The first rows of a frame, some columns of it (OR5): a limit, so only as many tasks run as it needs."""
+    return (keep_existing(df, columns) if columns else df).limit(rows)
+
+
 def add_constants(df: DataFrame, values: dict) -> DataFrame:
     """Constant columns in one projection (PR3); values may be Columns or literals."""
     return df.withColumns({k: (v if hasattr(v, "alias") else F.lit(v)) for k, v in values.items()})

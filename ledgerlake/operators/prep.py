@@ -173,14 +173,14 @@ def expand_years(df: DataFrame, years: list[int], date_cols=("Order Date", "Ship
 
 def split_sources(df: DataFrame, reps_rows: list[tuple] | None = None, seed: int = RANDOM_SEED,
                   return_fraction: float = RETURN_SAMPLE_PCT) -> dict[str, DataFrame]:
-    """Wide source -> orders, returns (seeded 10 % of lines, random reason), reps (GE10)."""
+    """Wide source -> orders, returns (seeded 10 % of lines, random reason), reps with Email (GE10)."""
     from ledgerlake.config import REFERENCE_SALESPEOPLE
-    from ledgerlake.sources.fixture import REPS_SCHEMA
+    from ledgerlake.sources.fixture import salespeople
 
     orders = keep_existing(df, ORDER_COLUMNS)
     sampled = seeded_sample(orders, return_fraction, seed)
     returns = random_label(sampled, "Return Reason", RETURN_REASONS, seed + 1).select(col("Order ID"), col("Return Reason"))
-    reps = df.sparkSession.createDataFrame(list(reps_rows or REFERENCE_SALESPEOPLE), REPS_SCHEMA)
+    reps = salespeople(df.sparkSession, reps_rows or REFERENCE_SALESPEOPLE)
     return {"orders": orders, "returns": returns, "salesperson": reps}
 
 

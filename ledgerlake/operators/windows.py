@@ -64,6 +64,21 @@ def global_rank(df: DataFrame, order_col: str, name: str, ascending: bool = True
     return df.join(ranked, v.eqNullSafe(F.col("__v")), "left").drop("__v")
 
 
+def with_position(df: DataFrame, order: list[Column], name: str = "_position", per_range: int = RANGE_ROWS) -> DataFrame:
+    """Adds 1..n in the given order (OR1, OR2) without one task that sees all rows.
+
+    The rows are stored once in ranges of the order; a row's position is its number in its
+    range plus the rows of the ranges before. Ties get any order unless ``order`` is total.
+    """
+    df = cut_lineage(df)
+    tagged = _in_ranges(df, df.count(), per_range, order)
+    per = tagged.groupBy("__r").agg(F.count(F.lit(1)).alias("__rn"))
+    earlier = Window.orderBy("__r").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    offsets = per.select("__r", F.coalesce(F.sum("__rn").over(earlier), F.lit(0)).alias("__off"))
+    local = tagged.withColumn("__at", F.row_number().over(Window.partitionBy("__r").orderBy(*order)))
+    return local.join(offsets, "__r").select(*[col(c) for c in df.columns], (F.col("__off") + F.col("__at")).cast("long").alias(name))
+
+
 def lag_previous_row(df: DataFrame, order_col: str, value_col: str, name: str) -> DataFrame:
     """Value of the previous ROW in ``order_col`` order (WI4), gaps ignored.
 

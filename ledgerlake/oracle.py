@@ -479,6 +479,44 @@ def _hot_order_kpis() -> str:
     return build(on_source(KPIS, "hsilver"), HOT_RAW, bronze_select("hotraw", "ret_d", "hbronze"), silver_chain("hbronze", "h"))
 
 
+def _filtered(select: str) -> str:
+    from ledgerlake.registry import FILTER_CATEGORIES, FILTER_REGIONS, FILTER_YEARS
+
+    inside = lambda c, values: f"{q(c)} IN ({', '.join(lit(v) for v in values)})"
+    f = f"fsilver AS (SELECT * FROM silver WHERE {inside('Order_Year', FILTER_YEARS)} AND {inside('Region', FILTER_REGIONS)} AND {inside('Category', FILTER_CATEGORIES)})"
+    return build(on_source(select, "fsilver"), f)
+
+
+MART_CTE_NAMES = {"sales_trend": "trend", "category_performance": "category", "regional_performance": "regional",
+                  "loss_making_products": "loss", "discount_impact": "discount", "executive_kpis": "kpis"}
+
+
+def _ordered_marts() -> str:
+    from ledgerlake.plans.marts import MART_ORDER
+    from ledgerlake.registry import MART_LABELS
+
+    parts = []
+    for name, (a, b, value) in MART_LABELS.items():
+        lead = ", ".join(f"{q(c)} {'DESC NULLS LAST' if down else 'ASC NULLS FIRST'}" for c, down in MART_ORDER[name])
+        ties = {"sales_trend": "Order_Quarter", "category_performance": '"Category", "Sub-Category"',
+                "regional_performance": '"Region", "State", "Salesperson", "Target_Sales"',
+                "loss_making_products": '"Category", "Sub-Category", "Product Name"', "discount_impact": "1", "executive_kpis": "1"}[name]
+        parts.append(f"""SELECT {lit(name)} AS "mart", row_number() OVER (ORDER BY {lead}, {ties}) AS "position",
+  CAST({q(a)} AS VARCHAR) AS "label", CAST({q(b)} AS VARCHAR) AS "label2", {q(value)} AS "value" FROM {MART_CTE_NAMES[name]}""")
+    return build("\nUNION ALL\n".join(parts), marts_needed=tuple(MART_CTES))
+
+
+def _land_csv() -> str:
+    return """SELECT c_custkey, c_name || ' Céleste' AS c_label, CASE WHEN c_nationkey % 2 = 1 THEN c_mktsegment END AS c_mktsegment,
+  CASE WHEN c_nationkey % 2 = 1 THEN 'ISO-8859-1' ELSE 'UTF-8' END AS "encoding", 'Region' AS missing,
+  (SELECT COUNT(*) FROM customer) AS landed_rows FROM customer"""
+
+
+def _split_reps() -> str:
+    return build("""SELECT p."Region", p."Salesperson", p."Target_Sales", lower(replace(p."Salesperson", ' ', '.')) || '@example.com' AS "Email", n AS "rows"
+FROM reps p LEFT JOIN (SELECT "Region", COUNT(*) AS n FROM clean_sales GROUP BY 1) s ON p."Region" = s."Region" """)
+
+
 def _multipliers_values() -> str:
     from ledgerlake.config import YEAR_MULTIPLIERS
 
@@ -842,6 +880,12 @@ def oracle_queries() -> dict[str, str]:
                                  marts_needed=("discount",)),
         "top_loss_severity": _top_loss(),
         "filtered_kpis": _filtered_kpis(),
+        **{f"filtered_{k}": _filtered(MART_CTES[v]) for k, v in MART_CTE_NAMES.items()},
+        "land_csv": _land_csv(),
+        "ordered_marts": _ordered_marts(),
+        "split_reps": _split_reps(),
+        "preview": build("""SELECT "Order ID", "Product ID", "Sales" FROM clean_sales
+ORDER BY "Sales" DESC, "Order ID", "Product ID", "Quantity" LIMIT 5"""),
         "derived_columns": build(f"""SELECT {KEYS}, "Profit_Margin_Pct", "Discount_Amount", "Is_Loss", "Order_Year",
   "Order_Month", "Order_Quarter", "Shipping_Days" FROM silver"""),
         "discount_buckets": build(f"""SELECT {KEYS}, "Discount", {bucket('"Discount"')} AS "Discount_Bucket" FROM silver"""),
@@ -887,6 +931,7 @@ FROM (SELECT "Source_Year", CASE WHEN "Order ID" % 11 >= 4 THEN "Sales" END AS v
         "clamp_discount": build(f"""SELECT {KEYS}, least(greatest(try_cast("Discount" AS DOUBLE), 0.0), 1.0) AS "Discount"
 FROM rawtext""", text=True),
         "null_profile": _null_profile("rawtext", RAW_COLS),
+        "null_recheck": _null_profile("ttyped", BRONZE_DATA_COLS),
         "remove_invalid_sales": build(f"""SELECT {KEYS}, try_cast("Sales" AS DOUBLE) AS "Sales" FROM rawtext
 WHERE try_cast("Sales" AS DOUBLE) > 0""", text=True),
         "distinct_standardization": _distinct_std("rawtext", text_cols),

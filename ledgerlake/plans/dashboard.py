@@ -13,6 +13,14 @@ from pyspark.sql import functions as F
 from ledgerlake.functions.numeric import pct, round_money_sum
 from ledgerlake.functions.text import col
 from ledgerlake.plans import marts
+from ledgerlake.session import cut_lineage
+
+#: What the six marts read of silver.
+MART_COLUMNS = [
+    "Order ID", "Order_Year", "Order_Month", "Order_Quarter", "Sales", "Profit", "Quantity", "Discount", "Discount_Amount",
+    "Profit_Margin_Pct", "Is_Loss", "Is_Returned", "Shipping_Days", "Category", "Sub-Category", "Product Name",
+    "Region", "State", "Salesperson", "Target_Sales",
+]
 
 
 def kpi_cards(kpis: DataFrame) -> DataFrame:
@@ -114,6 +122,16 @@ def filter_silver(silver: DataFrame, years=None, regions=None, categories=None)
     return out
 
 
+def filtered_marts(silver: DataFrame, years=None, regions=None, categories=None) -> dict[str, DataFrame]:
+    """DB8: all six marts for a filtered slice.
+
+    The slice is read from silver once: its rows, with only the columns that marts use, are
+    stored, and the six groupings read those.
+    """
+    slice_ = filter_silver(silver, years, regions, categories)
+    return marts.build_gold(cut_lineage(slice_.select(*[col(c) for c in MART_COLUMNS])))
+
+
 def filtered_kpis(silver: DataFrame, years=None, regions=None, categories=None) -> DataFrame:
     """DB8: executive KPIs for a filtered slice."""
     return marts.executive_kpis(filter_silver(silver, years, regions, categories))

@@ -13,7 +13,7 @@ columns it needs plus one shuffle of partial aggregates.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.numeric import exact_avg, pct, round_money_sum
@@ -176,8 +176,8 @@ MARTS = {
     "executive_kpis": executive_kpis,
 }
 
-# Sort order each mart is presented in (tables promise no order; readers sort).
-# (column, descending) pairs.
+# Sort order each mart is presented in, as (column, descending) pairs: ``publish_mart(order=...)``
+# stores it as a position column and ``read_mart`` returns the rows in it.
 MART_ORDER = {
     "sales_trend": [("Order_Year", False), ("Order_Month", False)],
     "category_performance": [("Total_Sales", True)],
@@ -198,6 +198,13 @@ MART_PARTITION = {
 }
 
 
+def total_order(mart: DataFrame, name: str) -> list[Column]:
+    """The mart's sort order made total by its other columns; NULLs first ascending, last descending."""
+    lead = MART_ORDER[name]
+    rest = [c for c in mart.columns if c not in dict(lead) and not c.startswith("_")]
+    return [col(c).desc_nulls_last() if down else col(c).asc_nulls_first() for c, down in lead] + [col(c).asc_nulls_first() for c in rest]
+
+
 def build_gold(silver: DataFrame) -> dict[str, DataFrame]:
     return {name: fn(silver) for name, fn in MARTS.items()}
 

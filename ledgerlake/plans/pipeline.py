@@ -99,12 +99,14 @@ def run_silver(store: Store, silver_time: str | None = None, bronze_rows: int |
     return n, pct
 
 
-def run_gold(store: Store, created_at: str | None = None, csv_base: str | None = None) -> dict[str, int]:
+def run_gold(store: Store, created_at: str | None = None, csv_base: str | None = None, ordered: bool = False) -> dict[str, int]:
+    """Write the six marts; ``ordered`` stores each in its sort order (marts.MART_ORDER), for readers and CSV files."""
     silver = store.read("silver", SILVER_TABLE)
     out = {}
     for name, fn in marts.MARTS.items():
-        out[name] = publish_mart(store, fn(silver), name, partition_by=marts.MART_PARTITION[name],
-                                 created_at=created_at, csv_base=csv_base)
+        mart = fn(silver)
+        out[name] = publish_mart(store, mart, name, partition_by=marts.MART_PARTITION[name], created_at=created_at,
+                                 csv_base=csv_base, order=marts.total_order(mart, name) if ordered else None)
     return out
 
 
@@ -123,6 +125,6 @@ def run_all(store: Store, orders: DataFrame, returns: DataFrame, reps: DataFrame
     store.create_databases()
     nb = run_bronze(store, orders, returns, reps, batch_time=batch_time, order_ids=order_ids)
     ns, pct = run_silver(store, silver_time=batch_time, bronze_rows=nb, thresholds=thresholds)
-    mart_rows = run_gold(store, created_at=batch_time, csv_base=csv_base)
+    mart_rows = run_gold(store, created_at=batch_time, csv_base=csv_base, ordered=csv_base is not None)
     report = run_validation(store, batch_time, thresholds, coverage)
     return RunResult(nb, ns, pct, mart_rows, report)

@@ -34,9 +34,9 @@ from ledgerlake.plans import dashboard, marts, quality
 from ledgerlake.plans.bronze import build_bronze
 from ledgerlake.plans.flow import FIXED_BATCH_TIME, bronze_from_tables, silver_from_tables
 from ledgerlake.plans.generate import generate_years
-from ledgerlake.plans.silver import build_silver, retention
+from ledgerlake.plans.silver import build_silver, clean_rows, retention
 from ledgerlake.session import cut_lineage, shared_dir
-from ledgerlake.sinks.writers import Store, export_csv, publish_mart, verify_tables, write_table
+from ledgerlake.sinks.writers import Store, export_csv, publish_mart, read_mart, verify_tables, write_table
 from ledgerlake.sources import files, fixture
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,6 +54,7 @@ YEAR_OFFSET = 24
 VALIDATION_TIME = "2024-01-01 07:00:00"
 FILTER_YEARS = [1996, 1997, 1998, 1999, 2000]
 FILTER_REGIONS = ["Asia", "Europe"]
+FILTER_CATEGORIES = ["Economy", "Promo", "Standard"]
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -538,6 +539,74 @@ def q_encoding_read(spark, sf):
     return df.select(F.col("c_custkey").cast("long").alias("c_custkey"), "c_label", F.lit(enc).alias("encoding"))
 
 
+def q_land_csv(spark, sf):
+    """Customer files of two encodings and two column orders, landed as one table."""
+    from ledgerlake.sources.landing import land_csv
+
+    base = scratch(spark, "landing")
+    label = F.concat(F.col("c_name"), F.lit(" Céleste")).alias("c_label")
+    cust = fixture.table(spark, sf, "customer").select("c_custkey", label, "c_nationkey", "c_mktsegment")
+    for encoding, part in (("UTF-8", 0), ("ISO-8859-1", 1)):
+        some = cust.filter(F.col("c_nationkey") % 2 == part).drop("c_nationkey")
+        some = some if part else some.select("c_label", "c_custkey")
+        some.write.option("header", True).option("encoding", encoding).csv(f"{base}/raw/{encoding}")
+    done = land_csv(spark, [f"{base}/raw/UTF-8", f"{base}/raw/ISO-8859-1"], f"{base}/landed", ["c_custkey", "c_label", "Region"])
+    back = spark.read.parquet(done.parquet)
+    return back.select(F.col("c_custkey").cast("long").alias("c_custkey"), "c_label", "c_mktsegment", F.col("_encoding").alias("encoding"),
+                       F.lit(", ".join(done.missing)).alias("missing"), F.lit(done.rows).cast("long").alias("landed_rows"))
+
+
+#: Two columns that name a row of a mart, and its headline number.
+MART_LABELS = {
+    "sales_trend": ("Order_Year", "Order_Month", "Total_Sales"),
+    "category_performance": ("Category", "Sub-Category", "Total_Sales"),
+    "regional_performance": ("Region", "State", "Total_Sales"),
+    "loss_making_products": ("Category", "Product Name", "Total_Loss"),
+    "discount_impact": ("Discount_Bucket", "Discount_Bucket", "Total_Sales"),
+    "executive_kpis": ("Order_Year", "Order_Year", "Total_Sales"),
+}
+
+
+def q_ordered_marts(spark, sf):
+    """All six marts, published in their order and read back with their positions."""
+    store = Store(spark, base_path=scratch(spark, "ordered"))
+    silver = cut_lineage(silver_from_tables(spark, sf).select(*[col(c) for c in dashboard.MART_COLUMNS]))
+    parts = []
+    for name, fn in marts.MARTS.items():
+        mart = fn(silver)
+        publish_mart(store, mart, name, partition_by=marts.MART_PARTITION[name], created_at=FIXED_BATCH_TIME, order=marts.total_order(mart, name))
+        a, b, value = MART_LABELS[name]
+        parts.append(read_mart(store, name).select(
+            F.lit(name).alias("mart"), F.col("_position").alias("position"), col(a).cast("string").alias("label"),
+            col(b).cast("string").alias("label2"), col(value).alias("value")))
+    return files.union_by_name(parts)
+
+
+def filtered_mart(name: str) -> Query:
+    """A mart under the year, region and category filters."""
+    return _silver(lambda s: marts.MARTS[name](dashboard.filter_silver(s, FILTER_YEARS, FILTER_REGIONS, FILTER_CATEGORIES)))
+
+
+def q_null_recheck(spark, sf):
+    """NULLs left in the cleaned rows' columns (none where a default or a gate applies)."""
+    return clean.null_profile(clean_rows(text_bronze(spark, sf)), max_null_pct=Thresholds().max_null_pct)
+
+
+def q_split_reps(spark, sf):
+    """The reps that the split gives, with the sales rows of their region."""
+    raw = fixture.raw_sales(spark, sf, defects=False)
+    reps = prep.split_sources(raw, reps_rows=fixture.FIXTURE_SALESPEOPLE)["salesperson"]
+    rows = raw.groupBy("Region").agg(F.count(F.lit(1)).alias("rows"))
+    return reps.join(rows, "Region", "left")
+
+
+def q_preview(spark, sf):
+    """The five largest sales, some columns of them."""
+    raw = fixture.raw_sales(spark, sf, defects=False)
+    top = raw.orderBy(col("Sales").desc(), col("Order ID"), col("Product ID"), col("Quantity"))
+    return columns.preview(top, 5, ["Order ID", "Product ID", "Sales", "No Such Column"])
+
+
 def q_parquet_roundtrip(spark, sf):
     s = silver_from_tables(spark, sf)
     path = scratch(spark, "parquet")
@@ -693,6 +762,7 @@ def registry() -> dict[str, Query]:
             "salesperson_performance": _mart("regional_performance", dashboard.salesperson_performance),
             "discount_margin": _mart("discount_impact", dashboard.discount_margin),
             "top_loss_severity": _mart("loss_making_products", dashboard.top_loss_severity),
+            **{f"filtered_{name}": filtered_mart(name) for name in marts.MARTS},
             "filtered_kpis": _silver(lambda s: dashboard.filtered_kpis(s, FILTER_YEARS, FILTER_REGIONS)),
             # derived columns
             "derived_columns": q_derived_columns,
@@ -723,6 +793,7 @@ def registry() -> dict[str, Query]:
             "non_finite_sales": q_non_finite_sales,
             "clamp_discount": q_clamp_discount,
             "null_profile": q_null_profile,
+            "null_recheck": q_null_recheck,
             "remove_invalid_sales": q_remove_invalid_sales,
             "distinct_standardization": q_distinct_standardization,
             "text_pipeline_kpis": q_text_pipeline_kpis,
@@ -772,9 +843,13 @@ def registry() -> dict[str, Query]:
             "defect_audit": q_defect_audit,
             "split_sources": q_split_sources,
             "split_orders": q_split_orders,
+            "split_reps": q_split_reps,
             # sources and sinks
             "csv_roundtrip": q_csv_roundtrip,
             "encoding_read": q_encoding_read,
+            "land_csv": q_land_csv,
+            "ordered_marts": q_ordered_marts,
+            "preview": q_preview,
             "parquet_roundtrip": q_parquet_roundtrip,
             "table_roundtrip": q_table_roundtrip,
             "publish_mart": q_publish_mart,

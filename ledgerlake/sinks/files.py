@@ -55,3 +55,17 @@ def replace_text(spark: SparkSession, path: str, text: str) -> None:
     options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
     options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
     context.rename(fs.makeQualified(new), fs.makeQualified(p), options)
+
+
+def first_line(spark: SparkSession, path: str) -> bytes:
+    """The first line of a (perhaps compressed) file; nothing else of it is read."""
+    p, fs = _path(spark, path)
+    jvm = spark._jvm
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(spark._jsc.hadoopConfiguration()).getCodec(p)
+    stream = fs.open(p)
+    try:
+        source = codec.createInputStream(stream) if codec else stream
+        line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(source, "ISO-8859-1")).readLine()
+    finally:
+        stream.close()
+    return (line or "").encode("latin-1")  # byte for byte

@@ -15,9 +15,10 @@ import time
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlake.operators.windows import with_position
 from ledgerlake.session import shared_dir
 from ledgerlake.sinks import files
 
@@ -59,6 +60,19 @@ class Store:
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database(layer)}{where}")
         return [self.database(layer) for layer in layers]
 
+    def databases(self) -> list[str]:
+        """Names of all databases of the catalog (SK6), of the layers' folders without one."""
+        if self.use_catalog:
+            return [d.name for d in self.spark.catalog.listDatabases()]
+        return files.names(self.spark, self.base_path)
+
+    def use(self, layer: str) -> str:
+        """Make the layer's database the session's current one (SK6); the name of the one before."""
+        before = self.spark.catalog.currentDatabase()
+        if self.use_catalog:
+            self.spark.catalog.setCurrentDatabase(self.database(layer))
+        return before
+
     def write(self, df: DataFrame, layer: str, table: str, partition_by: str | None = None,
               bucket_by: tuple[int, list[str]] | None = None) -> int:
         """Write a layer table; ``bucket_by=(n, cols)`` applies to catalog tables only
@@ -217,20 +231,36 @@ def export_csv(df: DataFrame, path: str, single_file: bool = False) -> str:
     return path
 
 
+POSITION = "_position"
+
+
 def publish_mart(store: Store, df: DataFrame, name: str, partition_by: str | None = None,
-                 created_at: str | None = None, csv_base: str | None = None) -> int:
+                 created_at: str | None = None, csv_base: str | None = None, order: list[Column] | None = None) -> int:
     """Write a gold mart with ``_gold_table`` / ``_created_at`` and export it as CSV (SK5).
 
-    The CSV is exported from the written table, so the mart's plan runs once.
+    The CSV is exported from the written table, so the mart's plan runs once. With ``order`` the rows get a
+    ``_position`` and are written in its ranges, sorted: the order of the files (within a partition value) and
+    of their rows is the order of the rows, in the table and in the CSV.
     """
     ts = F.lit(created_at).cast("timestamp") if created_at else F.current_timestamp()
-    gold = df.withColumns({"_gold_table": F.lit(name), "_created_at": ts})
+    gold = df
+    if order:
+        gold = with_position(df, order, POSITION)
+        gold = gold.repartitionByRange(F.col(POSITION)).sortWithinPartitions(*[F.col(f"`{c}`") for c in [partition_by, POSITION] if c])
+    gold = gold.withColumns({"_gold_table": F.lit(name), "_created_at": ts})
     n = store.write(gold, "gold", name, partition_by=partition_by)
     if csv_base:
-        export_csv(store.read("gold", name), f"{csv_base.rstrip('/')}/{name}")
+        back = store.read("gold", name)
+        export_csv(back.orderBy(POSITION) if order else back, f"{csv_base.rstrip('/')}/{name}")
     return n
 
 
+def read_mart(store: Store, name: str) -> DataFrame:
+    """A mart in the order it was published with."""
+    df = store.read("gold", name)
+    return df.orderBy(POSITION) if POSITION in df.columns else df
+
+
 def verify_tables(store: Store, layer: str, names: list[str]) -> DataFrame:
     """(table, exists, rows) per name (SK7); missing tables are tolerated.
 

@@ -168,8 +168,13 @@ def returns_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def salespeople(spark: SparkSession, rows=None) -> DataFrame:
-    """Literal sales-rep dimension: Region, Salesperson, Target_Sales."""
-    return spark.createDataFrame(list(rows or FIXTURE_SALESPEOPLE), REPS_SCHEMA)
+    """Literal sales-rep dimension: Region, Salesperson, Target_Sales, Email."""
+    return with_email(spark.createDataFrame(list(rows or FIXTURE_SALESPEOPLE), REPS_SCHEMA))
+
+
+def with_email(reps: DataFrame, domain: str = "example.com") -> DataFrame:
+    """Adds Email, first.last@domain of the rep's name."""
+    return reps.withColumn("Email", F.concat(F.lower(F.replace(F.col("Salesperson"), F.lit(" "), F.lit("."))), F.lit(f"@{domain}")))
 
 
 # Extra defects of the text-typed source, by Order ID modulo.
