@@ -747,8 +747,13 @@ def _dq_base() -> list[str]:
 )"""]
 
 
-def _check(name: str, status: str, measure: str) -> str:
-    return f"SELECT {lit(name)} AS check_name, {status} AS status, CAST({measure} AS DOUBLE) AS measure FROM bm, sm"
+def _text(pattern: str, *values: str) -> str:
+    """Report text: values put into a pattern of '{:,}' (thousands), '{:,.2f}' (money) and '{:.2f}' (percent) fields."""
+    return f"format({', '.join([lit(pattern), *values])})" if values else lit(pattern)
+
+
+def _check(name: str, status: str, measure: str, actual: str) -> str:
+    return f"SELECT {lit(name)} AS check_name, {status} AS status, CAST({measure} AS DOUBLE) AS measure, {actual} AS actual FROM bm, sm"
 
 
 def _pf(cond: str, bad: str = "FAIL") -> str:
@@ -762,16 +767,18 @@ def _dq1() -> str:
     ret = "(CASE WHEN bronze_rows > 0 THEN silver_rows / bronze_rows * 100 ELSE 0.0 END)"
     dup = "(CASE WHEN silver_rows > 0 THEN (silver_rows - unique_keys) / silver_rows * 100 ELSE 0.0 END)"
     rows = [
-        _check("Row Retention Bronze→Silver", _pf(f"{ret} >= {th.min_retention_pct}"), ret),
-        _check("Mandatory Columns Present", "'PASS'", "0.0"),
+        _check("Row Retention Bronze→Silver", _pf(f"{ret} >= {th.min_retention_pct}"), ret,
+               _text("{:.2f}% ({:,}/{:,} rows)", f"CAST({ret} AS DOUBLE)", "silver_rows", "bronze_rows")),
+        _check("Mandatory Columns Present", "'PASS'", "0.0", "'All present'"),
     ]
-    rows += [_check(f"Null Check: {c}", _pf(f"null_{i} = 0"), f"null_{i}") for i, c in enumerate(MANDATORY_COLS)]
-    rows.append(_check("Duplicate Rate After Cleaning", _pf(f"{dup} <= {th.max_duplicate_pct}"), dup))
-    rows.append(_check("Date Validity: Order Date", _pf("bad_date_0 = 0", "WARN"), "bad_date_0"))
-    rows.append(_check("Date Validity: Ship Date", _pf("bad_date_1 = 0", "WARN"), "bad_date_1"))
-    for key, name in [("invalid_sales", "Sales > 0"), ("invalid_qty", "Quantity > 0"), ("bad_case", "Region Title Case"),
-                      ("bad_discount", "Discount Range [0, 1]")]:
-        rows.append(_check(name, _pf(f"{key} = 0"), key))
+    rows += [_check(f"Null Check: {c}", _pf(f"null_{i} = 0"), f"null_{i}", _text("{:,} nulls", f"null_{i}")) for i, c in enumerate(MANDATORY_COLS)]
+    rows.append(_check("Duplicate Rate After Cleaning", _pf(f"{dup} <= {th.max_duplicate_pct}"), dup,
+                       _text("{:.2f}% ({:,} rows)", f"CAST({dup} AS DOUBLE)", "(silver_rows - unique_keys)")))
+    for i, c in enumerate(["Order Date", "Ship Date"]):
+        rows.append(_check(f"Date Validity: {c}", _pf(f"bad_date_{i} = 0", "WARN"), f"bad_date_{i}", _text("{:,} unparseable dates", f"bad_date_{i}")))
+    for key, name, unit in [("invalid_sales", "Sales > 0", "invalid sales"), ("invalid_qty", "Quantity > 0", "invalid quantities"),
+                            ("bad_case", "Region Title Case", "inconsistent values"), ("bad_discount", "Discount Range [0, 1]", "invalid discounts")]:
+        rows.append(_check(name, _pf(f"{key} = 0"), key, _text("{:,} " + unit, key)))
     return "\nUNION ALL\n".join(rows)
 
 
@@ -784,17 +791,18 @@ def _dq2() -> str:
     for what, b, s_ in [("Sales", "bronze_sales", "silver_sales"), ("Profit", "bronze_profit", "silver_profit")]:
         bb, ss = f"coalesce({b}, 0.0)", f"coalesce({s_}, 0.0)"
         var = f"(CASE WHEN {bb} != 0 THEN abs({ss} - {bb}) / abs({bb}) * 100 ELSE 0.0 END)"
-        rows.append(_check(f"{what} Total Reconciliation", _pf(f"{var} <= {th.max_variance_pct}"), var))
-    for key, name in [("margin_errors", "Profit Margin Calculation"), ("discount_errors", "Discount Amount Calculation"),
-                      ("loss_flag_errors", "Is_Loss Flag Accuracy"), ("negative_shipping", "Shipping Days >= 0")]:
-        rows.append(_check(name, _pf(f"{key} = 0"), key))
+        rows.append(_check(f"{what} Total Reconciliation", _pf(f"{var} <= {th.max_variance_pct}"), var,
+                           _text("Bronze=${:,.2f} | Silver=${:,.2f} | Variance={:.2f}%", bb, ss, f"CAST({var} AS DOUBLE)")))
+    for key, name, unit in [("margin_errors", "Profit Margin Calculation", "calculation errors"), ("discount_errors", "Discount Amount Calculation", "calculation errors"),
+                            ("loss_flag_errors", "Is_Loss Flag Accuracy", "incorrect flags"), ("negative_shipping", "Shipping Days >= 0", "negative values")]:
+        rows.append(_check(name, _pf(f"{key} = 0"), key, _text("{:,} " + unit, key)))
     first = FIXTURE_COVERAGE.years[0]
     later = len(FIXTURE_COVERAGE.years) - 1
     yoy = (f"(SELECT COUNT(*) FILTER (WHERE \"Order_Year\" = {first} AND \"YoY_Sales_Growth_Pct\" IS NULL) AS f, "
            f"COUNT(*) FILTER (WHERE \"Order_Year\" > {first} AND \"YoY_Sales_Growth_Pct\" IS NOT NULL) AS v FROM kpis) y")
     rows.append(f"SELECT 'YoY Growth Calculation' AS check_name, {_pf(f'y.f = 1 AND y.v = {later}', 'WARN')} AS status, "
-                f"CAST(y.v AS DOUBLE) AS measure FROM {yoy}")
-    rows.append(_check("All 7 Derived Columns Present", "'PASS'", "0.0"))
+                f"CAST(y.v AS DOUBLE) AS measure, '{first} null=' || CASE WHEN y.f = 1 THEN 'True' ELSE 'False' END || ' | valid=' || y.v || '/{later}' AS actual FROM {yoy}")
+    rows.append(_check("All 7 Derived Columns Present", "'PASS'", "0.0", "'All present'"))
     return "\nUNION ALL\n".join(rows)
 
 
@@ -808,25 +816,27 @@ def _dq3() -> str:
     rows = []
     for name in MART_NAMES:
         rows.append(f"SELECT {lit('Gold Table: ' + name)} AS check_name, {_pf('n > 0')} AS status, "
-                    f"CAST(n AS DOUBLE) AS measure FROM (SELECT COUNT(*) AS n FROM {rel[name]})")
+                    f"CAST(n AS DOUBLE) AS measure, {_text('{:,} rows', 'n')} AS actual FROM (SELECT COUNT(*) AS n FROM {rel[name]})")
 
     def coverage(name, values, mart, column, bad="FAIL"):
-        vals = ", ".join(f"({lit(v)})" for v in values)
-        miss = (f"(SELECT COUNT(*) FROM (VALUES {vals}) AS e(v) WHERE NOT EXISTS "
+        vals = ", ".join(f"({i}, {lit(v)})" for i, v in enumerate(values))
+        miss = (f"(SELECT COUNT(*) AS n, string_agg(CAST(v AS VARCHAR), ', ' ORDER BY i) AS names FROM (VALUES {vals}) AS e(i, v) WHERE NOT EXISTS "
                 f"(SELECT 1 FROM {mart} m WHERE m.{q(column)} = e.v))")
-        rows.append(f"SELECT {lit(name)} AS check_name, {_pf(f'{miss} = 0', bad)} AS status, CAST({miss} AS DOUBLE) AS measure")
+        rows.append(f"SELECT {lit(name)} AS check_name, {_pf('n = 0', bad)} AS status, CAST(n AS DOUBLE) AS measure, "
+                    f"'Found ' || ({len(values)} - n) || '/{len(values)} expected | Missing: ' || coalesce(names, 'None') AS actual FROM {miss}")
 
     coverage("Sales Trend Years Coverage", cov.years, "trend", "Order_Year")
     coverage(f"All {len(cov.regions)} Regions Present", cov.regions, "regional", "Region")
     coverage(f"All {len(cov.categories)} Categories Present", cov.categories, "category", "Category")
     rows.append("SELECT 'Loss Products Have Negative Profit' AS check_name, " + _pf("n = 0") +
-                " AS status, CAST(n AS DOUBLE) AS measure FROM (SELECT COUNT(*) FILTER (WHERE \"Total_Loss\" >= 0) AS n FROM loss)")
+                f" AS status, CAST(n AS DOUBLE) AS measure, {_text('{:,} products | {:,} invalid', 'r', 'n')} AS actual "
+                "FROM (SELECT COUNT(*) FILTER (WHERE \"Total_Loss\" >= 0) AS n, COUNT(*) AS r FROM loss)")
     coverage("Discount Buckets Complete", cov.buckets, "discount", "Discount_Bucket", "WARN")
     coverage(f"KPIs Cover All {len(cov.years)} Years", cov.years, "kpis", "Order_Year")
     ss, gg = "coalesce(sm.silver_sales, 0.0)", "coalesce(g.gold_sales, 0.0)"
     var = f"(CASE WHEN {ss} != 0 THEN abs({gg} - {ss}) / abs({ss}) * 100 ELSE 0.0 END)"
     rows.append(f"SELECT 'Gold vs Silver Sales Match' AS check_name, {_pf(f'{var} <= {th.max_variance_pct}')} AS status, "
-                f"CAST({var} AS DOUBLE) AS measure FROM sm, "
+                f"CAST({var} AS DOUBLE) AS measure, {_text('Silver=${:,.2f} | Gold=${:,.2f} | Variance={:.2f}%', ss, gg, f'CAST({var} AS DOUBLE)')} AS actual FROM sm, "
                 f"(SELECT CAST(SUM(CAST(\"Total_Sales\" AS DECIMAL(24,6))) AS DOUBLE) AS gold_sales FROM kpis) g")
     return "\nUNION ALL\n".join(rows)
 
@@ -834,6 +844,23 @@ def _dq3() -> str:
 ALL_MARTS = ("trend", "category", "regional", "loss", "discount", "kpis")
 
 
+def _report(validation_time: str) -> str:
+    """The whole report, texts included."""
+    from ledgerlake.plans.quality import check_specs
+    from ledgerlake.registry import FIXTURE_COVERAGE
+
+    specs = ", ".join(f"({lit(cat)}, {lit(name)}, {lit(layer)}, {lit(exp)})"
+                      for cat, name, layer, exp in check_specs(cov=FIXTURE_COVERAGE))
+    body = f"({_dq1()})\nUNION ALL\n({_dq2()})\nUNION ALL\n({_dq3()})"
+    return build(f"""SELECT s.category, d.check_name, d.status, s.expected, d.actual, s.layer, {lit(validation_time)} AS validation_time
+FROM ({body}) d JOIN (VALUES {specs}) AS s(category, check_name, layer, expected) ON d.check_name = s.check_name""",
+                 *_dq_base(), marts_needed=ALL_MARTS)
+
+
+def _dq_rows(body: str) -> str:
+    return f"SELECT check_name, status, measure FROM (\n{body}\n)"
+
+
 def _ordered_report() -> str:
     from ledgerlake.plans.quality import check_specs
     from ledgerlake.registry import FIXTURE_COVERAGE
@@ -847,7 +874,7 @@ FROM ({body}) d JOIN (VALUES {specs}) AS s(category, check_name, layer, expected
 
 
 def oracle_queries() -> dict[str, str]:
-    from ledgerlake.registry import EXPECTED_REGIONS_WIDE
+    from ledgerlake.registry import EXPECTED_REGIONS_WIDE, VALIDATION_TIME
 
     on_silver = {
         "sales_trend": SALES_TREND,
@@ -1027,9 +1054,11 @@ FROM raw GROUP BY 1, 2"""),
         "retention_gate": build(f"""SELECT bronze_rows, silver_rows,
   CASE WHEN bronze_rows > 0 THEN {sround('silver_rows / bronze_rows * 100', 2)} ELSE 0.0 END AS retention_pct
 FROM (SELECT (SELECT COUNT(*) FROM bronze) AS bronze_rows, (SELECT COUNT(*) FROM silver) AS silver_rows)"""),
-        "dq_category_1": build(_dq1(), *_dq_base()),
-        "dq_category_2": build(_dq2(), *_dq_base(), marts_needed=("kpis",)),
-        "dq_category_3": build(_dq3(), *_dq_base(), marts_needed=ALL_MARTS),
+        "dq_category_1": build(_dq_rows(_dq1()), *_dq_base()),
+        "dq_category_2": build(_dq_rows(_dq2()), *_dq_base(), marts_needed=("kpis",)),
+        "dq_category_3": build(_dq_rows(_dq3()), *_dq_base(), marts_needed=ALL_MARTS),
+        "dq_report": _report(VALIDATION_TIME),
+        "pipeline_end_to_end": _report(FIXED_BATCH_TIME),
         "ordered_report": _ordered_report(),
     })
     return out

@@ -9,6 +9,9 @@ once, plus one narrow scan of silver's key columns for the duplicate count
 final aggregate). The single result row is unpivoted into report rows with ``inline``;
 the report never passes through the driver.
 
+A report of some categories reads only what their checks need: building a check notes the measures it
+uses, building a measure the inputs and columns (``Trace``).
+
 Checks on the schema (mandatory / derived columns present) are decided on the
 driver from ``df.columns`` (no job).
 """
@@ -67,6 +70,23 @@ class Check:
     measure: Column
 
 
+class Trace(list):
+    """A list that keeps with each item what was noted since the item before."""
+
+    def __init__(self):
+        super().__init__()
+        self.needs: list[set] = []
+        self._noted: set = set()
+
+    def note(self, what) -> None:
+        self._noted.add(what)
+
+    def append(self, item) -> None:
+        super().append(item)
+        self.needs.append(self._noted)
+        self._noted = set()
+
+
 def _n(c: Column) -> Column:
     """Thousands-separated integer text."""
     return F.format_number(c.cast("double"), 0)
@@ -140,57 +160,61 @@ class SuiteInputs:
     gold: dict[str, DataFrame | None] = field(default_factory=dict)
 
 
-def _tagged_union(inp: SuiteInputs) -> DataFrame:
-    """Narrow projections of every input, tagged, unioned by name."""
+def _tagged_union(inp: SuiteInputs, used: set[tuple[str, str | None]]) -> DataFrame:
+    """Narrow projections of the used (branch, column)s, tagged, unioned by name."""
     parts = []
-    b = inp.bronze
-    parts.append(b.select(F.lit(TAG["B"]).alias("_t"), col("Sales").try_cast("double").alias("b_sales"),
-                          col("Profit").try_cast("double").alias("b_profit")))
-    s = inp.silver
-    have = set(s.columns)
-    scols = [c for c in set(MANDATORY_COLS + DUPLICATE_CHECK_KEY + DERIVED_COLS
-                            + ["Ship Date", "Quantity", "Region", "Discount", "Sales", "Profit"]) if c in have]
-    parts.append(s.select(F.lit(TAG["S"]).alias("_t"), *[col(c).alias("s:" + c) for c in sorted(scols)]))
-    if all(k in have for k in DUPLICATE_CHECK_KEY):
-        # distinct keys as their own branch: the main aggregate then needs no
-        # DISTINCT (several DISTINCTs would make Spark expand every row)
-        keys = s.select(*[col(k) for k in DUPLICATE_CHECK_KEY]).distinct()
-        parts.append(keys.select(F.lit(TAG["K"]).alias("_t")))
-    for name in MART_NAMES:
-        g = inp.gold.get(name)
-        if g is None:
+    for branch, tag in TAG.items():
+        cols = sorted(c for b, c in used if b == branch and c)
+        if not any(b == branch for b, _ in used):
             continue
-        keep = [c for c in ("Order_Year", "Region", "Category", "Total_Loss", "Discount_Bucket", "Total_Sales",
-                            "YoY_Sales_Growth_Pct") if c in g.columns]
-        parts.append(g.select(F.lit(TAG[name]).alias("_t"), *[col(c).alias(f"{name}:{c}") for c in keep]))
+        if branch == "B":
+            parts.append(inp.bronze.select(F.lit(tag).alias("_t"), *[col(c).try_cast("double").alias(f"b_{c.lower()}") for c in cols]))
+        elif branch == "S":
+            parts.append(inp.silver.select(F.lit(tag).alias("_t"), *[col(c).alias("s:" + c) for c in cols]))
+        elif branch == "K":
+            # distinct keys as their own branch: the main aggregate then needs no
+            # DISTINCT (several DISTINCTs would make Spark expand every row)
+            keys = inp.silver.select(*[col(k) for k in DUPLICATE_CHECK_KEY]).distinct()
+            parts.append(keys.select(F.lit(tag).alias("_t")))
+        else:
+            parts.append(inp.gold[branch].select(F.lit(tag).alias("_t"), *[col(c).alias(f"{branch}:{c}") for c in cols]))
+    if not parts:
+        return inp.silver.sparkSession.createDataFrame([], "_t int")
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p, allowMissingColumns=True)
     return out
 
 
-def _checks(inp: SuiteInputs, th: Thresholds, cov: Coverage) -> tuple[list[tuple[str, Column]], list]:
-    """(measures to aggregate, check builders that read the aggregated row)."""
+def _checks(inp: SuiteInputs, th: Thresholds, cov: Coverage) -> Trace:
+    """(name, aggregate) of every measure; ``needs`` has the (branch, column)s that each reads."""
+    m = Trace()
+
     def is_(branch: str) -> Column:
+        m.note((branch, None))
         return F.col("_t") == F.lit(TAG[branch])
 
     s_have = set(inp.silver.columns)
 
     def s(c):
+        m.note(("S", c))
         return F.col(f"`s:{c}`")
 
     def g(name, c):
+        m.note((name, c))
         return F.col(f"`{name}:{c}`")
 
-    m: list[tuple[str, Column]] = []
+    def b(c):
+        m.note(("B", c))
+        return F.col(f"b_{c.lower()}")
 
     def add(name, expr):
         m.append((name, expr))
 
     add("bronze_rows", F.count_if(is_("B")))
     add("silver_rows", F.count_if(is_("S")))
-    add("bronze_sales", F.sum(F.when(is_("B"), F.col("b_sales").try_cast(DEC))).cast("double"))
-    add("bronze_profit", F.sum(F.when(is_("B"), F.col("b_profit").try_cast(DEC))).cast("double"))
+    add("bronze_sales", F.sum(F.when(is_("B"), b("Sales").try_cast(DEC))).cast("double"))
+    add("bronze_profit", F.sum(F.when(is_("B"), b("Profit").try_cast(DEC))).cast("double"))
     if "Sales" in s_have:
         add("silver_sales", F.sum(F.when(is_("S"), s("Sales").try_cast(DEC))).cast("double"))
         add("invalid_sales", F.count_if((is_("S")) & (s("Sales") <= 0)))
@@ -228,11 +252,10 @@ def _checks(inp: SuiteInputs, th: Thresholds, cov: Coverage) -> tuple[list[tuple
             add(f"rows:{name}", F.count_if(is_(name)))
     first_year = cov.years[0] if cov.years else None
     if "executive_kpis" in gold and {"Order_Year", "YoY_Sales_Growth_Pct"} <= set(gold["executive_kpis"].columns):
-        yr, yoy = g("executive_kpis", "Order_Year"), g("executive_kpis", "YoY_Sales_Growth_Pct")
-        k = is_("executive_kpis")
-        add("yoy_first_null", F.count_if(k & (yr == F.lit(first_year)) & yoy.isNull()))
-        add("yoy_later_valid", F.count_if(k & (yr > F.lit(first_year)) & yoy.isNotNull()))
-        add("gold_sales", F.sum(F.when(k, g("executive_kpis", "Total_Sales").try_cast(DEC))).cast("double"))
+        k = "executive_kpis"
+        add("yoy_first_null", F.count_if(is_(k) & (g(k, "Order_Year") == F.lit(first_year)) & g(k, "YoY_Sales_Growth_Pct").isNull()))
+        add("yoy_later_valid", F.count_if(is_(k) & (g(k, "Order_Year") > F.lit(first_year)) & g(k, "YoY_Sales_Growth_Pct").isNotNull()))
+        add("gold_sales", F.sum(F.when(is_(k), g(k, "Total_Sales").try_cast(DEC))).cast("double"))
     if "loss_making_products" in gold:
         add("loss_not_negative", F.count_if((is_("loss_making_products")) & (g("loss_making_products", "Total_Loss") >= 0)))
 
@@ -245,36 +268,38 @@ def _checks(inp: SuiteInputs, th: Thresholds, cov: Coverage) -> tuple[list[tuple
                 flags.append((str(v), key))
         return flags
 
-    cover = {
-        "years": found_flags("sales_trend", "Order_Year", cov.years, "cy"),
-        "regions": found_flags("regional_performance", "Region", cov.regions, "cr"),
-        "categories": found_flags("category_performance", "Category", cov.categories, "cc"),
-        "buckets": found_flags("discount_impact", "Discount_Bucket", cov.buckets, "cb"),
-        "kpi_years": found_flags("executive_kpis", "Order_Year", cov.years, "ck"),
-    }
-    return m, [cover]
+    found_flags("sales_trend", "Order_Year", cov.years, "cy")
+    found_flags("regional_performance", "Region", cov.regions, "cr")
+    found_flags("category_performance", "Category", cov.categories, "cc")
+    found_flags("discount_impact", "Discount_Bucket", cov.buckets, "cb")
+    found_flags("executive_kpis", "Order_Year", cov.years, "ck")
+    return m
 
 
-def measures(inp: SuiteInputs, thresholds: Thresholds = Thresholds(), coverage: Coverage = Coverage()) -> DataFrame:
-    """The one-row measure frame (one job when evaluated)."""
-    m, _ = _checks(inp, thresholds, coverage)
-    return _tagged_union(inp).agg(*[expr.alias(name) for name, expr in m])
+def measures(inp: SuiteInputs, thresholds: Thresholds = Thresholds(), coverage: Coverage = Coverage(), names: set[str] | None = None) -> DataFrame:
+    """The one-row measure frame (one job when evaluated); only the named measures and what they read, if given."""
+    m = _checks(inp, thresholds, coverage)
+    wanted = [(item, needs) for item, needs in zip(m, m.needs, strict=True) if names is None or item[0] in names]
+    used = set().union(*[needs for _, needs in wanted])
+    if not wanted:
+        return inp.silver.sparkSession.range(1).select(F.lit(0).alias("no_measure"))
+    return _tagged_union(inp, used).agg(*[expr.alias(name) for (name, expr), _ in wanted])
 
 
-def _build_checks(inp: SuiteInputs, th: Thresholds, cov: Coverage, present: set[str]) -> list[Check]:
-    """Report rows as expressions over the measure row (columns named as in ``measures``).
+def _build_checks(inp: SuiteInputs, th: Thresholds, cov: Coverage, present: set[str]) -> Trace:
+    """Report rows as expressions over the measure row (columns named as in ``measures``); ``needs`` has the measures of each.
 
     The 'actual' texts (e.g. "98.94% (59,945/60,586 rows)", "3 nulls") follow
     the reproduced report's wording (fixed values).
     """
-    c = F.col
-    out: list[Check] = []
+    out = Trace()
     s_have = set(inp.silver.columns)
     gold = {k: v for k, v in inp.gold.items() if v is not None}
     exp_of = {name: expected for _, name, _, expected in check_specs(th, cov)}
 
     def m(name):
-        return c(f"`{name}`")
+        out.note(name)
+        return F.col(f"`{name}`")
 
     # --- category 1 ---------------------------------------------------------
     ret = F.when(m("bronze_rows") > 0, m("silver_rows") / m("bronze_rows") * 100).otherwise(F.lit(0.0))
@@ -389,16 +414,18 @@ def _build_checks(inp: SuiteInputs, th: Thresholds, cov: Coverage, present: set[
 
 
 def validation_report(inp: SuiteInputs, validation_time: str, thresholds: Thresholds = Thresholds(),
-                      coverage: Coverage = Coverage(), with_measure: bool = False) -> DataFrame:
-    """All report rows as a DataFrame (category, check_name, status, expected, actual, layer, validation_time).
+                      coverage: Coverage = Coverage(), with_measure: bool = False, categories: list[str] | None = None) -> DataFrame:
+    """Report rows as a DataFrame (category, check_name, status, expected, actual, layer, validation_time).
 
-    ``with_measure`` adds the numeric value each status was decided on.
+    ``with_measure`` adds the numeric value each status was decided on. With ``categories`` only
+    their checks are reported, and only the inputs and columns that these need are read.
     """
-    mrow = measures(inp, thresholds, coverage)
-    present = set(mrow.columns)
-    checks = _build_checks(inp, thresholds, coverage, present)
+    present = {name for name, _ in _checks(inp, thresholds, coverage)}
+    all_checks = _build_checks(inp, thresholds, coverage, present)
+    wanted = [(ch, needs) for ch, needs in zip(all_checks, all_checks.needs, strict=True) if categories is None or ch.category in categories]
+    mrow = measures(inp, thresholds, coverage, set().union(*[needs for _, needs in wanted]))
     fields = []
-    for ch in checks:
+    for ch, _ in wanted:
         parts = [
             F.lit(ch.category).alias("category"),
             F.lit(ch.name).alias("check_name"),

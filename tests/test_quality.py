@@ -65,3 +65,24 @@ def test_missing_mart_and_coverage(spark):
     assert rows["All 2 Regions Present"].status == "FAIL" and "North" in rows["All 2 Regions Present"].actual
     ordered = [r.status for r in quality.ordered_report(rep).collect()]
     assert ordered == sorted(ordered, key=["FAIL", "WARN", "PASS"].index)
+
+
+def test_a_category_reads_only_what_it_needs(spark, tmp_dir):
+    """Dependencies follow from the checks: category 1 needs no mart and one bronze branch without columns."""
+    from ledgerlake.config import CAT1, CAT2, CAT3
+    from ledgerlake.plans import quality
+    from ledgerlake.registry import FIXTURE_COVERAGE, VALIDATION_TIME, suite
+    from tests.conftest import SF_SMALL
+
+    inp = suite(spark, SF_SMALL)
+    whole = {r.check_name: tuple(r) for r in quality.validation_report(inp, VALIDATION_TIME, coverage=FIXTURE_COVERAGE, with_measure=True).collect()}
+    assert len(whole) == 37
+    some = {}
+    for category in (CAT1, CAT2, CAT3):
+        rep = quality.validation_report(inp, VALIDATION_TIME, coverage=FIXTURE_COVERAGE, with_measure=True, categories=[category])
+        plan = rep._jdf.queryExecution().executedPlan().toString()
+        if category == CAT1:
+            scans = [line for line in plan.splitlines() if "FileScan" in line]
+            assert len(scans) == 3 and "Total_Loss" not in plan and "Profit_Margin_Pct" not in plan
+        some |= {r.check_name: tuple(r) for r in rep.collect()}
+    assert some == whole
