@@ -28,20 +28,42 @@ INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins
 ENDS_P = set("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split())
 SAME = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "tbody": {"thead", "tbody", "tr", "td", "th"}, "thead": {"tbody"}}
 STOPS = set("table ul ol dl article section div main body aside nav form".split())
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^<]*)\Z|[^<]+|<", re.S)
+NAME_END, SPECIAL = re.compile(r"[\s/>]"), re.compile("[>\"']")
+LONG_REF = re.compile(r"&#([0-9]{20,});?")
 ATTR = re.compile(r"\b(class|id|role|style|hidden|aria-hidden|itemprop)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 NAMES = re.compile(r"[a-z]+")
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
 
 
+class Node:
+    """An open element: what features its subtree has from it and from the elements around it, shared where nothing is new."""
+
+    __slots__ = ("inner", "marks", "name", "tags", "up")
+
+    def __init__(self, name: str, marks: tuple[str, ...], above: Node | None, known):
+        self.name, self.marks = name, marks
+        new = {w for w in (f"up:{name}", *marks) if (known is None or w in known) and w not in ("up:html", "up:body")}
+        self.up = above.up if above and new <= above.up else (above.up if above else frozenset()) | new
+        self.tags = above.tags if above and name in above.tags else (above.tags if above else frozenset()) | ({name} & {"button", "form"})
+        self.inner = name if name not in INLINE else above.inner if above else "none"
+
+
 class Block:
-    __slots__ = ("linked", "parts", "path")
+    __slots__ = ("linked", "node", "parts", "whole")
 
-    def __init__(self, path):
-        self.path, self.parts, self.linked = path, [], 0
+    def __init__(self, node: Node | None):
+        self.node, self.parts, self.linked, self.whole = node, [], 0, None
 
     def text(self) -> str:
-        return " ".join(html.unescape("".join(self.parts)).split())
+        """The block's text; asked for once all parts are in."""
+        if self.whole is None:
+            self.whole = " ".join(decoded("".join(self.parts)).split())
+        return self.whole
+
+
+def decoded(text: str) -> str:
+    """Character references decoded; those of very many figures too."""
+    return html.unescape(LONG_REF.sub(lambda m: f"&#{m[1].lstrip('0')[:8] or '0'};", text))
 
 
 def _marks(attrs: str) -> tuple[str, ...]:
@@ -55,62 +77,153 @@ def _marks(attrs: str) -> tuple[str, ...]:
     return tuple(out)
 
 
-def leaf_blocks(page: str) -> list[Block]:
-    """The page's runs of text between block boundaries; a stack of open elements stands for the DOM."""
-    stack: list[tuple[str, tuple[str, ...]]] = []
+class Tokens:
+    """The page's tags and texts in time that grows with its length, whatever is left open.
+
+    Where a name ends and where the next ">" or quote stands is kept until the place is passed; a quote from which no
+    tag closes is remembered, so that no later tag reads on from it.
+    """
+
+    def __init__(self, page: str):
+        self.page, self.lost = page, set()
+        self.last = {c: page.rfind(c) for c in "<>\"'"}
+        self.seen = {NAME_END: (1, 0), SPECIAL: (1, 0)}
+
+    def _next(self, pattern: re.Pattern, pos: int) -> int:
+        """The first place of the pattern from ``pos`` on, or the page's length."""
+        a, b = self.seen[pattern]
+        if not a <= pos <= b:
+            m = pattern.search(self.page, pos)
+            self.seen[pattern] = (pos, m.start() if m else len(self.page))
+        return self.seen[pattern][1]
+
+    def _close(self, pos: int) -> int:
+        """Where the tag that is open at ``pos`` closes; -1 if it does not. What stands in quotes closes nothing."""
+        page, track = self.page, []
+        while pos <= self.last[">"]:
+            at = self._next(SPECIAL, pos)
+            if at >= len(page) or at in self.lost:
+                break
+            if page[at] == ">":
+                return at
+            track.append(at)
+            if at >= self.last[page[at]]:
+                break
+            pos = page.find(page[at], at + 1) + 1
+        self.lost.update(track)
+        return -1
+
+    def __iter__(self):
+        """(text, None, None, None) or ("", name, whether it closes, attributes); comments and declarations are left out.
+
+        A name sent back in is raw: nothing is markup before its closing tag.
+        """
+        page, pos = self.page, 0
+        while pos < len(page):
+            at = page.find("<", pos)
+            if at != pos:
+                at = len(page) if at < 0 else at
+                yield page[pos:at], None, None, None
+                pos = at
+                continue
+            if page.startswith("<!--", pos):
+                end = page.find("-->", pos + 4)
+                pos = len(page) if end < 0 else end + 3
+                continue
+            if page[pos + 1 : pos + 2] in ("!", "?") and pos + 1 < len(page):
+                end = page.find(">", pos)
+                pos = len(page) if end < 0 else end + 1
+                continue
+            closing = page.startswith("/", pos + 1)
+            first = pos + 1 + closing
+            if not (page[first : first + 1].isascii() and page[first : first + 1].isalpha()):
+                yield "<", None, None, None
+                pos += 1
+                continue
+            name_end = self._next(NAME_END, first)
+            close = self._close(name_end)
+            if close < 0 and self.last["<"] >= name_end:  # left open, and more markup follows: a sign
+                yield "<", None, None, None
+                pos += 1
+                continue
+            close = len(page) if close < 0 else close
+            pos = min(close + 1, len(page))
+            name = page[first:name_end].lower()
+            raw = yield "", name, closing, page[name_end:close]
+            if raw:
+                m = re.compile(f"</{re.escape(raw)}", re.I | re.A).search(page, pos)
+                pos = m.start() if m else len(page)
+
+
+def leaf_blocks(page: str, known=None) -> list[Block]:
+    """The page's runs of text between block boundaries; a stack of open elements stands for the DOM.
+
+    With ``known`` only its features are kept of the elements, so that memory is bounded however deep and marked the page is.
+    """
+    stack: list[Node] = []
+    where: dict[str, list[int]] = {}  # places of each name in the stack
+    blocky: list[int] = []  # places of those that bound blocks
+    quiet = 0  # silent ones
     out: list[Block] = []
     block: Block | None = None
-    pos, low = 0, None
-    while (m := TOKEN.match(page, pos)) is not None:
-        pos = m.end()
-        name = m[2] or m[5]
+
+    def push(name: str, marks: tuple[str, ...]) -> None:
+        nonlocal quiet
+        where.setdefault(name, []).append(len(stack))
+        if name not in INLINE:
+            blocky.append(len(stack))
+        quiet += name in SILENT
+        stack.append(Node(name, marks, stack[-1] if stack else None, known))
+
+    def cut(at: int) -> list[Node]:
+        nonlocal quiet
+        gone = stack[at:]
+        for node in reversed(gone):
+            where[node.name].pop()
+            if node.name not in INLINE:
+                blocky.pop()
+            quiet -= node.name in SILENT
+        del stack[at:]
+        return gone
+
+    last = lambda names: max((where[n][-1] for n in names if where.get(n)), default=-1)
+    tokens = iter(Tokens(page))
+    token = next(tokens, None)
+    while token is not None:
+        text, name, closing, attrs = token
+        raw = None
         if name is None:
-            if page[m.start()] != "<" or m.end() - m.start() == 1:
-                if any(t in SILENT for t, _ in stack):
-                    continue
+            if not quiet and (block is not None or not text.isspace()):
                 if block is None:
-                    if page[m.start() : pos].isspace():
-                        continue
-                    block = Block(tuple(stack))
+                    block = Block(stack[-1] if stack else None)
                     out.append(block)
-                block.parts.append(m[0])
-                if any(t == "a" for t, _ in stack):
-                    block.linked += len(m[0])
-            continue
-        name, closing = name.lower(), (m[1] or m[4]) == "/"
-        if name not in INLINE:
-            block = None
-        if closing:
-            tags = [t for t, _ in stack]
-            if name in tags:
-                at = len(tags) - 1 - tags[::-1].index(name)
-                if name not in INLINE or not any(t not in INLINE for t in tags[at:]):
-                    del stack[at:]
-            continue
-        if name in ENDS_P:
-            tags = [t for t, _ in stack]
-            if "p" in tags:
-                del stack[len(tags) - 1 - tags[::-1].index("p") :]
-        if name in SAME:
-            for at in range(len(stack) - 1, -1, -1):
-                if stack[at][0] in SAME[name]:
-                    del stack[at:]
-                    break
-                if stack[at][0] in STOPS:
-                    break
-        if name == "body":
-            stack = [x for x in stack if x[0] not in ("head", "title")]
-        if name == "br" and block is not None:
-            block.parts.append(" ")
-        if name in VOID or (m[3] or m[6] or "").rstrip().endswith("/"):
-            continue
-        stack.append((name, _marks(m[3] or m[6] or "")))
-        if name in RAW:  # nothing inside is markup
-            low = page.lower() if low is None else low
-            end = low.find(f"</{name}", pos)
-            if name == "textarea" or end < 0:
-                end = len(page) if end < 0 else end
-            pos = end
+                block.parts.append(text)
+                if where.get("a"):
+                    block.linked += len(text)
+        else:
+            if name not in INLINE:
+                block = None
+            if closing:
+                at = last([name])
+                if at >= 0 and (name not in INLINE or not blocky or blocky[-1] < at):
+                    cut(at)
+            else:
+                if name in ENDS_P and last("p") >= 0:
+                    cut(last("p"))
+                if name in SAME and last(SAME[name]) > last(STOPS):
+                    cut(last(SAME[name]))
+                if name == "body" and (low := min((where[n][0] for n in ("head", "title") if where.get(n)), default=-1)) >= 0:
+                    for node in [x for x in cut(low) if x.name not in ("head", "title")]:
+                        push(node.name, node.marks)
+                if name == "br" and block is not None:
+                    block.parts.append(" ")
+                if not (name in VOID or attrs.rstrip().endswith("/")):
+                    push(name, _marks(attrs))
+                    raw = name if name in RAW else None
+        try:
+            token = tokens.send(raw)
+        except StopIteration:
+            token = None
     return [b for b in out if b.text()]
 
 
@@ -121,9 +234,7 @@ def features(found: list[Block]) -> list[list[str]]:
     out = []
     for i, b in enumerate(found):
         text = b.text()
-        tags = [t for t, _ in b.path]
-        inner = next((t for t in reversed(tags) if t not in INLINE), "none")
-        own = {f"up:{t}" for t in tags if t not in ("html", "body")} | {f"tag:{inner}"} | {w for _, marks in b.path for w in marks}
+        own = {f"tag:{b.node.inner if b.node else 'none'}"} | (b.node.up if b.node else set())
         n = len(text)
         own.add(f"size:{min(6, n.bit_length() // 2)}")
         own.add(f"links:{min(3, 4 * b.linked // max(1, n))}")
@@ -131,7 +242,7 @@ def features(found: list[Block]) -> list[list[str]]:
         own |= {f"says:{w.lower()}" for w in WORDS.findall(text[:400])} if n < 400 else set()
         own.add("first" if i == 0 else "last" if i == len(found) - 1 else "amid")
         own.add("bias")
-        if "button" in tags or "form" in tags:
+        if b.node and b.node.tags:
             own.add("formed")
         out.append(sorted(own))
     return out
@@ -289,7 +400,7 @@ def main_texts(crf: Crf, pages: list[str]) -> list[str]:
     """The article blocks of each page, joined by two line ends."""
     out: list[str] = []
     for a, b in blocks([len(p) for p in pages], 1_000_000):
-        found = [leaf_blocks(p) for p in pages[a:b]]
+        found = [leaf_blocks(p, crf.names) for p in pages[a:b]]
         numbers = [crf.numbers(f) for blocks_ in found for f in features(blocks_)]
         lens = np.array([len(x) for x in found], np.int64)
         counts = np.array([len(x) for x in numbers], np.int64)
@@ -303,7 +414,11 @@ def main_texts(crf: Crf, pages: list[str]) -> list[str]:
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", crf: Crf | None = None) -> DataFrame:
-    """(page_id, url, text) of every row; null html is empty. Rows are independent: repeated and null ids stay as they are."""
+    """(page_id, url, text) of every row; null html is empty. Rows are independent: repeated and null ids stay as they are.
+
+    An empty table gives an empty result, other columns are ignored. Pages of any length and nesting are read whole, in
+    time and memory that grow with their length, also where tags, quotes or comments never close.
+    """
     crf = crf or trained()
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
