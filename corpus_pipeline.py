@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ledgerlake.llm import jaccard_join, packing, pii, quality, suffix_dedup
 from ledgerlake.llm.common import KEY, documents, keyed_rows, stored, text_bytes, trimmed
 
+USED = ("doc_id", "text", "n_chars")  # of the documents' columns, by the stages
 THRESHOLD = 0.3
 END_ID = 2
 
@@ -49,16 +50,23 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return _same_columns(docs, run)
 
 
+def _shielded(docs: DataFrame) -> DataFrame:
+    """The rows with neutral names for all columns that the stages do not use, so that none clashes with theirs."""
+    return docs.toDF(*[c if c in USED else f"column{i}" for i, c in enumerate(docs.columns)])
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of linked documents; documents without words stay."""
+    names, docs = docs.columns, _shielded(docs)
     rows, plain = keyed_rows(docs)
     kept = jaccard_join.link(docs).filter("key = root").select(F.col("key").alias(KEY))
     out = rows.join(kept, KEY, "left_semi")
-    return (out if plain else out.dropDuplicates([KEY])).select(*docs.columns)
+    return (out if plain else out.dropDuplicates([KEY])).select(*docs.columns).toDF(*names)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the bytes of passages that also start earlier; a character cut in two goes as a whole."""
+    names, docs = docs.columns, _shielded(docs)
     rows, plain = keyed_rows(docs)
     cut = suffix_dedup.remove_repeats(docs).select(F.col("key").alias(KEY), "kept")
     cut = cut if plain else cut.dropDuplicates([KEY])
@@ -72,7 +80,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     rest = rows.withColumn("null__", F.col("text").isNull()).drop("text").join(cut, KEY)
     text = F.when(~F.col("null__"), F.col("new_text__"))
     new = {"text": text.alias("text"), "n_chars": F.char_length(text).cast("long").alias("n_chars")}
-    return rest.select(*[new.get(c, F.col(c)) for c in docs.columns])
+    return rest.select(*[new.get(c, F.col(c)) for c in docs.columns]).toDF(*names)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
