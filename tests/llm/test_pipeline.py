@@ -63,6 +63,21 @@ def test_odd_rows_go_through(spark):
         assert stage(spark, empty, SF_SMALL).count() == 0
 
 
+def test_clashing_columns_stay(spark):
+    """Columns named like the stages' own keep their values."""
+    rows = [(i, "x y z " * 60 if i > 2 else f"text number {i} of all that there are", "en", "a", 1, i * 10, "keep", 7, 8.0) for i in range(1, 6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, ledger_key__ long, NULL__ string, th2 int, new_text__ double")
+    names = docs.columns
+    for _, stage in corpus_pipeline.STAGES[1:-1]:
+        docs = stage(spark, docs, SF_SMALL)
+        assert docs.columns == names
+    got = sorted(tuple(r)[5:] for r in docs.collect())
+    assert got == [(10, "keep", 7, 8.0), (20, "keep", 7, 8.0), (30, "keep", 7, 8.0)]
+    twice = docs.union(docs)  # ids that repeat
+    for _, stage in corpus_pipeline.STAGES[1:3]:
+        assert sorted({tuple(r)[5:] for r in stage(spark, twice, SF_SMALL).collect()}) == got
+
+
 def test_mask():
     crf = pii.trained()
     texts = ["mail a.b@c.example.com now", None, "", 'token = "0123456789abcdef0123456789abcdef01234567" x', "10.0.0.1 and 4111 1111 1111 1111"]
