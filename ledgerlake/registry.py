@@ -19,6 +19,7 @@ from ledgerlake.config import (
     CAT2,
     CAT3,
     DEDUP_KEY,
+    DERIVED_COLS,
     DUPLICATE_CHECK_KEY,
     MANDATORY_COLS,
     TEXT_COLS,
@@ -87,12 +88,14 @@ def gold_of(silver: DataFrame) -> dict[str, DataFrame]:
 
 
 def suite(spark: SparkSession, sf: str) -> quality.SuiteInputs:
-    """Bronze, silver and marts for the quality checks; bronze and silver are stored as tables,
-    so that their consumers read the columns they need and none replays the joins."""
+    """Bronze, silver and marts for the quality checks; bronze and silver are stored as tables (data
+    columns, of silver those that checks and marts read), so that no consumer replays the joins."""
     base = scratch(spark, "suite")
-    write_table(bronze_from_tables(spark, sf), f"{base}/bronze")
+    raw = bronze_from_tables(spark, sf)
+    write_table(raw.select(*[col(c) for c in raw.columns if not c.startswith("_")]), f"{base}/bronze")
     b = files.read_parquet(spark, f"{base}/bronze")
-    write_table(build_silver(b, silver_time=FIXED_BATCH_TIME), f"{base}/silver")
+    used = dict.fromkeys([*MANDATORY_COLS, "Ship Date", *DUPLICATE_CHECK_KEY, *DERIVED_COLS, *dashboard.MART_COLUMNS])
+    write_table(build_silver(b, silver_time=FIXED_BATCH_TIME).select(*[col(c) for c in used]), f"{base}/silver")
     s = files.read_parquet(spark, f"{base}/silver")
     return quality.SuiteInputs(b, s, gold_of(s))
 
