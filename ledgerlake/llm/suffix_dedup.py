@@ -12,13 +12,16 @@ suffixes that still have company:
 3. What is left (rows whose string has different stretches around it) is taken apart into its
    windows, and digit three is the window itself.
 
-Digits are compared by 64-bit hashes, two of them for any pair called equal. Passes are shuffles by
+Digits are compared by hashes, two of them for any pair called equal: digits one and two, 64 bits
+each, and for digit three 64 bits and, by another polynomial, 32 more. Passes are shuffles by
 digit; each task first settles repeats within its own batch, which leaves one row per batch of any
 digit however hot, and strings with many stretches in a batch are spread over the tasks.
 """
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -98,6 +101,15 @@ def _settled(keys: np.ndarray, starts: np.ndarray, lens: np.ndarray):
     return ids[group], starts, lens
 
 
+@lru_cache(maxsize=1)
+def _second() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Values of the bytes, powers and inverse powers of the second hash of a window, modulo 2**32."""
+    base = 0x85EBCA6B
+    with np.errstate(over="ignore"):
+        up, down = (np.cumprod(np.concatenate([[1], np.full(SPAN, b)]).astype(np.uint32), dtype=np.uint32) for b in (base, pow(base, -1, 1 << 32)))
+    return mixed(np.arange(1, 257, dtype=np.uint64)).astype(np.uint32), up, down
+
+
 ROWS = "p long, k long, c long, key long, a long, n int, sure boolean"
 
 
@@ -136,7 +148,7 @@ def _first_digits(window: int, grain: int, most: int):
 
 
 def _windows(window: int):
-    """Digit three: (w, key, s) of every window of the rows in question; repeats within the batch are settled (w null)."""
+    """Digit three: (w, x, key, s) of every window of the rows in question, w and x its hashes; repeats within the batch are settled (w null)."""
 
     def run(batches):
         for batch in batches:
@@ -148,7 +160,8 @@ def _windows(window: int):
             a = rows.field("a").to_numpy(zero_copy_only=False)
             n = rows.field("n").to_numpy(zero_copy_only=False).astype(np.int64)
             up, down = _powers()
-            ws, ks, ss = [], [], []
+            values, up2, down2 = _second()
+            ws, xs, ks, ss = [], [], [], []
             for i in range(batch.num_rows):
                 starts = np.unique(ragged_index(a[lo[i] : lo[i + 1]], n[lo[i] : lo[i + 1]]))
                 text = data[edges[i] : edges[i + 1]]
@@ -163,21 +176,24 @@ def _windows(window: int):
                             sums = np.zeros(stop - base + 1, np.uint64)
                             np.cumsum((text[base:stop].astype(np.uint64) + np.uint64(1)) * up[: stop - base], out=sums[1:])
                             ws.append(mixed((sums[here - base + window] - sums[here - base]) * down[here - base]).view(np.int64))
+                            sums = np.zeros(stop - base + 1, np.uint32)
+                            np.cumsum(values[text[base:stop]] * up2[: stop - base], out=sums[1:])
+                            xs.append(((sums[here - base + window] - sums[here - base]) * down2[here - base]).view(np.int32))
                         ss.append(here)
                         ks.append(np.full(len(here), keys[i]))
             if not ws:
                 continue
-            w, k, s = np.concatenate(ws), np.concatenate(ks), np.concatenate(ss)
-            order = np.lexsort((s, k, w))
-            w, k, s = w[order], k[order], s[order]
-            again = np.concatenate([[False], w[1:] == w[:-1]])
+            w, x, k, s = (np.concatenate(v) for v in (ws, xs, ks, ss))
+            order = np.lexsort((s, k, x, w))
+            w, x, k, s = (v[order] for v in (w, x, k, s))
+            again = np.concatenate([[False], (w[1:] == w[:-1]) & (x[1:] == x[:-1])])
             dk, ds, dn = _settled(k[again], s[again], np.full(int(again.sum()), window))
-            w, k, s = w[~again], k[~again], s[~again]
-            for x in range(0, len(w), 200_000):
-                m = len(w[x : x + 200_000])
-                yield pa.RecordBatch.from_arrays([pa.array(w[x : x + 200_000]), pa.array(k[x : x + 200_000]), pa.array(s[x : x + 200_000]), pa.array(np.full(m, window, np.int64))], names=["w", "key", "s", "m"])
+            w, x, k, s = (v[~again] for v in (w, x, k, s))
+            for i in range(0, len(w), 200_000):
+                cols = [v[i : i + 200_000] for v in (w, x, k, s)]
+                yield pa.RecordBatch.from_arrays([pa.array(v) for v in [*cols, np.full(len(cols[0]), window, np.int64)]], names=["w", "x", "key", "s", "m"])
             if len(dk):
-                yield pa.RecordBatch.from_arrays([pa.nulls(len(dk), pa.int64()), pa.array(dk), pa.array(ds), pa.array(dn)], names=["w", "key", "s", "m"])
+                yield pa.RecordBatch.from_arrays([pa.nulls(len(dk), pa.int64()), pa.nulls(len(dk), pa.int32()), pa.array(dk), pa.array(ds), pa.array(dn)], names=["w", "x", "key", "s", "m"])
 
     return run
 
@@ -236,9 +252,9 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, grain: int = GRAIN, ho
     listed = lambda df: df.groupBy("key").agg(F.collect_list(F.struct("a", "n")).alias("rows"))
     # both joins with the texts read one shuffle of them
     asked = texts.join(listed(judged.filter("not sure")), "key")
-    windows = asked.select("key", "doc_id", "text", "rows").mapInArrow(trimmed(_windows(window)), "w long, key long, s long, m long")
+    windows = asked.select("key", "doc_id", "text", "rows").mapInArrow(trimmed(_windows(window)), "w long, x int, key long, s long, m long")
     own = F.col("w").isNull()
-    nth = F.row_number().over(W.partitionBy(F.coalesce("w", "key"), own).orderBy("key", "s"))
+    nth = F.row_number().over(W.partitionBy(F.coalesce("w", "key"), "x", own).orderBy("key", "s"))
     later = windows.withColumn("nth", nth).filter(own | (F.col("nth") > 1))
     repeats = judged.filter("sure").select("key", "a", "n").union(later.select("key", "s", "m"))
     out = texts.join(listed(repeats), "key", "left")
