@@ -1,4 +1,4 @@
-"""The registered queries of this subpackage and their SQL."""
+"""The registered queries of this subpackage and their SQL; what has no SQL is held against brute force in tests/llm."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ from ledgerlake.llm.fingerprints import op5_fingerprints
 from ledgerlake.llm.html_extract import op3_html_extract
 from ledgerlake.llm.jaccard_join import op4_jaccard_join
 from ledgerlake.llm.language_id import op8_language_id
+from ledgerlake.llm.oracles import ORACLES as ORACLES
 from ledgerlake.llm.packing import op1_packing
 from ledgerlake.llm.pii import op9_pii
 from ledgerlake.llm.quality import op6_quality
@@ -31,6 +32,3 @@ QUERIES = {
     "op12_token_alignment": op12_token_alignment,
     "op13_toxicity": op13_toxicity,
 }
-
-#: tests/llm hold the operators against brute force; these models and searches have no SQL that DuckDB runs over whole tables.
-ORACLES: dict[str, str] = {}
