@@ -2,13 +2,16 @@
 
 Every source is a queue of tokenized documents. Time runs in windows of a fixed number of tokens;
 in each window a queue is credited its share of the window, serves chunks while its credit covers
-them and carries the rest of the credit (its deficit) on. The served chunks form one gapless
+them and carries the rest of the credit (its deficit) on. A queue's chunk is at most its
+share of a window, so that every window holds every source up to a chunk. The served chunks form one gapless
 stream that is cut every ``window`` tokens, so only the very last window of all can be short.
 
-For a cluster, each queue is cut by a hash of its documents into as many parts as there are
-buckets, so that each bucket holds its share of every queue, however hot a source is. A bucket
-starts where the sums of the buckets before it end, with exactly the deficits that those leave:
-what each queue was due by then less what it was served. Only per-(bucket, source) sums are needed.
+For a cluster, time is cut into buckets of about a million tokens. What a queue has been served by
+the begin of a bucket follows from the weights alone (all queues served in parallel until they run
+dry), so a bucket takes from every queue exactly its stretch, documents cut where stretches end: it
+begins with deficits below one token and no queue of it runs dry before its time. Where a document
+lies in its queue is a running sum, taken in two levels over cells (a hash of the document), so a
+hot source is spread over all cells.
 """
 
 from __future__ import annotations
@@ -23,12 +26,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import SPAN, Words, binary_column, documents, held, letter_sign_cuts, map_arrow, offsets, row_blocks, running_start, stored, text_bytes, word_ranges
+from ledgerlake.llm.common import SPAN, Words, binary_column, documents, held, letter_sign_cuts, map_arrow, offsets, row_blocks, stored, text_bytes, word_ranges
 
 WINDOW = 4096
-CHUNK = 512
+CHUNK, LEAST = 512, 32  # most and fewest tokens of a chunk
+IDLE = 1e-9  # weight of sources that are to be served when all others have run dry
 LATIN_END = "ɐ"  # below it lie the Latin letters with one form each
 BUCKET_TOKENS = 1 << 20
+BLOCK = 4096  # cells or buckets whose sums are run over in one group
 PIECES = "doc_id long, source string, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 
 
@@ -125,11 +130,14 @@ class Fluid:
     def at(self, source, time: float) -> float:
         return float(np.interp(time, *self.knots[source]))
 
-    def when(self, source, done: np.ndarray) -> np.ndarray:
-        return np.interp(done, self.knots[source][1], self.knots[source][0])
 
+def chunks(weights: list[float], window: int, most: int = CHUNK, least: int = LEAST) -> list[int]:
+    """Tokens in a chunk of each queue: its share of a window, within the bounds."""
+    total = sum(weights) or 1.0
+    return [int(min(most, max(least, w / total * window))) for w in weights]
 
-def serve(queues: list[list[int]], weights: list[float], deficits: list[float], start: int, window: int, chunk: int):
+
+def serve(queues: list[list[int]], weights: list[float], deficits: list[float], start: int, window: int, chunk: list[int]):
     """Deficit round-robin over the queues (lists of document sizes): yields (queue, document, first token, tokens)."""
     heads, done = [0] * len(queues), [0] * len(queues)
     credit = list(deficits)
@@ -141,7 +149,7 @@ def serve(queues: list[list[int]], weights: list[float], deficits: list[float],
             credit[s] += room * weights[s] / total
             sizes = queues[s]
             while heads[s] < len(sizes):
-                n = min(chunk, sizes[heads[s]] - done[s])
+                n = min(chunk[s], sizes[heads[s]] - done[s])
                 if n > credit[s] + 1e-6:
                     break
                 yield s, heads[s], done[s], n
@@ -153,77 +161,122 @@ def serve(queues: list[list[int]], weights: list[float], deficits: list[float],
         room = window
 
 
-def pack(tokens: DataFrame, window: int = WINDOW, chunk: int = CHUNK, bucket_tokens: int = BUCKET_TOKENS, weights: dict[str, float] | None = None) -> DataFrame:
+def pack(tokens: DataFrame, window: int = WINDOW, chunk: int = CHUNK, least: int = LEAST, bucket_tokens: int = BUCKET_TOKENS, weights: dict[str, float] | None = None) -> DataFrame:
     """Pieces of all documents in sequences of ``window`` tokens (columns of PIECES).
 
     ``tokens`` has the columns of tokenize(). The target proportions are ``weights`` by source (those
     not named weigh as their tokens do; the named ones in proportion to all tokens), by default the
     proportions of the corpus, so that all queues last to the end. Nothing is dropped: when a queue
-    runs dry the others share its credit. A null source is a queue like any other; repeated rows
+    runs dry the others share its credit; a source of weight zero or less is served when the others are
+    dry. A chunk holds a source's share of a window, ``least`` to ``chunk`` tokens: shares below ``least``
+    are served in every so many windows, their deficit carried on. A null source is a queue like any other; repeated rows
     and ids stay; an empty table gives an empty result.
     """
     item = lambda n, t: "<u2" if len(t) == 2 * n else "<u4"
-    totals = tokens.groupBy("source").agg(F.sum("n").alias("whole"))
+    queue = F.coalesce(F.concat(F.lit("="), "source"), F.lit(""))
+    u = F.xxhash64("doc_id", "n", F.crc32("tokens"))
+    tokens = tokens.withColumn("q", queue)
+    totals = stored(tokens.groupBy("q", "source").agg(F.sum("n").alias("whole")), "pack-totals")
     whole = totals.agg(F.sum("whole")).first()[0] or 0
     n_buckets = max(1, -(-whole // bucket_tokens))
-    u = F.pmod(F.xxhash64("doc_id", "n", F.crc32("tokens")), F.lit(1 << 40)) / float(1 << 40)
-    fluid = None
-    if weights:  # as many sources as the caller names
-        named = {r["source"]: r["whole"] for r in totals.filter(F.col("source").isin(list(weights))).collect()}
-        total = {s: float(named.get(s, 0)) for s in weights} | {None: float(whole - sum(named.values()))}
-        fluid = Fluid(total, {s: w * whole for s, w in weights.items()} | {None: max(total[None], 1e-9)})
+    weights = {s: max(w, IDLE) for s, w in weights.items()} if weights else {}
+    # as many sources as the caller names
+    named = {r["source"]: r["whole"] for r in totals.filter(F.col("source").isin(list(weights))).collect()} if weights else {}
+    rest = float(whole - sum(named.values()))
+    total = {s: float(named.get(s, 0)) for s in weights} | {None: rest}
+    fluid = Fluid(total, {s: w * whole for s, w in weights.items()} | {None: max(rest, 1e-9)})
+
+    def served(source: pd.Series, whole_of: pd.Series, bucket: np.ndarray) -> np.ndarray:
+        """Tokens of each source that are served before the bucket."""
+        out = np.zeros(len(source), np.int64)
+        key = source.where(source.isin(list(weights)), None)
+        size = whole_of.to_numpy()
+        for s in [*weights, None]:
+            mine = (key.isna() if s is None else key == s).to_numpy()
+            part = np.interp(bucket[mine] * float(bucket_tokens), *fluid.knots[s]) / max(total[s], 1.0)
+            out[mine] = np.floor(part * size[mine])
+        return np.where(bucket >= n_buckets, size, np.minimum(out, size))
+
+    if weights:
+
+        @F.pandas_udf("long")
+        def begins(source: pd.Series, whole_of: pd.Series, bucket: pd.Series) -> pd.Series:
+            return pd.Series(served(source, whole_of, bucket.to_numpy()))
 
         @F.pandas_udf("long")
-        def timed(source: pd.Series, part: pd.Series) -> pd.Series:
-            out = np.zeros(len(source), np.int64)
-            key = source.where(source.isin(list(weights)), None)
-            for s in [*weights, None]:
-                mine = (key.isna() if s is None else key == s).to_numpy()
-                out[mine] = fluid.when(s, part.to_numpy()[mine] * total[s]) // bucket_tokens
-            return pd.Series(np.clip(out, 0, n_buckets - 1))
-
-        bucket = timed("source", u)
-    else:
-        bucket = F.floor(u * n_buckets).cast("long")
-    rows = tokens.withColumn("bucket", bucket)
-    sums = stored(rows.groupBy("bucket", "source").agg(F.sum("n").alias("sum")), "pack-sums")
-    begin = running_start(sums.groupBy("bucket").agg(F.sum("sum").alias("sum")), "bucket", "sum", "begin").select("bucket", "begin")
-    before = F.sum("sum").over(W.partitionBy("source").orderBy("bucket")) - F.col("sum")
-    whole_of = F.sum("sum").over(W.partitionBy("source"))
-    state = sums.select("bucket", F.col("source").alias("q"), before.alias("served"), whole_of.alias("whole")).join(begin, "bucket")
-
-    def run(docs: pd.DataFrame, queues: pd.DataFrame) -> pd.DataFrame:
+        def bucket_of(source: pd.Series, whole_of: pd.Series, pos: pd.Series) -> pd.Series:
+            at = pos.to_numpy()
+            lo, hi = np.zeros(len(at), np.int64), np.full(len(at), n_buckets, np.int64)
+            while (hi - lo > 1).any():  # the last bucket that begins at or before the place
+                mid = (lo + hi) // 2
+                before = served(source, whole_of, mid) <= at
+                lo, hi = np.where(before, mid, lo), np.where(before, hi, np.maximum(mid, lo + 1))
+            return pd.Series(lo)
+    else:  # in proportion to all tokens, in whole numbers
+
+        def begins(source, whole_of, bucket):
+            whole_of, bucket, n = F.col(whole_of), F.col(bucket) if isinstance(bucket, str) else bucket, F.lit(n_buckets).cast("long")
+            each = ((whole_of - whole_of % n) / n).cast("long")
+            return each * bucket + F.floor((whole_of % n) * bucket / n)
+
+        def bucket_of(source, whole_of, pos):
+            guess = F.floor(pos / F.col(whole_of) * n_buckets).cast("long")
+            fit = lambda d: begins(source, whole_of, guess + d) <= pos
+            return F.greatest(F.lit(0), F.when(fit(1), guess + 1).when(fit(0), guess).otherwise(guess - 1))
+
+    w = W.partitionBy("q")
+    cells = tokens.withColumn("cell", F.pmod(u, F.lit(n_buckets))).groupBy("q", "cell").agg(F.sum("n").alias("sum"))
+    cells = stored(cells.withColumn("block", F.floor(F.col("cell") / BLOCK)), "pack-cells")
+    sums = cells.groupBy("q", "block").agg(F.sum("sum").alias("bsum"))
+    sums = sums.select("q", "block", (F.sum("bsum").over(w.orderBy("block")) - F.col("bsum")).alias("before"), F.sum("bsum").over(w).alias("whole"))
+    inside = F.sum("sum").over(W.partitionBy("q", "block").orderBy("cell")) - F.col("sum")
+    cells = cells.withColumn("inside", inside).join(sums, ["q", "block"]).select("cell", "q", "whole", (F.col("before") + F.col("inside")).alias("before"))
+
+    in_cell = W.partitionBy("cell", "q").orderBy("doc_id", "n", "mark").rowsBetween(W.unboundedPreceding, 0)
+    rows = tokens.withColumn("cell", F.pmod(u, F.lit(n_buckets))).withColumn("mark", F.crc32("tokens"))
+    rows = rows.withColumn("pos", F.sum("n").over(in_cell) - F.col("n")).join(cells, ["cell", "q"])
+    rows = rows.select("doc_id", "source", "q", "tokens", "whole", F.col("n").alias("size"), (F.col("pos") + F.col("before")).alias("pos"))
+    rows = rows.withColumn("b0", bucket_of("source", "whole", F.col("pos"))).withColumn("b1", bucket_of("source", "whole", F.col("pos") + F.col("size") - 1))
+    rows = rows.withColumn("bucket", F.explode(F.sequence("b0", "b1")))
+    rows = rows.withColumn("served", begins("source", "whole", "bucket")).withColumn("next", begins("source", "whole", F.col("bucket") + 1))
+    rows = rows.withColumn("first", F.greatest(F.lit(0), F.col("served") - F.col("pos"))).withColumn("n", F.least(F.col("size"), F.col("next") - F.col("pos")) - F.col("first"))
+    wide = (F.octet_length("tokens") / F.col("size")).cast("int")
+    part = F.substring("tokens", (F.col("first") * wide + 1).cast("int"), (F.col("n") * wide).cast("int"))
+    pos = F.col("pos") + F.col("first")
+    rows = rows.filter("n > 0").select("bucket", "doc_id", "source", "q", "whole", "served", "size", pos.alias("pos"), "first", "n", part.alias("tokens"))
+    # where the stream of a bucket begins: what all queues were served by then
+    blocks = totals.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit((n_buckets - 1) // BLOCK))))
+    bucket = F.explode(F.sequence(F.col("block").cast("long") * BLOCK, F.least(F.lit(n_buckets - 1).cast("long"), F.col("block").cast("long") * BLOCK + BLOCK - 1)))
+    state = blocks.withColumn("bucket", bucket).withColumn("at", begins("source", "whole", "bucket")).groupBy("bucket").agg(F.sum("at").alias("begin"))
+
+    def run(docs: pd.DataFrame, state: pd.DataFrame) -> pd.DataFrame:
         if docs.empty:
             return pd.DataFrame(columns=names)
-        docs = docs.assign(key=docs.source.fillna("\0")).sort_values(["key", "doc_id", "n", "tokens"], kind="stable")
-        queues = queues.assign(key=queues.q.fillna("\0")).sort_values("key", kind="stable")
-        begin = int(queues.begin.iloc[0])
-        known = [s if weights and s in weights else None for s in queues.q]
-        own = docs.groupby("key", sort=True).indices
-        rows = [own[k] for k in queues.key]
-        if fluid is None:
-            share = (queues.whole / whole).to_numpy()
-            due = share * begin
-        else:
-            rest = max(total[None], 1.0)
-            part = [1.0 if k is not None else w / rest for k, w in zip(known, queues.whole, strict=True)]
-            share = np.array([weights[k] * whole if k is not None else float(w) for k, w in zip(known, queues.whole, strict=True)])
-            due = np.array([fluid.at(k, begin) * p for k, p in zip(known, part, strict=True)])
-        size = docs.n.to_numpy()
-        pos, out = begin, []
-        for s, k, first, n in serve([size[r].tolist() for r in rows], share.tolist(), (due - queues.served.to_numpy()).tolist(), begin, window, chunk):
+        docs = docs.sort_values(["q", "pos"], kind="stable")
+        queues = docs.drop_duplicates("q")
+        begin = int(state.begin.iloc[0])
+        known = [s if s in weights else None for s in queues.source]
+        own = docs.groupby("q", sort=True).indices
+        rows = [own[k] for k in queues.q]
+        share = np.array([weights[k] * whole if k is not None else float(w) for k, w in zip(known, queues.whole, strict=True)])
+        # the begins of queues are whole numbers: what they cut off is the deficit that is carried in
+        time = float(docs.bucket.iloc[0]) * bucket_tokens if weights else float(docs.bucket.iloc[0]) * whole / n_buckets
+        due = np.array([fluid.at(k, time) * (w / max(total[k], 1.0)) for k, w in zip(known, queues.whole, strict=True)])
+        number, first_of, whole_doc = docs.n.to_numpy(), docs["first"].to_numpy(), docs["size"].to_numpy()
+        at, out = begin, []
+        for s, k, first, n in serve([number[r].tolist() for r in rows], share.tolist(), (due - queues.served.to_numpy()).tolist(), begin, window, chunks(share.tolist(), window, chunk, least)):
             r = rows[s][k]
             while n:
-                take = min(n, window - pos % window)
-                if out and out[-1][0] == r and out[-1][1] + out[-1][2] == first and pos % window:
+                take = min(n, window - at % window)
+                if out and out[-1][0] == r and out[-1][1] + out[-1][2] == first and at % window:
                     out[-1][2] += take
                 else:
-                    out.append([r, first, take, pos])
-                pos, first, n = pos + take, first + take, n - take
+                    out.append([r, first, take, at])
+                at, first, n = at + take, first + take, n - take
         r, first, n, at = np.array(out, np.int64).T
-        ids = [np.frombuffer(t, item(m, t)).astype("<u4") for t, m in zip(docs.tokens, size, strict=True)]
+        ids = [np.frombuffer(t, item(m, t)).astype("<u4") for t, m in zip(docs.tokens, number, strict=True)]
         return pd.DataFrame({
-            "doc_id": docs.doc_id.to_numpy()[r], "source": docs.source.to_numpy()[r], "start": first, "length": n, "doc_tokens": size[r],
+            "doc_id": docs.doc_id.to_numpy()[r], "source": docs.source.to_numpy()[r], "start": first_of[r] + first, "length": n, "doc_tokens": whole_doc[r],
             "sequence_id": at // window, "offset": at % window, "ids": [ids[i][a : a + m].tobytes() for i, a, m in zip(r, first, n, strict=True)],
         })
 

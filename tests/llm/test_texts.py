@@ -4,6 +4,7 @@ import base64
 import random
 
 import numpy as np
+import pandas as pd
 import public_tokenizers as P
 import pytest
 import tiktoken
@@ -36,7 +37,7 @@ def test_byte_bpe(docs):
     assert p.last == byte_bpe.Prefixes(m, b"the new st words of all end").last
 
 
-@pytest.mark.parametrize("weights", [None, {"s1": 0.6, "s2": 0.2}])
+@pytest.mark.parametrize("weights", [None, {"s1": 0.6, "s2": 0.2}, {"s1": 0, "s2": 1}])
 def test_packing(docs, weights):
     path = P.path("word_bpe_49k.json")
     lib = Tokenizer.from_file(path)
@@ -53,6 +54,31 @@ def test_packing(docs, weights):
     assert packing.pack(packing.tokenize(docs.limit(0), path, 2)).count() == 0
 
 
+@pytest.mark.parametrize(("weights", "bucket"), [(None, 1 << 20), (None, 30_000), ({"a": 0.5, "b": 0.3}, 30_000)])
+def test_mixture_of_windows(spark, weights, bucket):
+    r = random.Random(4)
+    shares = {"a": 0.34, **{f"q{i}": 0.03 for i in range(20)}, "b": 0.06}
+    rows, doc = [], 0
+    for s, share in shares.items():
+        left = int(share * 200_000)
+        while left > 0:
+            n = min(left, r.choice([1, 20, 300, 5000]))
+            rows.append((doc, s, n, b"\1\0" * n))
+            doc, left = doc + 1, left - n
+    got = packing.pack(spark.createDataFrame(rows, "doc_id long, source string, n long, tokens binary"), weights=weights, bucket_tokens=bucket).toPandas()
+    total = got.groupby("source").length.sum()
+    assert got.length.sum() == sum(x[2] for x in rows)
+    held = got.pivot_table(index="sequence_id", columns="source", values="length", aggfunc="sum", fill_value=0).iloc[:-1]
+    if weights is None:
+        want = total / total.sum() * 4096
+        chunk = pd.Series({s: packing.chunks([w, 4096 - w], 4096)[0] for s, w in want.items()})
+        assert ((held - want).abs() <= (2 if bucket > 1 << 16 else 3) * chunk + 1).all().all()  # a bucket of seven windows starts within one
+    else:  # until a source runs dry: weights are shares of all tokens
+        part = held.iloc[:10].mean() / 4096
+        rest = 1 - total[["a", "b"]].sum() / total.sum()
+        assert all(abs(part[k] - weights[k] / (0.8 + rest)) < 0.06 for k in weights)  # the small queues lag by a chunk each
+
+
 def test_languages(spark):
     words = {"en": ["the", "and", "house", "with", "thing"], "de": ["und", "der", "nicht", "schön", "über"]}
     r = random.Random(2)
