@@ -33,6 +33,7 @@ CHUNK, LEAST = 512, 32  # most and fewest tokens of a chunk
 IDLE = 1e-9  # weight of sources that are to be served when all others have run dry
 LATIN_END = "ɐ"  # below it lie the Latin letters with one form each
 BUCKET_TOKENS = 1 << 20
+CELLS = 8  # cells of documents for each bucket
 BLOCK = 4096  # cells or buckets whose sums are run over in one group
 PIECES = "doc_id long, source string, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 
@@ -225,7 +226,7 @@ def pack(tokens: DataFrame, window: int = WINDOW, chunk: int = CHUNK, least: int
             return F.greatest(F.lit(0), F.when(fit(1), guess + 1).when(fit(0), guess).otherwise(guess - 1))
 
     w = W.partitionBy("q")
-    cells = tokens.withColumn("cell", F.pmod(u, F.lit(n_buckets))).groupBy("q", "cell").agg(F.sum("n").alias("sum"))
+    cells = tokens.withColumn("cell", F.pmod(u, F.lit(n_buckets * CELLS))).groupBy("q", "cell").agg(F.sum("n").alias("sum"))
     cells = stored(cells.withColumn("block", F.floor(F.col("cell") / BLOCK)), "pack-cells")
     sums = cells.groupBy("q", "block").agg(F.sum("sum").alias("bsum"))
     sums = sums.select("q", "block", (F.sum("bsum").over(w.orderBy("block")) - F.col("bsum")).alias("before"), F.sum("bsum").over(w).alias("whole"))
@@ -233,7 +234,7 @@ def pack(tokens: DataFrame, window: int = WINDOW, chunk: int = CHUNK, least: int
     cells = cells.withColumn("inside", inside).join(sums, ["q", "block"]).select("cell", "q", "whole", (F.col("before") + F.col("inside")).alias("before"))
 
     in_cell = W.partitionBy("cell", "q").orderBy("doc_id", "n", "mark").rowsBetween(W.unboundedPreceding, 0)
-    rows = tokens.withColumn("cell", F.pmod(u, F.lit(n_buckets))).withColumn("mark", F.crc32("tokens"))
+    rows = tokens.withColumn("cell", F.pmod(u, F.lit(n_buckets * CELLS))).withColumn("mark", F.crc32("tokens"))
     rows = rows.withColumn("pos", F.sum("n").over(in_cell) - F.col("n")).join(cells, ["cell", "q"])
     rows = rows.select("doc_id", "source", "q", "tokens", "whole", F.col("n").alias("size"), (F.col("pos") + F.col("before")).alias("pos"))
     rows = rows.withColumn("b0", bucket_of("source", "whole", F.col("pos"))).withColumn("b1", bucket_of("source", "whole", F.col("pos") + F.col("size") - 1))
