@@ -16,6 +16,7 @@ from ledgerlake.llm.common import documents, map_arrow, row_blocks, text_bytes
 
 EMBED, WIDTH, STRIDE, FILTERS = 8, 12, 4, 24
 CELL = 128  # bytes; a chunk is two neighbouring cells, so chunks overlap by half
+STRETCHES = 16  # of a long sampled text
 SAMPLE, SAMPLE_BYTES, ROUNDS, STEPS, RATE, SEED = 4000, 2048, 12, 900, 0.01, 11
 MOST = 1 << 18  # bytes whose responses are held at once
 
@@ -158,16 +159,24 @@ class Network:
         return [g_embed, g_filters, g_raw.sum(axis=0), g_top, np.array([d.sum()], np.float32)]
 
 
+def stretches(text: Column, key: Column) -> Column:
+    """The whole text, in bytes, or of a long one STRETCHES stretches of SAMPLE_BYTES, one from anywhere in each part of it."""
+    size = F.octet_length(text)
+    step = (size - SAMPLE_BYTES) / STRETCHES
+    at = [F.floor((i + F.pmod(F.xxhash64(key, F.lit(i)), F.lit(1 << 20)) / (1 << 20)) * step) for i in range(STRETCHES)]
+    return F.when(size <= STRETCHES * SAMPLE_BYTES, text).otherwise(F.concat(*[F.substring(text, (a + 1).cast("int"), SAMPLE_BYTES) for a in at]))
+
+
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", **options) -> Network:
     """A network fitted on at most ``sample`` labelled documents, chosen by a hash of their ids.
 
     Documents without a text count as empty, labels that are null are left out; without any labelled
-    document the network stays as it starts.
+    document the network stays as it starts. Of a long text the driver gets stretches() from all over it.
     """
     marked = labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(id_col).agg(F.max(label_col).alias("y"))
     marked = marked.orderBy(F.xxhash64(id_col, F.lit(SEED)), id_col).limit(sample)
-    cut = F.substring(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 1, 16 * SAMPLE_BYTES)  # a bound for the driver, in training only
-    rows = docs.select(F.col(id_col), cut.alias("t")).join(F.broadcast(marked), id_col).select(id_col, "t", "y").toPandas()
+    rows = docs.select(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("t")).join(F.broadcast(marked), id_col)
+    rows = rows.select(id_col, stretches(F.col("t"), F.col(id_col)).alias("t"), "y").toPandas()
     net = Network()
     if len(rows):
         rows = rows.sort_values([id_col, "y"], kind="stable")

@@ -119,6 +119,16 @@ def test_pii(spark):
     assert got[2].spans == got[3].base == ""
 
 
+def test_quality_reads_long_texts_from_all_over(spark):
+    edge = quality.STRETCHES * quality.SAMPLE_BYTES
+    text = "".join(f"{i:08d}" for i in range(50_000))
+    df = spark.createDataFrame([(1, "a" * edge), (2, "a" * (edge + 1)), (3, text), (4, "")], "doc_id long, t string").selectExpr("doc_id", "cast(t as binary) t")
+    got = {r.doc_id: bytes(r.t) for r in df.select("doc_id", quality.stretches(df.t, df.doc_id).alias("t")).collect()}
+    assert got[1] == b"a" * edge and got[2] == b"a" * edge and got[4] == b""
+    part = [text.index(got[3][i : i + quality.SAMPLE_BYTES].decode()) for i in range(0, edge, quality.SAMPLE_BYTES)]
+    assert len(got[3]) == edge and part == sorted(part) and part[0] < len(text) / 16 and part[-1] > len(text) * 0.9 - quality.SAMPLE_BYTES
+
+
 def test_quality():
     r = random.Random(3)
     prose = lambda: " ".join("".join(r.choices("abcdefgh", k=r.randint(2, 8))) for _ in range(r.randint(5, 80)))
