@@ -2,13 +2,19 @@
 
 A language is a distribution over byte trigrams of lower-case words with their borders, counted over
 all labelled documents. A text is a mixture: each of its words comes from one of its languages.
-Expectation-maximisation estimates the proportions from the words' likelihoods. Sets of one, two,
-... languages are compared by their likelihood less a penalty for each language, and the answer is
-the language with the largest proportion in the best set, with that proportion as its score.
+Expectation-maximisation estimates the proportions from the words' likelihoods. All sets of languages
+are compared by their likelihood less a penalty for each language, and the answer is the language with
+the largest proportion in the best set (ties: the smaller set, then the first by name), with that
+proportion as its score. The likelihood is concave in the proportions, so every round also gives the
+most that a set can reach: a set is left when that can't beat the best one, and is settled when it is
+within TOLERANCE. Where more than AMONG languages were learned, the sets of a text are made of the
+AMONG with the largest proportions in the mixture of all.
 """
 
 from __future__ import annotations
 
+from itertools import combinations
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +23,7 @@ from pyspark.sql import functions as F
 from ledgerlake.llm.common import SPAN, Words, documents, map_arrow, offsets, ragged_index, row_blocks, text_bytes, word_ranges
 
 BITS = 16  # trigrams are hashed to 2**BITS counters
-ROUNDS, PENALTY = 8, 6.0
+ROUNDS, TOLERANCE, PENALTY, AMONG = 1000, 1e-3, 6.0, 8
 SEPARATORS = np.zeros(256, bool)
 SEPARATORS[[c for c in range(128) if not chr(c).isalpha()]] = True
 LOWER = np.arange(256, dtype=np.uint8)
@@ -79,7 +85,7 @@ class Languages:
         out = np.add.reduceat(self.logs[grams], np.cumsum(lens) - lens, axis=0).astype(np.float32)
         return out, np.ones(len(keys), np.int64)
 
-    def infer(self, data: np.ndarray, edges: np.ndarray, rounds: int = ROUNDS, penalty: float = PENALTY) -> tuple[np.ndarray, np.ndarray]:
+    def infer(self, data: np.ndarray, edges: np.ndarray, penalty: float = PENALTY, among: int = AMONG) -> tuple[np.ndarray, np.ndarray]:
         """(index of the language, or -1 without words; score) of each text."""
         n_rows, k = len(edges) - 1, len(self.names)
         best, score = np.full(n_rows, -1), np.zeros(n_rows)
@@ -90,48 +96,71 @@ class Languages:
         if not len(full) or not k:
             return best, score
         logs = self.words.values(self.words.number(piece, starts, ends))[0].astype(np.float64)
-        counts = counts[full]
-        at = offsets(counts)[:-1]
-        doc = np.repeat(np.arange(len(full)), counts)
-        top = logs.max(axis=1, keepdims=True)
-        like, base = np.exp(logs - top), np.add.reduceat(top[:, 0], at)
-        alone = np.add.reduceat(logs, at, axis=0)
-        choice = alone.argmax(axis=1)
-        gain = alone[np.arange(len(full)), choice] - penalty
-        part = np.ones(len(full))
-        if k > 1:
-            share = self._mix(like, doc, at, counts, np.ones((len(full), k), bool), rounds)[0]
-            rank = np.argsort(-share, axis=1, kind="stable")
-            rows = np.arange(len(full))
-            for size in range(2, k + 1):
-                allowed = np.zeros((len(full), k), bool)
-                allowed[np.arange(len(full))[:, None], rank[:, :size]] = True
-                take = np.zeros(len(full), bool)
-                take[rows] = True
-                pick = take[doc]
-                own = np.cumsum(take) - 1
-                c = counts[rows]
-                mixed, total = self._mix(like[pick], own[doc[pick]], offsets(c)[:-1], c, allowed[rows], rounds)
-                value = total + base[rows] - size * penalty
-                better = value > gain[rows]
-                won = rows[better]
-                gain[won], choice[won], part[won] = value[better], mixed[better].argmax(axis=1), mixed[better].max(axis=1)
-                rows = won
-                if not len(rows):
-                    break
-        best[full], score[full] = choice, part
+        best[full], score[full] = best_sets(logs, counts[full], penalty, among)
         return best, score
 
-    @staticmethod
-    def _mix(like, doc, at, counts, allowed, rounds):
-        """Proportions and log-likelihoods (less each word's best) after some rounds of expectation-maximisation."""
-        share = allowed / allowed.sum(axis=1, keepdims=True)
-        for _ in range(rounds):
-            r = like * share[doc]
-            r /= np.maximum(r.sum(axis=1, keepdims=True), 1e-300)
-            share = np.add.reduceat(r, at, axis=0) / counts[:, None]
-        total = np.log(np.maximum((like * share[doc]).sum(axis=1), 1e-300))
-        return share, np.add.reduceat(total, at)
+
+def best_sets(logs: np.ndarray, counts: np.ndarray, penalty: float = PENALTY, among: int = AMONG) -> tuple[np.ndarray, np.ndarray]:
+    """(largest language of the best set, its proportion) of each text of ``counts`` words, from the words' log-likelihoods by language."""
+    n, k = len(counts), logs.shape[1]
+    alone = np.add.reduceat(logs, offsets(counts)[:-1], axis=0)
+    choice, part = alone.argmax(axis=1), np.ones(n)
+    gain = alone.max(axis=1) - penalty
+    if k == 1:
+        return choice, part
+    # no set can do better than the mixture of all: texts that two languages can't pay for are done
+    share = np.full((n, k), 0.1 / k)
+    share[np.arange(n), choice] += 0.9
+    share, _, most = mixture(logs, counts, share, gain + 2 * penalty)
+    rows = np.flatnonzero(most > gain + 2 * penalty)
+    if not len(rows):
+        return choice, part
+    take = np.zeros(n, bool)
+    take[rows] = True
+    cols = np.sort(np.argsort(-share[rows], axis=1, kind="stable")[:, :among], axis=1)
+    logs, counts = np.take_along_axis(logs[np.repeat(take, counts)], np.repeat(cols, counts[rows], axis=0), axis=1), counts[rows]
+    for size in range(2, cols.shape[1] + 1):
+        for members in map(list, combinations(range(cols.shape[1]), size)):
+            open_ = most[rows] > gain[rows] + size * penalty
+            if not open_.any():
+                return choice, part
+            own, c, floor = logs[np.repeat(open_, counts)][:, members], counts[open_], gain[rows][open_] + size * penalty
+            mixed, value, _ = mixture(own, c, np.full((len(c), size), 1 / size), floor)
+            won = value > floor
+            at = rows[open_][won]
+            gain[at] = value[won] - size * penalty
+            choice[at] = cols[open_][won][np.arange(len(at)), np.array(members)[mixed[won].argmax(axis=1)]]
+            part[at] = mixed[won].max(axis=1)
+    return choice, part
+
+
+def mixture(logs: np.ndarray, counts: np.ndarray, share: np.ndarray, floor: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(proportions, log-likelihood, the most it can become) of each text, by expectation-maximisation from ``share``.
+
+    A text is done when what is left to gain is within TOLERANCE, or when it can't pass its floor. With g
+    the sums of a language's likelihoods over the mixture's, no proportions reach more than the
+    log-likelihood + n * log(max(g) / n).
+    """
+    share, value, most = share.copy(), np.full(len(counts), -np.inf), np.full(len(counts), np.inf)
+    rows = np.arange(len(counts))
+    top = logs.max(axis=1, keepdims=True)
+    like, base = np.exp(logs - top), np.add.reduceat(top[:, 0], offsets(counts)[:-1])
+    live = base > floor
+    most[~live] = base[~live]
+    for _ in range(ROUNDS):
+        if not live.all():
+            like, counts, base, rows = like[np.repeat(live, counts)], counts[live], base[live], rows[live]
+        if not len(rows):
+            break
+        at = offsets(counts)[:-1]
+        whole = np.maximum(np.einsum("ij,ij->i", like, np.repeat(share[rows], counts, axis=0)), 1e-300)
+        value[rows] = base + np.add.reduceat(np.log(whole), at)
+        g = np.add.reduceat(like / whole[:, None], at, axis=0) / counts[:, None]
+        left = counts * np.log(np.maximum(g.max(axis=1), 1.0))
+        most[rows] = np.minimum(most[rows], value[rows] + left)
+        live = (left > TOLERANCE) & (most[rows] > floor[rows])
+        share[rows[live]] *= g[live]
+    return share, value, most
 
 
 def train(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", bits: int = BITS) -> Languages:
