@@ -14,7 +14,9 @@ import os
 import time
 import uuid
 from dataclasses import dataclass
+from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +24,7 @@ from ledgerlake.operators.windows import with_position
 from ledgerlake.session import shared_dir
 from ledgerlake.sinks import files
 
+NOTHING_THERE = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}  # error conditions of a missing or empty folder
 VERSION = "__v"  # between a table's name and the stamp of a version
 
 
@@ -151,8 +154,8 @@ class Store:
         try:
             self.spark.read.parquet(self._folder(layer, table)).schema
             return True
-        except Exception as e:  # AnalysisException
-            if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
+        except AnalysisException as e:
+            if e.getCondition() in NOTHING_THERE:
                 return False
             raise
 
@@ -162,8 +165,8 @@ def path_has_files(spark: SparkSession, path: str) -> bool:
     try:
         return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path) \
             .select("path").limit(1).count() > 0
-    except Exception as e:  # AnalysisException: PATH_NOT_FOUND / UNABLE_TO_INFER_SCHEMA
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e) or "UNABLE_TO_INFER" in str(e):
+    except AnalysisException as e:
+        if e.getCondition() in NOTHING_THERE:
             return False
         raise
 
@@ -264,13 +267,14 @@ def read_mart(store: Store, name: str) -> DataFrame:
 def verify_tables(store: Store, layer: str, names: list[str]) -> DataFrame:
     """(table, exists, rows) per name (SK7); missing tables are tolerated.
 
-    Counts come from a footer-level count of each existing table.
+    All tables are counted in one job; a count reads no column.
     """
     spark = store.spark
-    rows = []
-    for name in names:
-        if store.exists(layer, name):
-            rows.append((name, True, store.read(layer, name).count()))
-        else:
-            rows.append((name, False, None))
-    return spark.createDataFrame(rows, "table string, exists boolean, rows bigint")
+    parts = []
+    for i, name in enumerate(names):
+        here = store.exists(layer, name)
+        n = store.read(layer, name).agg(F.count(F.lit(1)).alias("rows")) if here else spark.range(1).select(F.lit(None).cast("bigint").alias("rows"))
+        parts.append(n.select(F.lit(i).alias("place"), F.lit(name).alias("table"), F.lit(here).alias("exists"), "rows"))
+    if not parts:
+        return spark.createDataFrame([], "table string, exists boolean, rows bigint")
+    return reduce(DataFrame.unionAll, parts).orderBy("place").drop("place")
