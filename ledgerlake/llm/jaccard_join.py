@@ -6,7 +6,8 @@ most d places, one that holds more than d units has a segment in which the other
 it: a segment is worth one unit when it is compared as a whole, and two units when it is compared
 together with its one-deletion neighbours (the subset less any one shingle), as then a single
 difference is met too. How many segments a band has and which of them get neighbours is chosen from
-the number of sets in the band by estimated cost. Every set goes into the scheme of its band and, if
+the number of sets in the band by estimated cost (bands that end above 33 shingles: among schemes
+without neighbours). Every set goes into the scheme of its band and, if
 smaller partners can lie in the band below, into that one; empty segments are worth nothing. A set
 with too few units, by an uneven deal, goes on to a second layer in which each shingle is a segment
 of its own: its smallest ones are compared. Two such sets meet there, all others in the first.
