@@ -29,7 +29,6 @@ from ledgerlake.operators.aggregates import mode_value
 from ledgerlake.operators.columns import keep_existing
 from ledgerlake.operators.joins import unique_lookup
 from ledgerlake.operators.windows import sequential_ids
-from ledgerlake.session import stored_rows
 
 DEFAULT_KEY = ["Order ID", "Product ID"]
 ORDER_COLUMNS = [
@@ -189,23 +188,28 @@ def defect_audit(df: DataFrame, key: list[str] | None = None,
                  null_columns=("Ship Mode", "Postal Code", "Customer Name")) -> DataFrame:
     """Total, NULLs per column, duplicate rows on the key, distinct regions, discounts > 1 (GE11).
 
-    The input is run once: what the audit needs of each row is stored, narrow. Its sums, its regions and its
-    keys are then three aggregates, so that a task counting keys holds nothing but keys.
+    One scan. Each row gives one for its key, which holds nothing else, and one for what is summed: its region and
+    flags, of which there are few. Both are counted by one aggregate, so a task that counts keys keeps no sums for
+    them, and no DISTINCT makes Spark expand the rows.
     """
     keys = [k.alias(f"__k{i}") for i, k in enumerate(_keys(df, key))]
-    nulls = {f"null_{c.replace(' ', '_')}": c for c in null_columns if c in df.columns}
+    flags = {f"null_{c.replace(' ', '_')}": col(c).isNull() for c in null_columns if c in df.columns}
     has_region, has_discount = "Region" in df.columns, "Discount" in df.columns
-    rows = df.select(
-        *keys, (col("Region") if has_region else F.lit(None).cast("string")).alias("__region"),
-        *[col(c).isNull().cast("int").alias(n) for n, c in nulls.items()],
-        (F.coalesce(col("Discount").try_cast("double") > 1.0, F.lit(False)).cast("int") if has_discount else F.lit(0)).alias("bad_discounts"))
-    names = [f"__k{i}" for i in range(len(keys))]
-    rows = stored_rows(rows if has_region else rows.drop("__region"))
-    out = rows.agg(
-        F.count(F.lit(1)).alias("total_rows"),
-        *[F.coalesce(F.sum(n), F.lit(0)).cast("long").alias(n) for n in [*nulls, "bad_discounts"]])
-    out = out.crossJoin(rows.select(*names).distinct().agg(F.count(F.lit(1)).alias("unique_keys")))  # one row each
-    if has_region:
-        out = out.crossJoin(rows.select("__region").distinct().agg(F.count("__region").alias("distinct_regions")))
-    out = out if has_discount else out.drop("bad_discounts")
+    if has_discount:
+        flags["bad_discounts"] = F.coalesce(col("Discount").try_cast("double") > 1.0, F.lit(False))
+    region = col("Region") if has_region else F.lit(None).cast("string")
+    bits = sum((c.cast("int") * (1 << i) for i, c in enumerate(flags.values())), F.lit(0))
+    rows = df.select(*keys, region.alias("__region"), bits.alias("__bits"))
+    names, rest = [f"__k{i}" for i in range(len(keys))], ["__region", "__bits"]
+    none = lambda c: F.lit(None).cast(rows.schema[c].dataType).alias(c)
+    of_key = F.struct(F.lit(0).alias("__tag"), *names, *[none(c) for c in rest])
+    of_sums = F.struct(F.lit(1).alias("__tag"), *[none(c) for c in names], *rest)
+    per = rows.select(F.explode(F.array(of_key, of_sums)).alias("x")).select("x.*").groupBy("__tag", *names, *rest).agg(F.count(F.lit(1)).alias("__n"))
+    hit = {name: F.when(F.col("__bits").bitwiseAND(F.lit(1 << i)) != 0, F.col("__n")) for i, name in enumerate(flags)}
+    by_region = per.groupBy("__tag", "__region").agg(
+        F.count(F.lit(1)).alias("unique_keys"), F.sum("__n").alias("total_rows"), *[F.sum(v).alias(n) for n, v in hit.items()])
+    total = lambda tag, n: F.coalesce(F.sum(F.when(F.col("__tag") == tag, F.col(n))), F.lit(0)).cast("long").alias(n)
+    out = by_region.agg(
+        *[total(1, n) for n in ["total_rows", *flags]], total(0, "unique_keys"),
+        *([F.count(F.when(F.col("__tag") == 1, F.col("__region"))).alias("distinct_regions")] if has_region else []))
     return out.withColumn("duplicate_rows", F.col("total_rows") - F.col("unique_keys"))
