@@ -11,20 +11,24 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType, StringType
 
-from ledgerlake.config import Coverage, Thresholds
-from ledgerlake.operators.skew import SLICE, heavy_keys
+from ledgerlake.config import DEDUP_KEY, Coverage, Thresholds
+from ledgerlake.functions.text import col
+from ledgerlake.operators.skew import SLICE, HeavyKeys, heavy_keys, with_slices
 from ledgerlake.plans import marts
 from ledgerlake.plans.bronze import build_bronze
 from ledgerlake.plans.quality import SuiteInputs, ordered_report, validation_report
 from ledgerlake.plans.silver import RetentionError, build_silver
+from ledgerlake.session import portions
 from ledgerlake.sinks.writers import Store, publish_mart
 
 BRONZE_TABLE = "orders_raw"
 SILVER_TABLE = "orders_cleaned"
 REPORT_TABLE = "validation_report"
+LEAST_BUCKETS = 4  # buckets that are written at a time, at least: as many tasks write them
 
 
 @dataclass
@@ -56,13 +60,20 @@ def order_buckets(store: Store, df: DataFrame | None = None) -> tuple[int, list[
     return bucket_count(store), ["Order ID", *sliced]
 
 
+def observed(seen: Observation) -> int:
+    """The observed number ``n``; 0 where Spark found no rows to join, left the join out and observed nothing."""
+    return int(seen.get["n"]) if seen._jo.getRow().length() else 0
+
+
 def run_bronze(store: Store, orders: DataFrame, returns: DataFrame, reps: DataFrame, batch_time: str | None = None,
                order_ids: DataFrame | None = None) -> int:
     """Write bronze; rows written.
 
     Hot orders are looked for in ``order_ids`` (a frame with the order ids of the input, where that is
     cheaper to read than the input itself). The order rows that go into the joins are observed by the write
-    itself and compared with the rows written (JO4): a difference raises.
+    itself and compared with the rows written (JO4): a difference raises, and the bronze table stays as it was.
+    Of a large table some buckets are written at a time: the input is read once for each such portion (give
+    a stored table), and only a portion's rows are shuffled at once.
     """
     heavy = heavy_keys(orders if order_ids is None else order_ids, "Order ID", bucket_count(store))
     seen: list[Observation] = []
@@ -71,14 +82,44 @@ def run_bronze(store: Store, orders: DataFrame, returns: DataFrame, reps: DataFr
         seen.append(Observation())
         return df.observe(seen[-1], F.count(F.lit(1)).alias("n"))
 
-    bronze = build_bronze(orders, returns, reps, batch_time=batch_time, heavy=heavy, watch=watch)
-    written = store.write(bronze, "bronze", BRONZE_TABLE, partition_by="Source_Year", bucket_by=order_buckets(store, bronze))
-    before = sum(int(o.get["n"]) for o in seen)
+    orders = with_slices(orders, heavy)
+    n, keys = order_buckets(store, orders)
+    steps = portions(heavy.rows, n // LEAST_BUCKETS)
+    bucket = F.pmod(F.hash(*[col(c) for c in keys]), F.lit(n))  # as the table's buckets are dealt
+    mine = lambda i: orders if steps == 1 else orders.filter(F.pmod(bucket, F.lit(steps)) == i)
+    theirs = lambda i: returns if steps == 1 else returns_of(orders, returns, heavy, bucket, steps, i)
+    bronze = (build_bronze(mine(i), theirs(i), reps, batch_time=batch_time, heavy=heavy, watch=watch) for i in range(steps))
+    staged, written = store.stage(bronze, "bronze", BRONZE_TABLE, partition_by="Source_Year", bucket_by=(n, keys))
+    before = sum(observed(o) for o in seen)
     if before != written:
         raise RowInflationError(f"{before} order rows became {written} in the bronze joins")
+    store.publish("bronze", BRONZE_TABLE, staged, keep=0)
     return written
 
 
+def returns_of(orders: DataFrame, returns: DataFrame, heavy: HeavyKeys, bucket: Column, steps: int, i: int) -> DataFrame:
+    """The returns that orders of a portion can have: those of its buckets, and of heavy orders, which lie in all."""
+    kind = orders.schema[heavy.key].dataType
+    if kind != returns.schema[heavy.key].dataType or not isinstance(kind, (IntegralType, StringType)):
+        return returns  # equal keys could have different hashes
+    here = F.pmod(bucket, F.lit(steps)) == i
+    hot = F.coalesce(col(heavy.key).isin(list(heavy.keys)), F.lit(False)) if heavy.keys else F.lit(False)
+    return returns.withColumn(SLICE, F.lit(0)).filter(here | hot).drop(SLICE)
+
+
+def silver_portions(bronze: DataFrame, n: int) -> list[DataFrame]:
+    """Bronze rows that silver can be built of one after the other: no two have rows of one dedup key.
+
+    Rows without a slice are reduced in their buckets and need no shuffle; only those of heavy orders do.
+    """
+    if SLICE not in bronze.columns:
+        return [bronze]
+    heavy = bronze.filter(col(SLICE) > 0)
+    steps = portions(heavy.count(), n // LEAST_BUCKETS)
+    part = F.pmod(F.xxhash64(*[col(c) for c in DEDUP_KEY]), F.lit(steps))
+    return [bronze.filter(col(SLICE) == 0), *[heavy if steps == 1 else heavy.filter(part == i) for i in range(steps)]]
+
+
 def run_silver(store: Store, silver_time: str | None = None, bronze_rows: int | None = None,
                thresholds: Thresholds = Thresholds()) -> tuple[int, float]:
     """Build silver from the bronze table, stage it, apply the retention gate (DQ5), then publish.
@@ -88,8 +129,8 @@ def run_silver(store: Store, silver_time: str | None = None, bronze_rows: int |
     inspection until the next publish removes it.
     """
     bronze = store.read("bronze", BRONZE_TABLE)
-    silver = build_silver(bronze, silver_time=silver_time)
-    staged, n = store.stage(silver, "silver", SILVER_TABLE, partition_by="Order_Year", bucket_by=order_buckets(store, silver))
+    silver = [build_silver(x, silver_time=silver_time) for x in silver_portions(bronze, bucket_count(store))]
+    staged, n = store.stage(silver, "silver", SILVER_TABLE, partition_by="Order_Year", bucket_by=order_buckets(store, silver[0]))
     if bronze_rows is None:
         bronze_rows = bronze.count()
     pct = (n / bronze_rows * 100.0) if bronze_rows else 0.0

@@ -2,15 +2,21 @@
 
 import glob
 import os
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
 
 from ledgerlake import registry
+from ledgerlake.config import Thresholds
 from ledgerlake.operators import windows
+from ledgerlake.plans import pipeline
 from ledgerlake.plans.generate import generate_years
+from ledgerlake.plans.silver import build_silver
 from ledgerlake.session import CUT, passing_rows, shared_dir
-from ledgerlake.sources import files
+from ledgerlake.sinks import writers
+from ledgerlake.sinks.writers import Store
+from ledgerlake.sources import files, fixture
 from tests import frames
 from tests.conftest import SF_SMALL
 
@@ -62,3 +68,66 @@ def test_generate_years_writes_compressed_files(spark, tmp_dir, monkeypatch):
     rows = registry.q_generate_years(spark, SF_SMALL).collect()
     assert len(rows) == 5 and len({r["rows"] for r in rows}) == 1
     assert glob.glob(f"{tmp_dir}/generated/*/part-*.csv.gz") and not glob.glob(f"{tmp_dir}/generated/*/part-*.csv")
+
+
+def same(a, b):
+    return a.columns == b.columns and a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+
+
+def test_parts_make_up_the_sales_rows(spark, monkeypatch):
+    assert fixture.parts(spark, SF_SMALL) == [(0, 1)]
+    monkeypatch.setattr("ledgerlake.session.PORTION_ROWS", 2500)
+    parts = fixture.parts(spark, SF_SMALL)
+    assert len(parts) == 3
+    raws = [fixture.raw_sales(spark, SF_SMALL, part=p) for p in parts]
+    orders = [{r[0] for r in raw.select("Order ID").distinct().collect()} for raw in raws]
+    assert all(orders) and not any(a & b for i, a in enumerate(orders) for b in orders[:i])
+    before = stored(spark)
+    with passing_rows(raws) as rows:
+        assert len(stored(spark) - before) == 3 and same(rows, fixture.raw_sales(spark, SF_SMALL))
+    assert stored(spark) == before
+
+
+@pytest.mark.parametrize("catalog", [False, True])
+def test_tables_written_in_portions_hold_the_same_rows(spark, tmp_dir, catalog, monkeypatch):
+    hot = [{"Order ID": "HOT" if i % 3 == 0 else str(i // 2), "Product ID": f"P{i // 6}", "Sales": str(1 + i % 50)} for i in range(900)]
+    rows = frames.orders(spark, [*hot, *[{"Order ID": None, "Product ID": f"N{i // 2}"} for i in range(300)]])
+    returns = frames.returns(spark, [("HOT", "Wrong Item"), ("4", "Wrong Item"), ("4", "Changed Mind"), ("17", "Wrong Item"), (None, "Wrong Item")])
+    got, calls = [], []
+    write = writers.write_table
+    monkeypatch.setattr(writers, "write_table", lambda df, location, **options: calls.append((location, write(df, location, **options))) or calls[-1][1])
+    for portion in (10**6, 100):
+        monkeypatch.setattr("ledgerlake.session.PORTION_ROWS", portion)
+        store = Store(spark, base_path=f"{tmp_dir}/{portion}", use_catalog=catalog, prefix="d" + uuid.uuid4().hex[:8], buckets=16)
+        store.create_databases()
+        for _ in range(1 if portion > 100 or not catalog else 2):  # a second run replaces the tables of the first
+            calls.clear()
+            n = pipeline.run_bronze(store, rows, returns, frames.reps(spark), batch_time="2024-01-01 06:00:00")
+            pipeline.run_silver(store, silver_time="2024-01-01 06:00:00", bronze_rows=n, thresholds=Thresholds(min_retention_pct=1.0))
+        assert n == 1200 and len(store.versions("bronze", pipeline.BRONZE_TABLE)) == 1
+        got.append([store.read("bronze", pipeline.BRONZE_TABLE), store.read("silver", pipeline.SILVER_TABLE)])
+        if portion == 100:  # four steps for bronze; for silver one without a shuffle, and four for the hot orders
+            steps = [sorted(k for location, k in calls if f"{layer}." in location or f"/{layer}/" in location) for layer in ("bronze", "silver")]
+            assert list(map(len, steps)) == [4, 5] and steps[0][-1] < 600 and steps[1][-2] < 200
+    assert same(got[0][0], got[1][0]) and same(got[0][1], got[1][1])
+    if catalog:
+        plain, *rest = pipeline.silver_portions(got[1][0], 16)
+        plan = build_silver(plain)._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "Union" not in plan and len(rest) == 4
+
+
+def test_a_portion_without_ordinary_rows(spark, tmp_dir, monkeypatch):
+    monkeypatch.setattr("ledgerlake.session.PORTION_ROWS", 50)
+    rows = frames.orders(spark, [{"Order ID": "HOT", "Product ID": f"P{i}"} for i in range(400)])
+    store = Store(spark, base_path=tmp_dir, buckets=16)
+    assert pipeline.run_bronze(store, rows, frames.returns(spark, [("HOT", "Wrong Item")]), frames.reps(spark)) == 400
+    assert pipeline.run_silver(store, bronze_rows=400)[0] == 400
+    assert store.read("bronze", pipeline.BRONZE_TABLE).filter("not Is_Returned").isEmpty()
+
+
+def test_hot_order_kpis_in_portions(spark, monkeypatch):
+    want = registry.q_hot_order_kpis(spark, SF_SMALL).collect()
+    monkeypatch.setattr("ledgerlake.session.PORTION_ROWS", 1000)
+    before = stored(spark)
+    assert registry.q_hot_order_kpis(spark, SF_SMALL).collect() == want
+    assert stored(spark) == before  # the raw rows are gone
