@@ -13,7 +13,7 @@ from ledgerlake.operators import windows
 from ledgerlake.plans import pipeline
 from ledgerlake.plans.generate import generate_years
 from ledgerlake.plans.silver import build_silver
-from ledgerlake.session import CUT, passing_rows, shared_dir
+from ledgerlake.session import CUT, dealt_rows, passing_rows, shared_dir
 from ledgerlake.sinks import writers
 from ledgerlake.sinks.writers import Store
 from ledgerlake.sources import files, fixture
@@ -131,3 +131,29 @@ def test_hot_order_kpis_in_portions(spark, monkeypatch):
     before = stored(spark)
     assert registry.q_hot_order_kpis(spark, SF_SMALL).collect() == want
     assert stored(spark) == before  # the raw rows are gone
+
+
+def test_dealt_rows_keep_keys_together(spark):
+    before = stored(spark)
+    a = spark.range(500).select(F.when(F.col("id") % 7 > 0, F.col("id") % 6).cast("string").alias("Order ID"), F.col("id").alias("v"))
+    b = spark.createDataFrame([("1", "x"), (None, "y"), ("nowhere", None)], "`Order ID` string, w string")
+    with dealt_rows("Order ID", 16, a, b) as dealt:
+        assert len(dealt) == 16
+        rows = [[[tuple(r) for r in df.collect()] for df in part] for part in dealt]
+    assert sorted(r[1] for part in rows for r in part[0]) == list(range(500)) and sum(len(part[1]) for part in rows) == 3
+    keys = [{r[0] for df in part for r in df} for part in rows]
+    assert not any(x & y for i, x in enumerate(keys) for y in keys[:i]) and not all(keys)  # some have no rows
+    with dealt_rows("Order ID", 2, a.limit(0), b) as dealt:
+        assert sum(left.join(right, "Order ID").count() + left.count() for left, right in dealt) == 0
+    assert stored(spark) == before
+
+
+def test_csv_pipeline_kpis_in_portions(spark, tmp_dir, monkeypatch):
+    want = registry.q_csv_pipeline_kpis(spark, SF_SMALL).collect()
+    monkeypatch.setattr(registry, "scratch", lambda spark, name: f"{tmp_dir}/{name}")
+    monkeypatch.setattr("ledgerlake.session.PORTION_ROWS", 2500)
+    before = stored(spark)
+    assert registry.q_csv_pipeline_kpis(spark, SF_SMALL).collect() == want
+    assert len(stored(spark) - before) == 3  # silver of three parts; the rows that were read are gone
+    for table in ("orders/*", "returns"):
+        assert glob.glob(f"{tmp_dir}/csvpipe/{table}/part-*.csv.gz") and not glob.glob(f"{tmp_dir}/csvpipe/{table}/part-*.csv")
